@@ -169,7 +169,7 @@ _OLD = (
 ORACLES = {
     "parse_observations": _with() + f"""
         SELECT event_id, date_trunc('millisecond', time) AS time,
-               {", ".join(c if c in ("q", "ns") else f"round({c}, 4) AS {c}" for c in VALUE_COLUMNS)}
+               {", ".join(c if c in ("q", "ns") else f"round({c}, 4) + 0.0 AS {c}" for c in VALUE_COLUMNS)}
         FROM obs""",
     "quarantine_reasons": _with() + """
         SELECT kind, reason, count(*) AS lines, count(CASE WHEN reason <> 'bad time' THEN 1 END) AS times

@@ -54,13 +54,15 @@ def daily_source(df: DataFrame) -> DataFrame:
 def render_lines(df: DataFrame, keep=("event_id",)) -> DataFrame:
     """Write observations as lines of the baseline layout; a missing value is a nan token."""
     def number(name):
-        return F.coalesce(F.format_string("%9.4f", F.col(name)), F.lit("      nan"))
+        text = F.col(name).cast("decimal(12,4)").cast("string")
+        return F.coalesce(F.lpad(text, 9, " "), F.lit("      nan"))
 
     def whole(name):
         return F.coalesce(F.col(name).cast("string"), F.lit("nan"))
 
-    return df.select(*keep, F.concat_ws(
+    line = F.concat_ws(
         "  ", F.date_format("time", "yyyy/MM/dd HH:mm:ss.SSS"),
         number("e"), number("n"), number("u"), whole("q"), whole("ns"),
-        *[number(c) for c in ("sdn", "sde", "sdu", "sdne", "sdeu", "sdun", "age", "ratio")],
-    ).alias("value"))
+        *[number(c) for c in ("sdn", "sde", "sdu", "sdne", "sdeu", "sdun", "age", "ratio")])
+    # As a generated column the text is made once, not again in each expression that reads it.
+    return df.select(*keep, F.explode(F.array(line)).alias("value"))

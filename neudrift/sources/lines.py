@@ -1,8 +1,5 @@
 """Observation lines to typed rows, with a reason for every line that cannot be one."""
 
-from functools import reduce
-from operator import or_
-
 from pyspark.sql import DataFrame, functions as F
 
 from neudrift.schema import FIELD_COUNT, INTEGER_COLUMNS, LAYOUTS, NULL_TOKENS
@@ -51,21 +48,19 @@ def parse_lines(lines: DataFrame, layout="baseline", sd_order="names") -> DataFr
             *[F.col(f"_{name}").try_cast("double").alias(name) for name in names],
         )
     )
-    not_number = [
-        F.col(f"_{name}").isNotNull() & F.col(name).isNull() & ~F.col(f"_{name}").isin(*NULL_TOKENS)
-        for name in names
-    ]
-    not_whole = [
-        F.col(name).isNotNull() & ~F.isnan(name)
-        & ((F.col(name) != F.floor(name)) | F.col(name).try_cast("int").isNull())
-        for name in INTEGER_COLUMNS
-    ]
+    tokens = ", ".join(f"'{token}'" for token in NULL_TOKENS)
+    not_number = " OR ".join(
+        f"(_{name} IS NOT NULL AND {name} IS NULL AND _{name} NOT IN ({tokens}))" for name in names)
+    not_whole = " OR ".join(
+        f"({name} IS NOT NULL AND NOT isnan({name})"
+        f" AND ({name} <> floor({name}) OR try_cast({name} AS INT) IS NULL))"
+        for name in INTEGER_COLUMNS)
     reason = (
         F.when(F.col("_count") > FIELD_COUNT, "too many fields")
         .when(F.col("time").isNull(), "bad time")
-        .when(reduce(or_, not_number) | (content.rlike(_JAVA_LETTER) & content.rlike(_JAVA_NUMBER)),
+        .when(F.expr(not_number) | (content.rlike(_JAVA_LETTER) & content.rlike(_JAVA_NUMBER)),
               "not a number")
-        .when(reduce(or_, not_whole), "not a whole number")
+        .when(F.expr(not_whole), "not a whole number")
     )
     values = [F.when(~F.isnan(name), F.col(name)) for name in names]
     typed = fields.select(
