@@ -6,7 +6,9 @@ from neudrift.operators.clean import for_table
 from neudrift.operators.resample import resample_dense
 from neudrift.operators.table import append_one_minute
 from neudrift.schema import DEFAULT_WIDTH, NEWEST_FILES
-from neudrift.sources.files import STRICT_BASELINE, list_files, newest_files, scan_files
+from neudrift.sources.files import (
+    STRICT_BASELINE, list_files, list_mounted, mounted, newest_files, scan_files,
+)
 from neudrift.sources.lines import parse_lines, usable
 
 
@@ -15,8 +17,13 @@ def densified(lines: DataFrame, width=DEFAULT_WIDTH) -> DataFrame:
 
 
 def selected_files(spark: SparkSession, root: str, keep=NEWEST_FILES) -> DataFrame:
-    listing = list_files(spark, root, "*").where(F.col("directory").rlike(STRICT_BASELINE))
-    return newest_files(listing, keep)
+    """The `keep` newest files of each baseline by name, less the empty ones among them.
+
+    Empty files are seen in a mounted folder only. Elsewhere Spark does not list them, and the
+    `keep` newest of the others are taken.
+    """
+    listing = list_mounted(spark, root) if mounted(spark, root) else list_files(spark, root, "*")
+    return newest_files(listing.where(F.col("directory").rlike(STRICT_BASELINE)), keep)
 
 
 def load_one_minute(spark: SparkSession, root: str, path: str, keep=NEWEST_FILES) -> None:

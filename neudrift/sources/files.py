@@ -1,5 +1,8 @@
 """Observation files, their listing and selection, and the text archive."""
 
+import os
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from neudrift.schema import ARCHIVE_COLUMNS, NEWEST_FILES
@@ -16,7 +19,10 @@ _LISTING = "path string, name string, directory string, length long"
 
 
 def list_files(spark: SparkSession, root: str, pattern="*.pos") -> DataFrame:
-    """One row per file below `root`; only names and lengths are read, no content."""
+    """One row per non-empty file below `root`; only names and lengths are read, no content.
+
+    Spark leaves empty files out of every scan; `list_mounted` sees them.
+    """
     listing = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True).option("pathGlobFilter", pattern).load(root)
@@ -28,6 +34,32 @@ def list_files(spark: SparkSession, root: str, pattern="*.pos") -> DataFrame:
     )
 
 
+def mounted(spark: SparkSession, root: str) -> bool:
+    """Whether `root` is a folder of the machines' own file systems, such as a network mount."""
+    default = spark.sparkContext._jsc.hadoopConfiguration().get("fs.defaultFS") or ""
+    return root.startswith("file:") or ("://" not in root and default.startswith("file:"))
+
+
+def list_mounted(spark: SparkSession, root: str) -> DataFrame:
+    """As `list_files`, empty files included, for a folder that every executor has mounted.
+
+    Only the directory names are listed at the driver; the tasks list the directories.
+    """
+    top = root.removeprefix("file://").removeprefix("file:")
+    names = sorted(entry.name for entry in os.scandir(top) if entry.is_dir())
+
+    def entries(batches):
+        for batch in batches:
+            for directory in batch.directory:
+                rows = [(f"file:{entry.path}", entry.name, directory, entry.stat().st_size)
+                        for entry in os.scandir(os.path.join(top, directory)) if entry.is_file()]
+                yield pd.DataFrame(rows, columns=["path", "name", "directory", "length"])
+
+    directories = spark.createDataFrame([(name,) for name in names], "directory string")
+    spread = max(1, min(len(names), spark.sparkContext.defaultParallelism * 4))
+    return directories.repartition(spread).mapInPandas(entries, _LISTING)
+
+
 def baseline_parts(directory: Column):
     """(rover, base) of a directory name, from the strict form."""
     return (F.regexp_extract(directory, STRICT_BASELINE, 1),
