@@ -1,7 +1,7 @@
 """Bucket starts and time ranges as column expressions."""
 
 import re
-from datetime import datetime, timedelta
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import Column, functions as F
 
@@ -71,7 +71,7 @@ def resolve_range(preset="twodays", start=None, end=None, as_of=None):
     `end` defaults to `as_of`, which defaults to the current UTC time, the zone of the files.
     """
     if end is None:
-        end = as_of or datetime.utcnow()
+        end = as_of or datetime.now(timezone.utc).replace(tzinfo=None)
     if start is not None:
         return start, end, None
     return end - preset_span(preset), end, preset

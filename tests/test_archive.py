@@ -1,0 +1,168 @@
+from datetime import date, datetime, timedelta
+from pathlib import Path
+
+import pandas as pd
+
+from neudrift.operators.archive import (
+    archive_rows, daily_lines, merge_keep_first, period_calendar, write_archive, write_median_files,
+)
+from neudrift.plans.archive import run_archive, run_median_files
+from neudrift.schema import ARCHIVE_COLUMNS, ARCHIVE_HEADER, FREEZE_BYTES
+from neudrift.sources.files import archive_sizes, scan_archive
+from posfiles import line, write_pos
+
+ROWS = "rover string, base string, time timestamp_ntz, n double, sdn double, e double, sde double, u double, sdu double"
+
+
+def rows_of(spark, points):
+    """points: (rover, time, n)"""
+    data = [(rover, "ELDC", time, n, 0.0005, n / 2, 0.0015, -n, -0.0001) for rover, time, n in points]
+    return archive_rows(spark.createDataFrame(data, ROWS))
+
+
+def minutes(day, count, n=1.0, rover="SENG", step=1):
+    start = datetime.combine(day, datetime.min.time())
+    return [(rover, start + timedelta(minutes=i * step), n + i / 2000) for i in range(count)]
+
+
+def contents(root):
+    found = {}
+    for path in sorted(Path(root).glob("baseline=*/date=*/*.txt")):
+        key = (path.parent.parent.name.split("=")[1], path.parent.name.split("=")[1])
+        assert key not in found, "one file per partition"
+        found[key] = path.read_text()
+    return found
+
+
+def pandas_text(points):
+    data = pd.DataFrame(
+        [(t, n, 0.0005, n / 2, 0.0015, -n, -0.0001) for _, t, n in points],
+        columns=["t", "n-baseline", "sdn", "e-baseline", "sde", "u-baseline", "sdu"]).set_index("t")
+    return data.to_csv(sep="\t", float_format="%.3f", index_label="#  date_time")
+
+
+D1, D2, D3 = date(2024, 3, 1), date(2024, 3, 2), date(2024, 3, 3)
+
+
+def states(status):
+    return {(r.baseline, r.date): r.state for r in status.collect()}
+
+
+def test_header_size():
+    assert len(ARCHIVE_HEADER) + 1 == 58
+
+
+def test_written_files_equal_pandas_text(spark, tmp_path):
+    points = minutes(D1, 20) + minutes(D2, 1) + minutes(D3, 900)
+    other = minutes(D1, 5, 3.0, "SKSH", 7)
+    target = str(tmp_path / "neu")
+    write_archive(spark, rows_of(spark, points + other), target, date(2024, 2, 29), D3)
+    files = contents(target)
+    assert files["SENG-ELDC", "20240301"] == pandas_text(points[:20])
+    assert files["SENG-ELDC", "20240302"] == pandas_text(points[20:21])
+    assert "2024-03-02\t" in files["SENG-ELDC", "20240302"]
+    assert files["SENG-ELDC", "20240303"] == pandas_text(points[21:])
+    assert files["SKSH-ELDC", "20240301"] == pandas_text(other)
+    assert len(files) == 4
+
+
+def test_states_growth_freeze_and_idempotence(spark, tmp_path):
+    target = str(tmp_path / "neu")
+    first = minutes(D1, 400) + minutes(D2, 3)
+    write_archive(spark, rows_of(spark, first), target, date(2024, 2, 29), D3)
+    before = contents(target)
+    assert len(before["SENG-ELDC", "20240301"]) >= FREEZE_BYTES > len(before["SENG-ELDC", "20240302"])
+
+    second = minutes(D1, 500, 9.0) + minutes(D2, 6, 9.0) + minutes(D3, 2, 9.0)
+    status = write_archive(spark, rows_of(spark, second), target, date(2024, 2, 29), D3)
+    assert states(status) == {("SENG-ELDC", "20240301"): "frozen", ("SENG-ELDC", "20240302"): "grown",
+                              ("SENG-ELDC", "20240303"): "created"}
+    grown = status.where("state = 'grown'").first()
+    assert (grown.rows_old, grown.rows_new) == (3, 6)
+    after = contents(target)
+    assert after["SENG-ELDC", "20240301"] == before["SENG-ELDC", "20240301"]
+    lines = after["SENG-ELDC", "20240302"].splitlines()
+    assert lines[:4] == before["SENG-ELDC", "20240302"].splitlines()
+    assert lines[4:] == pandas_text(second[500:506]).splitlines()[4:]
+    assert grown.bytes_after == len(after["SENG-ELDC", "20240302"])
+
+    write_archive(spark, rows_of(spark, second), target, date(2024, 2, 29), D3)
+    assert contents(target) == after
+
+
+def test_days_without_data(spark, tmp_path):
+    """Outside the data nothing is written, an empty day inside yields the header."""
+    target = str(tmp_path / "neu")
+    points = minutes(D1, 2) + minutes(D3, 2)
+    status = write_archive(spark, rows_of(spark, points), target, date(2024, 2, 28), date(2024, 3, 4))
+    assert states(status) == {
+        ("SENG-ELDC", "20240229"): "no_data", ("SENG-ELDC", "20240301"): "created",
+        ("SENG-ELDC", "20240302"): "created", ("SENG-ELDC", "20240303"): "created",
+        ("SENG-ELDC", "20240304"): "no_data"}
+    assert contents(target)["SENG-ELDC", "20240302"] == ARCHIVE_HEADER + "\n"
+    later = write_archive(spark, rows_of(spark, minutes(date(2024, 3, 4), 2)), target, D1, D3)
+    assert states(later) == {("SENG-ELDC", "20240302"): "no_new_data", ("SENG-ELDC", "20240303"): "no_new_data"}
+
+
+def test_read_back(spark, tmp_path):
+    target = str(tmp_path / "neu")
+    assert scan_archive(spark, target).count() == 0 and archive_sizes(spark, target).count() == 0
+    points = minutes(D1, 3) + minutes(D2, 1)
+    write_archive(spark, rows_of(spark, points), target, date(2024, 2, 29), D2)
+    back = scan_archive(spark, target).orderBy("time").collect()
+    assert [r.time for r in back] == [t for _, t, _ in points]
+    assert [r.n for r in back] == [float("%.3f" % n) for _, _, n in points]
+    assert {r.bytes for r in archive_sizes(spark, target).collect()} == {len(x) for x in contents(target).values()}
+
+
+def test_merge_keeps_existing_rows(spark):
+    old = spark.createDataFrame([("b", "d", 1, 1.0), ("b", "d", 2, 1.0)], "baseline string, date string, time int, n double")
+    new = spark.createDataFrame([("b", "d", 2, 5.0), ("b", "d", 3, 5.0), ("c", "d", 1, 5.0)], old.schema)
+    assert sorted(map(tuple, merge_keep_first(old, new).collect())) == [
+        ("b", "d", 1, 1.0), ("b", "d", 2, 1.0), ("b", "d", 3, 5.0), ("c", "d", 1, 5.0)]
+
+
+def test_no_freeze(spark, tmp_path):
+    target = str(tmp_path / "neu")
+    write_archive(spark, rows_of(spark, minutes(D1, 400)), target, date(2024, 2, 29), D1)
+    status = write_archive(spark, rows_of(spark, minutes(D1, 402)), target, date(2024, 2, 29), D1, freeze_bytes=None)
+    assert states(status) == {("SENG-ELDC", "20240301"): "grown"}
+    assert contents(target)["SENG-ELDC", "20240301"] == pandas_text(minutes(D1, 402))
+
+
+def test_baselines_without_rows_are_reported(spark):
+    none = spark.createDataFrame([("SKSH-ELDC",), ("SENG-ELDC",)], "baseline string")
+    calendar = period_calendar(rows_of(spark, minutes(D1, 2)), date(2024, 2, 29), D1, none)
+    assert {(r.baseline, r.covered, r.rows_new) for r in calendar.collect()} == {
+        ("SENG-ELDC", True, 2), ("SKSH-ELDC", False, 0)}
+
+
+def test_median_files(spark, tmp_path):
+    points = minutes(D1, 30) + minutes(D2, 30)
+    write_median_files(rows_of(spark, points), str(tmp_path / "all"))
+    parts = sorted((tmp_path / "all" / "baseline=SENG-ELDC").glob("*.txt"))
+    assert "".join(p.read_text() for p in parts) == pandas_text(points)
+
+
+def test_date_only_median_files(spark):
+    points = [("SENG", datetime(2024, 3, d), 1.0) for d in (1, 2)] + minutes(D1, 2, rover="SKSH")
+    texts = {r.line.split("\t")[0] for r in daily_lines(rows_of(spark, points)).collect()}
+    assert texts == {"2024-03-01", "2024-03-02", "2024-03-01 00:00:00", "2024-03-01 00:01:00"}
+
+
+def test_archive_job(spark, tmp_path):
+    raw, target = tmp_path / "raw", str(tmp_path / "neu")
+    write_pos(raw, "SENG-ELDC", "20240301", [line(f"00:00:{s:02d}.0", n=float(s)) for s in range(0, 59)])
+    write_pos(raw, "SENG-ELDC", "20240302", [
+        line("10:00:01.0", day="2024/03/02"), line("10:00:02.0", day="2024/03/02", q=5, n=50.0),
+        line("10:01:00.0", day="2024/03/02", n="nan")])
+    write_pos(raw, "SKSH-ELDC", "20240301", [])
+    status = run_archive(spark, str(raw), target, D2, date(2024, 2, 29))
+    assert states(status) == {("SENG-ELDC", "20240301"): "created", ("SENG-ELDC", "20240302"): "created"}
+    files = contents(target)
+    assert files["SENG-ELDC", "20240301"].splitlines()[1] == "2024-03-01\t29.000\t0.001\t1.000\t0.001\t3.000\t0.001"
+    assert files["SENG-ELDC", "20240302"].splitlines()[1:] == [
+        "2024-03-02 10:00:00\t2.000\t0.001\t1.000\t0.001\t3.000\t0.001"]
+    assert run_median_files(spark, str(raw), str(tmp_path / "all"), D1, D2)
+    assert not run_median_files(spark, str(raw), str(tmp_path / "none"), date(2023, 1, 1), date(2023, 1, 2))
+    assert not (tmp_path / "none").exists()
