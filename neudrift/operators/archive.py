@@ -133,9 +133,10 @@ def write_archive(spark: SparkSession, rows: DataFrame, root: str, start, end,
                   freeze_bytes=FREEZE_BYTES, baselines: DataFrame | None = None) -> DataFrame:
     """Bring the archive below `root` up to date and return the status of every partition.
 
-    The states are fixed before anything is written. Only partitions that grow are read back, and
-    those rows are set aside first because their files are about to be replaced.
+    The medians and the states are fixed before anything is written. Only partitions that grow are
+    read back, and those rows are set aside first because their files are about to be replaced.
     """
+    rows = settle(rows)
     calendar = period_calendar(rows, start, end, baselines)
     states = settle(archive_states(calendar, archive_sizes(spark, root), freeze_bytes))
     growing = states.where("state = 'grown'").select(*PARTITION)
@@ -173,7 +174,8 @@ def write_median_files(rows: DataFrame, root: str) -> None:
     """The whole span of each baseline below baseline=<name>, in time order over its part files.
 
     The split is by ranges of (baseline, time), so a long series becomes several parts whose names
-    sort in time order; the header is the first line of the first part.
+    sort in time order; the header is the first line of the first part. The rows are read several
+    times, so they should be settled.
     """
     lines = median_lines(rows)
     lines = with_headers(lines, lines.select("baseline").distinct(), ("baseline",))

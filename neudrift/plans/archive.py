@@ -8,6 +8,7 @@ from neudrift.operators.archive import archive_rows, write_archive, write_median
 from neudrift.operators.clean import clean
 from neudrift.operators.resample import resample_medians
 from neudrift.schema import ARCHIVE_COLUMNS, FREEZE_BYTES
+from neudrift.session import settle
 from neudrift.sources.files import discover_baselines, list_files, scan_daily
 from neudrift.sources.lines import line_times, parse_lines, usable
 
@@ -31,7 +32,7 @@ def run_archive(spark: SparkSession, root: str, target: str, end, start=None, wi
 
 def run_median_files(spark: SparkSession, root: str, target: str, start, end, width="1min") -> bool:
     """Write the whole span of each baseline; False, and no file, when there is no data."""
-    rows = archive_input(spark, root, start, end, width)
+    rows = settle(archive_input(spark, root, start, end, width))
     if rows.isEmpty():
         return False
     write_median_files(rows, target)

@@ -13,7 +13,7 @@ from neudrift.operators.series import (
     slice_time,
 )
 from neudrift.schema import COMPONENTS, DASHBOARD_GROUPS, DASHBOARD_PRESETS, DEFAULT_WIDTH
-from neudrift.session import join_small
+from neudrift.session import join_small, settle
 from neudrift.sources.files import base_of, rover_of, scan_daily
 from neudrift.sources.lines import line_times, parse_lines, usable
 
@@ -121,9 +121,9 @@ def run_dashboard(spark: SparkSession, root: str, groups=DASHBOARD_GROUPS, prese
     baselines = sorted({name for group in groups for name in group})
     lines = scan_daily(spark, root, min(r[1] for r in ranges), end, baselines)
     frame = group_frame(spark, groups)
-    series = dashboard_series(
+    series = settle(dashboard_series(
         usable(parse_lines(lines)), frame, ranges, width,
-        at_most=sum(len(group) for group in groups), superset=line_times(lines))
+        at_most=sum(len(group) for group in groups), superset=line_times(lines)))
     figures = expand_figures(frame, ranges)
     return series, axis_range(series), figure_catalog(figures)
 

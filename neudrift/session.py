@@ -24,14 +24,14 @@ def workspace(spark: SparkSession) -> str:
     temporary folder of its own.
     """
     context = spark.sparkContext
-    root = context.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="neudrift-")
     if not context.getCheckpointDir():
+        root = spark.conf.get("spark.checkpoint.dir", None)
+        if not root:
+            if not context.master.startswith("local"):
+                raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+            root = tempfile.mkdtemp(prefix="neudrift-")
         context.setCheckpointDir(root)
-    return root.rstrip("/")
+    return context.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -12,7 +12,7 @@ from neudrift.session import read_or_empty
 STRICT_BASELINE = r"([A-Z0-9]{4})-([A-Z0-9]{4})"
 LOOSE_BASELINE = r"^\S+-\S+"
 # <baseline>/<baseline><yyyymmdd>0000b.pos; the part after the baseline has a fixed length.
-DAILY_FILE = r"/(\S+-\S+)/\1[0-9]{8}0000b[.]pos$"
+DAILY_FILE = "*-*" + "[0-9]" * 8 + "0000b.pos"
 _TAIL = len("yyyymmdd0000b.pos")
 
 _LISTING = "path string, name string, directory string, length long"
@@ -124,14 +124,16 @@ def scan_daily(spark: SparkSession, root: str, start=None, end=None, baselines=N
                skip_unreadable=False) -> DataFrame:
     """Lines of the daily files of a span, tagged with baseline, rover, base and source_file.
 
-    Name, day and baseline conditions are on file metadata, so other files are not opened.
+    Name, day and baseline conditions are on file metadata, so other files are not opened. Spark
+    evaluates such conditions on every line once more, so they are kept to plain string functions.
     Missing and empty files contribute nothing; `skip_unreadable` extends that to corrupt ones.
     """
-    lines = _text(spark, root, recursiveFileLookup=True, pathGlobFilter="*.pos",
+    lines = _text(spark, root, recursiveFileLookup=True, pathGlobFilter=DAILY_FILE,
                   ignoreCorruptFiles=skip_unreadable)
     path, name = F.col("_metadata.file_path"), F.col("_metadata.file_name")
     baseline = F.substring(name, F.lit(1), F.length(name) - _TAIL)
-    lines = lines.where(path.rlike(DAILY_FILE))
+    lines = lines.where(
+        path.endswith(F.concat(F.lit("/"), baseline, F.lit("/"), name)) & baseline.rlike(LOOSE_BASELINE))
     stamp = F.substring(name, F.length(name) - (_TAIL - 1), F.lit(8))
     if start is not None:
         lines = lines.where(stamp >= F.date_format(_day(start), "yyyyMMdd"))
@@ -153,13 +155,12 @@ def scan_files(spark: SparkSession, files: DataFrame) -> DataFrame:
     paths = [row.path for row in files.select("path").toLocalIterator()]
     if not paths:
         return spark.createDataFrame(
-            [], "value string, baseline string, rover string, base string, source_file string")
-    path = F.col("_metadata.file_path")
-    directory = F.element_at(F.split(path, "/"), -2)
-    rover, base = baseline_parts(directory)
+            [], "value string, rover string, base string, source_file string")
+    # A selected file's name starts with its directory's name, so both hold the same baseline.
+    rover, base = baseline_parts(F.col("_metadata.file_name"))
     return _text(spark, paths).select(
-        "value", directory.alias("baseline"), rover.alias("rover"), base.alias("base"),
-        path.alias("source_file"))
+        "value", rover.alias("rover"), base.alias("base"),
+        F.col("_metadata.file_path").alias("source_file"))
 
 
 ARCHIVE_SCHEMA = ", ".join(

@@ -8,16 +8,18 @@ LINE_SCHEMA = "value string"
 
 
 def stream_files(spark: SparkSession, root: str, files_per_trigger=None) -> DataFrame:
-    """Lines of .pos files below `root` as they appear, tagged like those of a batch scan."""
+    """Lines of .pos files below `root` as they appear, tagged with rover, base and source_file.
+
+    The baseline is the one in the file name.
+    """
     reader = (
         spark.readStream.schema(LINE_SCHEMA).format("text")
         .option("recursiveFileLookup", True).option("pathGlobFilter", "*.pos")
     )
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    path = F.col("_metadata.file_path")
-    directory = F.element_at(F.split(path, "/"), -2)
-    rover, base = baseline_parts(directory)
-    return reader.load(root).where(directory.rlike(STRICT_BASELINE)).select(
-        "value", directory.alias("baseline"), rover.alias("rover"), base.alias("base"),
-        path.alias("source_file"))
+    name = F.col("_metadata.file_name")
+    rover, base = baseline_parts(name)
+    return reader.load(root).where(name.rlike(STRICT_BASELINE)).select(
+        "value", rover.alias("rover"), base.alias("base"),
+        F.col("_metadata.file_path").alias("source_file"))

@@ -17,6 +17,7 @@ def build(root):
     write_pos(root, "SENG-ELDC", "20240306", [line("00:00:01.0")], "0000c.pos")
     write_pos(root, "notabaseline", "20240301", [line("00:00:01.0")])
     write_pos(root, "a-b", "20240301", [line("00:00:01.0")])
+    (root / "SENG-ELDC" / "SKSH-ELDC202403030000b.pos").write_text(line("00:00:01.0") + "\n")
     (root / "SENG-ELDC" / "other20240309.pos").write_text(line("00:00:01.0") + "\n")
     (root / "SENG-ELDC" / "SENG-ELDC.log").write_text("x\n")
     return str(root)
@@ -51,8 +52,8 @@ def test_newest_files_take_names_first_and_drop_empty_ones_after(spark, tmp_path
     # The four last names include the empty one; the differently named file does not count.
     assert sorted(names["SENG-ELDC"]) == ["202403060000b.pos", "202403060000c.pos", "202403070000b.pos"]
     lines = scan_files(spark, newest_files(listing))
-    assert {tuple(r) for r in lines.select("baseline", "rover", "base").distinct().collect()} == {
-        ("SENG-ELDC", "SENG", "ELDC"), ("SKSH-ELDC", "SKSH", "ELDC")}
+    assert {tuple(r) for r in lines.select("rover", "base").distinct().collect()} == {
+        ("SENG", "ELDC"), ("SKSH", "ELDC")}
     assert lines.where(~F.col("value").startswith("%")).count() == 7
 
 

@@ -7,7 +7,7 @@ def plan(df):
 
 def test_workspace_is_the_checkpoint_folder(spark):
     root = workspace(spark)
-    assert root == workspace(spark) == spark.sparkContext.getCheckpointDir().rstrip("/")
+    assert root == workspace(spark) == spark.sparkContext.getCheckpointDir()
     assert scratch_path(spark, "x").startswith(root) and scratch_path(spark, "x") != scratch_path(spark, "x")
 
 
