@@ -7,17 +7,19 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from neudrift.session import join_small, settle
 
-# A key with more rows than this is not given to one `median` buffer, which holds all distinct
-# values of a key in memory. Ten thousand rows in 60 s is well above 100 observations per second.
-HOT_ROWS = 10_000
+# A key with more values (rows times columns) than this is not given to one `median` buffer, which
+# holds the distinct values of a key in memory at some 80 bytes each. A minute at 100 observations
+# per second, or a day at one per second, stays below it for the columns of a plot.
+HOT_VALUES = 1_000_000
 
 
-def hot_keys(rows: DataFrame, keys, hot_rows=HOT_ROWS) -> DataFrame | None:
-    """Keys with more than `hot_rows` rows, or None when there are none.
+def hot_keys(rows: DataFrame, keys, columns, hot_values=HOT_VALUES) -> DataFrame | None:
+    """Keys with more than `hot_values` values in `columns`, or None when there are none.
 
     One narrow pass: only the key columns are read and counts are combined before the shuffle.
     """
-    crowded = rows.groupBy(*keys).count().where(F.col("count") > hot_rows).drop("count")
+    limit = hot_values // len(columns)
+    crowded = rows.groupBy(*keys).count().where(F.col("count") > limit).drop("count")
     if crowded.count() == 0:
         return None
     return settle(crowded)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from neudrift.functions.buckets import ntz, preset_span, resolve_range
 from neudrift.operators.clean import clean
-from neudrift.operators.medians import HOT_ROWS
+from neudrift.operators.medians import HOT_VALUES
 from neudrift.operators.resample import PAIR, resample_medians
 from neudrift.operators.series import (
     axis_range, component_label, component_series, displacement_cm, observations_for_slice,
@@ -63,7 +63,7 @@ def slice_figures(resampled: DataFrame, figures: DataFrame, columns=COMPONENTS,
 
 
 def dashboard_series(observations: DataFrame, groups: DataFrame, ranges, width=DEFAULT_WIDTH,
-                     at_most: int | None = None, hot_rows=HOT_ROWS,
+                     at_most: int | None = None, hot_values=HOT_VALUES,
                      superset: DataFrame | None = None) -> DataFrame:
     """All points of all figures: figure, component, rover, base, time, value_cm.
 
@@ -80,7 +80,7 @@ def dashboard_series(observations: DataFrame, groups: DataFrame, ranges, width=D
                           "left_semi", at_most=at_most)
 
     resampled = resample_medians(
-        needed(clean(observations)), width, COMPONENTS, hot_rows=hot_rows,
+        needed(clean(observations)), width, COMPONENTS, hot_values=hot_values,
         superset=needed(observations if superset is None else superset))
     figures = expand_figures(groups, ranges)
     bound = at_most * len(ranges)

@@ -123,7 +123,7 @@ def resample_7min_day_origin(spark, sf_dir):
 
 def resample_1d_split(spark, sf_dir):
     """Daily medians with the size limit so low that many buckets take the ranked way."""
-    return rounded(resampled(spark, sf_dir, "1d", COMPONENTS, hot_rows=45), COMPONENTS)
+    return rounded(resampled(spark, sf_dir, "1d", COMPONENTS, hot_values=45 * len(COMPONENTS)), COMPONENTS)
 
 
 def dense_medians(spark, sf_dir) -> DataFrame:
@@ -229,12 +229,12 @@ def period_status(spark, sf_dir):
 
 def archive_status(spark, sf_dir):
     old = old_archive_rows(spark, sf_dir)
-    states = archive_run_states(settle(new_archive_rows(spark, sf_dir)), old)
+    states = archive_run_states(new_archive_rows(spark, sf_dir), old)
     return states.select("baseline", "date", "state", "rows_new", "bytes")
 
 
 def neu_lines(spark, sf_dir):
-    lines = settle(arch.daily_lines(new_archive_rows(spark, sf_dir)))
+    lines = arch.daily_lines(new_archive_rows(spark, sf_dir))
     return arch.with_headers(lines, lines.select("baseline", "date").distinct())
 
 
@@ -247,7 +247,7 @@ def median_file_days(spark, sf_dir):
 
 
 def archive_merge(spark, sf_dir):
-    new, old = settle(new_archive_rows(spark, sf_dir)), settle(old_archive_rows(spark, sf_dir))
+    new, old = new_archive_rows(spark, sf_dir), old_archive_rows(spark, sf_dir)
     states = archive_run_states(new, old)
     lines = arch.daily_lines(arch.archive_update(new, old, states))
     return lines.join(states.select("baseline", "date", "state"), ["baseline", "date"])

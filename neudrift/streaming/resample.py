@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from neudrift.functions.buckets import bucket_start
-from neudrift.operators.medians import HOT_ROWS
+from neudrift.operators.medians import HOT_VALUES
 from neudrift.operators.resample import PAIR, resample_medians
 from neudrift.schema import DEFAULT_WIDTH, VALUE_COLUMNS
 
@@ -13,7 +13,7 @@ _LISTED_SLOTS = 1000
 
 
 def stream_medians(cleaned: DataFrame, target: str, checkpoint: str, width=DEFAULT_WIDTH,
-                   columns=VALUE_COLUMNS, slot="1h", hot_rows=HOT_ROWS,
+                   columns=VALUE_COLUMNS, slot="1h", hot_values=HOT_VALUES,
                    trigger=None) -> StreamingQuery:
     """Start a query that keeps `target`/medians equal to a batch resampling of all rows so far.
 
@@ -34,7 +34,7 @@ def stream_medians(cleaned: DataFrame, target: str, checkpoint: str, width=DEFAU
         if slots:
             _store(rows, f"{target}/observations")
             stored = _read_slots(spark, f"{target}/observations", slots)
-            _refresh(stored, f"{target}/medians", width, columns, slot, hot_rows)
+            _refresh(stored, f"{target}/medians", width, columns, slot, hot_values)
         rows.unpersist()
 
     writer = cleaned.writeStream.option("checkpointLocation", checkpoint).foreachBatch(update)
@@ -64,8 +64,8 @@ def _read_slots(spark, path, slots):
     return reader.parquet(path).where(F.col("slot").between(slots[0], slots[-1]))
 
 
-def _refresh(rows, path, width, columns, slot, hot_rows):
-    medians = resample_medians(rows, width, columns, hot_rows=hot_rows)
+def _refresh(rows, path, width, columns, slot, hot_values):
+    medians = resample_medians(rows, width, columns, hot_values=hot_values)
     (
         medians.withColumn("slot", _slot(F.col("time"), slot))
         .hint("rebalance", "slot")

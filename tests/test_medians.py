@@ -59,7 +59,7 @@ def test_sparse_equals_pandas(spark, width, seed):
 @pytest.mark.parametrize("width", ["60s", "7min", "1h"])
 def test_split_buckets_give_the_same_medians(spark, width, limit):
     rows = observations(limit)
-    same(collected(resample_medians(frame(spark, rows), width, ["n", "e"], hot_rows=limit)),
+    same(collected(resample_medians(frame(spark, rows), width, ["n", "e"], hot_values=2 * limit)),
          pandas_resample(rows, width))
 
 
@@ -67,7 +67,7 @@ def test_split_with_copies_and_missing_values(spark):
     rows = [("k", 1.0)] * 50 + [("k", 2.0)] * 50 + [("k", None)] * 7 + [("l", 3.0)] * 30 + [("m", None)] * 30
     rows += [("o", float(i)) for i in range(31)]
     df = spark.createDataFrame(rows, "key string, v double")
-    hot = hot_keys(df, ["key"], 5)
+    hot = hot_keys(df, ["key"], ["v"], 5)
     assert hot.count() == 4
     found = {r.key: r.v for r in medians(df, ["key"], ["v"], hot).collect()}
     assert found == {"k": 1.5, "l": 3.0, "m": None, "o": 15.0}
@@ -81,7 +81,7 @@ def test_hot_key_that_filters_removed(spark):
 
 def test_no_hot_keys(spark):
     df = spark.createDataFrame([("k", 1.0)], "key string, v double")
-    assert hot_keys(df, ["key"], 5) is None
+    assert hot_keys(df, ["key"], ["v"], 5) is None
 
 
 @pytest.mark.parametrize("width", ["60s", "7min"])
@@ -89,7 +89,7 @@ def test_no_hot_keys(spark):
 def test_dense_equals_pandas(spark, width, limit):
     rows = observations(7)
     df = frame(spark, rows).withColumn("source_file", F.col("rover"))
-    same(collected(resample_dense(df, width, ["n", "e"], hot_rows=limit)),
+    same(collected(resample_dense(df, width, ["n", "e"], hot_values=limit)),
          pandas_resample(rows, width, dense=True))
 
 

@@ -65,7 +65,7 @@ def test_hot_bucket_in_a_stream(spark, tmp_path):
     write_day(raw, "SENG-ELDC", 1, 0, 400)
     lines = stream_files(spark, str(raw))
     stream_medians(clean(usable(parse_lines(lines))), target, str(tmp_path / "checkpoint"), "1h",
-                   columns=("n", "e"), hot_rows=20, trigger=NOW).awaitTermination()
+                   columns=("n", "e"), hot_values=20, trigger=NOW).awaitTermination()
     batch = resample_medians(clean(usable(parse_lines(stream_like(spark, raw)))), "1h", ["n", "e"])
     assert rows(read_medians(spark, target), "time", "n", "e") == rows(batch, "time", "n", "e")
 
