@@ -1,5 +1,7 @@
 """Daily text archive: lines, periods, freeze rule and keep-first merge."""
 
+from datetime import date, timedelta
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from neudrift.functions.fixed3 import with_fixed3
@@ -25,6 +27,12 @@ def period_days(start, end) -> Column:
     return F.when(after <= last, F.sequence(after, last)).otherwise(F.array().cast("array<date>"))
 
 
+def day_names(start, end) -> list[str]:
+    """The same days as yyyymmdd."""
+    first, last = (date.fromisoformat(str(x)[:10]) for x in (start, end))
+    return [f"{first + timedelta(days=i + 1):%Y%m%d}" for i in range((last - first).days)]
+
+
 def period_calendar(rows: DataFrame, start, end, baselines: DataFrame | None = None) -> DataFrame:
     """Every baseline with every day of the run, the day's row count and whether the day lies
     within the baseline's data.
@@ -137,14 +145,15 @@ def write_archive(spark: SparkSession, rows: DataFrame, root: str, start, end,
     read back, and those rows are set aside first because their files are about to be replaced.
     """
     rows = settle(rows)
+    days = day_names(start, end)
     calendar = period_calendar(rows, start, end, baselines)
-    states = settle(archive_states(calendar, archive_sizes(spark, root), freeze_bytes))
+    states = settle(archive_states(calendar, archive_sizes(spark, root, days), freeze_bytes))
     growing = states.where("state = 'grown'").select(*PARTITION)
-    existing = settle(scan_archive(spark, root).join(growing, list(PARTITION), "left_semi"))
+    existing = settle(scan_archive(spark, root, days).join(growing, list(PARTITION), "left_semi"))
     update = archive_update(rows, existing, states)
     changed = states.where("state IN ('created', 'grown')").select(*PARTITION)
     write_daily(with_headers(daily_lines(update), changed), root)
-    return load_status(states, existing, archive_sizes(spark, root))
+    return load_status(states, existing, archive_sizes(spark, root, days))
 
 
 def load_status(states: DataFrame, existing: DataFrame, sizes_after: DataFrame) -> DataFrame:

@@ -40,9 +40,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def settle(df: DataFrame) -> DataFrame:
-    """Compute once and keep in the reliable checkpoint folder, so that a lost executor costs nothing."""
-    workspace(df.sparkSession)
-    return df.checkpoint()
+    """Compute once, into a table of the workspace, and go on from there.
+
+    A lost executor does not lose the table, and the planner knows its size.
+    """
+    spark, path = df.sparkSession, scratch_path(df.sparkSession, "settled")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def join_small(left: DataFrame, small: DataFrame, on, how="inner", at_most=None) -> DataFrame:

@@ -1,6 +1,7 @@
 """Observation files, their listing and selection, and the text archive."""
 
 import os
+from datetime import datetime, timedelta
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
@@ -12,8 +13,9 @@ from neudrift.session import read_or_empty
 STRICT_BASELINE = r"([A-Z0-9]{4})-([A-Z0-9]{4})"
 LOOSE_BASELINE = r"^\S+-\S+"
 # <baseline>/<baseline><yyyymmdd>0000b.pos; the part after the baseline has a fixed length.
-DAILY_FILE = "*-*" + "[0-9]" * 8 + "0000b.pos"
 _TAIL = len("yyyymmdd0000b.pos")
+# Longest span whose days are named one by one in a file pattern.
+_NAMED_DAYS = 366
 
 _LISTING = "path string, name string, directory string, length long"
 
@@ -120,26 +122,38 @@ def _text(spark, paths, **options):
     return reader.text(paths)
 
 
+def day_pattern(start, end) -> str:
+    """File pattern for the days from `start` to `end` as yyyymmdd, exact for a year at most."""
+    if start is not None and end is not None:
+        first, last = (x.date() if isinstance(x, datetime) else x for x in (start, end))
+        days = [first + timedelta(days=i) for i in range((last - first).days + 1)]
+        if 0 < len(days) <= _NAMED_DAYS:
+            return "{" + ",".join(day.strftime("%Y%m%d") for day in days) + "}"
+    return "[0-9]" * 8
+
+
 def scan_daily(spark: SparkSession, root: str, start=None, end=None, baselines=None,
                skip_unreadable=False) -> DataFrame:
     """Lines of the daily files of a span, tagged with baseline, rover, base and source_file.
 
-    Name, day and baseline conditions are on file metadata, so other files are not opened. Spark
-    evaluates such conditions on every line once more, so they are kept to plain string functions.
-    Missing and empty files contribute nothing; `skip_unreadable` extends that to corrupt ones.
+    The name pattern keeps other days out of the file list. The other conditions are on file
+    metadata, so files that fail them are not opened; Spark evaluates those once more on every
+    line, so they are plain string functions. Missing and empty files contribute nothing;
+    `skip_unreadable` extends that to corrupt ones.
     """
-    lines = _text(spark, root, recursiveFileLookup=True, pathGlobFilter=DAILY_FILE,
-                  ignoreCorruptFiles=skip_unreadable)
+    lines = _text(spark, root, recursiveFileLookup=True, ignoreCorruptFiles=skip_unreadable,
+                  pathGlobFilter=f"*-*{day_pattern(start, end)}0000b.pos")
     path, name = F.col("_metadata.file_path"), F.col("_metadata.file_name")
     baseline = F.substring(name, F.lit(1), F.length(name) - _TAIL)
-    lines = lines.where(
-        path.endswith(F.concat(F.lit("/"), baseline, F.lit("/"), name)) & baseline.rlike(LOOSE_BASELINE))
+    lines = lines.where(path.endswith(F.concat(F.lit("/"), baseline, F.lit("/"), name)))
     stamp = F.substring(name, F.length(name) - (_TAIL - 1), F.lit(8))
     if start is not None:
         lines = lines.where(stamp >= F.date_format(_day(start), "yyyyMMdd"))
     if end is not None:
         lines = lines.where(stamp <= F.date_format(_day(end), "yyyyMMdd"))
-    if baselines is not None:
+    if baselines is None:
+        lines = lines.where(baseline.rlike(LOOSE_BASELINE))
+    else:
         lines = lines.where(baseline.isin(*baselines))
     return lines.select(
         "value", baseline.alias("baseline"), rover_of(name).alias("rover"),
@@ -167,23 +181,31 @@ ARCHIVE_SCHEMA = ", ".join(
     ["date_time string", *[f"{c} double" for c in ARCHIVE_COLUMNS], "baseline string", "date string"])
 
 
-def scan_archive(spark: SparkSession, root: str) -> DataFrame:
+def _archive_path(root, days):
+    """The archive, or only the folders of some days (yyyymmdd) when they are few."""
+    if days is None or not 0 < len(days) <= _NAMED_DAYS:
+        return root
+    return f"{root}/baseline=*/date={{{','.join(days)}}}"
+
+
+def scan_archive(spark: SparkSession, root: str, days=None) -> DataFrame:
     """Rows of the text archive: baseline, date (yyyymmdd), time and the six archive columns."""
     def read(path):
         return (
             spark.read.schema(ARCHIVE_SCHEMA).option("sep", "\t").option("comment", "#")
-            .option("basePath", path).csv(path)
+            .option("basePath", root).csv(path)
         )
 
-    return read_or_empty(spark, read, root, ARCHIVE_SCHEMA).select(
+    rows = read_or_empty(spark, read, _archive_path(root, days), ARCHIVE_SCHEMA)
+    return rows.select(
         "baseline", "date", F.col("date_time").try_cast("timestamp_ntz").alias("time"),
         *ARCHIVE_COLUMNS)
 
 
-def archive_sizes(spark: SparkSession, root: str) -> DataFrame:
+def archive_sizes(spark: SparkSession, root: str, days=None) -> DataFrame:
     """Bytes per archive partition, from the listing alone."""
     listing = read_or_empty(
-        spark, lambda path: list_files(spark, path, "*.txt"), root, _LISTING)
+        spark, lambda path: list_files(spark, path, "*.txt"), _archive_path(root, days), _LISTING)
     return (
         listing.select(
             F.regexp_extract("path", r"/baseline=([^/]+)/", 1).alias("baseline"),

@@ -4,7 +4,8 @@ from pathlib import Path
 import pandas as pd
 
 from neudrift.operators.archive import (
-    archive_rows, daily_lines, merge_keep_first, period_calendar, write_archive, write_median_files,
+    archive_rows, daily_lines, day_names, merge_keep_first, period_calendar, period_days, write_archive,
+    write_median_files,
 )
 from neudrift.plans.archive import run_archive, run_median_files
 from neudrift.schema import ARCHIVE_COLUMNS, ARCHIVE_HEADER, FREEZE_BYTES
@@ -48,6 +49,14 @@ def states(status):
     return {(r.baseline, r.date): r.state for r in status.collect()}
 
 
+def test_days_of_a_run(spark):
+    start, end = datetime(2024, 2, 27, 12), datetime(2024, 3, 1, 6)
+    assert day_names(start, end) == ["20240228", "20240229", "20240301"]
+    days = spark.range(1).select(period_days(start, end)).first()[0]
+    assert [f"{d:%Y%m%d}" for d in days] == day_names(start, end)
+    assert day_names(end, end) == [] and spark.range(1).select(period_days(end, end)).first()[0] == []
+
+
 def test_header_size():
     assert len(ARCHIVE_HEADER) + 1 == 58
 
