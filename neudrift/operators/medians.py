@@ -7,9 +7,9 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from neudrift.session import join_small, settle
 
-# A key with more values (rows times columns) than this is not given to one `median` buffer, which
-# holds the distinct values of a key in memory at some 80 bytes each. A minute at 100 observations
-# per second, or a day at one per second, stays below it for the columns of a plot.
+# A key with more values (rows times columns) than this is not gathered in one task, where a value
+# takes some 25 bytes. A minute at 100 observations per second, or a day at one per second, stays
+# below it for the columns of a plot.
 HOT_VALUES = 1_000_000
 
 
@@ -40,7 +40,16 @@ def medians(rows: DataFrame, keys, columns, hot: DataFrame | None = None) -> Dat
 
 
 def _plain(rows, keys, columns):
-    return rows.groupBy(*keys).agg(*[F.median(c).alias(c) for c in columns])
+    """Medians of keys within the limit: their sorted values' middle, or the mean of the middle two.
+
+    Several times faster and smaller than the built-in `median`, which counts every value in a map
+    of boxed objects. Lists leave nulls out; an empty list has no middle and gives null.
+    """
+    gathered = rows.groupBy(*keys).agg(*[F.collect_list(c).alias(c) for c in columns])
+    ordered = gathered.select(*keys, *[F.sort_array(c).alias(c) for c in columns])
+    return ordered.select(*keys, *[
+        F.expr(f"get({c}, (size({c}) - 1) div 2) * 0.5D + get({c}, size({c}) div 2) * 0.5D").alias(c)
+        for c in columns])
 
 
 def _ranked(rows, keys, columns):

@@ -6,19 +6,20 @@ from pyspark.sql import DataFrame, SparkSession
 
 from neudrift.operators.archive import archive_rows, write_archive, write_median_files
 from neudrift.operators.clean import clean
-from neudrift.operators.resample import resample_medians
+from neudrift.operators.resample import PAIR, resample_medians
 from neudrift.schema import ARCHIVE_COLUMNS, FREEZE_BYTES
 from neudrift.session import settle
 from neudrift.sources.files import discover_baselines, list_files, scan_daily
-from neudrift.sources.lines import line_times, parse_lines, usable
+from neudrift.sources.lines import parse_lines, usable
 
 SPAN = timedelta(days=5)
 
 
 def archive_input(spark: SparkSession, root: str, start, end, width="1min") -> DataFrame:
-    lines = scan_daily(spark, root, start, end)
-    return archive_rows(resample_medians(
-        clean(usable(parse_lines(lines))), width, ARCHIVE_COLUMNS, superset=line_times(lines)))
+    """Archive rows of a span. The text is parsed once; the parsed rows are read twice."""
+    observed = clean(usable(parse_lines(scan_daily(spark, root, start, end))))
+    rows = settle(observed.select(*PAIR, "time", *ARCHIVE_COLUMNS))
+    return archive_rows(resample_medians(rows, width, ARCHIVE_COLUMNS))
 
 
 def run_archive(spark: SparkSession, root: str, target: str, end, start=None, width="1min",

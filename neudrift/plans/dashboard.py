@@ -15,7 +15,7 @@ from neudrift.operators.series import (
 from neudrift.schema import COMPONENTS, DASHBOARD_GROUPS, DASHBOARD_PRESETS, DEFAULT_WIDTH
 from neudrift.session import join_small, settle
 from neudrift.sources.files import base_of, rover_of, scan_daily
-from neudrift.sources.lines import line_times, parse_lines, usable
+from neudrift.sources.lines import parse_lines, usable
 
 # Text of figure names and titles.
 FIGURE_PREFIX = "rtk_"
@@ -62,14 +62,15 @@ def slice_figures(resampled: DataFrame, figures: DataFrame, columns=COMPONENTS,
     )
 
 
-def dashboard_series(observations: DataFrame, groups: DataFrame, ranges, width=DEFAULT_WIDTH,
+def dashboard_series(rows: DataFrame, groups: DataFrame, ranges, width=DEFAULT_WIDTH,
                      at_most: int | None = None, hot_values=HOT_VALUES,
                      superset: DataFrame | None = None) -> DataFrame:
     """All points of all figures: figure, component, rover, base, time, value_cm.
 
-    The baselines are resampled once, over the widest range, however many figures use them.
+    `rows` are clean observations. Baselines are resampled once, over the widest range, however many
+    figures use them. `at_most` is the number of rows of `groups`, if known.
     """
-    members = groups.select("rover", "base").distinct()
+    members = groups.select(*PAIR).distinct()
     first = min(start for _, start, _ in ranges)
     last = max(end for _, _, end in ranges)
     if at_most is None:
@@ -80,8 +81,8 @@ def dashboard_series(observations: DataFrame, groups: DataFrame, ranges, width=D
                           "left_semi", at_most=at_most)
 
     resampled = resample_medians(
-        needed(clean(observations)), width, COMPONENTS, hot_values=hot_values,
-        superset=needed(observations if superset is None else superset))
+        needed(rows), width, COMPONENTS, hot_values=hot_values,
+        superset=needed(rows if superset is None else superset))
     figures = expand_figures(groups, ranges)
     bound = at_most * len(ranges)
     sliced = slice_figures(resampled, figures, at_most=bound)
@@ -113,17 +114,23 @@ def explicit_range_catalog(groups: DataFrame, start: datetime, end: datetime, ki
     )
 
 
+def plot_rows(spark: SparkSession, root: str, start, end, baselines, width) -> DataFrame:
+    """Clean observations of some baselines. The text is parsed once; the rows are read twice."""
+    parsed = usable(parse_lines(scan_daily(spark, root, start, end, list(baselines))))
+    return settle(clean(observations_for_slice(parsed, start, end, width)).select(
+        *PAIR, "time", *COMPONENTS))
+
+
 def run_dashboard(spark: SparkSession, root: str, groups=DASHBOARD_GROUPS, presets=DASHBOARD_PRESETS,
                   as_of=None, width=DEFAULT_WIDTH):
     """(series, axis ranges, figure catalog) of the dashboard over a folder of daily files."""
     _, end, _ = resolve_range(as_of=as_of)
     ranges = preset_ranges(presets, end)
     baselines = sorted({name for group in groups for name in group})
-    lines = scan_daily(spark, root, min(r[1] for r in ranges), end, baselines)
+    rows = plot_rows(spark, root, min(r[1] for r in ranges), end, baselines, width)
     frame = group_frame(spark, groups)
     series = settle(dashboard_series(
-        usable(parse_lines(lines)), frame, ranges, width,
-        at_most=sum(len(group) for group in groups), superset=line_times(lines)))
+        rows, frame, ranges, width, at_most=sum(len(group) for group in groups)))
     figures = expand_figures(frame, ranges)
     return series, axis_range(series), figure_catalog(figures)
 
@@ -132,9 +139,7 @@ def plot_series(spark: SparkSession, root: str, baselines, preset="twodays", sta
                 as_of=None, width=DEFAULT_WIDTH) -> DataFrame:
     """Points of one figure: the given baselines over a preset or an explicit range."""
     start, end, preset = resolve_range(preset, start, end, as_of)
-    lines = scan_daily(spark, root, start, end, list(baselines))
-    observed = observations_for_slice(usable(parse_lines(lines)), start, end, width)
-    counted = observations_for_slice(line_times(lines), start, end, width)
-    resampled = resample_medians(clean(observed), width, COMPONENTS, superset=counted)
+    rows = plot_rows(spark, root, start, end, baselines, width)
+    resampled = resample_medians(rows, width, COMPONENTS)
     moved = displacement_cm(slice_time(resampled, start, end), PAIR, at_most=len(set(baselines)))
     return component_series(moved, PAIR).withColumn("label", component_label(F.col("component")))

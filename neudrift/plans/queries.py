@@ -155,9 +155,10 @@ def station_groups(spark, sf_dir) -> DataFrame:
 
 
 def series_of(spark, sf_dir, presets=DASHBOARD_PRESETS) -> DataFrame:
+    observed = ev.observations(spark, sf_dir)
     return dash.dashboard_series(
-        ev.observations(spark, sf_dir), station_groups(spark, sf_dir),
-        dash.preset_ranges(presets, AS_OF))
+        clean(observed), station_groups(spark, sf_dir), dash.preset_ranges(presets, AS_OF),
+        superset=observed)
 
 
 def sliced_figures(spark, sf_dir):

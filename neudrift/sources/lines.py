@@ -43,7 +43,7 @@ def parse_lines(lines: DataFrame, layout="baseline", sd_order="names") -> DataFr
         )
         .select(
             "*",
-            F.when(F.col("_clock").rlike(_CLOCK), F.translate("_clock", "/", "-"))
+            F.when(F.col("_clock").rlike(_CLOCK), F.replace("_clock", F.lit("/"), F.lit("-")))
             .try_cast("timestamp_ntz").alias("time"),
             *[F.col(f"_{name}").try_cast("double").alias(name) for name in names],
         )
@@ -77,15 +77,6 @@ def parse_lines(lines: DataFrame, layout="baseline", sd_order="names") -> DataFr
     )
 
 
-def line_times(lines: DataFrame) -> DataFrame:
-    """Only the time of each line, for counting: every usable row is in it, and some others."""
-    content = F.substring_index("value", "%", 1)
-    clock = F.regexp_extract(content, r"^\s*(\S+\s+\S+)", 1)
-    time = F.translate(clock, "/", "-").try_cast("timestamp_ntz")
-    return lines.where(content.rlike(r"\S")).select(
-        *[c for c in lines.columns if c != "value"], time.alias("time"))
-
-
 def usable(parsed: DataFrame) -> DataFrame:
     return parsed.where(F.col("reason").isNull()).drop("reason", "value")
 

@@ -4,7 +4,7 @@ import pytest
 
 from neudrift.operators.clean import drop_incomplete, for_table
 from neudrift.schema import VALUE_COLUMNS
-from neudrift.sources.lines import field_names, line_times, parse_lines, quarantined, usable
+from neudrift.sources.lines import field_names, parse_lines, quarantined, usable
 from posfiles import line
 
 
@@ -74,12 +74,6 @@ def test_numbers(spark):
     assert (row.e, row.n, row.u, row.q) == (-0.001, 2.5, 100.0, 2)
 
 
-def test_times_for_counting_cover_the_usable_rows(spark):
-    lines = spark.createDataFrame(
-        [(line("00:00:01.5"),), ("% x",), (line("00:00:02.0", n="abc"),)], "value string")
-    assert line_times(lines).count() == 2
-
-
 def test_table_rows_keep_incomplete_and_unknown_quality(spark):
     parsed = usable(parse(
         spark, line("00:00:01.0", q="nan"), line("00:00:02.0", q=5), line("00:00:03.0", u="nan")))
