@@ -9,12 +9,24 @@ from neudrift.functions.quality import has_quality, quality_label
 from neudrift.schema import EXCLUDED_QUALITY, ONE_MINUTE_METRICS, VALUE_COLUMNS
 
 
+def _floating(df, columns):
+    kinds = dict(df.dtypes)
+    return [c for c in columns if kinds[c] in ("double", "float")]
+
+
+def nan_to_null(df: DataFrame, columns) -> DataFrame:
+    """One kind of missing value. Parsed lines have no NaN; other tables may."""
+    return df.withColumns({c: F.nullif(F.col(c), F.lit(float("nan"))) for c in _floating(df, columns)})
+
+
 def drop_incomplete(df: DataFrame, columns=VALUE_COLUMNS) -> DataFrame:
-    """Keep rows in which every one of `columns` has a value.
+    """Keep rows in which every one of `columns` has a value, NaN not being one.
 
     Plain IS NOT NULL conditions, which a Parquet scan takes as filters.
     """
-    return df.where(reduce(and_, [F.col(c).isNotNull() for c in columns]))
+    present = [F.col(c).isNotNull() for c in columns]
+    numbers = [~F.isnan(c) for c in _floating(df, columns)]
+    return df.where(reduce(and_, present + numbers))
 
 
 def exclude_quality(df: DataFrame, codes=EXCLUDED_QUALITY, column="q") -> DataFrame:
@@ -29,7 +41,7 @@ def clean(df: DataFrame, codes=EXCLUDED_QUALITY) -> DataFrame:
 
 def for_table(df: DataFrame, codes=EXCLUDED_QUALITY) -> DataFrame:
     """The rows and columns the one-minute table is made of: incomplete rows stay."""
-    return exclude_quality(df, codes).select(
+    return nan_to_null(exclude_quality(df, codes), ONE_MINUTE_METRICS).select(
         "base", "rover", "source_file", "time", *ONE_MINUTE_METRICS)
 
 

@@ -2,7 +2,9 @@
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from neudrift.schema import ONE_MINUTE_KEY, ONE_MINUTE_RENAMES, ONE_MINUTE_SCHEMA
+from neudrift.schema import (
+    ONE_MINUTE_COMMENT, ONE_MINUTE_KEY, ONE_MINUTE_RENAMES, ONE_MINUTE_SCHEMA,
+)
 from neudrift.session import read_or_empty, settle
 
 _SOURCE = {field.name: ONE_MINUTE_RENAMES.get(field.name, field.name) for field in ONE_MINUTE_SCHEMA}
@@ -62,6 +64,17 @@ def same_dates(table: DataFrame, batch: DataFrame) -> DataFrame:
     return table.where(F.col("date").between(min(dates), max(dates)))
 
 
+def register_one_minute(spark: SparkSession, name: str, path: str) -> None:
+    """Make the table known to the catalog, with its own and its columns' descriptions."""
+    columns = ", ".join(
+        f"{field.name} {field.dataType.simpleString()} COMMENT '{field.metadata['comment']}'"
+        for field in ONE_MINUTE_SCHEMA)
+    spark.sql(f"""
+        CREATE TABLE IF NOT EXISTS {name} ({columns}, date DATE) USING parquet
+        PARTITIONED BY (date) LOCATION '{path}' COMMENT '{ONE_MINUTE_COMMENT}'""")
+    spark.catalog.recoverPartitions(name)
+
+
 def append_jdbc(rows: DataFrame, url: str, table: str, **options) -> None:
     """Append table rows to a database that enforces the key itself."""
     rows.write.format("jdbc").options(url=url, dbtable=table, **options).mode("append").save()

@@ -10,7 +10,7 @@ from neudrift.operators.resample import PAIR, resample_medians
 from neudrift.schema import ARCHIVE_COLUMNS, FREEZE_BYTES
 from neudrift.session import settle
 from neudrift.sources.files import discover_baselines, list_files, scan_daily
-from neudrift.sources.lines import parse_lines, usable
+from neudrift.sources.lines import parse_lines, quarantined, usable
 
 SPAN = timedelta(days=5)
 
@@ -22,6 +22,11 @@ def archive_input(spark: SparkSession, root: str, start, end, width="1min") -> D
     return archive_rows(resample_medians(rows, width, ARCHIVE_COLUMNS))
 
 
+def unusable_lines(spark: SparkSession, root: str, start=None, end=None) -> DataFrame:
+    """The lines of a span that the jobs leave out: file, line, reason."""
+    return quarantined(parse_lines(scan_daily(spark, root, start, end)))
+
+
 def run_archive(spark: SparkSession, root: str, target: str, end, start=None, width="1min",
                 freeze_bytes=FREEZE_BYTES) -> DataFrame:
     """Write or grow the days after `start` up to `end` and return the status per partition."""

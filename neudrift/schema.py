@@ -58,6 +58,7 @@ def _field(name, kind, comment, nullable=True):
     return T.StructField(name, kind, nullable, metadata={"comment": comment})
 
 
+# Names, types and descriptions of the one-minute table.
 ONE_MINUTE_COMMENT = "One minute medians of baseline observations"
 ONE_MINUTE_KEY = ("base", "rover", "time")
 ONE_MINUTE_SCHEMA = T.StructType([

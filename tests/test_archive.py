@@ -7,7 +7,7 @@ from neudrift.operators.archive import (
     archive_rows, daily_lines, day_names, merge_keep_first, period_calendar, period_days, write_archive,
     write_median_files,
 )
-from neudrift.plans.archive import run_archive, run_median_files
+from neudrift.plans.archive import run_archive, run_median_files, unusable_lines
 from neudrift.schema import ARCHIVE_COLUMNS, ARCHIVE_HEADER, FREEZE_BYTES
 from neudrift.sources.files import archive_sizes, scan_archive
 from posfiles import line, write_pos
@@ -165,6 +165,7 @@ def test_archive_job(spark, tmp_path):
     write_pos(raw, "SENG-ELDC", "20240302", [
         line("10:00:01.0", day="2024/03/02"), line("10:00:02.0", day="2024/03/02", q=5, n=50.0),
         line("10:01:00.0", day="2024/03/02", n="nan")])
+    write_pos(raw, "SENG-ELDC", "20240303", ["2024/03/03 00:00:00 1 2 3"])
     write_pos(raw, "SKSH-ELDC", "20240301", [])
     status = run_archive(spark, str(raw), target, D2, date(2024, 2, 29))
     assert states(status) == {("SENG-ELDC", "20240301"): "created", ("SENG-ELDC", "20240302"): "created"}
@@ -172,6 +173,8 @@ def test_archive_job(spark, tmp_path):
     assert files["SENG-ELDC", "20240301"].splitlines()[1] == "2024-03-01\t29.000\t0.001\t1.000\t0.001\t3.000\t0.001"
     assert files["SENG-ELDC", "20240302"].splitlines()[1:] == [
         "2024-03-02 10:00:00\t2.000\t0.001\t1.000\t0.001\t3.000\t0.001"]
+    bad = unusable_lines(spark, str(raw)).collect()
+    assert [(r.reason, r.file.endswith("SENG-ELDC202403030000b.pos")) for r in bad] == [("bad time", True)]
     assert run_median_files(spark, str(raw), str(tmp_path / "all"), D1, D2)
     assert not run_median_files(spark, str(raw), str(tmp_path / "none"), date(2023, 1, 1), date(2023, 1, 2))
     assert not (tmp_path / "none").exists()

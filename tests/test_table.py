@@ -2,11 +2,12 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
+from neudrift.operators.clean import drop_incomplete, nan_to_null
 from neudrift.operators.table import (
-    append_one_minute, as_one_minute, read_one_minute, unique_by_key,
+    append_one_minute, as_one_minute, read_one_minute, register_one_minute, unique_by_key,
 )
 from neudrift.plans.table_load import load_one_minute
-from neudrift.schema import ONE_MINUTE_METRICS, ONE_MINUTE_SCHEMA
+from neudrift.schema import ONE_MINUTE_COMMENT, ONE_MINUTE_METRICS, ONE_MINUTE_SCHEMA
 from posfiles import line, write_pos
 
 DENSE = "base string, rover string, source_file string, time timestamp_ntz, " + ", ".join(
@@ -50,6 +51,28 @@ def test_append_only_adds_new_keys(spark, tmp_path):
     assert found == [(0, 1.0), (1, 1.0), (2, 9.0)]
 
 
+def test_catalog_table(spark, tmp_path):
+    path = str(tmp_path / "one_min")
+    append_one_minute(spark, dense(spark, ("a", 0, 1.0)), path)
+    register_one_minute(spark, "one_min", path)
+    try:
+        assert spark.table("one_min").count() == 1
+        columns = {c.name: c.description for c in spark.catalog.listColumns("one_min")}
+        assert columns["n"] == "North component of the motion" and columns["q"].endswith("6: ppp")
+        assert spark.catalog.getTable("one_min").description == ONE_MINUTE_COMMENT
+    finally:
+        spark.sql("DROP TABLE one_min")
+
+
+def test_nan_in_a_table_is_missing(spark):
+    nan = float("nan")
+    df = spark.createDataFrame(
+        [("B", "R", "f", datetime(2024, 3, 1), 1, nan, 1.0), ("B", "R", "f", datetime(2024, 3, 1), 1, 1.0, 1.0)],
+        "base string, rover string, source_file string, time timestamp_ntz, q int, n double, e double")
+    assert drop_incomplete(df, ["q", "n", "e"]).count() == 1
+    assert sorted(r.n is None for r in nan_to_null(df, ["q", "n", "e"]).collect()) == [False, True]
+
+
 def test_load_job(spark, tmp_path):
     raw, path = tmp_path / "raw", str(tmp_path / "one_min")
     for day in range(1, 7):
