@@ -35,6 +35,33 @@ def midnight(day: Column) -> Column:
     return day.cast("date").cast("timestamp_ntz")
 
 
+def at_midnight(time: Column) -> Column:
+    return time == midnight(time)
+
+
+# Text of zone-less times goes through a cast: date_format would pass through the session's zone,
+# in which some local times do not exist.
+
+def day_text(day: Column) -> Column:
+    """yyyymmdd of a date or time."""
+    return F.replace(day.cast("date").cast("string"), F.lit("-"), F.lit(""))
+
+
+def clock_text(time: Column) -> Column:
+    """yyyy-mm-dd HH:MM:SS."""
+    return F.substring(time.cast("string"), 1, 19)
+
+
+def minute_text(time: Column) -> Column:
+    """yyyymmdd-HH:MM."""
+    return F.concat_ws("-", day_text(time), F.substring(time.cast("string"), 12, 5))
+
+
+def hour_text(time: Column) -> Column:
+    """yyyymmddHH."""
+    return F.concat(day_text(time), F.substring(time.cast("string"), 12, 2))
+
+
 def bucket_start(time: Column, width, first_day: Column | None = None) -> Column:
     """Start of the left-closed bucket that holds `time`.
 

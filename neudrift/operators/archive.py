@@ -4,6 +4,7 @@ from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
+from neudrift.functions.buckets import at_midnight, clock_text, day_text
 from neudrift.functions.fixed3 import with_fixed3
 from neudrift.schema import ARCHIVE_COLUMNS, ARCHIVE_HEADER, FREEZE_BYTES
 from neudrift.session import settle
@@ -17,7 +18,7 @@ def archive_rows(resampled: DataFrame) -> DataFrame:
     """Resampled medians as archive rows: baseline, date (yyyymmdd), time, six columns."""
     return resampled.select(
         F.concat_ws("-", "rover", "base").alias("baseline"),
-        F.date_format("time", "yyyyMMdd").alias("date"), "time", *ARCHIVE_COLUMNS)
+        day_text(F.col("time")).alias("date"), "time", *ARCHIVE_COLUMNS)
 
 
 def period_days(start, end) -> Column:
@@ -47,7 +48,7 @@ def period_calendar(rows: DataFrame, start, end, baselines: DataFrame | None = N
     calendar = spans.select(
         "baseline", "_first", "_last", F.explode(period_days(start, end)).alias("_day")
     ).select(
-        "baseline", F.date_format("_day", "yyyyMMdd").alias("date"), "_first", "_last")
+        "baseline", day_text(F.col("_day")).alias("date"), "_first", "_last")
     return calendar.join(days, list(PARTITION), "left").select(
         *PARTITION,
         F.coalesce(F.col("date").between(F.col("_first"), F.col("_last")), F.lit(False)).alias("covered"),
@@ -92,8 +93,7 @@ def archive_update(rows: DataFrame, existing: DataFrame, states: DataFrame) -> D
 
 
 def time_text(time: Column, date_only: Column) -> Column:
-    return F.when(date_only, F.date_format(time, "yyyy-MM-dd")).otherwise(
-        F.date_format(time, "yyyy-MM-dd HH:mm:ss"))
+    return F.when(date_only, time.cast("date").cast("string")).otherwise(clock_text(time))
 
 
 def _line(stamp: Column) -> Column:
@@ -107,8 +107,7 @@ def daily_lines(rows: DataFrame) -> DataFrame:
     is a file of one row; the window is over one day of one baseline.
     """
     day = Window.partitionBy(*PARTITION)
-    midnight = F.date_format("time", "HH:mm:ss") == "00:00:00"
-    marked = rows.withColumn("_dates", F.min(midnight.cast("int")).over(day) == 1)
+    marked = rows.withColumn("_dates", F.min(at_midnight(F.col("time")).cast("int")).over(day) == 1)
     return with_fixed3(marked, ARCHIVE_COLUMNS).select(
         *PARTITION, "time", _line(time_text(F.col("time"), F.col("_dates"))))
 
@@ -172,8 +171,7 @@ def median_lines(rows: DataFrame) -> DataFrame:
 
     Dates only where every row of the baseline is at midnight.
     """
-    midnight = F.date_format("time", "HH:mm:ss") == "00:00:00"
-    dates = rows.groupBy("baseline").agg(F.min(midnight.cast("int")).alias("_dates"))
+    dates = rows.groupBy("baseline").agg(F.min(at_midnight(F.col("time")).cast("int")).alias("_dates"))
     marked = rows.join(dates, "baseline")
     return with_fixed3(marked, ARCHIVE_COLUMNS).select(
         "baseline", "time", _line(time_text(F.col("time"), F.col("_dates") == 1)))

@@ -4,7 +4,9 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from neudrift.functions.buckets import ntz, preset_span, resolve_range
+from neudrift.functions.buckets import (
+    clock_text, minute_text, ntz, preset_span, resolve_range,
+)
 from neudrift.operators.clean import clean
 from neudrift.operators.medians import HOT_VALUES
 from neudrift.operators.resample import PAIR, resample_medians
@@ -17,10 +19,8 @@ from neudrift.session import join_small, settle
 from neudrift.sources.files import base_of, rover_of, scan_daily
 from neudrift.sources.lines import parse_lines, usable
 
-# Text of figure names and titles.
+# Fixed value: how figure names begin.
 FIGURE_PREFIX = "rtk_"
-MARKER_FORMAT = "yyyy-MM-dd HH:mm:ss"
-NAME_FORMAT = "yyyyMMdd-HH:mm"
 
 
 def group_frame(spark: SparkSession, groups=DASHBOARD_GROUPS) -> DataFrame:
@@ -94,23 +94,23 @@ def figure_catalog(figures: DataFrame, kind="png", live=True) -> DataFrame:
     """Name, title and time marker per figure; `live` leaves the end out of the name."""
     first = figures.where("position = 0").select("group_key", "baseline", "preset", "start", "end")
     tail = F.col("preset") if live else F.concat_ws(
-        "-", "preset", F.date_format("end", NAME_FORMAT))
+        "-", "preset", minute_text(F.col("end")))
     return first.select(
         F.concat_ws("_", "group_key", "preset").alias("figure"),
         F.concat(F.lit(FIGURE_PREFIX), "baseline", F.lit("_"), tail, F.lit(f".{kind}")).alias("file_name"),
         F.concat_ws(" ", "baseline", tail).alias("title"),
         base_of(F.col("baseline")).alias("base"),
-        F.date_format("end", MARKER_FORMAT).alias("marker"),
+        clock_text(F.col("end")).alias("marker"),
     )
 
 
 def explicit_range_catalog(groups: DataFrame, start: datetime, end: datetime, kind="png") -> DataFrame:
     """Names and titles when a start is given: the range takes the place of the preset."""
-    span = F.concat_ws("-", F.date_format(ntz(start), NAME_FORMAT), F.date_format(ntz(end), NAME_FORMAT))
+    span = F.concat_ws("-", minute_text(ntz(start)), minute_text(ntz(end)))
     return groups.where("position = 0").select(
         F.concat(F.lit(FIGURE_PREFIX), "baseline", F.lit("_"), span, F.lit(f".{kind}")).alias("file_name"),
         F.concat_ws(" ", "baseline", span).alias("title"),
-        F.date_format(ntz(end), MARKER_FORMAT).alias("marker"),
+        clock_text(ntz(end)).alias("marker"),
     )
 
 

@@ -4,6 +4,7 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
+from neudrift.functions.buckets import day_text
 from neudrift.functions.fixed3 import with_fixed3
 from neudrift.operators import archive as arch
 from neudrift.operators.clean import clean, decode_quality, exclude_quality, for_table
@@ -84,7 +85,7 @@ def file_listing(spark, sf_dir) -> DataFrame:
         .agg(F.sum(late_fixed).cast("long").alias("length"))
         .select(
             F.col("baseline").alias("directory"), "day", "length",
-            F.concat("baseline", F.date_format("day", "yyyyMMdd"), F.lit("0000b.pos")).alias("name"))
+            F.concat("baseline", day_text(F.col("day")), F.lit("0000b.pos")).alias("name"))
     )
 
 

@@ -6,6 +6,8 @@ station pairs, with some missing values and qualities so that the null rules hav
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from neudrift.functions.buckets import day_text
+
 OBSERVATIONS_SQL = """
 SELECT event_id,
        concat('RV0', cast(user_id % 6 AS STRING)) AS rover,
@@ -47,7 +49,7 @@ def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
 def daily_source(df: DataFrame) -> DataFrame:
     """Name the daily file each observation would have come from."""
     return df.withColumn("source_file", F.concat(
-        "baseline", F.lit("/"), "baseline", F.date_format("time", "yyyyMMdd"),
+        "baseline", F.lit("/"), "baseline", day_text(F.col("time")),
         F.lit("0000b.pos")))
 
 
@@ -60,8 +62,10 @@ def render_lines(df: DataFrame, keep=("event_id",)) -> DataFrame:
     def whole(name):
         return F.coalesce(F.col(name).cast("string"), F.lit("nan"))
 
+    time = F.replace(F.col("time").cast("string"), F.lit("-"), F.lit("/"))
+    millis = F.rpad(F.when(F.length(time) == 19, F.concat(time, F.lit("."))).otherwise(time), 23, "0")
     line = F.concat_ws(
-        "  ", F.date_format("time", "yyyy/MM/dd HH:mm:ss.SSS"),
+        "  ", millis,
         number("e"), number("n"), number("u"), whole("q"), whole("ns"),
         *[number(c) for c in ("sdn", "sde", "sdu", "sdne", "sdeu", "sdun", "age", "ratio")])
     # As a generated column the text is made once, not again in each expression that reads it.

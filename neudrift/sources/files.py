@@ -6,6 +6,7 @@ from datetime import datetime, timedelta
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
+from neudrift.functions.buckets import day_text
 from neudrift.schema import ARCHIVE_COLUMNS, NEWEST_FILES
 from neudrift.session import read_or_empty
 
@@ -148,9 +149,9 @@ def scan_daily(spark: SparkSession, root: str, start=None, end=None, baselines=N
     lines = lines.where(path.endswith(F.concat(F.lit("/"), baseline, F.lit("/"), name)))
     stamp = F.substring(name, F.length(name) - (_TAIL - 1), F.lit(8))
     if start is not None:
-        lines = lines.where(stamp >= F.date_format(_day(start), "yyyyMMdd"))
+        lines = lines.where(stamp >= day_text(_day(start)))
     if end is not None:
-        lines = lines.where(stamp <= F.date_format(_day(end), "yyyyMMdd"))
+        lines = lines.where(stamp <= day_text(_day(end)))
     if baselines is None:
         lines = lines.where(baseline.rlike(LOOSE_BASELINE))
     else:

@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from neudrift.functions.buckets import bucket_start
+from neudrift.functions.buckets import bucket_start, hour_text
 from neudrift.operators.medians import HOT_VALUES
 from neudrift.operators.resample import PAIR, resample_medians
 from neudrift.schema import DEFAULT_WIDTH, VALUE_COLUMNS
@@ -46,7 +46,7 @@ def read_medians(spark: SparkSession, target: str) -> DataFrame:
 
 
 def _slot(bucket, slot):
-    return F.date_format(bucket_start(bucket, slot), "yyyyMMddHH")
+    return hour_text(bucket_start(bucket, slot))
 
 
 def _store(rows, path):

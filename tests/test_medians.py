@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from neudrift.functions.buckets import width_seconds
 from neudrift.operators.medians import hot_keys, medians
+from neudrift.operators.archive import archive_rows, daily_lines
 from neudrift.operators.resample import bucket_spine, resample_dense, resample_medians
+from neudrift.schema import ARCHIVE_COLUMNS
 
 START = datetime(2024, 2, 28, 22, 40)
 
@@ -114,6 +116,28 @@ def test_spine_over_a_long_span(spark):
     assert tuple(found) == (527042, 527042, datetime(1999, 12, 31, 23, 59), datetime(2001, 1, 1))
 
 
+@pytest.fixture
+def new_york(spark):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    yield
+    spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_times_do_not_depend_on_the_session_zone(spark, new_york):
+    """The night in which 02:00 to 03:00 does not exist there."""
+    start = datetime(2024, 3, 9, 23)
+    rows = [("AAAA", "BASE", start + timedelta(seconds=20 * i), i % 17 / 3, i % 5 / 7) for i in range(1200)]
+    df = frame(spark, rows).withColumn("source_file", F.lit("f"))
+    for width in ("60s", "7min"):
+        same(collected(resample_medians(df, width, ["n", "e"])), pandas_resample(rows, width))
+        same(collected(resample_dense(df, width, ["n", "e"])), pandas_resample(rows, width, dense=True))
+    full = df.select("*", *[F.lit(0.0).alias(c) for c in ("sdn", "sde", "u", "sdu")])
+    texts = daily_lines(archive_rows(resample_medians(full, "60s", ARCHIVE_COLUMNS)))
+    stamps = sorted(r.line.split("\t")[0] for r in texts.collect())
+    assert stamps == sorted({r[2].strftime("%Y-%m-%d %H:%M:00") for r in rows})
+
+
 def test_widths():
     assert [width_seconds(w) for w in ("60s", "1min", "2h", "h", "1d", "10T", "90 seconds", 5)] == [
         60, 60, 7200, 3600, 86400, 600, 90, 5]
