@@ -1,6 +1,9 @@
 """Daily text archive: lines, periods, freeze rule and keep-first merge."""
 
+import os
+import uuid
 from datetime import date, timedelta
+from itertools import groupby
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
@@ -8,7 +11,7 @@ from neudrift.functions.buckets import at_midnight, clock_text, day_text
 from neudrift.functions.fixed3 import with_fixed3
 from neudrift.schema import ARCHIVE_COLUMNS, ARCHIVE_HEADER, FREEZE_BYTES
 from neudrift.session import settle
-from neudrift.sources.files import archive_sizes, scan_archive
+from neudrift.sources.files import archive_sizes, archive_text, scan_archive
 
 PARTITION = ("baseline", "date")
 ROW_KEY = (*PARTITION, "time")
@@ -155,6 +158,29 @@ def write_archive(spark: SparkSession, rows: DataFrame, root: str, start, end,
     return load_status(states, existing, archive_sizes(spark, root, days))
 
 
+def export_daily(spark: SparkSession, root: str, folder: str, days=None) -> None:
+    """Copy the archive below `root` to files named <baseline>-distance-<yyyymmdd>.neu.
+
+    `folder` must be mounted on every executor. Each file is written under another name first, so
+    that neither a reader nor a repeated task meets half a file.
+    """
+    def write(rows):
+        for name, group in groupby(rows, key=lambda row: row.name):
+            draft = os.path.join(folder, f".{name}.{uuid.uuid4().hex}")
+            with open(draft, "w") as file:
+                file.writelines(f"{row.line}\n" for row in group)
+            os.replace(draft, os.path.join(folder, name))
+
+    os.makedirs(folder, exist_ok=True)
+    named = archive_text(spark, root, days).select(
+        F.concat("baseline", F.lit("-distance-"), "date", F.lit(".neu")).alias("name"), "line")
+    (
+        named.repartition("name")
+        .sortWithinPartitions("name", ~F.col("line").startswith("#"), "line")
+        .foreachPartition(write)
+    )
+
+
 def load_status(states: DataFrame, existing: DataFrame, sizes_after: DataFrame) -> DataFrame:
     """Per partition: state, rows before (of grown ones), new rows offered, bytes before and after."""
     old = existing.groupBy(*PARTITION).agg(F.count(F.lit(1)).alias("rows_old"))

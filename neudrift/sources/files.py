@@ -203,6 +203,14 @@ def scan_archive(spark: SparkSession, root: str, days=None) -> DataFrame:
         *ARCHIVE_COLUMNS)
 
 
+def archive_text(spark: SparkSession, root: str, days=None) -> DataFrame:
+    """Lines of the text archive as they are, headers included: baseline, date, line."""
+    schema = "line string, baseline string, date string"
+    return read_or_empty(
+        spark, lambda path: spark.read.schema(schema).option("basePath", root).text(path),
+        _archive_path(root, days), schema)
+
+
 def archive_sizes(spark: SparkSession, root: str, days=None) -> DataFrame:
     """Bytes per archive partition, from the listing alone."""
     listing = read_or_empty(

@@ -4,8 +4,8 @@ from pathlib import Path
 import pandas as pd
 
 from neudrift.operators.archive import (
-    archive_rows, daily_lines, day_names, merge_keep_first, period_calendar, period_days, write_archive,
-    write_median_files,
+    archive_rows, daily_lines, day_names, export_daily, merge_keep_first, period_calendar,
+    period_days, write_archive, write_median_files,
 )
 from neudrift.plans.archive import run_archive, run_median_files, unusable_lines
 from neudrift.schema import ARCHIVE_COLUMNS, ARCHIVE_HEADER, FREEZE_BYTES
@@ -124,6 +124,18 @@ def test_read_back(spark, tmp_path):
     assert {r.bytes for r in archive_sizes(spark, target).collect()} == {len(x) for x in contents(target).values()}
 
 
+def test_export_by_name(spark, tmp_path):
+    target, folder = str(tmp_path / "neu"), tmp_path / "named"
+    points = minutes(D1, 900) + minutes(D2, 1) + minutes(D1, 5, 3.0, "SKSH", 7)
+    write_archive(spark, rows_of(spark, points), target, date(2024, 2, 29), D2)
+    for _ in range(2):
+        export_daily(spark, target, str(folder))
+    found = {path.name: path.read_text() for path in folder.iterdir()}
+    assert found == {f"{b}-distance-{d}.neu": text for (b, d), text in contents(target).items()}
+    export_daily(spark, target, str(tmp_path / "one"), ["20240302"])
+    assert [path.name for path in (tmp_path / "one").iterdir()] == ["SENG-ELDC-distance-20240302.neu"]
+
+
 def test_merge_keeps_existing_rows(spark):
     old = spark.createDataFrame([("b", "d", 1, 1.0), ("b", "d", 2, 1.0)], "baseline string, date string, time int, n double")
     new = spark.createDataFrame([("b", "d", 2, 5.0), ("b", "d", 3, 5.0), ("c", "d", 1, 5.0)], old.schema)
