@@ -3,11 +3,10 @@
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from neudrift.schema import (
-    ONE_MINUTE_COMMENT, ONE_MINUTE_KEY, ONE_MINUTE_RENAMES, ONE_MINUTE_SCHEMA,
+    ONE_MINUTE_COMMENT, ONE_MINUTE_KEY, ONE_MINUTE_SCHEMA, ONE_MINUTE_SOURCES,
 )
 from neudrift.session import read_or_empty, settle
 
-_SOURCE = {field.name: ONE_MINUTE_RENAMES.get(field.name, field.name) for field in ONE_MINUTE_SCHEMA}
 # Dates named one by one in a table filter; beyond that the range between the ends is read.
 _LISTED_DATES = 1000
 
@@ -25,7 +24,7 @@ def unique_by_key(dense: DataFrame, order=("source_file",), keys=ONE_MINUTE_KEY)
 def as_one_minute(dense: DataFrame) -> DataFrame:
     """Names, types and column comments of the table; a median quality of 1.5 becomes 2."""
     def value(field):
-        column = F.col(_SOURCE[field.name])
+        column = F.col(ONE_MINUTE_SOURCES[field.name])
         return F.round(column) if field.name == "q" else column
 
     return dense.select(*[

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from neudrift.operators.archive import archive_rows, write_archive, write_median_files
 from neudrift.operators.clean import clean
+from neudrift.operators.medians import HOT_VALUES
 from neudrift.operators.resample import PAIR, resample_medians
 from neudrift.schema import ARCHIVE_COLUMNS, FREEZE_BYTES
 from neudrift.session import settle
@@ -15,11 +16,19 @@ from neudrift.sources.lines import parse_lines, quarantined, usable
 SPAN = timedelta(days=5)
 
 
-def archive_input(spark: SparkSession, root: str, start, end, width="1min") -> DataFrame:
-    """Archive rows of a span. The text is parsed once; the parsed rows are read twice."""
+def archive_input(spark: SparkSession, root: str, start, end, width="1min",
+                  hot_values=HOT_VALUES) -> DataFrame:
+    """Archive rows of a span.
+
+    The text is parsed once; the parsed rows are set aside and read twice, to count bucket sizes
+    and for the medians. With `hot_values=None`, for sources whose rate is known to be modest,
+    nothing is counted and nothing set aside.
+    """
     observed = clean(usable(parse_lines(scan_daily(spark, root, start, end))))
-    rows = settle(observed.select(*PAIR, "time", *ARCHIVE_COLUMNS))
-    return archive_rows(resample_medians(rows, width, ARCHIVE_COLUMNS))
+    rows = observed.select(*PAIR, "time", *ARCHIVE_COLUMNS)
+    if hot_values is not None:
+        rows = settle(rows)
+    return archive_rows(resample_medians(rows, width, ARCHIVE_COLUMNS, hot_values=hot_values))
 
 
 def unusable_lines(spark: SparkSession, root: str, start=None, end=None) -> DataFrame:
@@ -28,17 +37,18 @@ def unusable_lines(spark: SparkSession, root: str, start=None, end=None) -> Data
 
 
 def run_archive(spark: SparkSession, root: str, target: str, end, start=None, width="1min",
-                freeze_bytes=FREEZE_BYTES) -> DataFrame:
+                freeze_bytes=FREEZE_BYTES, hot_values=HOT_VALUES) -> DataFrame:
     """Write or grow the days after `start` up to `end` and return the status per partition."""
     start = start or end - SPAN
     return write_archive(
-        spark, archive_input(spark, root, start, end, width), target, start, end, freeze_bytes,
-        discover_baselines(list_files(spark, root), strict=False))
+        spark, archive_input(spark, root, start, end, width, hot_values), target, start, end,
+        freeze_bytes, discover_baselines(list_files(spark, root), strict=False))
 
 
-def run_median_files(spark: SparkSession, root: str, target: str, start, end, width="1min") -> bool:
+def run_median_files(spark: SparkSession, root: str, target: str, start, end, width="1min",
+                     hot_values=HOT_VALUES) -> bool:
     """Write the whole span of each baseline; False, and no file, when there is no data."""
-    rows = settle(archive_input(spark, root, start, end, width))
+    rows = settle(archive_input(spark, root, start, end, width, hot_values))
     if rows.isEmpty():
         return False
     write_median_files(rows, target)

@@ -2,10 +2,9 @@
 
 from neudrift.schema import (
     ARCHIVE_COLUMNS, ARCHIVE_HEADER, COMPONENTS, COMPONENT_LABELS, DASHBOARD_PRESETS, FREEZE_BYTES,
-    LEVEL_BUCKETS, NEWEST_FILES, ONE_MINUTE_METRICS, ONE_MINUTE_SCHEMA, PRESET_HOURS,
-    QUALITY_LABELS, VALUE_COLUMNS,
+    LEVEL_BUCKETS, NEWEST_FILES, ONE_MINUTE_METRICS, ONE_MINUTE_SCHEMA,
+    ONE_MINUTE_SOURCES, PRESET_HOURS, QUALITY_LABELS, VALUE_COLUMNS,
 )
-from neudrift.operators.table import _SOURCE
 from neudrift.plans.queries import ARCHIVED_UNTIL, AS_OF, PERIOD_END, PERIOD_START
 from neudrift.sources.events import OBSERVATIONS_SQL
 
@@ -67,7 +66,7 @@ dense AS (SELECT s.*, {", ".join(f"o.{c}" for c in ONE_MINUTE_METRICS)}
 
 def _one_minute():
     def column(field):
-        source, kind = _SOURCE[field.name], field.dataType.simpleString()
+        source, kind = ONE_MINUTE_SOURCES[field.name], field.dataType.simpleString()
         if kind == "float":
             return f"round(cast(cast({source} AS REAL) AS DOUBLE), 6) + 0.0 AS {field.name}"
         if field.name == "q":

@@ -78,5 +78,6 @@ ONE_MINUTE_SCHEMA = T.StructType([
     _field("sdue", T.FloatType(), "Covariance of the up and east components"),
 ])
 # The one-minute table names the cross terms differently; they are matched by position.
-ONE_MINUTE_RENAMES = {"sden": "sdne", "sdnu": "sdeu", "sdue": "sdun"}
+ONE_MINUTE_SOURCES = {field.name: field.name for field in ONE_MINUTE_SCHEMA} | {
+    "sden": "sdne", "sdnu": "sdeu", "sdue": "sdun"}
 ONE_MINUTE_METRICS = ("n", "e", "u", "q", "sdn", "sde", "sdu", "sdne", "sdeu", "sdun")

@@ -2,6 +2,7 @@
 
 import os
 from datetime import datetime, timedelta
+from itertools import islice
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
@@ -54,9 +55,10 @@ def list_mounted(spark: SparkSession, root: str) -> DataFrame:
     def entries(batches):
         for batch in batches:
             for directory in batch.directory:
-                rows = [(f"file:{entry.path}", entry.name, directory, entry.stat().st_size)
-                        for entry in os.scandir(os.path.join(top, directory)) if entry.is_file()]
-                yield pd.DataFrame(rows, columns=["path", "name", "directory", "length"])
+                files = (entry for entry in os.scandir(os.path.join(top, directory)) if entry.is_file())
+                while rows := [(f"file:{entry.path}", entry.name, directory, entry.stat().st_size)
+                               for entry in islice(files, 10_000)]:
+                    yield pd.DataFrame(rows, columns=["path", "name", "directory", "length"])
 
     directories = spark.createDataFrame([(name,) for name in names], "directory string")
     spread = max(1, min(len(names), spark.sparkContext.defaultParallelism * 4))

@@ -8,7 +8,7 @@ from neudrift.operators.archive import (
     period_days, write_archive, write_median_files,
 )
 from neudrift.plans.archive import run_archive, run_median_files, unusable_lines
-from neudrift.schema import ARCHIVE_COLUMNS, ARCHIVE_HEADER, FREEZE_BYTES
+from neudrift.schema import ARCHIVE_HEADER, FREEZE_BYTES
 from neudrift.sources.files import archive_sizes, scan_archive
 from posfiles import line, write_pos
 
@@ -185,6 +185,9 @@ def test_archive_job(spark, tmp_path):
     assert files["SENG-ELDC", "20240301"].splitlines()[1] == "2024-03-01\t29.000\t0.001\t1.000\t0.001\t3.000\t0.001"
     assert files["SENG-ELDC", "20240302"].splitlines()[1:] == [
         "2024-03-02 10:00:00\t2.000\t0.001\t1.000\t0.001\t3.000\t0.001"]
+    unchecked = str(tmp_path / "neu2")
+    run_archive(spark, str(raw), unchecked, D2, date(2024, 2, 29), hot_values=None)
+    assert contents(unchecked) == files
     bad = unusable_lines(spark, str(raw)).collect()
     assert [(r.reason, r.file.endswith("SENG-ELDC202403030000b.pos")) for r in bad] == [("bad time", True)]
     assert run_median_files(spark, str(raw), str(tmp_path / "all"), D1, D2)
