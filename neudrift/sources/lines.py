@@ -58,7 +58,7 @@ def parse_lines(lines: DataFrame, layout="baseline", sd_order="names") -> DataFr
     reason = (
         F.when(F.col("_count") > FIELD_COUNT, "too many fields")
         .when(F.col("time").isNull(), "bad time")
-        .when(F.expr(not_number) | (content.rlike(_JAVA_LETTER) & content.rlike(_JAVA_NUMBER)),
+        .when(F.expr(not_number) | (F.col("value").rlike(_JAVA_LETTER) & content.rlike(_JAVA_NUMBER)),
               "not a number")
         .when(F.expr(not_whole), "not a whole number")
     )
