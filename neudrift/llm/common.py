@@ -1,6 +1,9 @@
 """What several operators share: reading, settled intermediate tables, text rules."""
 
+import pathlib
+import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -48,3 +51,17 @@ def lower_ascii(text: Column) -> Column:
 def rank_id(doc_id: Column) -> Column:
     """Ids in order; rows without an id count as one document after all others."""
     return F.coalesce(doc_id.cast("long"), F.lit(LAST_ID))
+
+
+def map_arrow(df: DataFrame, run, schema: str) -> DataFrame:
+    """`df.mapInArrow(run, schema)`, with this package sent along to executors that lack it."""
+    context = df.sparkSession.sparkContext
+    if not getattr(context, "_sent_neudrift", False):
+        package = pathlib.Path(__file__).resolve().parent.parent
+        archive = pathlib.Path(tempfile.mkdtemp(prefix="neudrift-code-")) / "neudrift.zip"
+        with zipfile.ZipFile(archive, "w") as out:
+            for file in sorted(package.rglob("*.py")):
+                out.write(file, file.relative_to(package.parent))
+        context.addPyFile(str(archive))
+        context._sent_neudrift = True
+    return df.mapInArrow(run, schema)

@@ -3,9 +3,11 @@
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from neudrift.llm.common import table
+from neudrift.llm.decontaminate import find_matches, hit_words
 from neudrift.llm.exact_dedup import exact_duplicates
 from neudrift.llm.line_dedup import dedup_lines
 from neudrift.llm.sharding import shard_documents
+from neudrift.llm.simhash import near_duplicates
 
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,6 +17,18 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of documents inside passages of 10 words of the benchmark."""
+    found = find_matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), min_words=10)
+    items = F.array_sort(F.array_distinct(F.transform("matches", lambda m: m["item"].cast("string"))))
+    return found.select(
+        "row.doc_id", "n_words", hit_words(F.col("matches")).alias("n_hit"),
+        F.size(items).cast("long").alias("n_items"),
+        F.sha2(F.array_join(items, ","), 256).alias("items_sha256"),
+        (F.size("matches") > 0).alias("contaminated"),
+    )
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of equal texts and the row of each that stays."""
     return exact_duplicates(table(spark, sf_dir, "documents")).select(
@@ -30,15 +44,25 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of fingerprints over 4-word shingles with at most 4 differing bits."""
+    return near_duplicates(table(spark, sf_dir, "documents"), shingle=4, bits=4).select(
+        F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
+    )
+
+
 QUERIES = {
     "op2_line_dedup": op2_line_dedup,
+    "op3_decontamination": op3_decontamination,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_sharding": op5_sharding,
+    "op7_simhash": op7_simhash,
 }
 
 # Fixed values of the texts' rules, as DuckDB writes them.
 _WHITE = "chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || ' '"
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 ORACLES = {
     "op2_line_dedup": f"""
@@ -52,6 +76,24 @@ m AS (SELECT k.*, r.first IS NOT NULL AND k.doc_id <> r.first AS gone FROM k LEF
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '')) AS kept_sha256
 FROM m GROUP BY doc_id
+""",
+    "op3_decontamination": rf"""
+WITH d AS (SELECT doc_id, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '{_WORD}') AS w FROM documents),
+b AS (SELECT item_id, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '{_WORD}') AS w FROM benchmark),
+bw AS (SELECT item_id, least(10, len(w)) AS k, w, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS p
+       FROM b WHERE len(w) > 0),
+win AS (SELECT DISTINCT item_id, k, array_to_string(w[p:p + k - 1], ' ') AS g FROM bw),
+ks AS (SELECT DISTINCT k FROM win),
+dp AS (SELECT doc_id, k, w, unnest(range(1, len(w) - k + 2)) AS p FROM d, ks WHERE len(w) >= k),
+hit AS (SELECT dp.doc_id, dp.p, dp.k, win.item_id FROM dp JOIN win
+        ON dp.k = win.k AND array_to_string(dp.w[dp.p:dp.p + dp.k - 1], ' ') = win.g),
+words AS (SELECT doc_id, count(DISTINCT q) AS n FROM
+          (SELECT doc_id, unnest(range(p, p + k)) AS q FROM hit) GROUP BY doc_id),
+items AS (SELECT doc_id, count(DISTINCT item_id) AS n,
+          string_agg(DISTINCT item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS ids FROM hit GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(words.n, 0) AS n_hit, coalesce(items.n, 0) AS n_items,
+       sha256(coalesce(items.ids, '')) AS items_sha256, coalesce(words.n, 0) > 0 AS contaminated
+FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
 """,
     "op4_exact_dedup": r"""
 WITH n AS (
