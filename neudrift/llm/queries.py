@@ -6,9 +6,18 @@ from neudrift.llm.common import table
 from neudrift.llm.decontaminate import find_matches, hit_words
 from neudrift.llm.exact_dedup import exact_duplicates
 from neudrift.llm.line_dedup import dedup_lines
+from neudrift.llm.packing import pack_documents
 from neudrift.llm.sharding import shard_documents
 from neudrift.llm.simhash import near_duplicates
 
+WORD_TOKENIZER = "word_bpe_49k.json"
+
+
+def tokenizer_file(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines of at least 10 characters that two documents share stay in the first only."""
@@ -51,12 +60,19 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sequences of at most 4096 tokens."""
+    docs = table(spark, sf_dir, "documents")
+    return pack_documents(docs, tokenizer_file(WORD_TOKENIZER)).withColumnRenamed("id", "doc_id")
+
+
 QUERIES = {
     "op2_line_dedup": op2_line_dedup,
     "op3_decontamination": op3_decontamination,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_sharding": op5_sharding,
     "op7_simhash": op7_simhash,
+    "op8_packing": op8_packing,
 }
 
 # Fixed values of the texts' rules, as DuckDB writes them.
