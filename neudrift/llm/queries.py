@@ -9,6 +9,7 @@ from neudrift.llm.line_dedup import dedup_lines
 from neudrift.llm.packing import pack_documents
 from neudrift.llm.sharding import shard_documents
 from neudrift.llm.simhash import near_duplicates
+from neudrift.llm.substring_dedup import dedup_passages
 
 WORD_TOKENIZER = "word_bpe_49k.json"
 
@@ -66,6 +67,13 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(docs, tokenizer_file(WORD_TOKENIZER)).withColumnRenamed("id", "doc_id")
 
 
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages of 20 words stay where they occur first."""
+    return dedup_passages(table(spark, sf_dir, "documents"), size=20, block=10).select(
+        F.col("doc").alias("doc_id"), "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256")
+    )
+
+
 QUERIES = {
     "op2_line_dedup": op2_line_dedup,
     "op3_decontamination": op3_decontamination,
@@ -73,6 +81,7 @@ QUERIES = {
     "op5_sharding": op5_sharding,
     "op7_simhash": op7_simhash,
     "op8_packing": op8_packing,
+    "op10_substring_dedup": op10_substring_dedup,
 }
 
 # Fixed values of the texts' rules, as DuckDB writes them.
