@@ -10,8 +10,10 @@ from neudrift.llm.packing import pack_documents
 from neudrift.llm.sharding import shard_documents
 from neudrift.llm.simhash import near_duplicates
 from neudrift.llm.substring_dedup import dedup_passages
+from neudrift.llm.token_counts import token_counts
 
 WORD_TOKENIZER = "word_bpe_49k.json"
+PIECES = "piece_bpe_32k.model"
 
 
 def tokenizer_file(name: str) -> str:
@@ -67,6 +69,11 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(docs, tokenizer_file(WORD_TOKENIZER)).withColumnRenamed("id", "doc_id")
 
 
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every text under the pieces and scores of a public vocabulary."""
+    return token_counts(table(spark, sf_dir, "documents"), tokenizer_file(PIECES)).withColumnRenamed("id", "doc_id")
+
+
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Passages of 20 words stay where they occur first."""
     return dedup_passages(table(spark, sf_dir, "documents"), size=20, block=10).select(
@@ -81,6 +88,7 @@ QUERIES = {
     "op5_sharding": op5_sharding,
     "op7_simhash": op7_simhash,
     "op8_packing": op8_packing,
+    "op9_token_counts": op9_token_counts,
     "op10_substring_dedup": op10_substring_dedup,
 }
 
