@@ -7,12 +7,14 @@ from neudrift.llm.decontaminate import find_matches, hit_words
 from neudrift.llm.exact_dedup import exact_duplicates
 from neudrift.llm.line_dedup import dedup_lines
 from neudrift.llm.packing import pack_documents
+from neudrift.llm.quality import rated
 from neudrift.llm.sharding import shard_documents
 from neudrift.llm.simhash import near_duplicates
 from neudrift.llm.substring_dedup import dedup_passages
 from neudrift.llm.token_counts import token_counts
 
 WORD_TOKENIZER = "word_bpe_49k.json"
+QUALITY = {"quantile": 0.995}
 PIECES = "piece_bpe_32k.model"
 
 
@@ -56,6 +58,12 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log perplexity of every text, and whether its language's limit keeps it."""
+    found = rated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), **QUALITY)
+    return found.select(F.col("id").alias("doc_id"), "lang", "log_ppl", "limit", "kept")
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of fingerprints over 4-word shingles with at most 4 differing bits."""
     return near_duplicates(table(spark, sf_dir, "documents"), shingle=4, bits=4).select(
@@ -86,6 +94,7 @@ QUERIES = {
     "op3_decontamination": op3_decontamination,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_sharding": op5_sharding,
+    "op6_quality": op6_quality,
     "op7_simhash": op7_simhash,
     "op8_packing": op8_packing,
     "op9_token_counts": op9_token_counts,
