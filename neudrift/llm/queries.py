@@ -12,6 +12,7 @@ from neudrift.llm.sharding import shard_documents
 from neudrift.llm.simhash import near_duplicates
 from neudrift.llm.substring_dedup import dedup_passages
 from neudrift.llm.token_counts import token_counts
+from neudrift.llm.toxicity import score, train
 
 WORD_TOKENIZER = "word_bpe_49k.json"
 QUALITY = {"quantile": 0.995}
@@ -24,6 +25,20 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def _remainder(doc_id):
+    return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 4
+
+
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every text; labels of a quarter of the ids are held out."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = train(docs, labels.where(_remainder(F.col("doc_id")) != 2))
+    return score(docs, model).select(
+        F.col("id").alias("doc_id"), (_remainder(F.col("id")) == 2).alias("held_out"), "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+    )
+
+
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines of at least 10 characters that two documents share stay in the first only."""
     return dedup_lines(table(spark, sf_dir, "documents")).select(
@@ -90,6 +105,7 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_toxicity": op1_toxicity,
     "op2_line_dedup": op2_line_dedup,
     "op3_decontamination": op3_decontamination,
     "op4_exact_dedup": op4_exact_dedup,
