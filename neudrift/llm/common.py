@@ -7,7 +7,7 @@ import zipfile
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from neudrift.session import workspace
+from neudrift.session import BROADCAST_ROWS, workspace
 
 # The white space of all contracts, and the ASCII letters they lower-case.
 WHITE = "\t\n\x0b\x0c\r "
@@ -33,12 +33,22 @@ def settle(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """Compute once, into a compressed Parquet table of the shared folder. For tables that hold texts."""
-    spark = df.sparkSession
-    path = f"{workspace(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """`row`, the row as a struct whatever its columns are called, `id`, `text` without nulls, and a `key` that
+    rows share only if they are equal in both."""
+    return docs.select(
+        F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"), docs[f"`{id_col}`"].cast("long").alias("id"),
+        F.coalesce(docs[f"`{text_col}`"].cast("string"), F.lit("")).alias("text"),
+    ).withColumn("key", F.xxhash64("id", "text"))
+
+
+def matching(rows: DataFrame, keys: DataFrame, how: str) -> DataFrame:
+    """Rows with ("left_semi") or without ("left_anti") one of the values in the only column of `keys`.
+
+    Keys are broadcast if there are at most BROADCAST_ROWS, counted; else the rows are shuffled.
+    """
+    few = keys.count() <= BROADCAST_ROWS
+    return rows.join(F.broadcast(keys) if few else keys, keys.columns[0], how)
 
 
 def lower_ascii(text: Column) -> Column:

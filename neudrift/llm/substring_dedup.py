@@ -11,31 +11,51 @@ A window of 20 words that occurs twice holds, in its earlier place, a whole bloc
 3. Words under the other places are removed.
 
 Positions travel in packed arrays, one per chunk of text and shard of the hash space: some 5 bytes
-for a probe. A place that its own chunk can settle is not sent, so what a third of all documents share
-costs one entry per chunk. Only documents with hits are read again, and the text of the others is never
-shuffled while their keys can be broadcast.
+for a probe, whose place is its number among the chunk's words. A place that its own chunk can settle is not
+sent, so what a third of all documents share costs one entry per chunk. Answers go back to the chunk's list
+of documents. Only documents with hits are read again: they are written as a table bucketed by their key,
+which the last join reads without a shuffle. The text of the others is never shuffled while the keys
+of those with hits can be broadcast.
 """
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from neudrift.llm.common import WHITE, map_arrow, rank_id, settle, written
+from neudrift.llm.common import WHITE, map_arrow, matching, rank_id, settle
 from neudrift.llm.exact_dedup import RUNS
 from neudrift.llm.words import NOT_WHITE, blocks, hashes, inside, pack, spans, text_bytes, unpack, windows
-from neudrift.session import BROADCAST_ROWS
+from neudrift.session import workspace
 
-CHUNK_BYTES = 16 << 20
-# Words of the corpus for each shard of the hash space.
+CHUNK_BYTES = 8 << 20
+# Words of the corpus for each shard of the hash space, as a power of two.
 SHARD_WORDS_LOG2 = 21
-# A chunk's part of one shard: its documents (key, id, first word), and for each place the word, the rest
-# of its hash, and flags. `found` holds places that the chunk has settled itself.
-_PART = "shard int, keys binary, ids binary, firsts binary, at binary, rest binary, more binary, flags binary, found boolean"
-_FIELDS = pa.schema([("shard", pa.int32())] + [(n, pa.binary()) for n in
-                    ("keys", "ids", "firsts", "at", "rest", "more", "flags")] + [("found", pa.bool_())])
-_PLACES = pa.schema([("key", pa.int64()), ("at", pa.list_(pa.int32()))])
+# Bits of a probe's hash beyond those that name its shard; chance hits only cost work.
+PROBE_BITS = 28
+
+# What a chunk sends to a shard: places `at` with the rest of their hashes and flags; where the order of
+# documents matters also how many places each has, its id and its key. To a negative shard: its list of
+# documents, with their numbers of words and the places that it has settled itself.
+_PART = "shard int, chunk long, at binary, rest binary, more binary, sizes binary, ids binary, keys binary"
+_FIELDS = pa.schema([("shard", pa.int32()), ("chunk", pa.int64())]
+                    + [(n, pa.binary()) for n in ("at", "rest", "more", "sizes", "ids", "keys")])
+_PLACES = pa.schema([("key", pa.int64()), ("at", pa.binary())])
+
+
+def _rising(values: np.ndarray) -> bytes:
+    return pack(np.diff(values, prepend=0).astype(np.uint32))
+
+
+def _risen(packed: bytes) -> np.ndarray:
+    return np.cumsum(unpack(packed, np.uint32).astype(np.int64))
+
+
+def _rows(rows) -> pa.RecordBatch:
+    return pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows), _FIELDS.types)], schema=_FIELDS)
 
 
 class Chunk:
@@ -54,46 +74,49 @@ class Chunk:
         """Words at which a window of `size` words within one document starts."""
         return np.flatnonzero(inside(self.bounds, len(self.hash), size))
 
-    def parts(self, at, top, shards_log2, rest, more, flags, found=False) -> Iterator[pa.RecordBatch]:
-        """Rows of `_PART`, by shard; `top` has the hashes whose first bits name the shard."""
-        if not len(at):
-            return
-        shard = (top >> np.uint64(64 - shards_log2)).astype(np.uint32) if shards_log2 else np.zeros(len(at), np.uint32)
-        order = np.argsort(shard, kind="stable")
-        at, shard = at[order], shard[order]
-        rest, more, flags = (x if x is None else x[order] for x in (rest, more, flags))
-        edges = np.concatenate(([0], np.flatnonzero(np.diff(shard)) + 1, [len(shard)]))
-        rows = []
-        for s, e in zip(edges[:-1].tolist(), edges[1:].tolist()):
-            docs, place = np.unique(self.doc[at[s:e]], return_inverse=True)
-            # Words are counted from the first word of the part's first document on, without the documents between.
-            firsts = np.concatenate(([0], np.cumsum(self.counts[docs])))
-            own = firsts[place] + at[s:e] - self.bounds[docs[place]]
-            rows.append((
-                int(shard[s]), pack(self.keys[docs]), pack(self.ids[docs]), pack(np.diff(firsts).astype(np.uint32)),
-                pack(np.diff(own, prepend=0).astype(np.uint32)),
-                None if rest is None else pack(rest[s:e]), None if more is None else pack(more[s:e]),
-                None if flags is None else pack(np.packbits(flags[s:e])), found))
-        yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows), _FIELDS.types)], schema=_FIELDS)
+    def head(self, chunk: int, shards_log2: int, settled: np.ndarray) -> tuple:
+        """The row with the list of documents."""
+        return (-1 - chunk % (1 << shards_log2), chunk, _rising(settled), None, None,
+                pack(self.counts.astype(np.uint32)), None, pack(self.keys))
+
+
+def _cut(top: np.ndarray, shards_log2: int):
+    """The order that puts places together by shard, which the first bits of `top` name, and each shard's range."""
+    shard = (top >> np.uint64(64 - shards_log2)).astype(np.uint32) if shards_log2 else np.zeros(len(top), np.uint32)
+    order = np.argsort(shard, kind="stable")
+    shard = shard[order]
+    edges = np.concatenate(([0], np.flatnonzero(np.diff(shard)) + 1, [len(shard)]))
+    return order, [(int(shard[s]), s, e) for s, e in zip(edges[:-1].tolist(), edges[1:].tolist()) if e > s]
+
+
+def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.RecordBatch]]:
+    """Parts of a task's batches with a number that no other task gives."""
+    task = TaskContext.get().partitionId()
+    parts = (part for batch in batches for part in blocks(batch, "text", CHUNK_BYTES))
+    for nth, part in enumerate(parts):
+        yield (task << 32) + nth, part
 
 
 def _probes(size: int, shards_log2: int):
     """Every rolling window of `size` words, flagged if it is a block of its document's grid."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in blocks(batch, "text", CHUNK_BYTES):
-                chunk = Chunk(part)
-                at = chunk.starts_of(size)
-                if not len(at):
-                    continue
-                h = windows(chunk.hash, size)[at]
-                block = (at - chunk.bounds[chunk.doc[at]]) % size == 0
-                settled, sent = _settled_here(h, block)
-                yield from chunk.parts(at[settled], h[settled], shards_log2, None, None, None, found=True)
-                at, h, block, settled = at[sent], h[sent], block[sent], settled[sent]
-                rest = ((h << np.uint64(shards_log2)) >> np.uint64(32)).astype(np.uint32)
-                yield from chunk.parts(at, h, shards_log2, rest, None, np.stack((block, settled), 1))
+        for number, part in _chunks(batches):
+            chunk = Chunk(part)
+            at = chunk.starts_of(size)
+            if not len(at):
+                continue
+            h = windows(chunk.hash, size)[at]
+            block = (at - chunk.bounds[chunk.doc[at]]) % size == 0
+            settled, sent = _settled_here(h, block)
+            rows = [chunk.head(number, shards_log2, at[settled])]
+            at, h, flags = at[sent], h[sent], np.stack((block[sent], settled[sent]), 1)
+            order, shards = _cut(h, shards_log2)
+            at, flags = at[order], flags[order]
+            rest = ((h[order] << np.uint64(shards_log2)) >> np.uint64(64 - PROBE_BITS)).astype(np.uint32)
+            rows += [(shard, number, _rising(at[s:e]), pack(rest[s:e]), pack(np.packbits(flags[s:e])), None, None, None)
+                     for shard, s, e in shards]
+            yield _rows(rows)
 
     return run
 
@@ -117,85 +140,87 @@ def _settled_here(h: np.ndarray, block: np.ndarray) -> tuple[np.ndarray, np.ndar
     return settled, sent
 
 
-def _read(table: pa.Table):
-    """All places of a shard: key, id, place in the document, rest and more of the hash, flags."""
-    out = [[] for _ in range(6)]
-    for row in table.to_pylist():
-        counts = unpack(row["firsts"], np.uint32).astype(np.int64)
-        firsts = np.concatenate(([0], np.cumsum(counts)))
-        own = np.cumsum(unpack(row["at"], np.uint32).astype(np.int64))
-        doc = np.searchsorted(firsts, own, "right") - 1
-        out[0].append(unpack(row["keys"], np.int64)[doc])
-        out[1].append(unpack(row["ids"], np.int64)[doc])
-        out[2].append(own - firsts[doc])
-        if row["rest"] is not None:
-            kind = np.uint64 if row["more"] is not None else np.uint32
-            out[3].append(unpack(row["rest"], kind))
-        if row["more"] is not None:
-            out[4].append(unpack(row["more"], np.uint16))
-        if row["flags"] is not None:
-            out[5].append(np.unpackbits(unpack(row["flags"], np.uint8), count=2 * len(own)).reshape(-1, 2).astype(bool))
-    return [np.concatenate(x) if x else None for x in out]
-
-
-def _by_key(keys: np.ndarray, at: np.ndarray) -> pa.Table:
-    order = np.lexsort((at, keys))
-    keys, at = keys[order], at[order]
-    first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1]))) if len(keys) else np.zeros(0, np.int64)
-    offsets = np.concatenate((first, [len(keys)])).astype(np.int32)
-    lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(at.astype(np.int32)))
-    return pa.Table.from_arrays([pa.array(keys[first]), lists], schema=_PLACES)
+def _answers(table: pa.Table, heads: list[dict], rows: list[dict], gone: np.ndarray, at: list[np.ndarray]) -> pa.Table:
+    """The rows of documents as they came, and for each chunk the places that are found."""
+    out = [tuple(row[n] for n in _FIELDS.names) for row in heads]
+    start = 0
+    for row, own in zip(rows, at):
+        found = own[gone[start:start + len(own)]]
+        start += len(own)
+        if len(found):
+            out.append((row["shard"], row["chunk"], _rising(found), None, None, None, None, None))
+    return pa.Table.from_batches([_rows(out)] if out else [], schema=_FIELDS)
 
 
 def _anchors(table: pa.Table) -> pa.Table:
     """Places of the shard's anchors: hashes with a block and more than one place."""
-    found = table.column("found").to_numpy()
-    keys, _, at, *_ = _read(table.filter(pa.array(found)))
-    hits = [(keys, at)] if keys is not None else []
-    keys, _, at, rest, _, flags = _read(table.filter(pa.array(~found)))
-    if keys is not None:
+    all_ = table.to_pylist()
+    rows = [r for r in all_ if r["shard"] >= 0]
+    at = [_risen(r["at"]) for r in rows]
+    hit = np.zeros(0, bool)
+    if rows:
+        rest = np.concatenate([unpack(r["rest"], np.uint32) for r in rows])
+        flags = np.concatenate([np.unpackbits(unpack(r["more"], np.uint8), count=2 * len(a)).reshape(-1, 2)
+                                for r, a in zip(rows, at)]).astype(bool)
         order = np.argsort(rest)
         rest, flags = rest[order], flags[order]
         fresh = np.concatenate(([True], rest[1:] != rest[:-1]))
         first = np.flatnonzero(fresh)
         many = np.diff(np.concatenate((first, [len(rest)]))) > 1
         anchored = np.logical_or.reduceat(flags[:, 0], first)
-        hit = order[(many & anchored)[np.cumsum(fresh) - 1] & ~flags[:, 1]]
-        hits.append((keys[hit], at[hit]))
-    keys, at = (np.concatenate(x) for x in zip(*hits)) if hits else (np.zeros(0, np.int64),) * 2
-    return _by_key(keys, at)
+        hit = np.zeros(len(rest), bool)
+        hit[order] = (many & anchored)[np.cumsum(fresh) - 1] & ~flags[:, 1]
+    return _answers(table, [r for r in all_ if r["shard"] < 0], rows, hit, at)
+
+
+def _by_document(table: pa.Table) -> pa.Table:
+    """All places that were found in a chunk, by document."""
+    rows = table.to_pylist()
+    head = next(r for r in rows if r["shard"] < 0)
+    at = np.sort(np.concatenate([_risen(r["at"]) for r in rows]))
+    keys = unpack(head["keys"], np.int64)
+    bounds = np.concatenate(([0], np.cumsum(unpack(head["sizes"], np.uint32).astype(np.int64))))
+    cuts = np.searchsorted(at, bounds)
+    docs = np.flatnonzero(np.diff(cuts))
+    own = [_rising(at[cuts[d]:cuts[d + 1]] - bounds[d]) for d in docs.tolist()]
+    return pa.Table.from_arrays([pa.array(keys[docs]), pa.array(own, pa.binary())], schema=_PLACES)
 
 
 def _extensions(size: int, block: int, shards_log2: int):
     """Every window of `size` words that holds a hit."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in blocks(batch, "text", CHUNK_BYTES):
-                chunk = Chunk(part)
-                hits = part.column("at")
-                sizes = np.diff(hits.offsets.to_numpy())
-                hit = hits.flatten().to_numpy() + np.repeat(chunk.bounds[:-1], sizes)
-                first = np.repeat(chunk.bounds[:-1], sizes)
-                cover = np.zeros(len(chunk.hash) + 1, np.int32)
-                np.add.at(cover, np.maximum(hit - (size - block), first), 1)
-                np.add.at(cover, hit + 1, -1)
-                at = chunk.starts_of(size)
-                at = at[np.cumsum(cover)[at] > 0]
-                if not len(at):
-                    continue
-                h = windows(chunk.hash, size)[at]
-                more = (windows(chunk.hash, size, base=1)[at] >> np.uint64(48)).astype(np.uint16)
-                # Only the earliest place of a window in this chunk has to be compared with others.
-                order = np.lexsort((at - chunk.bounds[chunk.doc[at]], chunk.keys[chunk.doc[at]],
-                                    chunk.ids[chunk.doc[at]], more, h))
-                gone = _later(*(x[order] for x in (h, more, chunk.ids[chunk.doc[at]], chunk.keys[chunk.doc[at]],
-                                                   at - chunk.bounds[chunk.doc[at]])))
-                dropped = np.zeros(len(at), bool)
-                dropped[order] = gone
-                yield from chunk.parts(at[dropped], h[dropped], shards_log2, None, None, None, found=True)
-                at, h, more = at[~dropped], h[~dropped], more[~dropped]
-                yield from chunk.parts(at, h, shards_log2, h << np.uint64(shards_log2), more, None)
+        for number, part in _chunks(batches):
+            chunk = Chunk(part)
+            hits = [_risen(x) for x in part.column("at").to_pylist()]
+            sizes = [len(x) for x in hits]
+            first = np.repeat(chunk.bounds[:-1], sizes)
+            hit = np.concatenate(hits) + first
+            cover = np.zeros(len(chunk.hash) + 1, np.int32)
+            np.add.at(cover, np.maximum(hit - (size - block), first), 1)
+            np.add.at(cover, hit + 1, -1)
+            at = chunk.starts_of(size)
+            at = at[np.cumsum(cover)[at] > 0]
+            if not len(at):
+                continue
+            h = windows(chunk.hash, size)[at]
+            more = (windows(chunk.hash, size, base=1)[at] >> np.uint64(56)).astype(np.uint8)
+            doc = chunk.doc[at]
+            place = h, more, chunk.ids[doc], chunk.keys[doc], at - chunk.bounds[doc]
+            # Only the earliest place of a window in this chunk has to be compared with others.
+            order = np.lexsort(place[::-1])
+            dropped = np.zeros(len(at), bool)
+            dropped[order] = _later(*(x[order] for x in place))
+            rows = [chunk.head(number, shards_log2, at[dropped])]
+            at, h, more, doc = (x[~dropped] for x in (at, h, more, doc))
+            order, shards = _cut(h, shards_log2)
+            at, h, more, doc = (x[order] for x in (at, h << np.uint64(shards_log2), more, doc))
+            for shard, s, e in shards:
+                docs, n = np.unique(doc[s:e], return_counts=True)
+                # Places in the documents follow from the chunk's; the shard needs them to tell which is earlier.
+                rows.append((shard, number, _rising(at[s:e]), pack(h[s:e]), pack(more[s:e]), pack(np.stack(
+                    (n, chunk.bounds[docs])).astype(np.uint32).reshape(-1)), pack(chunk.ids[docs]), pack(chunk.keys[docs])))
+            yield _rows(rows)
 
     return run
 
@@ -210,16 +235,22 @@ def _later(h, more, ids, keys, at) -> np.ndarray:
 
 def _repeats(table: pa.Table) -> pa.Table:
     """Places of windows that start earlier somewhere else."""
-    found = table.column("found").to_numpy()
-    keys, _, at, *_ = _read(table.filter(pa.array(found)))
-    gone = [(keys, at)] if keys is not None else []
-    keys, ids, at, rest, more, _ = _read(table.filter(pa.array(~found)))
-    if keys is not None:
-        order = np.lexsort((at, keys, ids, more, rest))
-        later = order[_later(*(x[order] for x in (rest, more, ids, keys, at)))]
-        gone.append((keys[later], at[later]))
-    keys, at = (np.concatenate(x) for x in zip(*gone)) if gone else (np.zeros(0, np.int64),) * 2
-    return _by_key(keys, at)
+    all_ = table.to_pylist()
+    rows = [r for r in all_ if r["shard"] >= 0]
+    at = [_risen(r["at"]) for r in rows]
+    gone = np.zeros(0, bool)
+    if rows:
+        columns = []
+        for r, own in zip(rows, at):
+            n, first = unpack(r["sizes"], np.uint32).astype(np.int64).reshape(2, -1)
+            columns.append((unpack(r["rest"], np.uint64), unpack(r["more"], np.uint8),
+                            np.repeat(unpack(r["ids"], np.int64), n), np.repeat(unpack(r["keys"], np.int64), n),
+                            own - np.repeat(first, n)))
+        columns = [np.concatenate(c) for c in zip(*columns)]
+        order = np.lexsort(columns[::-1])
+        gone = np.zeros(len(order), bool)
+        gone[order] = _later(*(c[order] for c in columns))
+    return _answers(table, [r for r in all_ if r["shard"] < 0], rows, gone, at)
 
 
 def _remove(size: int):
@@ -228,10 +259,10 @@ def _remove(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts, n_words, n_removed = [], [], []
-            for text, at in zip(batch.column("text").to_pylist(), batch.column("at")):
+            for text, at in zip(batch.column("text").to_pylist(), batch.column("at").to_pylist()):
                 words = text.encode().split()
                 cover = np.zeros(len(words) + 1, np.int32)
-                starts = at.values.to_numpy()
+                starts = _risen(at)
                 np.add.at(cover, starts, 1)
                 np.add.at(cover, starts + size, -1)
                 keep = np.cumsum(cover)[:-1] == 0
@@ -246,14 +277,20 @@ def _remove(size: int):
 
 
 def _places(parts: DataFrame, reducer) -> DataFrame:
-    found = parts.groupBy("shard").applyInArrow(reducer, "key long, at array<int>")
-    return settle(found.groupBy("key").agg(F.flatten(F.collect_list("at")).alias("at")))
+    """`key` and `at`, the places found in a document. Rows that share a key have the same places."""
+    found = parts.groupBy("shard").applyInArrow(reducer, _PART)
+    documents = found.groupBy("chunk").applyInArrow(_by_document, "key long, at binary")
+    return settle(documents.groupBy("key").agg(F.max("at").alias("at")))
 
 
-def _with_keys(docs: DataFrame, keys: DataFrame, how: str) -> DataFrame:
-    """Documents with, or without, one of the keys; broadcast as long as there are few."""
-    few = keys.count() <= BROADCAST_ROWS
-    return docs.join(F.broadcast(keys.select("key")) if few else keys.select("key"), "key", how)
+def _bucketed(df: DataFrame, name: str) -> DataFrame:
+    """Compute once, into a table of the shared folder that joins on `key` read without a shuffle."""
+    spark = df.sparkSession
+    name = f"{name}_{uuid.uuid4().hex}"
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    (df.repartition(buckets, "key").write.option("compression", "zstd").option("path", f"{workspace(spark)}/{name}")
+     .bucketBy(buckets, "key").sortBy("key").saveAsTable(name))
+    return spark.table(name)
 
 
 def dedup_passages(docs: DataFrame, size: int = 20, block: int = 10,
@@ -280,14 +317,16 @@ def dedup_passages(docs: DataFrame, size: int = 20, block: int = 10,
 
     probes = map_arrow(rows.select("key", "id", "text"), _probes(block, shards_log2), _PART)
     hits = _places(probes, _anchors)
-    candidates = written(_with_keys(rows, hits, "left_semi").join(hits, "key"), "candidates")
-    extended = map_arrow(candidates.select("key", "id", "text", "at"), _extensions(size, block, shards_log2), _PART)
+    candidates = _bucketed(matching(rows, hits.select("key"), "left_semi").join(hits, "key"), "candidates")
+    # A window sends more bytes than a probe, and has to name its document.
+    extended = map_arrow(candidates.select("key", "id", "text", "at"),
+                         _extensions(size, block, max(0, shards_log2 - 2)), _PART)
     repeats = _places(extended, _repeats)
 
     changed = map_arrow(candidates.drop("at").join(repeats, "key").select("doc", "text", "at"), _remove(size),
                         "doc long, text string, n_words long, n_removed long")
     text = F.btrim(F.regexp_replace("text", RUNS, " "), F.lit(WHITE))
-    unchanged = _with_keys(rows, repeats, "left_anti").select("doc", text.alias("text")).select(
+    unchanged = matching(rows, repeats.select("key"), "left_anti").select("doc", text.alias("text")).select(
         "doc", "text",
         F.when(F.col("text") == "", 0).otherwise(
             F.length("text") - F.length(F.replace("text", F.lit(" "), F.lit(""))) + 1).cast("long").alias("n_words"),
