@@ -63,3 +63,11 @@ def dedup_lines(docs: DataFrame, min_chars: int = 10, min_docs: int = 2,
             F.array_join(F.transform(kept_at, lambda i: F.get(split, i)), "\n")
         ).alias("kept"),
     )
+
+
+def with_kept_lines(docs: DataFrame, text_col: str = "text", chars_col: str = "n_chars", **options) -> DataFrame:
+    """`docs` with the text that stays, and its number of characters where there is a column for it."""
+    row = F.col("row").withField(f"`{text_col}`", F.col("kept"))
+    if chars_col in docs.columns:
+        row = row.withField(f"`{chars_col}`", F.length("kept").cast(docs.schema[chars_col].dataType))
+    return dedup_lines(docs, text_col=text_col, **options).select(row.alias("row")).select("row.*")

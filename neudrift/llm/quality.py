@@ -29,9 +29,8 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
-from neudrift.llm.common import map_arrow, settle
+from neudrift.llm.common import keyed, map_arrow, matching, settle
 from neudrift.llm.words import NOT_WHITE, blocks, hashes, mixed, pack, spans, text_bytes, unpack
-from neudrift.session import BROADCAST_ROWS
 
 WORD_BITS = 14
 CLASSES = 1 << WORD_BITS
@@ -261,12 +260,6 @@ def _add_up(table: pa.Table) -> pa.Table:
     return pa.table({"key": unpack(head["docs"], np.int64), "n_words": unpack(head["sizes"], np.int64), "score": score})
 
 
-def _with_ids(rows: DataFrame, ids: DataFrame, how: str) -> DataFrame:
-    """Rows with, or without, one of the ids; broadcast as long as there are few."""
-    few = ids.count() <= BROADCAST_ROWS
-    return rows.join(F.broadcast(ids) if few else ids, ids.columns[0], how)
-
-
 def log_perplexity(rows: DataFrame, trusted: DataFrame) -> DataFrame:
     """`key` and `log_ppl` of every distinct key of `rows` (key, text), under a model of `trusted` (text).
 
@@ -323,9 +316,9 @@ def rated(docs: DataFrame, labels: DataFrame, quantile: float = 0.99, margin: fl
     rows = keyed(docs, id_col, text_col).withColumn("lang", F.col(f"row.`{lang_col}`").cast("string"))
     ids = labels.where("quality = 1 AND doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("id")).distinct()
     ids = settle(ids.withColumn("held_out", F.pmod(F.xxhash64("id"), F.lit(HELD_OUT)) == 0))
-    scores = settle(log_perplexity(rows, _with_ids(rows, ids.where("NOT held_out").select("id"), "left_semi")))
+    scores = settle(log_perplexity(rows, matching(rows, ids.where("NOT held_out").select("id"), "left_semi")))
     found = rows.select("key", "id", "lang").join(scores, "key")
-    limits = settle(thresholds(_with_ids(found, ids.where("held_out").select("id"), "left_semi"), quantile))
+    limits = settle(thresholds(matching(found, ids.where("held_out").select("id"), "left_semi"), quantile))
     general = limits.where("lang IS NULL").first()
     limit = F.coalesce("limit", F.lit(general["limit"] if general else None).cast("double")) + margin
     return found.join(limits.where("lang IS NOT NULL"), "lang", "left").select(
@@ -333,15 +326,7 @@ def rated(docs: DataFrame, labels: DataFrame, quantile: float = 0.99, margin: fl
         (F.col("log_ppl").isNotNull() & F.coalesce(F.col("log_ppl") <= limit, F.lit(True))).alias("kept"))
 
 
-def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """`id`, `text` and a `key` that rows share only if they are equal in both; other columns are kept in `row`."""
-    return docs.select(
-        F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"), docs[f"`{id_col}`"].cast("long").alias("id"),
-        F.coalesce(docs[f"`{text_col}`"].cast("string"), F.lit("")).alias("text"),
-    ).withColumn("key", F.xxhash64("id", "text"))
-
-
 def keep_good(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
     """The rows of `docs` that are kept, columns unchanged."""
     rejected = settle(rated(docs, labels, **options).where("NOT kept").select("key").distinct())
-    return _with_ids(keyed(docs), rejected, "left_anti").select("row.*")
+    return matching(keyed(docs), rejected, "left_anti").select("row.*")

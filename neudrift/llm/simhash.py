@@ -21,7 +21,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from neudrift.llm.common import map_arrow, settle
+from neudrift.llm.common import keyed, map_arrow, matching, settle
 from neudrift.llm.components import components
 
 SEED = 42
@@ -55,19 +55,18 @@ def fingerprint(parts) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """`id` and `fp`, the fingerprint as a signed long, of every row."""
+    """`id`, `fp`, the fingerprint as a signed long, and `key`, a hash of id and text, of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column("text")
             found = [fingerprint([shingle_hashes(t.as_buffer().to_pybytes(), shingle)]) if t.is_valid else 0
                      for t in texts]
-            yield pa.record_batch([batch.column("id"), pa.array(np.array(found, np.uint64).view(np.int64))],
-                                  names=["id", "fp"])
+            yield pa.record_batch([batch.column("id"), pa.array(np.array(found, np.uint64).view(np.int64)),
+                                   batch.column("key")], names=["id", "fp", "key"])
 
-    return map_arrow(docs.select(
-        docs[f"`{id_col}`"].cast("long").alias("id"), docs[f"`{text_col}`"].cast("binary").alias("text")
-    ), run, "id long, fp long")
+    rows = keyed(docs, id_col, text_col).select("id", F.col("text").cast("binary").alias("text"), "key")
+    return map_arrow(rows, run, "id long, fp long, key long")
 
 
 def _near(values: np.ndarray, one: np.uint64, bits: int) -> np.ndarray:
@@ -200,7 +199,7 @@ def links(distinct: DataFrame, bits: int = 4, largest: int = 20_000) -> DataFram
 
 def near_duplicates(docs: DataFrame, shingle: int = 4, bits: int = 4, largest: int = 20_000,
                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """`id`, `fp` and `component_id` of every row.
+    """`id`, `key` (a hash of id and text), `fp` and `component_id` of every row.
 
     A document's component is the smallest id that can be reached over links of at most `bits` differing
     bits, its own included. A null, empty or blank text has the fingerprint zero, which links like any
@@ -215,4 +214,13 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, bits: int = 4, largest: i
         "fp", "first_id", F.coalesce("root", "fp").alias("root"))
     smallest = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
     answers = rooted.join(smallest, "root").select("fp", "component_id")
-    return rows.join(answers, "fp").select("id", "fp", "component_id")
+    return rows.join(answers, "fp").select("id", "key", "fp", "component_id")
+
+
+def keep_firsts(docs: DataFrame, shingle: int = 4, bits: int = 4, **options) -> DataFrame:
+    """The rows of `docs` with the smallest id of their component, columns unchanged.
+
+    Rows that share that id stay together; rows without an id stay where no row of the component has one.
+    """
+    found = near_duplicates(docs, shingle, bits, **options).where("NOT (id <=> component_id)")
+    return matching(keyed(docs), settle(found.select("key").distinct()), "left_anti").select("row.*")
