@@ -26,7 +26,9 @@ from neudrift.llm.words import blocks
 
 # Ranks of one length that share a join key, and pieces of one length that are ranked together.
 RANK_BLOCK = 4096
-SHARE = 20_000
+# Bytes of text whose distinct words are looked up together.
+BLOCK_BYTES = 4 << 20
+SHARE = 2_000
 
 
 def pieces_of(docs: DataFrame, tokenizer: str, most: int = 4096, end_id: int = 1,
@@ -36,12 +38,13 @@ def pieces_of(docs: DataFrame, tokenizer: str, most: int = 4096, end_id: int = 1
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, end = WordEncoder.of(tokenizer), np.array([end_id], "<u4").tobytes()
         for batch in batches:
-            for part in blocks(batch, "text"):
-                texts = [(t or "").encode() for t in part.column("text").to_pylist()]
+            for part in blocks(batch, "text", BLOCK_BYTES):
+                found, bounds = encoder.encode(part.column("text"))
+                raw, bounds = found.tobytes(), (4 * bounds).tolist()
                 ids = part.column("id")
                 row, piece, length, crc = [], [], [], []
-                for k, own in enumerate(encoder.encode(texts)):
-                    own += end
+                for k in range(len(part)):
+                    own = raw[bounds[k]:bounds[k + 1]] + end
                     for nth, at in enumerate(range(0, len(own), 4 * most)):
                         cut = own[at:at + 4 * most]
                         row.append(k)

@@ -1,19 +1,92 @@
-"""Ids of a public tokenizer, word by word.
+"""Ids of a public tokenizer, by distinct words.
 
-The tokenizer file treats runs of white space as separators that no token crosses, so a text's ids are
-those of its pieces between ASCII white space, one after another. Each worker process keeps the ids of
-pieces it has met, in a table of bounded size, and encodes only new ones.
+The tokenizer file lower-cases, treats runs of white space as separators and then splits a text into runs of
+letters, single digits and runs of other marks, before any merge. Where a piece between ASCII white space has
+only ASCII and Latin-1 letters, digits and marks without apostrophe or <, these units can be told from its bytes;
+any other piece is one unit. A text's ids are those of its units, one after another. The units of a block of
+texts are found on arrays, and only its distinct ones are looked up. Each worker process remembers the ids
+of units that it has met, in a table of bounded size, and encodes new ones, many at once, since a
+token that ends a word can be told from others.
 """
 
 import numpy as np
+import pyarrow as pa
 
-# Pieces whose ids a worker process remembers; a full table is started anew.
-REMEMBERED = 400_000
+from neudrift.llm.words import NOT_WHITE, hashes, text_bytes
+
+# Units whose ids a worker process remembers since it last began a table; it also keeps the table before.
+REMEMBERED = 300_000
 _LONGEST = 64
 
+_WHITE_SPACE, _LETTER, _DIGIT, _MARK = range(4)
+_CLASS = np.full(256, _MARK, np.uint8)
+_CLASS[~NOT_WHITE] = _WHITE_SPACE
+_CLASS[128:] = _LETTER
+_CLASS[[b for b in range(128) if chr(b).isalpha()]] = _LETTER
+_CLASS[48:58] = _DIGIT
+# Bytes that make the rule unsure: apostrophes, the < of special tokens, controls, and all of UTF-8 but the two of a Latin-1 letter.
+_UNSURE = np.zeros(256, bool)
+_UNSURE[[39, 60, *range(9), *range(14, 32), 127, *range(0x80, 256)]] = True
+_LATIN_LEAD = 0xC3
+_NO_LETTERS = (0x97, 0xB7)  # the second bytes of the multiplication and the division sign
+
+
+class Remembered(dict):
+    """A table that begins anew when it is full and still knows what the one before it knew."""
+
+    def __init__(self):
+        super().__init__()
+        self.before = {}
+
+    def missing(self, keys: list) -> list:
+        """Keys to be found out; all others can be looked up, until the next call."""
+        new = [k for k in keys if k not in self]
+        if len(self) + len(new) > REMEMBERED:
+            self.before = dict(self)
+            self.clear()
+            new = keys
+        before = self.before
+        self.update([(k, before[k]) for k in new if k in before])
+        return [k for k in new if k not in before]
+
+
+def units(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """First and next-after-last byte of every unit, whether it is one word to the tokenizer, and the n + 1
+    places in them where texts begin."""
+    n = len(data)
+    kind = _CLASS[data]
+    unsure = _UNSURE[data]
+    lead = np.flatnonzero(data[:-1] == _LATIN_LEAD)
+    second = data[lead + 1]
+    lead = lead[(second >= 0x80) & (second < 0xC0) & (second != _NO_LETTERS[0]) & (second != _NO_LETTERS[1])]
+    unsure[lead] = False
+    unsure[lead + 1] = False
+
+    begins = np.zeros(n, bool)
+    at = offsets[:-1]
+    begins[at[at < n]] = True
+    piece = kind != _WHITE_SPACE
+    first = piece.copy()
+    first[1:] &= ~piece[:-1] | begins[1:]
+    piece_of = np.cumsum(first) - 1
+    bad = np.zeros(int(first.sum()), bool)
+    bad[piece_of[unsure & piece]] = True
+
+    start = piece.copy()
+    start[1:] &= (kind[1:] != kind[:-1]) | (kind[1:] == _DIGIT) | begins[1:]
+    starts = np.flatnonzero(start)
+    inner = bad[piece_of[starts]] & ~first[starts]
+    starts = starts[~inner]
+    # A unit ends where the next begins, or at the white space or text end before that.
+    last = piece.copy()
+    last[:-1] &= ~piece[1:] | begins[1:]
+    piece_ends = np.flatnonzero(last) + 1
+    ends = np.minimum(np.append(starts[1:], n), piece_ends[piece_of[starts]])
+    return starts, ends, ~bad[piece_of[starts]], np.searchsorted(starts, offsets)
+
 
 class WordEncoder:
-    """Texts as bytes to their ids as little-endian 32-bit numbers."""
+    """Texts to their ids."""
 
     _by_path: dict[str, "WordEncoder"] = {}
 
@@ -21,7 +94,10 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[bytes, bytes] = {}
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends_word[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        self.known = Remembered()
 
     @classmethod
     def of(cls, path: str) -> "WordEncoder":
@@ -30,24 +106,49 @@ class WordEncoder:
             cls._by_path[path] = cls(path)
         return cls._by_path[path]
 
-    def _encode(self, pieces: list[bytes]) -> list[bytes]:
-        texts = [p.decode("utf-8", "replace") for p in pieces]
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+    def _each(self, texts: list[bytes]) -> list[bytes]:
+        found = self.tokenizer.encode_batch_fast([t.decode("utf-8", "replace") for t in texts], add_special_tokens=False)
         return [np.array(e.ids, "<u4").tobytes() for e in found]
 
-    def encode(self, texts: list[bytes]) -> list[bytes]:
-        pieces = [t.split() for t in texts]
-        new = {p for own in pieces for p in own} - self.known.keys()
-        if len(self.known) + len(new) > REMEMBERED:
-            self.known = {}
-            new = {p for own in pieces for p in own}
-        names = list(new)
-        fresh = {}
-        for at in range(0, len(names), 10_000):
-            part = names[at:at + 10_000]
-            fresh.update(zip(part, self._encode(part)))
-        self.known.update((p, ids) for p, ids in fresh.items() if len(p) <= _LONGEST)
+    def _words(self, words: list[bytes]) -> list[bytes]:
+        """Ids of texts that are one word each."""
+        out = []
+        for at in range(0, len(words), 5_000):
+            part = words[at:at + 5_000]
+            ids = self.tokenizer.encode(b" ".join(part).decode(), add_special_tokens=False).ids
+            ids = np.array(ids, "<u4")
+            ends = np.flatnonzero(self.ends_word[ids]) + 1
+            if len(ends) != len(part) or ends[-1] != len(ids):
+                out += self._each(part)
+                continue
+            raw, cuts = ids.tobytes(), (4 * ends).tolist()
+            out += [raw[s:e] for s, e in zip([0, *cuts[:-1]], cuts)]
+        return out
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All texts' ids one after another, and the n + 1 places where texts begin."""
+        data, offsets = text_bytes(texts)
+        if not len(data):
+            return np.zeros(0, "<u4"), np.zeros(len(offsets), np.int64)
+        starts, ends, word, bounds = units(data, offsets)
+        # Units that differ only in the case of ASCII letters have the same ids.
+        _, where, which = np.unique(hashes(data, starts, ends, lower=True), return_index=True, return_inverse=True)
+        raw = data.tobytes()
+        names = [raw[s:e].lower() for s, e in zip(starts[where].tolist(), ends[where].tolist())]
+        new = set(self.known.missing(names))
+        plain = [(name, w) for name, w in zip(names, word[where].tolist()) if name in new]
+        words, other = [n for n, w in plain if w], [n for n, w in plain if not w]
         known = self.known
-        if any(len(p) > _LONGEST for p in fresh):
-            known = known | fresh
-        return [b"".join([known[p] for p in own]) for own in pieces]
+        known.update(zip(words, self._words(words)))
+        known.update(zip(other, self._each(other)))
+        ids = [known[name] for name in names]
+        for name in new:
+            if len(name) > _LONGEST:
+                del known[name]
+
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        pool, first = np.frombuffer(b"".join(ids), "<u4"), np.cumsum(sizes) - sizes
+        sizes = sizes[which]
+        after = np.cumsum(sizes)
+        at = np.arange(after[-1] if len(after) else 0) + np.repeat(first[which] - (after - sizes), sizes)
+        return pool[at], np.concatenate(([0], after))[bounds]
