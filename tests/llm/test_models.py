@@ -1,0 +1,142 @@
+import math
+import random
+from collections import Counter, defaultdict
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import functions as F
+
+from neudrift.llm import quality, toxicity
+from neudrift.llm.quality import CLASSES, discounts, keep_good, log_perplexity, rated, thresholds
+from neudrift.llm.words import NOT_WHITE, hashes, spans, text_bytes
+from tests.llm.conftest import WORDS
+
+
+def classes(text):
+    data, offsets = text_bytes(pa.array([text]))
+    starts, ends, _ = spans(data, offsets, NOT_WHITE)
+    return [0, *((hashes(data, starts, ends) % np.uint64(CLASSES - 1)).astype(int) + 1).tolist(), 0]
+
+
+def model_by_hand(texts):
+    """log p(b | a), straight from the definition."""
+    pairs = Counter(p for t in texts if t.split() for c in [classes(t)] for p in zip(c, c[1:]))
+    d = discounts(*(sum(n == k for n in pairs.values()) for k in (1, 2, 3, 4)))
+    total, kinds, before = Counter(), defaultdict(Counter), Counter()
+    for (a, b), n in pairs.items():
+        total[a] += n
+        kinds[a][min(n, 3)] += 1
+        before[b] += 1
+    lower = discounts(*(sum(n == k for n in before.values()) for k in (1, 2, 3, 4)))
+    off = {b: min(lower[min(n, 3)], n) for b, n in before.items()}
+    spare = sum(off.values()) if before else 1.0
+
+    def word(b):
+        return (before[b] - off.get(b, 0) + spare / CLASSES) / max(len(pairs), 1)
+
+    def p(a, b):
+        share = sum(d[k] * n for k, n in kinds[a].items()) / total[a] if total[a] else 1.0
+        own = (pairs[a, b] - d[min(pairs[a, b], 3)]) / total[a] if pairs[a, b] else 0.0
+        return own + share * word(b)
+
+    return p
+
+
+def test_perplexity(spark, odd_docs, odd_rows, monkeypatch):
+    from neudrift.llm.common import keyed
+
+    trusted = [t for i, t in odd_rows if i is not None and i < 60 and t]
+    p = model_by_hand(trusted)
+    rows = keyed(odd_docs)
+    for frequent in (quality.FREQUENT, 5):
+        monkeypatch.setattr(quality, "FREQUENT", frequent)
+        got = rows.select("key", "text").distinct().join(
+            log_perplexity(rows, spark.createDataFrame([(t,) for t in trusted], "text string")), "key").collect()
+        assert len({r.key for r in got}) == len(got) and {r.text for r in got} == {t or "" for _, t in odd_rows}
+        for r in got:
+            c = classes(r.text)
+            if len(c) == 2:
+                assert r.log_ppl is None
+            else:
+                want = -sum(math.log(p(a, b)) for a, b in zip(c, c[1:])) / (len(c) - 1)
+                assert abs(r.log_ppl - want) < 1e-5
+
+
+def test_probabilities_add_up():
+    rng = random.Random(2)
+    p = model_by_hand([" ".join(rng.choice(WORDS) for _ in range(200)) for _ in range(5)])
+    for a in (0, *classes("alder fir. unseen-word")[1:-1]):
+        assert abs(sum(p(a, b) for b in range(CLASSES)) - 1) < 1e-6
+
+
+def test_discounts_stay_in_range():
+    for counts in ((0, 0, 0, 0), (5, 0, 0, 0), (0, 4, 4, 4), (100, 40, 20, 10), (1, 100, 1, 100)):
+        d = discounts(*counts)
+        assert d[0] == 0 and all(0 < x <= k for k, x in enumerate(d[1:], 1))
+
+
+def test_thresholds(spark):
+    rows = [("en", k / 100) for k in range(1000)] + [("de", 5.0)] * 3 + [(None, 1.0), ("fr", None)]
+    got = {r.lang: r.limit for r in thresholds(spark.createDataFrame(rows, "lang string, log_ppl double"), 0.9).collect()}
+    assert set(got) == {"en", "de", None} and abs(got["en"] - 8.991) < 0.002 and abs(got["de"] - 5.001) < 0.002
+
+
+def prose(rng, n):
+    return " ".join(rng.choice(WORDS[:6] if rng.random() < 0.6 else WORDS) for _ in range(n))
+
+
+def test_good_documents_stay(spark, odd_docs, no_docs):
+    rng = random.Random(6)
+    rows = [(k, prose(rng, 80), "en" if k % 2 else None) for k in range(600)]
+    rows += [(k, " ".join(f"{rng.choice(WORDS).upper()}{rng.randint(0, 10**6)}!!" for _ in range(60)), "en") for k in range(600, 650)]
+    rows += [(700, None, "en"), (701, "", None), (702, prose(rng, 80), "xx"), (None, prose(rng, 50), "en"), (0, rows[0][1], None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    labels = [(k, 1, 0) for k in range(300)] + [(k, 0, 0) for k in range(600, 620)] + [(5, 1, 1), (None, 1, 0), (9999, 1, 0)]
+    labels = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    kept = keep_good(docs, labels, quantile=0.99)
+    assert kept.columns == docs.columns
+    ids = Counter(r.doc_id for r in kept.collect())
+    good = [k for k in range(600) if ids[k]]
+    # The limit is the largest of some 37 held-out texts, so about 1 in 37 others is above it.
+    assert len(good) >= 570 and not any(ids[k] for k in range(600, 702)) and ids[702] == 1 and ids[None] == 1
+    assert ids[0] in (0, 2)
+    assert rated(docs, labels, quantile=0.99).count() == len(rows)
+    # Without trusted text, and with clashing columns, every text with words stays.
+    without = rated(odd_docs, labels.limit(0)).collect()
+    assert all(r.kept == (r.log_ppl is not None) for r in without)
+    assert keep_good(odd_docs, labels.limit(0)).columns == odd_docs.columns
+    assert keep_good(no_docs, labels).count() == 0
+
+
+def test_machine_learns_a_product():
+    """Neither term says anything alone: only both together are positive."""
+    rng = np.random.default_rng(0)
+    a, b = rng.random(3000) < 0.5, rng.random(3000) < 0.5
+    rows = [[i for i, x in enumerate((p, q)) if x] for p, q in zip(a, b)]
+    label = (a ^ b).astype(float)
+    bounds = np.concatenate(([0], np.cumsum([len(r) for r in rows])))
+    feature = np.concatenate([np.array(r, np.int64) for r in rows])
+    machine = toxicity.FactorizationMachine(2, 4).fit(bounds, feature, label, np.ones(3000), epochs=40)
+    logit = machine.logits(np.array([0, 1, 2, 2]), np.array([0, 1, 0, 1]), 4)
+    assert logit[0] > 1 and logit[1] > 1 and logit[2] < -1 and logit[3] < -1
+
+
+def test_toxic_documents_are_found(spark, odd_docs, odd_rows, no_docs):
+    rng = random.Random(8)
+    insults = ["rotter", "scoundrel", "knavish"]
+    texts = [prose(rng, rng.randint(20, 200)) for _ in range(1500)]
+    toxic = [rng.random() < 0.15 for _ in texts]
+    texts = [f"{t} you {rng.choice(insults)}. {prose(rng, 10)}" if y else t for t, y in zip(texts, toxic)]
+    docs = spark.createDataFrame([(k, t) for k, t in enumerate(texts)] + [(None, None), (3, texts[3])], "doc_id long, text string")
+    labels = spark.createDataFrame([(k, int(y)) for k, y in enumerate(toxic) if k % 2] + [(None, 1), (77, None), (99999, 1)],
+                                   "doc_id long, toxic int")
+    model = toxicity.train(docs, labels, per_class=400)
+    got = {r.id: r.score for r in toxicity.score(docs, model).collect()}
+    held_out = [k for k in range(len(texts)) if k % 2 == 0]
+    assert all((got[k] >= 0.3) == toxic[k] for k in held_out)
+    assert len(got) == len(texts) + 1 and 0 <= got[None] < 0.3
+    scores = toxicity.score(odd_docs, model).collect()
+    assert Counter(r.id for r in scores) == Counter(i for i, _ in odd_rows) and all(0 <= r.score <= 1 for r in scores)
+    assert toxicity.score(no_docs, model).count() == 0
+    untrained = toxicity.train(no_docs, labels.limit(0))
+    assert {r.score for r in toxicity.score(odd_docs, untrained).collect()} == {0.5}
