@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from neudrift.functions.buckets import at_midnight, clock_text, day_text
 from neudrift.functions.fixed3 import with_fixed3
 from neudrift.schema import ARCHIVE_COLUMNS, ARCHIVE_HEADER, FREEZE_BYTES
-from neudrift.session import settle
+from neudrift.session import join_small, settle
 from neudrift.sources.files import archive_sizes, archive_text, scan_archive
 
 PARTITION = ("baseline", "date")
@@ -140,7 +140,7 @@ def write_daily(lines: DataFrame, root: str) -> None:
 
 
 def write_archive(spark: SparkSession, rows: DataFrame, root: str, start, end,
-                  freeze_bytes=FREEZE_BYTES, baselines: DataFrame | None = None) -> DataFrame:
+                  freeze_bytes=None, baselines: DataFrame | None = None) -> DataFrame:
     """Bring the archive below `root` up to date and return the status of every partition.
 
     The medians and the states are fixed before anything is written. Only partitions that grow are
@@ -161,8 +161,18 @@ def write_archive(spark: SparkSession, rows: DataFrame, root: str, start, end,
 def export_daily(spark: SparkSession, root: str, folder: str, days=None) -> None:
     """Copy the archive below `root` to files named <baseline>-distance-<yyyymmdd>.neu.
 
-    `folder` must be mounted on every executor. Each file is written under another name first, so
-    that neither a reader nor a repeated task meets half a file.
+    `folder` must be mounted on every executor.
+    """
+    named = archive_text(spark, root, days).select(
+        F.concat("baseline", F.lit("-distance-"), "date", F.lit(".neu")).alias("name"), "line")
+    _export(named, folder)
+
+
+def _export(named: DataFrame, folder: str) -> None:
+    """One file per name, the header first and lines in time order.
+
+    Each file is written under another name first, so that neither a reader nor a repeated task
+    meets half a file.
     """
     def write(rows):
         for name, group in groupby(rows, key=lambda row: row.name):
@@ -172,8 +182,6 @@ def export_daily(spark: SparkSession, root: str, folder: str, days=None) -> None
             os.replace(draft, os.path.join(folder, name))
 
     os.makedirs(folder, exist_ok=True)
-    named = archive_text(spark, root, days).select(
-        F.concat("baseline", F.lit("-distance-"), "date", F.lit(".neu")).alias("name"), "line")
     (
         named.repartition("name")
         .sortWithinPartitions("name", ~F.col("line").startswith("#"), "line")
@@ -198,7 +206,7 @@ def median_lines(rows: DataFrame) -> DataFrame:
     Dates only where every row of the baseline is at midnight.
     """
     dates = rows.groupBy("baseline").agg(F.min(at_midnight(F.col("time")).cast("int")).alias("_dates"))
-    marked = rows.join(dates, "baseline")
+    marked = join_small(rows, dates, "baseline")
     return with_fixed3(marked, ARCHIVE_COLUMNS).select(
         "baseline", "time", _line(time_text(F.col("time"), F.col("_dates") == 1)))
 
@@ -216,5 +224,17 @@ def write_median_files(rows: DataFrame, root: str) -> None:
         lines.repartitionByRange("baseline", F.col("time").asc_nulls_first())
         .sortWithinPartitions("baseline", F.col("time").asc_nulls_first())
         .select("baseline", "line")
-        .write.mode("overwrite").partitionBy("baseline").text(root)
+        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .partitionBy("baseline").text(root)
     )
+
+
+def export_median_files(spark: SparkSession, root: str, folder: str) -> None:
+    """Copy the whole spans below `root` to files named <baseline>-distance.neu.
+
+    `folder` must be mounted on every executor. The part files of a baseline sort in time order.
+    """
+    schema = "line string, baseline string"
+    lines = spark.read.schema(schema).text(root)
+    named = lines.select(F.concat("baseline", F.lit("-distance.neu")).alias("name"), "line")
+    _export(named, folder)

@@ -34,9 +34,9 @@ def exclude_quality(df: DataFrame, codes=EXCLUDED_QUALITY, column="q") -> DataFr
     return df.where(~has_quality(F.col(column), codes)) if codes else df
 
 
-def clean(df: DataFrame, codes=EXCLUDED_QUALITY) -> DataFrame:
-    """The rows that plots and archives are made of."""
-    return exclude_quality(drop_incomplete(df), codes)
+def clean(df: DataFrame, codes=EXCLUDED_QUALITY, columns=VALUE_COLUMNS) -> DataFrame:
+    """The rows that plots and archives are made of; `columns` are those of another layout."""
+    return exclude_quality(drop_incomplete(df, columns), codes)
 
 
 def for_table(df: DataFrame, codes=EXCLUDED_QUALITY) -> DataFrame:

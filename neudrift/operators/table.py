@@ -7,9 +7,6 @@ from neudrift.schema import (
 )
 from neudrift.session import read_or_empty, settle
 
-# Dates named one by one in a table filter; beyond that the range between the ends is read.
-_LISTED_DATES = 1000
-
 
 def unique_by_key(dense: DataFrame, order=("source_file",), keys=ONE_MINUTE_KEY) -> DataFrame:
     """One row per key: that of the first source file by name, remaining ties by value.
@@ -57,10 +54,7 @@ def append_one_minute(spark: SparkSession, dense: DataFrame, path: str) -> None:
 def same_dates(table: DataFrame, batch: DataFrame) -> DataFrame:
     """The partitions of `table` on the dates of `batch`; the dates, a few hundred per year, are
     looked up first so that the scan can skip the others."""
-    dates = [row.date for row in batch.select("date").distinct().toLocalIterator()]
-    if len(dates) <= _LISTED_DATES:
-        return table.where(F.col("date").isin(dates))
-    return table.where(F.col("date").between(min(dates), max(dates)))
+    return table.where(F.col("date").isin([row.date for row in batch.select("date").distinct().toLocalIterator()]))
 
 
 def register_one_minute(spark: SparkSession, name: str, path: str) -> None:

@@ -8,7 +8,7 @@ from neudrift.operators.archive import archive_rows, write_archive, write_median
 from neudrift.operators.clean import clean
 from neudrift.operators.medians import HOT_VALUES
 from neudrift.operators.resample import PAIR, resample_medians
-from neudrift.schema import ARCHIVE_COLUMNS, FREEZE_BYTES
+from neudrift.schema import ARCHIVE_COLUMNS
 from neudrift.session import settle
 from neudrift.sources.files import discover_baselines, list_files, scan_daily
 from neudrift.sources.lines import parse_lines, quarantined, usable
@@ -37,8 +37,11 @@ def unusable_lines(spark: SparkSession, root: str, start=None, end=None) -> Data
 
 
 def run_archive(spark: SparkSession, root: str, target: str, end, start=None, width="1min",
-                freeze_bytes=FREEZE_BYTES, hot_values=HOT_VALUES) -> DataFrame:
-    """Write or grow the days after `start` up to `end` and return the status per partition."""
+                freeze_bytes=None, hot_values=HOT_VALUES) -> DataFrame:
+    """Write or grow the days after `start` up to `end` and return the status per partition.
+
+    `freeze_bytes=FREEZE_BYTES` freezes files by the size that the rule of the former archive names.
+    """
     start = start or end - SPAN
     return write_archive(
         spark, archive_input(spark, root, start, end, width, hot_values), target, start, end,

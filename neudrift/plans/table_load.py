@@ -8,7 +8,7 @@ from neudrift.operators.table import append_one_minute
 from neudrift.schema import DEFAULT_WIDTH, NEWEST_FILES
 from neudrift.session import settle
 from neudrift.sources.files import (
-    STRICT_BASELINE, list_files, list_mounted, mounted, newest_files, scan_files,
+    STRICT_BASELINE, list_all, newest_files, scan_files, skipped_files,
 )
 from neudrift.sources.lines import parse_lines, usable
 
@@ -18,16 +18,18 @@ def densified(lines: DataFrame, width=DEFAULT_WIDTH) -> DataFrame:
     return resample_dense(settle(for_table(usable(parse_lines(lines)))), width)
 
 
-def selected_files(spark: SparkSession, root: str, keep=NEWEST_FILES) -> DataFrame:
-    """The `keep` newest files of each baseline by name, less the empty ones among them.
+def listed(spark: SparkSession, root: str) -> DataFrame:
+    """All files of the baselines below `root`, empty ones included."""
+    return list_all(spark, root).where(F.col("directory").rlike(STRICT_BASELINE))
+
 
-    Empty files are seen in a mounted folder only. Elsewhere Spark does not list them, and the
-    `keep` newest of the others are taken.
-    """
-    listing = list_mounted(spark, root) if mounted(spark, root) else list_files(spark, root, "*")
-    return newest_files(listing.where(F.col("directory").rlike(STRICT_BASELINE)), keep)
+def selected_files(spark: SparkSession, root: str, keep=NEWEST_FILES) -> DataFrame:
+    """The `keep` newest files of each baseline by name, less the empty ones among them."""
+    return newest_files(listed(spark, root), keep)
 
 
-def load_one_minute(spark: SparkSession, root: str, path: str, keep=NEWEST_FILES) -> None:
+def load_one_minute(spark: SparkSession, root: str, path: str, keep=NEWEST_FILES) -> DataFrame:
+    """Load the newest files and return what was left out, per baseline; `keep=None` takes all."""
     lines = scan_files(spark, selected_files(spark, root, keep))
     append_one_minute(spark, densified(lines), path)
+    return skipped_files(listed(spark, root), keep)

@@ -1,10 +1,8 @@
 """Observation files, their listing and selection, and the text archive."""
 
-import os
-from datetime import datetime, timedelta
-from itertools import islice
+from urllib.parse import unquote
 
-import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from neudrift.functions.buckets import day_text
@@ -16,53 +14,57 @@ STRICT_BASELINE = r"([A-Z0-9]{4})-([A-Z0-9]{4})"
 LOOSE_BASELINE = r"^\S+-\S+"
 # <baseline>/<baseline><yyyymmdd>0000b.pos; the part after the baseline has a fixed length.
 _TAIL = len("yyyymmdd0000b.pos")
-# Longest span whose days are named one by one in a file pattern.
-_NAMED_DAYS = 366
 
-_LISTING = "path string, name string, directory string, length long"
+_LISTING = "path string, name string, directory string, length long, modified timestamp"
 
 
-def list_files(spark: SparkSession, root: str, pattern="*.pos") -> DataFrame:
-    """One row per non-empty file below `root`; only names and lengths are read, no content.
+def directories(root: str, baselines=None) -> str:
+    """Pattern of the baselines' directories right below `root`; of all that may be one when None."""
+    return f"{root.rstrip('/')}/{'*-*' if baselines is None else _either(sorted(set(baselines)))}"
 
-    Spark leaves empty files out of every scan; `list_mounted` sees them.
-    """
-    listing = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", True).option("pathGlobFilter", pattern).load(root)
-    )
-    parts = F.split("path", "/")
-    return listing.select(
-        "path", F.element_at(parts, -1).alias("name"), F.element_at(parts, -2).alias("directory"),
-        "length",
-    )
 
+def _either(names) -> str:
+    return "{" + ",".join(names) + "}"
+
+
+def list_below(spark: SparkSession, root: str, pattern: str) -> DataFrame:
+    """One row per non-empty file at any depth below `root`; names, lengths and times only, no content."""
+    return _listing(spark.read.format("binaryFile").option("recursiveFileLookup", True)
+                    .option("pathGlobFilter", pattern).load(root))
+
+
+def list_files(spark: SparkSession, root: str, pattern="*.pos", baselines=None) -> DataFrame:
+    """One row per non-empty file in the baselines' directories right below `root`.
+
+    Spark leaves empty files out of every scan; `list_all` has them.
+    """
+    def read(path):
+        return _listing(spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(path))
 
-def mounted(spark: SparkSession, root: str) -> bool:
-    """Whether `root` is a folder of the machines' own file systems, such as a network mount."""
-    default = spark.sparkContext._jsc.hadoopConfiguration().get("fs.defaultFS") or ""
-    return root.startswith("file:") or ("://" not in root and default.startswith("file:"))
+    return read_or_empty(spark, read, directories(root, baselines), _LISTING)
 
 
-def list_mounted(spark: SparkSession, root: str) -> DataFrame:
-    """As `list_files`, empty files included, for a folder that every executor has mounted.
+def list_all(spark: SparkSession, root: str, pattern="*", baselines=None) -> DataFrame:
+    """As `list_files`, and empty files with length 0, on any file system.
 
-    Only the directory names are listed at the driver; the tasks list the directories.
+    All names come from the file index that Spark makes at the driver for any scan; lengths and
+    times come from the listing.
     """
-    top = root.removeprefix("file://").removeprefix("file:")
-    names = sorted(entry.name for entry in os.scandir(top) if entry.is_dir())
+    def read(path):
+        return spark.read.option("pathGlobFilter", pattern).text(path)
+
+    index = read_or_empty(spark, read, directories(root, baselines), "value string")
+    names = [tuple(unquote(path).rsplit("/", 2)[1:]) for path in index.inputFiles()]
+    known = spark.createDataFrame(names, "directory string, name string")
+    return known.join(list_files(spark, root, pattern, baselines), ["directory", "name"], "left").select(
+        "path", "name", "directory", F.coalesce("length", F.lit(0).cast("long")).alias("length"), "modified")
 
-    def entries(batches):
-        for batch in batches:
-            for directory in batch.directory:
-                files = (entry for entry in os.scandir(os.path.join(top, directory)) if entry.is_file())
-                while rows := [(f"file:{entry.path}", entry.name, directory, entry.stat().st_size)
-                               for entry in islice(files, 10_000)]:
-                    yield pd.DataFrame(rows, columns=["path", "name", "directory", "length"])
 
-    directories = spark.createDataFrame([(name,) for name in names], "directory string")
-    spread = max(1, min(len(names), spark.sparkContext.defaultParallelism * 4))
-    return directories.repartition(spread).mapInPandas(entries, _LISTING)
+def _listing(files: DataFrame) -> DataFrame:
+    parts = F.split("path", "/")
+    return files.select(
+        "path", F.element_at(parts, -1).alias("name"), F.element_at(parts, -2).alias("directory"),
+        "length", F.col("modificationTime").alias("modified"))
 
 
 def baseline_parts(directory: Column):
@@ -104,14 +106,24 @@ def select_file_dates(listing: DataFrame, start, end, day="day") -> DataFrame:
 
 def newest_files(listing: DataFrame, keep=NEWEST_FILES, group="directory") -> DataFrame:
     """Per baseline the `keep` last files by name that start with the baseline's name; empty ones
-    are dropped afterwards, so fewer may remain."""
-    order = Window.partitionBy(group).orderBy(F.desc("name"))
-    return (
-        listing.where(F.col("name").startswith(F.col(group)))
-        .withColumn("_rank", F.row_number().over(order))
-        .where((F.col("_rank") <= keep) & (F.col("length") > 0))
-        .drop("_rank")
-    )
+    are dropped afterwards, so fewer may remain. `keep=None` takes all."""
+    own = listing.where(F.col("name").startswith(F.col(group)))
+    if keep is not None:
+        own = _ranked(own, group).where(F.col("_rank") <= keep).drop("_rank")
+    return own.where("length > 0")
+
+
+def skipped_files(listing: DataFrame, keep=NEWEST_FILES, group="directory") -> DataFrame:
+    """The other non-empty files of each baseline, which `newest_files` leaves out: how many, how
+    many bytes, and the last name."""
+    own = listing.where(F.col("name").startswith(F.col(group)))
+    older = own.where("false") if keep is None else _ranked(own, group).where(F.col("_rank") > keep)
+    return older.where("length > 0").groupBy(group).agg(
+        F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes"), F.max("name").alias("last"))
+
+
+def _ranked(listing, group):
+    return listing.withColumn("_rank", F.row_number().over(Window.partitionBy(group).orderBy(F.desc("name"))))
 
 
 def _day(moment) -> Column:
@@ -125,27 +137,36 @@ def _text(spark, paths, **options):
     return reader.text(paths)
 
 
-def day_pattern(start, end) -> str:
-    """File pattern for the days from `start` to `end` as yyyymmdd, exact for a year at most."""
-    if start is not None and end is not None:
-        first, last = (x.date() if isinstance(x, datetime) else x for x in (start, end))
-        days = [first + timedelta(days=i) for i in range((last - first).days + 1)]
-        if 0 < len(days) <= _NAMED_DAYS:
-            return "{" + ",".join(day.strftime("%Y%m%d") for day in days) + "}"
-    return "[0-9]" * 8
+def month_pattern(start, end) -> str:
+    """File pattern for the months of the days from `start` to `end`, as yyyymm with any day."""
+    if start is None or end is None:
+        return "[0-9]" * 8
+    first, last = (x.year * 12 + x.month - 1 for x in (start, end))
+    months = [f"{m // 12:04d}{m % 12 + 1:02d}" for m in range(first, last + 1)]
+    return (_either(months) if months else "none") + "[0-9][0-9]"
 
 
 def scan_daily(spark: SparkSession, root: str, start=None, end=None, baselines=None,
                skip_unreadable=False) -> DataFrame:
     """Lines of the daily files of a span, tagged with baseline, rover, base and source_file.
 
-    The name pattern keeps other days out of the file list. The other conditions are on file
-    metadata, so files that fail them are not opened; Spark evaluates those once more on every
-    line, so they are plain string functions. Missing and empty files contribute nothing;
-    `skip_unreadable` extends that to corrupt ones.
+    Only the directories of the baselines, right below `root`, are listed, and the name pattern keeps
+    other months out of the list. The other conditions are on file metadata, so files that fail
+    them are not opened; Spark evaluates those once more on every line, so they are plain string
+    functions. Missing and empty files contribute nothing; `skip_unreadable` extends that to corrupt
+    ones.
     """
-    lines = _text(spark, root, recursiveFileLookup=True, ignoreCorruptFiles=skip_unreadable,
-                  pathGlobFilter=f"*-*{day_pattern(start, end)}0000b.pos")
+    def read(path):
+        return _text(spark, path, ignoreCorruptFiles=skip_unreadable,
+                     pathGlobFilter=f"*-*{month_pattern(start, end)}0000b.pos")
+
+    try:
+        lines = read(directories(root, baselines))
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame(
+            [], "value string, baseline string, rover string, base string, source_file string")
     path, name = F.col("_metadata.file_path"), F.col("_metadata.file_name")
     baseline = F.substring(name, F.lit(1), F.length(name) - _TAIL)
     lines = lines.where(path.endswith(F.concat(F.lit("/"), baseline, F.lit("/"), name)))
@@ -184,23 +205,18 @@ ARCHIVE_SCHEMA = ", ".join(
     ["date_time string", *[f"{c} double" for c in ARCHIVE_COLUMNS], "baseline string", "date string"])
 
 
-def _archive_path(root, days):
-    """The archive, or only the folders of some days (yyyymmdd) when they are few."""
-    if days is None or not 0 < len(days) <= _NAMED_DAYS:
-        return root
-    return f"{root}/baseline=*/date={{{','.join(days)}}}"
+def _of_days(rows: DataFrame, days) -> DataFrame:
+    """Rows of some days (yyyymmdd), of all when `days` is None; a condition on the partition column."""
+    return rows if days is None else rows.where(F.col("date").isin(list(days)))
 
 
 def scan_archive(spark: SparkSession, root: str, days=None) -> DataFrame:
     """Rows of the text archive: baseline, date (yyyymmdd), time and the six archive columns."""
     def read(path):
-        return (
-            spark.read.schema(ARCHIVE_SCHEMA).option("sep", "\t").option("comment", "#")
-            .option("basePath", root).csv(path)
-        )
+        return spark.read.schema(ARCHIVE_SCHEMA).option("sep", "\t").option("comment", "#").csv(path)
 
-    rows = read_or_empty(spark, read, _archive_path(root, days), ARCHIVE_SCHEMA)
-    return rows.select(
+    rows = read_or_empty(spark, read, root, ARCHIVE_SCHEMA)
+    return _of_days(rows, days).select(
         "baseline", "date", F.col("date_time").try_cast("timestamp_ntz").alias("time"),
         *ARCHIVE_COLUMNS)
 
@@ -208,18 +224,18 @@ def scan_archive(spark: SparkSession, root: str, days=None) -> DataFrame:
 def archive_text(spark: SparkSession, root: str, days=None) -> DataFrame:
     """Lines of the text archive as they are, headers included: baseline, date, line."""
     schema = "line string, baseline string, date string"
-    return read_or_empty(
-        spark, lambda path: spark.read.schema(schema).option("basePath", root).text(path),
-        _archive_path(root, days), schema)
+    return _of_days(
+        read_or_empty(spark, lambda path: spark.read.schema(schema).text(path), root, schema), days)
 
 
 def archive_sizes(spark: SparkSession, root: str, days=None) -> DataFrame:
     """Bytes per archive partition, from the listing alone."""
     listing = read_or_empty(
-        spark, lambda path: list_files(spark, path, "*.txt"), _archive_path(root, days), _LISTING)
+        spark, lambda path: list_below(spark, path, "*.txt"), root, _LISTING)
+    sizes = listing.select(
+        F.regexp_extract("path", r"/baseline=([^/]+)/", 1).alias("baseline"),
+        F.regexp_extract("path", r"/date=([^/]+)/", 1).alias("date"), "length")
     return (
-        listing.select(
-            F.regexp_extract("path", r"/baseline=([^/]+)/", 1).alias("baseline"),
-            F.regexp_extract("path", r"/date=([^/]+)/", 1).alias("date"), "length")
+        _of_days(sizes, days)
         .groupBy("baseline", "date").agg(F.sum("length").alias("bytes"))
     )

@@ -2,14 +2,15 @@ from datetime import date, datetime, timedelta
 from pathlib import Path
 
 import pandas as pd
+import pytest
 
 from neudrift.operators.archive import (
-    archive_rows, daily_lines, day_names, export_daily, merge_keep_first, period_calendar,
+    archive_rows, daily_lines, day_names, export_daily, export_median_files, median_lines, merge_keep_first, period_calendar,
     period_days, write_archive, write_median_files,
 )
 from neudrift.plans.archive import run_archive, run_median_files, unusable_lines
 from neudrift.schema import ARCHIVE_HEADER, FREEZE_BYTES
-from neudrift.sources.files import archive_sizes, scan_archive
+from neudrift.sources.files import archive_sizes, archive_text, scan_archive
 from posfiles import line, write_pos
 
 ROWS = "rover string, base string, time timestamp_ntz, n double, sdn double, e double, sde double, u double, sdu double"
@@ -78,12 +79,12 @@ def test_written_files_equal_pandas_text(spark, tmp_path):
 def test_states_growth_freeze_and_idempotence(spark, tmp_path):
     target = str(tmp_path / "neu")
     first = minutes(D1, 400) + minutes(D2, 3)
-    write_archive(spark, rows_of(spark, first), target, date(2024, 2, 29), D3)
+    write_archive(spark, rows_of(spark, first), target, date(2024, 2, 29), D3, FREEZE_BYTES)
     before = contents(target)
     assert len(before["SENG-ELDC", "20240301"]) >= FREEZE_BYTES > len(before["SENG-ELDC", "20240302"])
 
     second = minutes(D1, 500, 9.0) + minutes(D2, 6, 9.0) + minutes(D3, 2, 9.0)
-    status = write_archive(spark, rows_of(spark, second), target, date(2024, 2, 29), D3)
+    status = write_archive(spark, rows_of(spark, second), target, date(2024, 2, 29), D3, FREEZE_BYTES)
     assert states(status) == {("SENG-ELDC", "20240301"): "frozen", ("SENG-ELDC", "20240302"): "grown",
                               ("SENG-ELDC", "20240303"): "created"}
     grown = status.where("state = 'grown'").first()
@@ -95,7 +96,7 @@ def test_states_growth_freeze_and_idempotence(spark, tmp_path):
     assert lines[4:] == pandas_text(second[500:506]).splitlines()[4:]
     assert grown.bytes_after == len(after["SENG-ELDC", "20240302"])
 
-    write_archive(spark, rows_of(spark, second), target, date(2024, 2, 29), D3)
+    write_archive(spark, rows_of(spark, second), target, date(2024, 2, 29), D3, FREEZE_BYTES)
     assert contents(target) == after
 
 
@@ -146,7 +147,7 @@ def test_merge_keeps_existing_rows(spark):
 def test_no_freeze(spark, tmp_path):
     target = str(tmp_path / "neu")
     write_archive(spark, rows_of(spark, minutes(D1, 400)), target, date(2024, 2, 29), D1)
-    status = write_archive(spark, rows_of(spark, minutes(D1, 402)), target, date(2024, 2, 29), D1, freeze_bytes=None)
+    status = write_archive(spark, rows_of(spark, minutes(D1, 402)), target, date(2024, 2, 29), D1)
     assert states(status) == {("SENG-ELDC", "20240301"): "grown"}
     assert contents(target)["SENG-ELDC", "20240301"] == pandas_text(minutes(D1, 402))
 
@@ -165,6 +166,43 @@ def test_median_files(spark, tmp_path):
     assert "".join(p.read_text() for p in parts) == pandas_text(points)
 
 
+def test_median_files_of_other_baselines_stay(spark, tmp_path):
+    """A later span replaces the file of its own baseline only; exported under their names."""
+    root, folder = str(tmp_path / "all"), tmp_path / "named"
+    write_median_files(rows_of(spark, minutes(D1, 30)), root)
+    write_median_files(rows_of(spark, minutes(D1, 5, rover="SKSH")), root)
+    write_median_files(rows_of(spark, minutes(D2, 4, rover="SKSH")), root)
+    export_median_files(spark, root, str(folder))
+    assert {p.name: p.read_text() for p in folder.iterdir()} == {
+        "SENG-ELDC-distance.neu": pandas_text(minutes(D1, 30)),
+        "SKSH-ELDC-distance.neu": pandas_text(minutes(D2, 4))}
+
+
+def test_median_lines_do_not_shuffle_rows_by_baseline(spark):
+    rows = rows_of(spark, minutes(D1, 30))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = median_lines(rows)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+@pytest.mark.parametrize("n", [0, 1, 366, 367, 1000])
+def test_any_number_of_days(spark, tmp_path, n):
+    """Days that are asked for are read, however many, and no others."""
+    target, folder = str(tmp_path / "neu"), tmp_path / "named"
+    write_archive(spark, rows_of(spark, minutes(D1, 3) + minutes(D2, 2)), target, date(2024, 2, 29), D2)
+    others = [f"{date(2010, 1, 1) + timedelta(days=k):%Y%m%d}" for k in range(n)]
+    for days, found in ((others, set()), (others[1:] + ["20240302"], {"20240302"})):
+        assert {r.date for r in scan_archive(spark, target, days).collect()} == found
+        assert {r.date for r in archive_text(spark, target, days).collect()} == found
+        assert {r.date for r in archive_sizes(spark, target, days).collect()} == found
+        export_daily(spark, target, str(folder), days)
+        assert {p.name for p in folder.iterdir()} == {f"SENG-ELDC-distance-{d}.neu" for d in found}
+
+
 def test_date_only_median_files(spark):
     points = [("SENG", datetime(2024, 3, d), 1.0) for d in (1, 2)] + minutes(D1, 2, rover="SKSH")
     texts = {r.line.split("\t")[0] for r in daily_lines(rows_of(spark, points)).collect()}

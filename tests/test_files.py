@@ -3,8 +3,8 @@ from datetime import date, datetime
 from pyspark.sql import functions as F
 
 from neudrift.sources.files import (
-    discover_baselines, file_date, list_files, list_mounted, mounted, newest_files, scan_daily,
-    scan_files, select_file_dates,
+    discover_baselines, file_date, list_all, list_files, month_pattern, newest_files, scan_daily,
+    scan_files, select_file_dates, skipped_files,
 )
 from posfiles import line, write_pos
 
@@ -30,12 +30,11 @@ def test_listing_and_discovery(spark, tmp_path):
     loose = {r.baseline for r in discover_baselines(listing, strict=False).collect()}
     assert loose == {"SENG-ELDC", "SKSH-ELDC", "a-b"}
     assert listing.where("length = 0").count() == 0
-    everything = list_mounted(spark, str(tmp_path))
+    everything = list_all(spark, str(tmp_path))
     assert everything.where("length = 0").count() == 1
     columns = ["name", "directory", "length"]
     found = everything.where("length > 0 AND name LIKE '%.pos'").select(columns)
     assert sorted(found.collect()) == sorted(listing.select(columns).collect())
-    assert mounted(spark, str(tmp_path)) and not mounted(spark, "hdfs://host/data")
 
 
 def test_strict_form_is_found_inside_a_name(spark):
@@ -44,7 +43,7 @@ def test_strict_form_is_found_inside_a_name(spark):
 
 
 def test_newest_files_take_names_first_and_drop_empty_ones_after(spark, tmp_path):
-    listing = list_mounted(spark, build(tmp_path)).where("directory like '____-____'")
+    listing = list_all(spark, build(tmp_path)).where("directory like '____-____'")
     names = {}
     for r in newest_files(listing).collect():
         names.setdefault(r.directory, []).append(r.name[9:])
@@ -89,3 +88,33 @@ def test_file_dates(spark):
     dated = listing.withColumn("day", file_date(F.col("name")))
     assert [r.day for r in dated.collect()] == [date(2024, 3, 1), date(2024, 3, 2), None]
     assert select_file_dates(dated, datetime(2024, 3, 1, 23), date(2024, 3, 1)).count() == 1
+
+
+def test_all_files_and_what_is_left_out(spark, tmp_path):
+    listing = list_all(spark, build(tmp_path)).where("directory like '____-____'")
+    assert newest_files(listing, keep=None).where("directory = 'SENG-ELDC'").count() == 9
+    assert skipped_files(listing, keep=None).count() == 0
+    left = {r.directory: (r.files, r["last"][9:17]) for r in skipped_files(listing).collect()}
+    assert left == {"SENG-ELDC": (6, "20240305"), "SKSH-ELDC": (3, "20240303")}
+
+
+def test_nested_folders_are_not_read(spark, tmp_path):
+    root = build(tmp_path)
+    before = scan_daily(spark, root).count(), list_files(spark, root).count(), list_all(spark, root).count()
+    write_pos(tmp_path / "backup", "SENG-ELDC", "20240301", [line("00:00:09.0", n=9.0)])
+    write_pos(tmp_path / "SENG-ELDC", "SKSH-ELDC", "20240301", [line("00:00:09.0", n=9.0)])
+    assert before == (scan_daily(spark, root).count(), list_files(spark, root).count(), list_all(spark, root).count())
+
+
+def test_only_the_baselines_directories_are_listed(spark, tmp_path):
+    root = build(tmp_path)
+    lines = scan_daily(spark, root, datetime(2024, 2, 27), datetime(2024, 3, 9), ["SENG-ELDC", "NONE-HERE"])
+    assert {r.baseline for r in lines.collect()} == {"SENG-ELDC"}
+    assert all("/SENG-ELDC/" in path for path in lines.inputFiles())
+    assert scan_daily(spark, root, baselines=["NONE-HERE"]).count() == 0
+    assert list_all(spark, root, baselines=["NONE-HERE"]).count() == 0
+
+
+def test_months_of_a_span():
+    assert month_pattern(date(2023, 12, 30), date(2024, 2, 1)) == "{202312,202401,202402}[0-9][0-9]"
+    assert month_pattern(None, date(2024, 2, 1)) == "[0-9]" * 8
