@@ -13,16 +13,20 @@ from neudrift.session import join_small, settle
 HOT_VALUES = 1_000_000
 
 
-def hot_keys(rows: DataFrame, keys, columns, hot_values=HOT_VALUES) -> DataFrame | None:
+def hot_keys(rows: DataFrame, keys, columns, hot_values=HOT_VALUES,
+             at_most: int | None = None) -> DataFrame | None:
     """Keys with more than `hot_values` values in `columns`, or None when there are none.
 
-    One narrow pass: only the key columns are read and counts are combined before the shuffle.
+    With a proven bound on the rows of a key, `at_most`, that lies within the limit, nothing is counted.
+    Else there is one narrow pass, run at once: only the key columns are read and counts are combined
+    before the shuffle.
     """
     limit = hot_values // len(columns)
-    crowded = rows.groupBy(*keys).count().where(F.col("count") > limit).drop("count")
-    if crowded.count() == 0:
+    if at_most is not None and at_most <= limit:
         return None
-    return settle(crowded)
+    crowded = rows.groupBy(*keys).count().where(F.col("count") > limit).drop("count")
+    crowded = settle(crowded)
+    return None if crowded.isEmpty() else crowded
 
 
 def medians(rows: DataFrame, keys, columns, hot: DataFrame | None = None) -> DataFrame:
@@ -39,35 +43,46 @@ def medians(rows: DataFrame, keys, columns, hot: DataFrame | None = None) -> Dat
     return _plain(cold, keys, columns).unionByName(_ranked(crowded, keys, columns))
 
 
+# A median keeps the sign of zero, as text shows it: -0.0 comes before 0.0.
+_MINUS_ZERO = "cast('-0.0' AS DOUBLE)"
+
+
 def _plain(rows, keys, columns):
     """Medians of keys within the limit: their sorted values' middle, or the mean of the middle two.
 
     Several times faster and smaller than the built-in `median`, which counts every value in a map
-    of boxed objects. Lists leave nulls out; an empty list has no middle and gives null.
+    of boxed objects. Lists leave nulls out; an empty list has no middle and gives null. Sorting
+    leaves the two zeros in any order, so a zero in the middle gets the sign of its rank.
     """
-    gathered = rows.groupBy(*keys).agg(*[F.collect_list(c).alias(c) for c in columns])
+    gathered = rows.groupBy(*keys).agg(*[F.collect_list(F.col(c).cast("double")).alias(c) for c in columns])
     ordered = gathered.select(*keys, *[F.sort_array(c).alias(c) for c in columns])
+
+    def at(c, rank):
+        below = f"size(filter({c}, x -> x < 0 OR (x = 0 AND cast(x AS STRING) = '-0.0')))"
+        return f"CASE WHEN get({c}, {rank}) = 0 THEN IF({rank} < {below}, {_MINUS_ZERO}, 0D) ELSE get({c}, {rank}) END"
+
     return ordered.select(*keys, *[
-        F.expr(f"get({c}, (size({c}) - 1) div 2) * 0.5D + get({c}, size({c}) div 2) * 0.5D").alias(c)
+        F.expr(f"({at(c, f'((size({c}) - 1) div 2)')}) * 0.5D + ({at(c, f'(size({c}) div 2)')}) * 0.5D").alias(c)
         for c in columns])
 
 
 def _ranked(rows, keys, columns):
     """Medians by rank: equal values are counted first, the counted values are range-partitioned
     by (key, column, value), and only the ranges that hold the middle ranks are looked into."""
+    order = ["value", F.desc("minus_zero")]
     counted = (
         rows.select(*keys, *[F.col(c).cast("double").alias(c) for c in columns])
         .select(*keys, F.explode(F.array(*[
             F.struct(F.lit(c).alias("name"), F.col(c).alias("value")) for c in columns])).alias("_v"))
-        .select(*keys, "_v.name", "_v.value")
-        .groupBy(*keys, "name", "value").agg(F.count(F.lit(1)).alias("n"))
+        .select(*keys, "_v.name", "_v.value",
+                ((F.col("_v.value") == 0) & (F.col("_v.value").cast("string") == "-0.0")).alias("minus_zero"))
+        .groupBy(*keys, "name", "value", "minus_zero").agg(F.count(F.lit(1)).alias("n"))
     )
     # Kept as a table: the range number of a value must not change between the two uses below.
     ranged = settle(
-        counted.repartitionByRange(*keys, "name", "value")
+        counted.repartitionByRange(*keys, "name", *order)
         .withColumn("range", F.spark_partition_id()))
     known = ranged.where(F.col("value").isNotNull())
-
     series = [*keys, "name"]
     totals = known.groupBy(*series, "range").agg(F.sum("n").alias("n"))
     along = Window.partitionBy(*series).orderBy("range")
@@ -81,13 +96,19 @@ def _ranked(rows, keys, columns):
         .select(*series, "range", "before", "low", "high")
     )
     # At most two of a series' ranges hold its two middle ranks.
-    inside = Window.partitionBy(*series, "range").orderBy("value")
+    inside = Window.partitionBy(*series, "range").orderBy(*order)
+    signed = F.when(F.col("minus_zero"), F.expr(_MINUS_ZERO)).otherwise(F.col("value"))
+
+    def at(rank):
+        here = (F.col("upto") - F.col("n") <= F.col(rank)) & (F.col("upto") > F.col(rank))
+        return F.max(F.when(here, signed))
+
     found = (
         join_small(known, middle, [*series, "range"])
         .withColumn("upto", F.col("before") + F.sum("n").over(inside))
         .where((F.col("upto") - F.col("n") <= F.col("high")) & (F.col("upto") > F.col("low")))
         .groupBy(*series)
-        .agg((F.min("value") * 0.5 + F.max("value") * 0.5).alias("median"))
+        .agg((at("low") * 0.5 + at("high") * 0.5).alias("median"))
     )
     wide = found.groupBy(*keys).agg(*[
         F.max(F.when(F.col("name") == c, F.col("median"))).alias(c) for c in columns])

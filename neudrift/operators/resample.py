@@ -37,19 +37,19 @@ def first_days(df: DataFrame, by=PAIR) -> DataFrame:
 
 
 def resample_medians(df: DataFrame, width=DEFAULT_WIDTH, columns=VALUE_COLUMNS, by=PAIR,
-                     hot_values=HOT_VALUES, superset: DataFrame | None = None) -> DataFrame:
+                     hot_values=HOT_VALUES, superset: DataFrame | None = None,
+                     at_most: int | None = None) -> DataFrame:
     """Sparse resampling: one row per series and occupied bucket, exact medians of `columns`.
 
-    `hot_values` is the bucket size (rows times columns) above which the ranked medians take over;
-    None skips the check for inputs whose buckets are known to be small. `superset` may give the rows before filtering,
-    on which the bucket sizes can be counted from fewer columns.
+    `hot_values` is the bucket size (rows times columns) above which the ranked medians take over.
+    Buckets are counted as soon as this is called, unless `at_most`, a proven bound on the rows of
+    a bucket, shows that there is no need. `superset` may give the rows before filtering, on which
+    the bucket sizes can be counted from fewer columns.
     """
     origin = None if divides_day(width) else first_days(df, by)
     keys = [*by, "bucket"]
-    hot = None
-    if hot_values is not None:
-        counted = (df if superset is None else superset).select(*by, "time")
-        hot = hot_keys(with_bucket(counted, width, by, origin), keys, columns, hot_values)
+    counted = (df if superset is None else superset).select(*by, "time")
+    hot = hot_keys(with_bucket(counted, width, by, origin), keys, columns, hot_values, at_most)
     rows = with_bucket(df, width, by, origin).select(*keys, *columns)
     result = medians(rows, keys, columns, hot)
     return drop_empty(result, columns).withColumnRenamed("bucket", "time")
@@ -78,13 +78,13 @@ def bucket_spine(df: DataFrame, width=DEFAULT_WIDTH, by=PER_FILE) -> DataFrame:
 
 
 def resample_dense(df: DataFrame, width=DEFAULT_WIDTH, columns=ONE_MINUTE_METRICS, by=PER_FILE,
-                   hot_values=HOT_VALUES) -> DataFrame:
+                   hot_values=HOT_VALUES, at_most: int | None = None) -> DataFrame:
     """Gap-filled resampling of each source file: also the empty buckets between its first and
     last observation, with null medians; a column may be null in an occupied bucket too."""
     origin = None if divides_day(width) else first_days(df, by)
     keys = [*by, "bucket"]
     rows = with_bucket(df, width, by, origin).select(*keys, *columns)
-    hot = None if hot_values is None else hot_keys(rows, keys, columns, hot_values)
+    hot = hot_keys(rows, keys, columns, hot_values, at_most)
     occupied = medians(rows, keys, columns, hot)
     return (
         bucket_spine(df, width, by).join(occupied, keys, "left")

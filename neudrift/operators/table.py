@@ -1,11 +1,14 @@
 """The de-duplicated one-minute table."""
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
+from neudrift.operators.versions import replace_slots, replace_sources
 from neudrift.schema import (
     ONE_MINUTE_COMMENT, ONE_MINUTE_KEY, ONE_MINUTE_SCHEMA, ONE_MINUTE_SOURCES,
 )
-from neudrift.session import read_or_empty, settle
+from neudrift.session import read_or_empty
 
 
 def unique_by_key(dense: DataFrame, order=("source_file",), keys=ONE_MINUTE_KEY) -> DataFrame:
@@ -29,32 +32,35 @@ def as_one_minute(dense: DataFrame) -> DataFrame:
         for field in ONE_MINUTE_SCHEMA])
 
 
-def new_rows(batch: DataFrame, table: DataFrame, keys=ONE_MINUTE_KEY) -> DataFrame:
-    """Rows of `batch` whose key is not in `table`."""
-    return batch.join(table.select(*keys), list(keys), "left_anti")
-
-
 def read_one_minute(spark: SparkSession, path: str) -> DataFrame:
     dated = ONE_MINUTE_SCHEMA.simpleString()[len("struct<"):-1].replace(":", " ").replace(",", ", ")
     schema = f"{dated}, date date"
     return read_or_empty(spark, lambda p: spark.read.schema(schema).parquet(p), path, schema)
 
 
-def append_one_minute(spark: SparkSession, dense: DataFrame, path: str) -> None:
-    """Append the rows of a densified batch that the table does not hold yet, by date partition.
+def load_dense(spark: SparkSession, dense: DataFrame, sources: DataFrame, path: str) -> None:
+    """Bring the table up to date with new readings of some source files, densified.
 
-    Only the dates of the batch are read back from the table. A repeated append adds nothing.
+    A newer reading of a file takes the place of its older one; between files the first name wins, in
+    whatever order they are loaded. The files' rows are kept below `path`/_files, by date, and the
+    table's dates that they touch are made again.
     """
-    batch = settle(as_one_minute(unique_by_key(dense)).withColumn("date", F.to_date("time")))
-    table = read_one_minute(spark, path)
-    fresh = new_rows(batch, same_dates(table, batch))
-    fresh.hint("rebalance", "date").write.mode("append").partitionBy("date").parquet(path)
+    def derive(stored, dates):
+        table = as_one_minute(unique_by_key(stored.drop("slot"))).withColumn("date", F.to_date("time"))
+        replace_slots(table, dates, path, "date")
+
+    rows = dense.withColumn("slot", F.to_date("time").cast("string"))
+    replace_sources(rows, sources, f"{path}/_files", derive)
 
 
-def same_dates(table: DataFrame, batch: DataFrame) -> DataFrame:
-    """The partitions of `table` on the dates of `batch`; the dates, a few hundred per year, are
-    looked up first so that the scan can skip the others."""
-    return table.where(F.col("date").isin([row.date for row in batch.select("date").distinct().toLocalIterator()]))
+def append_one_minute(spark: SparkSession, dense: DataFrame, path: str) -> None:
+    """As `load_dense`, for rows that come without a listing: they are all rows of their files, in a
+    reading that counts from now on."""
+    version = F.lit(uuid.uuid4().hex)
+    sources = dense.select("source_file").distinct().select(
+        "source_file", F.hex(F.xxhash64("source_file", version)).alias("version"),
+        F.lit(None).cast("long").alias("length"), F.lit(None).cast("timestamp").alias("modified"))
+    load_dense(spark, dense, sources, path)
 
 
 def register_one_minute(spark: SparkSession, name: str, path: str) -> None:

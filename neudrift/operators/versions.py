@@ -1,0 +1,98 @@
+"""Rows of source files that may grow or be replaced, each stored in its newest reading.
+
+A store is a folder with `rows`, a table partitioned by slot and file version, and `manifest`, numbered
+listings of the sources with the version that counts. A reading is stored under a new version, what is
+derived from the touched slots is computed from the versions that will count, and only then is the
+next manifest written; after that the older versions are deleted. A step that is repeated
+after a failure finds the old manifest and leaves the same result.
+"""
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from neudrift.session import children, delete, join_small, read_or_empty, rename, settle
+
+SOURCES = "source_file string, version string, length long, modified timestamp"
+
+
+def file_versions(files: DataFrame) -> DataFrame:
+    """Sources of a listing (path, length, modified): the version follows from all three."""
+    return files.select(
+        F.col("path").alias("source_file"),
+        F.hex(F.xxhash64("path", "length", "modified")).alias("version"), "length", "modified")
+
+
+def manifest(spark: SparkSession, store: str) -> DataFrame:
+    """The sources that the store holds."""
+    found = children(spark, f"{store}/manifest")
+    if not found:
+        return spark.createDataFrame([], SOURCES)
+    return spark.read.schema(SOURCES).parquet(f"{store}/manifest/{max(found)}")
+
+
+def changed_sources(sources: DataFrame, store: str) -> DataFrame:
+    """The sources whose version the store does not hold."""
+    known = manifest(sources.sparkSession, store).select("source_file", "version")
+    return sources.join(known, ["source_file", "version"], "left_anti")
+
+
+def replace_sources(rows: DataFrame, sources: DataFrame, store: str,
+                    derive: Callable[[DataFrame, list], None]) -> list:
+    """Take in new readings of some sources and bring what is derived from them up to date.
+
+    `rows` holds all rows of the `sources`, with `slot` and `source_file`. `derive(stored, slots)` gets the
+    slots that have or had rows of these sources, and all rows that count in them. Only the
+    slots' names and the versions that go out of use pass through the driver.
+    """
+    spark, folder = rows.sparkSession, f"{store}/rows"
+    before, sources = manifest(spark, store), settle(sources.dropDuplicates(["source_file"]))
+    after = settle(before.join(sources.select("source_file"), "source_file", "left_anti").unionByName(sources))
+    (
+        join_small(rows, sources.select("source_file", "version"), "source_file")
+        .hint("rebalance", "slot", "version")
+        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .partitionBy("slot", "version").parquet(folder)
+    )
+    old = before.join(sources.select("source_file"), "source_file", "left_semi").join(
+        sources.select("version"), "version", "left_anti")
+    old = [row.version for row in old.select("version").toLocalIterator()]
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema if f.name != "slot")
+    stored = read_or_empty(
+        spark, lambda path: spark.read.schema(f"{schema}, slot string, version string").parquet(path), folder,
+        f"{schema}, slot string, version string")
+    versions = sources.select("version").union(spark.createDataFrame([(v,) for v in old], "version string"))
+    touched = join_small(stored.select("slot", "version"), versions, "version", "left_semi")
+    slots = sorted(row.slot for row in touched.select("slot").distinct().toLocalIterator())
+    if slots:
+        current = join_small(stored.where(F.col("slot").isin(slots)), after.select("version"), "version", "left_semi")
+        derive(current.drop("version"), slots)
+    _commit(spark, after, store)
+    for slot in slots:
+        for version in old:
+            delete(spark, f"{folder}/slot={slot}/version={version}")
+    return slots
+
+
+def _commit(spark, after, store):
+    found = children(spark, f"{store}/manifest")
+    number = int(max(found)) + 1 if found else 0
+    draft = f"{store}/.draft"
+    after.coalesce(1).write.mode("overwrite").parquet(draft)
+    rename(spark, draft, f"{store}/manifest/{number:010d}")
+    for name in found[:-1]:
+        delete(spark, f"{store}/manifest/{name}")
+
+
+def replace_slots(df: DataFrame, slots: list, path: str, column="slot") -> None:
+    """Write the partitions of `df`, and remove those of `slots` for which it has no rows any more."""
+    df = settle(df)
+    (
+        df.hint("rebalance", column)
+        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .partitionBy(column).parquet(path)
+    )
+    full = {str(row[0]) for row in df.select(column).distinct().toLocalIterator()}
+    for slot in slots:
+        if slot not in full:
+            delete(df.sparkSession, f"{path}/{column}={slot}")

@@ -9,8 +9,8 @@ from neudrift.operators.clean import clean
 from neudrift.operators.medians import HOT_VALUES
 from neudrift.operators.resample import PAIR, resample_medians
 from neudrift.schema import ARCHIVE_COLUMNS
-from neudrift.session import settle
-from neudrift.sources.files import discover_baselines, list_files, scan_daily
+from neudrift.session import kept, settle, settling
+from neudrift.sources.files import discover_baselines, list_files, most_rows, scan_daily
 from neudrift.sources.lines import parse_lines, quarantined, usable
 
 SPAN = timedelta(days=5)
@@ -20,15 +20,17 @@ def archive_input(spark: SparkSession, root: str, start, end, width="1min",
                   hot_values=HOT_VALUES) -> DataFrame:
     """Archive rows of a span.
 
-    The text is parsed once; the parsed rows are set aside and read twice, to count bucket sizes
-    and for the medians. With `hot_values=None`, for sources whose rate is known to be modest,
-    nothing is counted and nothing set aside.
+    The listing bounds the rows of a bucket. Where that proves that no bucket is hot, the text is parsed
+    once and nothing is counted or set aside; else the parsed rows are set aside and read twice, to
+    count bucket sizes and for the medians.
     """
+    at_most = most_rows(spark, root, start, end)
     observed = clean(usable(parse_lines(scan_daily(spark, root, start, end))))
     rows = observed.select(*PAIR, "time", *ARCHIVE_COLUMNS)
-    if hot_values is not None:
+    if at_most > hot_values // len(ARCHIVE_COLUMNS):
         rows = settle(rows)
-    return archive_rows(resample_medians(rows, width, ARCHIVE_COLUMNS, hot_values=hot_values))
+    return archive_rows(resample_medians(
+        rows, width, ARCHIVE_COLUMNS, hot_values=hot_values, at_most=at_most))
 
 
 def unusable_lines(spark: SparkSession, root: str, start=None, end=None) -> DataFrame:
@@ -43,16 +45,18 @@ def run_archive(spark: SparkSession, root: str, target: str, end, start=None, wi
     `freeze_bytes=FREEZE_BYTES` freezes files by the size that the rule of the former archive names.
     """
     start = start or end - SPAN
-    return write_archive(
-        spark, archive_input(spark, root, start, end, width, hot_values), target, start, end,
-        freeze_bytes, discover_baselines(list_files(spark, root), strict=False))
+    with settling(spark):
+        return kept(write_archive(
+            spark, archive_input(spark, root, start, end, width, hot_values), target, start, end,
+            freeze_bytes, discover_baselines(list_files(spark, root), strict=False)))
 
 
 def run_median_files(spark: SparkSession, root: str, target: str, start, end, width="1min",
                      hot_values=HOT_VALUES) -> bool:
     """Write the whole span of each baseline; False, and no file, when there is no data."""
-    rows = settle(archive_input(spark, root, start, end, width, hot_values))
-    if rows.isEmpty():
-        return False
-    write_median_files(rows, target)
-    return True
+    with settling(spark):
+        rows = settle(archive_input(spark, root, start, end, width, hot_values))
+        if rows.isEmpty():
+            return False
+        write_median_files(rows, target)
+        return True

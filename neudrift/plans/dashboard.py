@@ -1,11 +1,12 @@
 """The monitoring dashboard: groups of baselines drawn together, each over several ranges."""
 
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from neudrift.functions.buckets import (
-    clock_text, minute_text, ntz, preset_span, resolve_range,
+    clock_text, divides_day, minute_text, ntz, preset_span, resolve_range,
 )
 from neudrift.operators.clean import clean
 from neudrift.operators.medians import HOT_VALUES
@@ -15,8 +16,8 @@ from neudrift.operators.series import (
     slice_time,
 )
 from neudrift.schema import COMPONENTS, DASHBOARD_GROUPS, DASHBOARD_PRESETS, DEFAULT_WIDTH
-from neudrift.session import join_small, settle
-from neudrift.sources.files import base_of, rover_of, scan_daily
+from neudrift.session import join_small, kept, settle, settling
+from neudrift.sources.files import base_of, most_rows, rover_of, scan_daily
 from neudrift.sources.lines import parse_lines, usable
 
 # Fixed value: how figure names begin.
@@ -64,29 +65,37 @@ def slice_figures(resampled: DataFrame, figures: DataFrame, columns=COMPONENTS,
 
 def dashboard_series(rows: DataFrame, groups: DataFrame, ranges, width=DEFAULT_WIDTH,
                      at_most: int | None = None, hot_values=HOT_VALUES,
-                     superset: DataFrame | None = None) -> DataFrame:
+                     superset: DataFrame | None = None, bucket_rows: int | None = None) -> DataFrame:
     """All points of all figures: figure, component, rover, base, time, value_cm.
 
     `rows` are clean observations. Baselines are resampled once, over the widest range, however many
-    figures use them. `at_most` is the number of rows of `groups`, if known.
+    figures use them; with a width that does not divide a day once per range, since buckets are then
+    counted from the first day of the range. `at_most` is the number of rows of `groups`, if known, and
+    `bucket_rows` a proven bound on the rows of a bucket.
     """
     members = groups.select(*PAIR).distinct()
-    first = min(start for _, start, _ in ranges)
-    last = max(end for _, _, end in ranges)
     if at_most is None:
         at_most = groups.count()
 
-    def needed(df):
-        return join_small(observations_for_slice(df, first, last, width), members, list(PAIR),
-                          "left_semi", at_most=at_most)
-
-    resampled = resample_medians(
-        needed(rows), width, COMPONENTS, hot_values=hot_values,
-        superset=needed(rows if superset is None else superset))
-    figures = expand_figures(groups, ranges)
-    bound = at_most * len(ranges)
-    sliced = slice_figures(resampled, figures, at_most=bound)
-    moved = displacement_cm(sliced, ("figure", *PAIR), at_most=bound)
+    def resampled(first, last):
+        def needed(df):
+            return join_small(observations_for_slice(df, first, last, width), members, list(PAIR),
+                              "left_semi", at_most=at_most)
+
+        return resample_medians(
+            needed(rows), width, COMPONENTS, hot_values=hot_values,
+            superset=needed(rows if superset is None else superset), at_most=bucket_rows)
+
+    def sliced(buckets, some):
+        return slice_figures(buckets, expand_figures(groups, some), at_most=at_most * len(some))
+
+    if divides_day(width):
+        buckets = resampled(min(start for _, start, _ in ranges), max(end for _, _, end in ranges))
+        points = sliced(buckets, ranges)
+    else:
+        points = reduce(DataFrame.unionByName, [
+            sliced(resampled(one[1], one[2]), [one]) for one in ranges])
+    moved = displacement_cm(points, ("figure", *PAIR), at_most=at_most * len(ranges))
     return component_series(moved, ("figure", *PAIR))
 
 
@@ -114,32 +123,51 @@ def explicit_range_catalog(groups: DataFrame, start: datetime, end: datetime, ki
     )
 
 
-def plot_rows(spark: SparkSession, root: str, start, end, baselines, width) -> DataFrame:
-    """Clean observations of some baselines. The text is parsed once; the rows are read twice."""
+def plot_rows(spark: SparkSession, root: str, start, end, baselines, width):
+    """Clean observations of some baselines, and a bound on the rows of a bucket if that is within the limit
+    of hot buckets. Else the text is parsed once, and the rows are set aside to be read twice."""
+    bound = most_rows(spark, root, start, end, baselines)
     parsed = usable(parse_lines(scan_daily(spark, root, start, end, list(baselines))))
-    return settle(clean(observations_for_slice(parsed, start, end, width)).select(
-        *PAIR, "time", *COMPONENTS))
+    rows = clean(observations_for_slice(parsed, start, end, width)).select(*PAIR, "time", *COMPONENTS)
+    return (rows, bound) if bound <= HOT_VALUES // len(COMPONENTS) else (settle(rows), None)
 
 
 def run_dashboard(spark: SparkSession, root: str, groups=DASHBOARD_GROUPS, presets=DASHBOARD_PRESETS,
-                  as_of=None, width=DEFAULT_WIDTH):
-    """(series, axis ranges, figure catalog) of the dashboard over a folder of daily files."""
-    _, end, _ = resolve_range(as_of=as_of)
-    ranges = preset_ranges(presets, end)
+                  as_of=None, width=DEFAULT_WIDTH, end=None):
+    """(series, axis ranges, figure catalog) of the dashboard over a folder of daily files.
+
+    An explicit `end` is part of the figures' names; without one they are live, up to `as_of`.
+    """
+    _, last, _ = resolve_range(end=end, as_of=as_of)
+    ranges = preset_ranges(presets, last)
     baselines = sorted({name for group in groups for name in group})
-    rows = plot_rows(spark, root, min(r[1] for r in ranges), end, baselines, width)
     frame = group_frame(spark, groups)
-    series = settle(dashboard_series(
-        rows, frame, ranges, width, at_most=sum(len(group) for group in groups)))
+    with settling(spark):
+        rows, bound = plot_rows(spark, root, min(r[1] for r in ranges), last, baselines, width)
+        series = kept(dashboard_series(
+            rows, frame, ranges, width, at_most=sum(len(group) for group in groups), bucket_rows=bound))
     figures = expand_figures(frame, ranges)
-    return series, axis_range(series), figure_catalog(figures)
+    return series, axis_range(series), figure_catalog(figures, live=end is None)
 
 
 def plot_series(spark: SparkSession, root: str, baselines, preset="twodays", start=None, end=None,
                 as_of=None, width=DEFAULT_WIDTH) -> DataFrame:
     """Points of one figure: the given baselines over a preset or an explicit range."""
     start, end, preset = resolve_range(preset, start, end, as_of)
-    rows = plot_rows(spark, root, start, end, baselines, width)
-    resampled = resample_medians(rows, width, COMPONENTS)
-    moved = displacement_cm(slice_time(resampled, start, end), PAIR, at_most=len(set(baselines)))
-    return component_series(moved, PAIR).withColumn("label", component_label(F.col("component")))
+    with settling(spark):
+        rows, bound = plot_rows(spark, root, start, end, baselines, width)
+        resampled = resample_medians(rows, width, COMPONENTS, at_most=bound)
+        moved = displacement_cm(slice_time(resampled, start, end), PAIR, at_most=len(set(baselines)))
+        return kept(component_series(moved, PAIR).withColumn("label", component_label(F.col("component"))))
+
+
+def plot_catalog(spark: SparkSession, baselines, preset="twodays", start=None, end=None, as_of=None,
+                 kind="png") -> DataFrame:
+    """Name, title and time marker of the figure that `plot_series` gives the points of."""
+    groups = group_frame(spark, [tuple(baselines)])
+    live = end is None
+    first, last, name = resolve_range(preset, start, end, as_of)
+    if name is None:
+        return explicit_range_catalog(groups, first, last, kind)
+    figures = expand_figures(groups, [(name, first, last)])
+    return figure_catalog(figures, kind, live).select("file_name", "title", "marker")

@@ -3,19 +3,29 @@
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from neudrift.operators.clean import for_table
+from neudrift.operators.medians import HOT_VALUES
 from neudrift.operators.resample import resample_dense
-from neudrift.operators.table import append_one_minute
-from neudrift.schema import DEFAULT_WIDTH, NEWEST_FILES
-from neudrift.session import settle
+from neudrift.operators.table import load_dense
+from neudrift.operators.versions import changed_sources, file_versions
+from neudrift.schema import DEFAULT_WIDTH, NEWEST_FILES, ONE_MINUTE_METRICS
+from neudrift.session import kept, settle, settling
 from neudrift.sources.files import (
-    STRICT_BASELINE, list_all, newest_files, scan_files, skipped_files,
+    SHORTEST_DATED, STRICT_BASELINE, list_all, newest_files, skipped_files,
 )
 from neudrift.sources.lines import parse_lines, usable
+from neudrift.streaming.refresh import read_changed, relative_names
 
 
-def densified(lines: DataFrame, width=DEFAULT_WIDTH) -> DataFrame:
-    """Gap-filled medians per file. The text is parsed once; the parsed rows are read three times."""
-    return resample_dense(settle(for_table(usable(parse_lines(lines)))), width)
+def densified(lines: DataFrame, width=DEFAULT_WIDTH, at_most: int | None = None) -> DataFrame:
+    """Gap-filled medians per file; `at_most` is a proven bound on the lines of a file.
+
+    Within the limit of hot buckets nothing is counted or set aside. Else the text is parsed once, and the
+    parsed rows are read three times.
+    """
+    rows = for_table(usable(parse_lines(lines)))
+    if at_most is None or at_most > HOT_VALUES // len(ONE_MINUTE_METRICS):
+        rows, at_most = settle(rows), None
+    return resample_dense(rows, width, at_most=at_most)
 
 
 def listed(spark: SparkSession, root: str) -> DataFrame:
@@ -29,7 +39,13 @@ def selected_files(spark: SparkSession, root: str, keep=NEWEST_FILES) -> DataFra
 
 
 def load_one_minute(spark: SparkSession, root: str, path: str, keep=NEWEST_FILES) -> DataFrame:
-    """Load the newest files and return what was left out, per baseline; `keep=None` takes all."""
-    lines = scan_files(spark, selected_files(spark, root, keep))
-    append_one_minute(spark, densified(lines), path)
-    return skipped_files(listed(spark, root), keep)
+    """Load the newest files, as far as they have changed since the last load, and return what was left
+    out, per baseline; `keep=None` takes all."""
+    with settling(spark):
+        files = settle(listed(spark, root))
+        sources = file_versions(relative_names(newest_files(files, keep)))
+        sources, lines = read_changed(spark, root, changed_sources(sources, f"{path}/_files"))
+        if lines is not None:
+            longest = sources.agg(F.max("length")).first()[0] // SHORTEST_DATED
+            load_dense(spark, densified(lines, at_most=longest), sources, path)
+        return kept(skipped_files(files, keep))

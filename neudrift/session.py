@@ -1,7 +1,9 @@
 """Where intermediate results are kept, and the session settings the jobs are tuned for."""
 
 import tempfile
+import threading
 import uuid
+from contextlib import contextmanager
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -14,8 +16,12 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Checkpoint files go when the last frame that uses them is gone.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
+_scopes = threading.local()
+
 
 def workspace(spark: SparkSession) -> str:
     """Folder for intermediate tables: the cluster's checkpoint folder, shared by all executors.
@@ -39,16 +45,68 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{workspace(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def settling(spark: SparkSession):
+    """A job: the tables that `settle` writes in it are deleted at its end.
+
+    What a job returns must not depend on them; see `kept`.
+    """
+    outer, _scopes.paths = getattr(_scopes, "paths", None), []
+    try:
+        yield
+    finally:
+        for path in _scopes.paths:
+            delete(spark, path)
+        _scopes.paths = outer
+
+
 def settle(df: DataFrame) -> DataFrame:
     """Compute once, into a table of the workspace, and go on from there.
 
-    A lost executor does not lose the table, and the planner knows its size.
+    A lost executor does not lose the table. Within a job it is a Parquet table that the job deletes;
+    outside it is a checkpoint, which Spark deletes when nothing uses it any more.
     """
+    paths = getattr(_scopes, "paths", None)
+    if paths is None:
+        return kept(df)
     spark, path = df.sparkSession, scratch_path(df.sparkSession, "settled")
+    paths.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def kept(df: DataFrame) -> DataFrame:
+    """Compute once what a job returns."""
+    workspace(df.sparkSession)
+    return df.checkpoint()
+
+
+def _file_system(spark: SparkSession, path: str):
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    files, where = _file_system(spark, path)
+    files.delete(where, True)
+
+
+def rename(spark: SparkSession, path: str, target: str) -> None:
+    files, where = _file_system(spark, path)
+    goal = spark._jvm.org.apache.hadoop.fs.Path(target)
+    files.mkdirs(goal.getParent())
+    if not files.rename(where, goal):
+        raise OSError(f"{path} could not be renamed to {target}")
+
+
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder, sorted; none if it does not exist."""
+    files, where = _file_system(spark, path)
+    if not files.exists(where):
+        return []
+    return sorted(status.getPath().getName() for status in files.listStatus(where))
+
+
 def join_small(left: DataFrame, small: DataFrame, on, how="inner", at_most=None) -> DataFrame:
     """Join a side that is expected to be small.
 

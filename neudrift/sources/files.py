@@ -6,7 +6,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from neudrift.functions.buckets import day_text
-from neudrift.schema import ARCHIVE_COLUMNS, NEWEST_FILES
+from neudrift.schema import ARCHIVE_COLUMNS, BASELINE_LAYOUT, NEWEST_FILES
 from neudrift.session import read_or_empty
 
 # Directory names that count as baselines: the strict form is searched anywhere in the name.
@@ -15,6 +15,11 @@ LOOSE_BASELINE = r"^\S+-\S+"
 # <baseline>/<baseline><yyyymmdd>0000b.pos; the part after the baseline has a fixed length.
 _TAIL = len("yyyymmdd0000b.pos")
 
+# Bytes of the shortest line that has a time, and of the shortest one that has all values too, line
+# ends included. A file holds no more rows than its bytes allow.
+SHORTEST_DATED = len("2024/03/01 00:00:00.0\n")
+SHORTEST_COMPLETE = SHORTEST_DATED + 2 * len(BASELINE_LAYOUT)
+
 _LISTING = "path string, name string, directory string, length long, modified timestamp"
 
 
@@ -126,6 +131,13 @@ def _ranked(listing, group):
     return listing.withColumn("_rank", F.row_number().over(Window.partitionBy(group).orderBy(F.desc("name"))))
 
 
+def most_rows(spark: SparkSession, root: str, start=None, end=None, baselines=None) -> int:
+    """A bound on the complete rows that any baseline's daily files of a span can hold, from the listing."""
+    files = list_files(spark, root, f"*-*{month_pattern(start, end)}0000b.pos", baselines)
+    largest = files.groupBy("directory").agg(F.sum("length").alias("bytes")).agg(F.max("bytes")).first()[0]
+    return (largest or 0) // SHORTEST_COMPLETE
+
+
 def _day(moment) -> Column:
     return moment if isinstance(moment, Column) else F.lit(str(moment)).cast("date")
 

@@ -1,26 +1,38 @@
 """Incremental loading of the one-minute table."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from neudrift.operators.resample import resample_dense
 from neudrift.operators.table import append_one_minute
+from neudrift.plans.table_load import load_one_minute
 from neudrift.schema import DEFAULT_WIDTH
+from neudrift.session import settling
+from neudrift.streaming.refresh import ticking
 
 
 def stream_one_minute(prepared: DataFrame, table: str, checkpoint: str, width=DEFAULT_WIDTH,
                       trigger=None) -> StreamingQuery:
-    """Start a query that fills gaps per source file and appends the keys the table lacks.
+    """Start a query that fills gaps per source file and loads the files into the table.
 
     `prepared` has the columns of `for_table`. A file is read within one micro-batch, so its span
-    is known whole. The checkpoint remembers the files done, in place of looking at the newest few.
+    is known whole. Between files the first name wins, in whatever order they arrive. A stream reads a path
+    once; files that grow are for `follow_one_minute`.
     """
     spark = prepared.sparkSession
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
-        append_one_minute(spark, resample_dense(batch, width), table)
-        batch.unpersist()
+        with settling(spark):
+            batch.persist()
+            if not batch.isEmpty():
+                append_one_minute(spark, resample_dense(batch, width), table)
+            batch.unpersist()
 
     writer = prepared.writeStream.option("checkpointLocation", checkpoint).foreachBatch(load)
     return writer.trigger(**(trigger or {"processingTime": "5 minutes"})).start()
+
+
+def follow_one_minute(spark: SparkSession, root: str, table: str, checkpoint: str, trigger=None,
+                      **options) -> StreamingQuery:
+    """Start a query that calls `load_one_minute` at every trigger, so that files may grow."""
+    return ticking(spark, lambda: load_one_minute(spark, root, table, **options), checkpoint, trigger)

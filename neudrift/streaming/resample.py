@@ -1,15 +1,43 @@
-"""Medians kept up to date while observations arrive."""
+"""Medians kept up to date while observations arrive and files grow."""
+
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from neudrift.functions.buckets import bucket_start, hour_text
+from neudrift.functions.buckets import bucket_start, divides_day, hour_text
+from neudrift.operators.clean import clean
 from neudrift.operators.medians import HOT_VALUES
 from neudrift.operators.resample import PAIR, resample_medians
+from neudrift.operators.versions import changed_sources, file_versions, replace_slots, replace_sources
 from neudrift.schema import DEFAULT_WIDTH, VALUE_COLUMNS
+from neudrift.session import settling
+from neudrift.sources.files import list_files
+from neudrift.sources.lines import parse_lines, usable
+from neudrift.streaming.refresh import read_changed, relative_names, ticking
+
+EVERY_SLOT = "all"
+
 
-# Partitions named one by one when reading back; beyond that the range between the ends is read.
-_LISTED_SLOTS = 1000
+def refresh_medians(spark: SparkSession, root: str, target: str, width=DEFAULT_WIDTH,
+                    columns=VALUE_COLUMNS, slot="1h", hot_values=HOT_VALUES) -> list:
+    """Bring `target`/medians up to date with the daily files below `root`; the slots it touched.
+
+    Files are compared with those of the last call by name, length and time of change. A changed file
+    is read again whole and takes the place of its older reading; rows of a file that is gone stay.
+    """
+    with settling(spark):
+        sources = changed_sources(file_versions(relative_names(list_files(spark, root))), target)
+        sources, lines = read_changed(spark, root, sources)
+        if lines is None:
+            return []
+        return _take_in(clean(usable(parse_lines(lines))), sources, target, width, columns, slot, hot_values)
+
+
+def follow_medians(spark: SparkSession, root: str, target: str, checkpoint: str, trigger=None,
+                   **options) -> StreamingQuery:
+    """Start a query that calls `refresh_medians` at every trigger."""
+    return ticking(spark, lambda: refresh_medians(spark, root, target, **options), checkpoint, trigger)
 
 
 def stream_medians(cleaned: DataFrame, target: str, checkpoint: str, width=DEFAULT_WIDTH,
@@ -18,24 +46,31 @@ def stream_medians(cleaned: DataFrame, target: str, checkpoint: str, width=DEFAU
     """Start a query that keeps `target`/medians equal to a batch resampling of all rows so far.
 
     An exact median needs every value of its bucket. Instead of holding them as state of one key,
-    each micro-batch adds its rows to `target`/observations, partitioned by the hour (`slot`) in
-    which their bucket starts, and the buckets of the hours it touched are computed again by the
-    batch operator. Choose a longer slot where one batch spans months. So
-    hot buckets are split as in batch, any late row is taken in, however late, and nothing expires.
-    Both writes replace whole partitions: a repeated batch leaves the same result.
+    each micro-batch adds its rows to `target`/rows, partitioned by the hour (`slot`) in which their
+    bucket starts, and the buckets of the hours it touched are computed again by the batch operator.
+    Choose a longer slot where one batch spans months. So hot buckets are split as in batch, any late
+    row is taken in, however late, and nothing expires. A width that does not divide a day is
+    counted from the first day of a series, which a late row can move; then all buckets are
+    computed again each time.
+
+    Rows with a `source_file` are taken as a new reading of that file, all of it; a file that grows after
+    it was read is for `follow_medians`, since a stream reads a path once. Rows of other streams are
+    told apart by checkpoint and micro-batch. A repeated batch leaves the same result.
     """
     spark = cleaned.sparkSession
 
     def update(batch: DataFrame, batch_id: int) -> None:
-        rows = batch.select(
-            *PAIR, "time", *columns, _slot(bucket_start(F.col("time"), width), slot).alias("slot"), F.lit(batch_id).alias("batch"))
-        rows.persist()
-        slots = sorted(row.slot for row in rows.select("slot").distinct().toLocalIterator())
-        if slots:
-            _store(rows, f"{target}/observations")
-            stored = _read_slots(spark, f"{target}/observations", slots)
-            _refresh(stored, f"{target}/medians", width, columns, slot, hot_values)
-        rows.unpersist()
+        with settling(spark):
+            rows = batch
+            if "source_file" not in rows.columns:
+                rows = rows.withColumn("source_file", F.lit(f"{checkpoint}/{batch_id}"))
+            rows = rows.select(*PAIR, "time", *columns, "source_file").persist()
+            sources = rows.select("source_file").distinct().select(
+                "source_file", F.hex(F.xxhash64("source_file", F.lit(uuid.uuid4().hex))).alias("version"),
+                F.lit(None).cast("long").alias("length"), F.lit(None).cast("timestamp").alias("modified"))
+            if not rows.isEmpty():
+                _take_in(rows, sources, target, width, columns, slot, hot_values)
+            rows.unpersist()
 
     writer = cleaned.writeStream.option("checkpointLocation", checkpoint).foreachBatch(update)
     return writer.trigger(**(trigger or {"processingTime": "5 minutes"})).start()
@@ -49,26 +84,17 @@ def _slot(bucket, slot):
     return hour_text(bucket_start(bucket, slot))
 
 
-def _store(rows, path):
-    (
-        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy("slot", "batch").parquet(path)
-    )
-
-
-def _read_slots(spark, path, slots):
-    """The observations of the touched slots, by folder when they are few."""
-    reader = spark.read.option("basePath", path)
-    if len(slots) <= _LISTED_SLOTS:
-        return reader.parquet(*[f"{path}/slot={slot}" for slot in slots])
-    return reader.parquet(path).where(F.col("slot").between(slots[0], slots[-1]))
+def _take_in(rows, sources, target, width, columns, slot, hot_values):
+    if divides_day(width):
+        stored = rows.withColumn("slot", _slot(bucket_start(F.col("time"), width), slot))
+        derived = lambda medians: medians.withColumn("slot", _slot(F.col("time"), slot))
+    else:
+        stored = rows.withColumn("slot", F.lit(EVERY_SLOT))
+        derived = lambda medians: medians.withColumn("slot", F.lit(EVERY_SLOT))
 
+    def derive(current, slots):
+        medians = resample_medians(current, width, columns, hot_values=hot_values)
+        replace_slots(derived(medians), slots, f"{target}/medians")
 
-def _refresh(rows, path, width, columns, slot, hot_values):
-    medians = resample_medians(rows, width, columns, hot_values=hot_values)
-    (
-        medians.withColumn("slot", _slot(F.col("time"), slot))
-        .hint("rebalance", "slot")
-        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy("slot").parquet(path)
-    )
+    return replace_sources(
+        stored.select(*PAIR, "time", *columns, "source_file", "slot"), sources, target, derive)

@@ -224,7 +224,7 @@ def test_archive_job(spark, tmp_path):
     assert files["SENG-ELDC", "20240302"].splitlines()[1:] == [
         "2024-03-02 10:00:00\t2.000\t0.001\t1.000\t0.001\t3.000\t0.001"]
     unchecked = str(tmp_path / "neu2")
-    run_archive(spark, str(raw), unchecked, D2, date(2024, 2, 29), hot_values=None)
+    run_archive(spark, str(raw), unchecked, D2, date(2024, 2, 29), hot_values=6)
     assert contents(unchecked) == files
     bad = unusable_lines(spark, str(raw)).collect()
     assert [(r.reason, r.file.endswith("SENG-ELDC202403030000b.pos")) for r in bad] == [("bad time", True)]

@@ -1,5 +1,6 @@
 from datetime import datetime
 
+import pytest
 from pyspark.sql import functions as F
 
 from neudrift.operators.clean import drop_incomplete, nan_to_null
@@ -41,14 +42,50 @@ def test_first_file_wins(spark):
     assert sorted((r.source_file, r.time.minute, r.n) for r in rows.collect()) == [("a", 0, 0.5), ("b", 1, 2.0)]
 
 
-def test_append_only_adds_new_keys(spark, tmp_path):
+def minutes_of(spark, path):
+    return sorted((r.time.minute, r.n) for r in read_one_minute(spark, path).collect())
+
+
+def test_newer_reading_of_a_file_replaces_the_older(spark, tmp_path):
     path = str(tmp_path / "one_min")
     assert read_one_minute(spark, path).count() == 0
     append_one_minute(spark, dense(spark, ("a", 0, 1.0), ("a", 1, 1.0)), path)
-    append_one_minute(spark, dense(spark, ("a", 1, 9.0), ("a", 2, 9.0)), path)
-    append_one_minute(spark, dense(spark, ("a", 1, 9.0), ("a", 2, 9.0)), path)
-    found = sorted((r.time.minute, r.n) for r in read_one_minute(spark, path).collect())
-    assert found == [(0, 1.0), (1, 1.0), (2, 9.0)]
+    for _ in range(2):
+        append_one_minute(spark, dense(spark, ("a", 0, 1.0), ("a", 1, 5.0), ("a", 2, 5.0)), path)
+    assert minutes_of(spark, path) == [(0, 1.0), (1, 5.0), (2, 5.0)]
+    assert len(list((tmp_path / "one_min" / "_files" / "rows").glob("slot=*/version=*"))) == 1
+    append_one_minute(spark, dense(spark, ("a", 2, 7.0)), path)
+    assert minutes_of(spark, path) == [(2, 7.0)]
+
+
+@pytest.mark.parametrize("order", [("a", "b"), ("b", "a")])
+def test_between_files_the_first_name_wins_in_any_order(spark, tmp_path, order):
+    path, values = str(tmp_path / "one_min"), {"a": 1.0, "b": 2.0}
+    for name in order:
+        append_one_minute(spark, dense(spark, (name, 0, values[name]), (name, ord(name) - 90, 3.0)), path)
+    assert minutes_of(spark, path) == [(0, 1.0), (7, 3.0), (8, 3.0)]
+
+
+def test_file_that_grows_within_a_minute(spark, tmp_path):
+    raw, path = tmp_path / "raw", str(tmp_path / "one_min")
+    lines = [line("00:00:10.0", n=1.0)]
+    write_pos(raw, "SENG-ELDC", "20240301", lines)
+    load_one_minute(spark, str(raw), path)
+    assert [r.n for r in read_one_minute(spark, path).collect()] == [1.0]
+    write_pos(raw, "SENG-ELDC", "20240301", lines + [line("00:00:20.0", n=5.0), line("00:00:30.0", n=7.0)])
+    for _ in range(2):
+        load_one_minute(spark, str(raw), path)
+    assert [r.n for r in read_one_minute(spark, path).collect()] == [5.0]
+
+
+def test_what_a_load_leaves_out(spark, tmp_path):
+    raw = tmp_path / "raw"
+    for day in range(1, 7):
+        write_pos(raw, "SENG-ELDC", f"2024030{day}", [line("00:00:10.0", day=f"2024/03/0{day}")])
+    left = load_one_minute(spark, str(raw), str(tmp_path / "four")).collect()
+    assert [(r.directory, r.files, r["last"]) for r in left] == [("SENG-ELDC", 2, "SENG-ELDC202403020000b.pos")]
+    assert load_one_minute(spark, str(raw), str(tmp_path / "all"), keep=None).count() == 0
+    assert read_one_minute(spark, str(tmp_path / "all")).count() == 6
 
 
 def test_catalog_table(spark, tmp_path):
