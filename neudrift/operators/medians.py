@@ -43,23 +43,23 @@ def medians(rows: DataFrame, keys, columns, hot: DataFrame | None = None) -> Dat
     return _plain(cold, keys, columns).unionByName(_ranked(crowded, keys, columns))
 
 
-# A median keeps the sign of zero, as text shows it: -0.0 comes before 0.0.
-_MINUS_ZERO = "cast('-0.0' AS DOUBLE)"
-
-
 def _plain(rows, keys, columns):
     """Medians of keys within the limit: their sorted values' middle, or the mean of the middle two.
 
     Several times faster and smaller than the built-in `median`, which counts every value in a map
-    of boxed objects. Lists leave nulls out; an empty list has no middle and gives null. Sorting
-    leaves the two zeros in any order, so a zero in the middle gets the sign of its rank.
+    of boxed objects. Lists leave nulls out; an empty list has no middle and gives null.
+
+    A median keeps the sign of zero, as text shows it: -0.0 comes before 0.0. Sorting leaves the two in
+    any order, so a zero in the middle gets the sign of its rank. (Both zeros as literals would be
+    one to the optimizer.)
     """
     gathered = rows.groupBy(*keys).agg(*[F.collect_list(F.col(c).cast("double")).alias(c) for c in columns])
     ordered = gathered.select(*keys, *[F.sort_array(c).alias(c) for c in columns])
 
     def at(c, rank):
         below = f"size(filter({c}, x -> x < 0 OR (x = 0 AND cast(x AS STRING) = '-0.0')))"
-        return f"CASE WHEN get({c}, {rank}) = 0 THEN IF({rank} < {below}, {_MINUS_ZERO}, 0D) ELSE get({c}, {rank}) END"
+        zero = f"abs(get({c}, {rank}))"
+        return f"CASE WHEN get({c}, {rank}) = 0 THEN IF({rank} < {below}, -{zero}, {zero}) ELSE get({c}, {rank}) END"
 
     return ordered.select(*keys, *[
         F.expr(f"({at(c, f'((size({c}) - 1) div 2)')}) * 0.5D + ({at(c, f'(size({c}) div 2)')}) * 0.5D").alias(c)
@@ -97,7 +97,7 @@ def _ranked(rows, keys, columns):
     )
     # At most two of a series' ranges hold its two middle ranks.
     inside = Window.partitionBy(*series, "range").orderBy(*order)
-    signed = F.when(F.col("minus_zero"), F.expr(_MINUS_ZERO)).otherwise(F.col("value"))
+    signed = F.when(F.col("minus_zero"), -F.abs("value")).otherwise(F.col("value"))
 
     def at(rank):
         here = (F.col("upto") - F.col("n") <= F.col(rank)) & (F.col("upto") > F.col(rank))

@@ -2,7 +2,7 @@
 
 from neudrift.schema import (
     ARCHIVE_COLUMNS, ARCHIVE_HEADER, COMPONENTS, COMPONENT_LABELS, DASHBOARD_PRESETS, FREEZE_BYTES,
-    LEVEL_BUCKETS, NEWEST_FILES, ONE_MINUTE_METRICS, ONE_MINUTE_SCHEMA,
+    GEODETIC_LAYOUT, LEVEL_BUCKETS, NEWEST_FILES, ONE_MINUTE_METRICS, ONE_MINUTE_SCHEMA,
     ONE_MINUTE_SOURCES, PRESET_HOURS, QUALITY_LABELS, VALUE_COLUMNS,
 )
 from neudrift.plans.queries import ARCHIVED_UNTIL, AS_OF, PERIOD_END, PERIOD_START
@@ -165,6 +165,14 @@ _OLD = (
         FROM calendar c LEFT JOIN sizes s ON c.baseline = s.baseline AND c.date = s.date)""",
 )
 
+_MERGED = """merged AS (
+    SELECT o.* FROM old_rows o JOIN states s USING (baseline, date) WHERE state = 'grown'
+    UNION ALL
+    SELECT n.* FROM new_rows n JOIN states s USING (baseline, date)
+    WHERE state IN ('created', 'grown') AND NOT EXISTS (
+        SELECT 1 FROM old_rows o WHERE state = 'grown' AND o.baseline = n.baseline
+            AND o.date = n.date AND o.time = n.time))"""
+
 ORACLES = {
     "parse_observations": _with() + f"""
         SELECT event_id, date_trunc('millisecond', time) AS time,
@@ -186,6 +194,11 @@ ORACLES = {
         SELECT event_id, q, CASE q {" ".join(f"WHEN {k} THEN '{v}'" for k, v in QUALITY_LABELS.items())}
                END AS quality
         FROM obs""",
+    "geodetic_observations": _with() + f"""
+        SELECT event_id, date_trunc('millisecond', time) AS time,
+               {", ".join(f"{c} AS {g}" if c in ("q", "ns") else f"round({c}, 4) + 0.0 AS {g}"
+                          for c, g in zip(VALUE_COLUMNS, GEODETIC_LAYOUT))}
+        FROM cleaned""",
     "baseline_tags": _with(_FILES) + """
         SELECT DISTINCT directory AS baseline, substr(directory, 1, 4) AS rover,
                substr(directory, 6, 4) AS base
@@ -232,6 +245,23 @@ ORACLES = {
         SELECT figure, component, round(min(value_cm), 8) + 0.0 AS floor_cm,
                round(max(value_cm), 8) + 0.0 AS ceiling_cm
         FROM series GROUP BY ALL""",
+    "dashboard_7min": _with(
+        _GROUPS, _figures(DASHBOARD_PRESETS),
+        """seen AS (
+            SELECT preset, c.*, date_trunc('day', min(time) OVER (PARTITION BY preset, base, rover)) AS d0
+            FROM cleaned c JOIN (SELECT DISTINCT preset, start_time, end_time FROM figures)
+                ON time >= date_trunc('day', start_time) AND time < end_time + INTERVAL 7 MINUTE)""",
+        f"""r AS (
+            SELECT preset, base, rover,
+                   d0 + to_seconds(((epoch_us(time) - epoch_us(d0)) // 420000000) * 420) AS bucket,
+                   {_medians(COMPONENTS)}
+            FROM seen GROUP BY ALL)""",
+        f"""sliced AS (
+            SELECT figure, r.base, r.rover, bucket AS time, {", ".join(COMPONENTS)}
+            FROM r JOIN figures f ON r.base = f.base AND r.rover = f.rover AND r.preset = f.preset
+                AND bucket BETWEEN start_time AND end_time)""",
+        _MOVED, _SERIES,
+    ) + "SELECT figure, base, rover, time, component, round(value_cm, 8) + 0.0 AS value_cm FROM series",
     "figure_catalog": _dashboard(DASHBOARD_PRESETS, _MOVED, _SERIES) + """
         SELECT f.figure,
                'rtk_' || baseline || '_' || preset || '-' || strftime(end_time, '%Y%m%d-%H:%M') || '.png'
@@ -261,17 +291,30 @@ ORACLES = {
     ) + f"""
         SELECT baseline, time, {_line(_ONLY_DAYS_ALL)} FROM new_rows""",
     "archive_merge": _with(
-        *_NEW, *_OLD,
-        """merged AS (
-            SELECT o.* FROM old_rows o JOIN states s USING (baseline, date) WHERE state = 'grown'
-            UNION ALL
-            SELECT n.* FROM new_rows n JOIN states s USING (baseline, date)
-            WHERE state IN ('created', 'grown') AND NOT EXISTS (
-                SELECT 1 FROM old_rows o WHERE state = 'grown' AND o.baseline = n.baseline
-                    AND o.date = n.date AND o.time = n.time))""",
-        f"lines AS (SELECT baseline, date, time, {_line(_ONLY_DAYS)} FROM merged)",
+        *_NEW, *_OLD, _MERGED, f"lines AS (SELECT baseline, date, time, {_line(_ONLY_DAYS)} FROM merged)",
     ) + """
         SELECT baseline, date, time, line, state FROM lines JOIN states USING (baseline, date)""",
+    "neu_lines_split": _with(*_NEW) + f"""
+        SELECT baseline, date, time, {_line(_ONLY_DAYS)} FROM new_rows""",
+    "archive_roundtrip": _with(
+        *_NEW, *_OLD, _MERGED,
+        """files AS (
+            SELECT o.* FROM old_rows o JOIN states s USING (baseline, date) WHERE state <> 'grown'
+            UNION ALL SELECT * FROM merged)""",
+        f"""lines AS (
+            SELECT baseline, date, time, {_line(_ONLY_DAYS)},
+                   {", ".join(f"cast(printf('%.3f', {c}) AS DOUBLE) AS {c}" for c in ARCHIVE_COLUMNS)}
+            FROM files)""",
+    ) + f"""
+        SELECT s.baseline, s.date, cast(coalesce(sum(strlen(line) + 1), 0) + {len(ARCHIVE_HEADER) + 1} AS BIGINT) AS bytes,
+               nullif(count(line), 0) AS rows, min(time) AS first, max(time) AS last,
+               {", ".join(f"round(sum({c}), 3) + 0.0 AS {c}" for c in ARCHIVE_COLUMNS)}
+        FROM states s LEFT JOIN lines l ON s.baseline = l.baseline AND s.date = l.date
+        WHERE state = 'created' OR bytes IS NOT NULL
+        GROUP BY s.baseline, s.date""",
+    "median_file_roundtrip": _with(*_NEW) + f"""
+        SELECT baseline, {_line(_ONLY_DAYS_ALL)} FROM new_rows
+        UNION ALL SELECT DISTINCT baseline, {_HEADER} FROM new_rows""",
 }
 ORACLES["stream_resample"] = ORACLES["resample_1h"]
 ORACLES["stream_load_table"] = ORACLES["one_min_table"]

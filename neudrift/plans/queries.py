@@ -16,12 +16,15 @@ from neudrift.operators.series import (
 from neudrift.operators.table import as_one_minute, read_one_minute, unique_by_key
 from neudrift.plans import dashboard as dash
 from neudrift.schema import (
-    ARCHIVE_COLUMNS, COMPONENTS, DASHBOARD_PRESETS, ONE_MINUTE_METRICS, PRESET_HOURS, VALUE_COLUMNS,
+    ARCHIVE_COLUMNS, COMPONENTS, DASHBOARD_PRESETS, FREEZE_BYTES, ONE_MINUTE_METRICS, PRESET_HOURS,
+    VALUE_COLUMNS,
 )
 from neudrift.session import scratch_path, settle
 from neudrift.sources import events as ev
-from neudrift.sources.files import discover_baselines, newest_files, select_file_dates
-from neudrift.sources.lines import parse_lines, usable
+from neudrift.sources.files import (
+    archive_sizes, discover_baselines, newest_files, scan_archive, select_file_dates,
+)
+from neudrift.sources.lines import field_names, parse_lines, usable
 from neudrift.streaming.load import stream_one_minute
 from neudrift.streaming.resample import read_medians, stream_medians
 
@@ -73,6 +76,13 @@ def quality_decoded(spark, sf_dir):
     return decode_quality(ev.observations(spark, sf_dir)).select("event_id", "q", "quality")
 
 
+def geodetic_observations(spark, sf_dir):
+    """Lines whose first three values are latitude, longitude and height, parsed and cleaned as such."""
+    parsed = parse_lines(ev.render_lines(ev.observations(spark, sf_dir)), layout="geodetic")
+    columns = field_names("geodetic")
+    return clean(usable(parsed), columns=columns).select("event_id", "time", *columns)
+
+
 # Files
 
 def file_listing(spark, sf_dir) -> DataFrame:
@@ -194,6 +204,14 @@ def axis_floor(spark, sf_dir):
     return rounded(axis_range(series_of(spark, sf_dir)), ["floor_cm", "ceiling_cm"], 8)
 
 
+def dashboard_7min(spark, sf_dir):
+    """A width that does not divide a day: buckets are counted from the first day of each range."""
+    observed = ev.observations(spark, sf_dir)
+    return rounded(dash.dashboard_series(
+        clean(observed), station_groups(spark, sf_dir), dash.preset_ranges(DASHBOARD_PRESETS, AS_OF),
+        width="7min", superset=observed), ["value_cm"], 8)
+
+
 def figure_catalog(spark, sf_dir):
     groups = station_groups(spark, sf_dir)
     figures = dash.expand_figures(groups, dash.preset_ranges(DASHBOARD_PRESETS, AS_OF))
@@ -255,6 +273,34 @@ def archive_merge(spark, sf_dir):
     return lines.join(states.select("baseline", "date", "state"), ["baseline", "date"])
 
 
+def neu_lines_split(spark, sf_dir):
+    """Archive text with the size limit so low that most buckets take the ranked way."""
+    rows = arch.archive_rows(resampled(spark, sf_dir, "1h", ARCHIVE_COLUMNS, hot_values=len(ARCHIVE_COLUMNS)))
+    return arch.daily_lines(rows)
+
+
+def archive_roundtrip(spark, sf_dir):
+    """The merged archive written as files, and what their lines and the listing say afterwards."""
+    target = scratch_path(spark, "archive")
+    new, old = new_archive_rows(spark, sf_dir), old_archive_rows(spark, sf_dir)
+    arch.write_daily(arch.with_headers(arch.daily_lines(old), old.select(*arch.PARTITION).distinct()), target)
+    arch.write_archive(spark, new, target, PERIOD_START, PERIOD_END, FREEZE_BYTES)
+    rows = scan_archive(spark, target).groupBy(*arch.PARTITION).agg(
+        F.count(F.lit(1)).alias("rows"), F.min("time").alias("first"), F.max("time").alias("last"),
+        *[F.round(F.sum(c), 3).alias(c) for c in ARCHIVE_COLUMNS])
+    return archive_sizes(spark, target).join(rows, list(arch.PARTITION), "left")
+
+
+def median_file_roundtrip(spark, sf_dir):
+    """Whole-span files as lines, written in two runs of different baselines and read back."""
+    target = scratch_path(spark, "median-files")
+    rows = settle(new_archive_rows(spark, sf_dir))
+    first = F.col("baseline") < "RV03"
+    for some in (first, ~first):
+        arch.write_median_files(rows.where(some), target)
+    return spark.read.schema("line string, baseline string").text(target).select("baseline", "line")
+
+
 # Streaming
 
 def event_stream(spark, sf_dir) -> DataFrame:
@@ -286,6 +332,7 @@ QUERIES = {
     "clean_observations": clean_observations,
     "quality_filter_keep_null": quality_filter_keep_null,
     "quality_decoded": quality_decoded,
+    "geodetic_observations": geodetic_observations,
     "baseline_tags": baseline_tags,
     "newest_files": newest_file_list,
     "select_files_by_date": files_by_date,
@@ -300,6 +347,7 @@ QUERIES = {
     "series_levels": series_levels,
     "component_series": component_series,
     "axis_floor": axis_floor,
+    "dashboard_7min": dashboard_7min,
     "figure_catalog": figure_catalog,
     "period_status": period_status,
     "archive_status": archive_status,
@@ -307,6 +355,9 @@ QUERIES = {
     "median_file": median_file,
     "median_file_days": median_file_days,
     "archive_merge": archive_merge,
+    "neu_lines_split": neu_lines_split,
+    "archive_roundtrip": archive_roundtrip,
+    "median_file_roundtrip": median_file_roundtrip,
     "stream_resample": stream_resample,
     "stream_load_table": stream_load_table,
 }

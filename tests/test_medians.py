@@ -81,6 +81,30 @@ def test_hot_key_that_filters_removed(spark):
     assert {r.key: r.v for r in medians(df, ["key"], ["v"], hot).collect()} == {"k": 1.0, "l": 2.0}
 
 
+def signed(value):
+    return None if value is None else str(value)
+
+
+@pytest.mark.parametrize("limit", [1, 1_000])
+def test_zeros_keep_their_sign(spark, limit):
+    """The same on both ways: -0.0 comes before 0.0, and a mean of both is 0.0."""
+    cases = {"a": [-0.0] * 3, "b": [0.0] * 3, "c": [-0.0, 0.0], "d": [-0.0, -0.0, 0.0], "e": [-0.0, 0.0, 0.0],
+             "f": [-1.0, -0.0, 0.0, 1.0], "g": [-1.0, -0.0, -0.0, 1.0], "h": [None, -0.0], "i": [None, None],
+             "j": [-2.0, -1.0, -0.0, 5.0], "k": [0.0, -0.0, -0.0, 3.0, -0.0, 4.0]}
+    want = {"a": "-0.0", "b": "0.0", "c": "0.0", "d": "-0.0", "e": "0.0", "f": "0.0", "g": "-0.0", "h": "-0.0",
+            "i": None, "j": "-0.5", "k": "0.0"}
+    df = spark.createDataFrame([(k, v) for k, vs in cases.items() for v in vs], "key string, v double").repartition(5)
+    hot = hot_keys(df, ["key"], ["v"], limit)
+    assert (hot is None) == (limit > 1)
+    assert {r.key: signed(r.v) for r in medians(df, ["key"], ["v"], hot).collect()} == want
+
+
+def test_proven_bound_needs_no_count(spark):
+    df = spark.createDataFrame([("k", 1.0)] * 9, "key string, v double")
+    assert hot_keys(df, ["key"], ["v"], 5, at_most=5) is None
+    assert hot_keys(df, ["key"], ["v"], 5, at_most=6).count() == 1
+
+
 def test_no_hot_keys(spark):
     df = spark.createDataFrame([("k", 1.0)], "key string, v double")
     assert hot_keys(df, ["key"], ["v"], 5) is None
