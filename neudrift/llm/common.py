@@ -5,6 +5,7 @@ import tempfile
 import uuid
 import zipfile
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from neudrift.session import BROADCAST_ROWS, workspace
@@ -64,7 +65,10 @@ def rank_id(doc_id: Column) -> Column:
 
 
 def map_arrow(df: DataFrame, run, schema: str) -> DataFrame:
-    """`df.mapInArrow(run, schema)`, with this package sent along to executors that lack it."""
+    """`df.mapInArrow(run, schema)`, with this package sent along to executors that lack it.
+
+    A worker process gives unused memory back at the end of each task, since others follow in it.
+    """
     context = df.sparkSession.sparkContext
     if not getattr(context, "_sent_neudrift", False):
         package = pathlib.Path(__file__).resolve().parent.parent
@@ -74,4 +78,9 @@ def map_arrow(df: DataFrame, run, schema: str) -> DataFrame:
                 out.write(file, file.relative_to(package.parent))
         context.addPyFile(str(archive))
         context._sent_neudrift = True
-    return df.mapInArrow(run, schema)
+
+    def tidy(batches):
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+
+    return df.mapInArrow(tidy, schema)

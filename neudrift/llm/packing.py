@@ -27,7 +27,7 @@ from neudrift.llm.words import blocks
 # Ranks of one length that share a join key, and pieces of one length that are ranked together.
 RANK_BLOCK = 4096
 # Bytes of text whose distinct words are looked up together.
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 3 << 20
 SHARE = 2_000
 
 

@@ -34,7 +34,7 @@ from neudrift.llm.words import NOT_WHITE, blocks, hashes, mixed, pack, spans, te
 
 WORD_BITS = 14
 CLASSES = 1 << WORD_BITS
-CHUNK_BYTES = 16 << 20
+CHUNK_BYTES = 4 << 20
 # The most frequent pairs, which are broadcast.
 FREQUENT = 1 << 16
 # One in so many trusted documents is held out for the thresholds.

@@ -15,7 +15,7 @@ import pyarrow as pa
 from neudrift.llm.words import NOT_WHITE, hashes, text_bytes
 
 # Units whose ids a worker process remembers since it last began a table; it also keeps the table before.
-REMEMBERED = 300_000
+REMEMBERED = 200_000
 _LONGEST = 64
 
 _WHITE_SPACE, _LETTER, _DIGIT, _MARK = range(4)
