@@ -9,7 +9,7 @@ join key, which adaptive execution splits, in the look-up.
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from neudrift.llm.common import WHITE, lower_ascii, rank_id
+from neudrift.llm.common import WHITE, lower_ascii, rank_id, settle
 
 
 def line_key(line: Column) -> Column:
@@ -49,8 +49,10 @@ def dedup_lines(docs: DataFrame, min_chars: int = 10, min_docs: int = 2,
             lines.select("h1", "h2", "id").distinct().groupBy("h1", "h2")
             .agg(F.min("id").alias("first"), F.count("*").alias("docs")).where(F.col("docs") >= min_docs)
         )
+    # As a table of its own the look-up is a plain join of two shuffles, whose hot keys can be split.
+    repeated = settle(repeated.select("h1", "h2", "first"))
     dropped = (
-        lines.join(repeated.select("h1", "h2", "first"), ["h1", "h2"]).where("id != first")
+        lines.join(repeated, ["h1", "h2"]).where("id != first")
         .groupBy("id", "text_hash").agg(F.collect_set("pos").alias("drop"))
     )
     split = F.split("text", "\n", -1)
