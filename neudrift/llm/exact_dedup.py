@@ -36,10 +36,10 @@ def exact_duplicates(docs: DataFrame, support: float = 0.001,
     group = [F.min("id").alias("keep_id"), F.sum("copies").alias("group_size")]
 
     candidates = rows.freqItems(["key"], support).select(F.explode("key_freqItems").alias("key"))
-    least = rows.agg(F.count("*").alias("all")).select((F.col("all") * support).alias("least"))
+    least = rows.count() * support
     winners = settle(
         rows.join(F.broadcast(candidates), "key").groupBy("digest").agg(*group, F.count("*").alias("rows"))
-        .join(F.broadcast(least), F.col("rows") > F.col("least")).drop("rows", "least")
+        .where(F.col("rows") > least).drop("rows")
     )
     marked = rows.join(F.broadcast(winners), "digest", "left")
     hot = marked.where("group_size IS NOT NULL").withColumn("hot", F.lit(True))
