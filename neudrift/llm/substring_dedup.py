@@ -5,7 +5,7 @@ A window of 20 words that occurs twice holds, in its earlier place, a whole bloc
 
 1. Blocks are indexed and every rolling window of 10 words of every document is a probe. Index entries and
    probes meet by hash; a hash with a block and at least two places is an anchor, and all its places are hits.
-2. Hits are extended: every window of 20 words that holds a hit is looked up by an 80-bit hash among the
+2. Hits are extended: every window of 20 words that holds a hit is looked up by a 72-bit hash among the
    other such windows. Neighbouring windows that repeat together make up the maximal exact repeats; no
    pairs of places are formed. The earliest place of each window stays.
 3. Words under the other places are removed.
