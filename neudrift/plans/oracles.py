@@ -271,11 +271,7 @@ ORACLES = {
         FROM figures f LEFT JOIN (SELECT figure, count(*) AS points FROM series GROUP BY ALL) c
             ON f.figure = c.figure
         WHERE position = 0""",
-    "period_status": _with(
-        "fixed_hours AS (SELECT * FROM cleaned WHERE q = 1 AND hour(time) < 3)",
-        _resampled("r", "1 hour", ARCHIVE_COLUMNS, "fixed_hours"), _rows("new_rows", "r"),
-        _calendar("new_rows"),
-    ) + """
+    "period_status": _with(*_NEW, _calendar("new_rows")) + """
         SELECT *, CASE WHEN NOT covered THEN 'no data' WHEN rows_new = 0 THEN 'header only'
                        ELSE 'written' END AS status
         FROM calendar""",

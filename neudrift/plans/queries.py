@@ -242,8 +242,7 @@ def archive_run_states(new, old) -> DataFrame:
 
 
 def period_status(spark, sf_dir):
-    fixed_hours = ev.observations(spark, sf_dir).where("q = 1 AND hour(time) < 3")
-    rows = arch.archive_rows(resample_medians(clean(fixed_hours), "1h", ARCHIVE_COLUMNS))
+    rows = new_archive_rows(spark, sf_dir)
     return arch.period_status(arch.period_calendar(rows, PERIOD_START, PERIOD_END))
 
 
