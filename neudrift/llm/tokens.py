@@ -6,7 +6,7 @@ only ASCII and Latin-1 letters, digits and marks without apostrophe or <, these
 any other piece is one unit. A text's ids are those of its units, one after another. The units of a block of
 texts are found on arrays, and only its distinct ones are looked up. Each worker process remembers the ids
 of units that it has met, in a table of bounded size, and encodes new ones, many at once, since a
-token that ends a word can be told from others.
+token that ends a word can be told from others. Units are found by a 64-bit hash and compared by their bytes.
 """
 
 import numpy as np
@@ -14,8 +14,8 @@ import pyarrow as pa
 
 from neudrift.llm.words import NOT_WHITE, hashes, text_bytes
 
-# Units whose ids a worker process remembers since it last began a table; it also keeps the table before.
-REMEMBERED = 200_000
+# Units whose ids a worker process remembers, some 50 bytes each; a full table is begun anew.
+REMEMBERED = 800_000
 _LONGEST = 64
 
 _WHITE_SPACE, _LETTER, _DIGIT, _MARK = range(4)
@@ -24,30 +24,61 @@ _CLASS[~NOT_WHITE] = _WHITE_SPACE
 _CLASS[128:] = _LETTER
 _CLASS[[b for b in range(128) if chr(b).isalpha()]] = _LETTER
 _CLASS[48:58] = _DIGIT
-# Bytes that make the rule unsure: apostrophes, the < of special tokens, controls, and all of UTF-8 but the two of a Latin-1 letter.
+_LOWER = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], np.uint8)
+# Bytes that make the rule unsure: apostrophes, the < of special tokens, controls, and all of UTF-8 but the
+# two of a Latin-1 letter.
 _UNSURE = np.zeros(256, bool)
 _UNSURE[[39, 60, *range(9), *range(14, 32), 127, *range(0x80, 256)]] = True
 _LATIN_LEAD = 0xC3
 _NO_LETTERS = (0x97, 0xB7)  # the second bytes of the multiplication and the division sign
 
 
-class Remembered(dict):
-    """A table that begins anew when it is full and still knows what the one before it knew."""
+def ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """start, start + 1, ... for every range, one after another."""
+    after = np.cumsum(sizes)
+    return np.arange(after[-1] if len(after) else 0) + np.repeat(starts - (after - sizes), sizes)
 
-    def __init__(self):
-        super().__init__()
-        self.before = {}
 
-    def missing(self, keys: list) -> list:
-        """Keys to be found out; all others can be looked up, until the next call."""
-        new = [k for k in keys if k not in self]
-        if len(self) + len(new) > REMEMBERED:
-            self.before = dict(self)
-            self.clear()
-            new = keys
-        before = self.before
-        self.update([(k, before[k]) for k in new if k in before])
-        return [k for k in new if k not in before]
+class Remembered:
+    """Byte strings with their ids, on arrays sorted by the strings' hashes."""
+
+    def __init__(self):
+        self.hashes = np.zeros(0, np.uint64)
+        # For each string: where its bytes and its ids begin, and how many there are.
+        self.places = np.zeros((4, 0), np.int32)
+        self.bytes, self.ids = np.zeros(0, np.uint8), np.zeros(0, np.uint16)
+
+    def find(self, hashes: np.ndarray, names: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """The place of each string, or -1; strings are given by their bytes in `names`, `hashes` rises."""
+        if not len(self.hashes):
+            return np.full(len(hashes), -1)
+        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
+        at[(self.hashes[at] != hashes) | (self.places[1][at] != sizes)] = -1
+        here = np.flatnonzero(at >= 0)
+        own = names[ranges(starts[here], sizes[here])] == self.bytes[ranges(self.places[0][at[here]], sizes[here])]
+        firsts = np.cumsum(sizes[here]) - sizes[here]
+        same = np.logical_and.reduceat(own, firsts) if len(here) else own
+        at[here[~same]] = -1
+        return at
+
+    def add(self, hashes: np.ndarray, names: list[bytes], ids: list[bytes]) -> None:
+        """Take in strings that are not in the table, by rising hash; of two with one hash the first stays."""
+        if len(self.hashes) + len(names) > REMEMBERED:
+            self.__init__()
+        if len(self.hashes):
+            at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
+            new = np.flatnonzero(self.hashes[at] != hashes)
+        else:
+            new = np.arange(len(names))
+        names, ids = [names[k] for k in new.tolist()], [ids[k] for k in new.tolist()]
+        sizes = np.array([[len(n) for n in names], [len(i) // 4 for i in ids]], np.int32).reshape(2, -1)
+        starts = np.cumsum(sizes, axis=1, dtype=np.int32) - sizes
+        starts += np.array([[len(self.bytes)], [len(self.ids)]], np.int32)
+        where = np.searchsorted(self.hashes, hashes[new])
+        self.hashes = np.insert(self.hashes, where, hashes[new])
+        self.places = np.insert(self.places, where, np.stack((starts[0], sizes[0], starts[1], sizes[1])), axis=1)
+        self.bytes = np.concatenate((self.bytes, np.frombuffer(b"".join(names), np.uint8)))
+        self.ids = np.concatenate((self.ids, np.frombuffer(b"".join(ids), "<u4").astype(np.uint16)))
 
 
 def units(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -68,21 +99,21 @@ def units(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     piece = kind != _WHITE_SPACE
     first = piece.copy()
     first[1:] &= ~piece[:-1] | begins[1:]
-    piece_of = np.cumsum(first) - 1
-    bad = np.zeros(int(first.sum()), bool)
-    bad[piece_of[unsure & piece]] = True
+    last = piece.copy()
+    last[:-1] &= ~piece[1:] | begins[1:]
+    piece_starts, piece_ends = np.flatnonzero(first), np.flatnonzero(last) + 1
+    bad = np.zeros(len(piece_starts), bool)
+    bad[np.searchsorted(piece_starts, np.flatnonzero(unsure & piece), "right") - 1] = True
 
-    start = piece.copy()
+    start = piece
     start[1:] &= (kind[1:] != kind[:-1]) | (kind[1:] == _DIGIT) | begins[1:]
     starts = np.flatnonzero(start)
-    inner = bad[piece_of[starts]] & ~first[starts]
-    starts = starts[~inner]
+    piece_of = np.cumsum(first[starts]) - 1
+    outer = ~bad[piece_of] | first[starts]
+    starts, piece_of = starts[outer], piece_of[outer]
     # A unit ends where the next begins, or at the white space or text end before that.
-    last = piece.copy()
-    last[:-1] &= ~piece[1:] | begins[1:]
-    piece_ends = np.flatnonzero(last) + 1
-    ends = np.minimum(np.append(starts[1:], n), piece_ends[piece_of[starts]])
-    return starts, ends, ~bad[piece_of[starts]], np.searchsorted(starts, offsets)
+    ends = np.minimum(np.append(starts[1:], n), piece_ends[piece_of])
+    return starts, ends, ~bad[piece_of], np.searchsorted(starts, offsets)
 
 
 class WordEncoder:
@@ -95,6 +126,8 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         vocabulary = self.tokenizer.get_vocab()
+        if max(vocabulary.values()) > np.iinfo(np.uint16).max:
+            raise ValueError("a vocabulary of at most 65,536 ids is needed")
         self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends_word[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self.known = Remembered()
@@ -132,23 +165,29 @@ class WordEncoder:
             return np.zeros(0, "<u4"), np.zeros(len(offsets), np.int64)
         starts, ends, word, bounds = units(data, offsets)
         # Units that differ only in the case of ASCII letters have the same ids.
-        _, where, which = np.unique(hashes(data, starts, ends, lower=True), return_index=True, return_inverse=True)
-        raw = data.tobytes()
-        names = [raw[s:e].lower() for s, e in zip(starts[where].tolist(), ends[where].tolist())]
-        new = set(self.known.missing(names))
-        plain = [(name, w) for name, w in zip(names, word[where].tolist()) if name in new]
-        words, other = [n for n, w in plain if w], [n for n, w in plain if not w]
-        known = self.known
-        known.update(zip(words, self._words(words)))
-        known.update(zip(other, self._each(other)))
-        ids = [known[name] for name in names]
-        for name in new:
-            if len(name) > _LONGEST:
-                del known[name]
-
-        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
-        pool, first = np.frombuffer(b"".join(ids), "<u4"), np.cumsum(sizes) - sizes
-        sizes = sizes[which]
-        after = np.cumsum(sizes)
-        at = np.arange(after[-1] if len(after) else 0) + np.repeat(first[which] - (after - sizes), sizes)
-        return pool[at], np.concatenate(([0], after))[bounds]
+        distinct, where, which = np.unique(hashes(data, starts, ends, lower=True), return_index=True, return_inverse=True)
+        lower = _LOWER[data]
+        starts, sizes, word = starts[where], (ends - starts)[where], word[where]
+        at = self.known.find(distinct, lower, starts, sizes)
+
+        new = np.flatnonzero(at < 0)
+        raw = lower.tobytes()
+        names = [raw[s:s + n] for s, n in zip(starts[new].tolist(), sizes[new].tolist())]
+        plain = word[new].tolist()
+        words = iter(self._words([n for n, w in zip(names, plain) if w]))
+        other = iter(self._each([n for n, w in zip(names, plain) if not w]))
+        ids = [next(words) if w else next(other) for w in plain]
+
+        found, known = np.flatnonzero(at >= 0), self.known
+        counts, firsts = np.zeros(len(at), np.int64), np.zeros(len(at), np.int64)
+        pool = known.ids[ranges(known.places[2][at[found]], known.places[3][at[found]].astype(np.int64))]
+        counts[found] = known.places[3][at[found]]
+        counts[new] = [len(i) // 4 for i in ids]
+        firsts[found] = np.cumsum(counts[found]) - counts[found]
+        firsts[new] = len(pool) + np.cumsum(counts[new]) - counts[new]
+        pool = np.concatenate((pool.astype("<u4"), np.frombuffer(b"".join(ids), "<u4")))
+
+        short = np.flatnonzero(sizes[new] <= _LONGEST).tolist()
+        known.add(distinct[new[short]], [names[k] for k in short], [ids[k] for k in short])
+        counts, firsts = counts[which], firsts[which]
+        return pool[ranges(firsts, counts)], np.concatenate(([0], np.cumsum(counts)))[bounds]

@@ -26,7 +26,7 @@ def test_ids_are_the_tokenizers(monkeypatch):
     path = tokenizer_file(WORD_TOKENIZER)
     texts = odd_texts()
     want = [e.ids for e in Tokenizer.from_file(path).encode_batch(texts, add_special_tokens=False)]
-    for remembered in (250_000, 50):  # with 50, tables begin anew again and again
+    for remembered in (800_000, 50):  # with 50, tables begin anew again and again
         monkeypatch.setattr("neudrift.llm.tokens.REMEMBERED", remembered)
         encoder = WordEncoder(path)
         for at in range(0, len(texts), 700):
@@ -38,12 +38,26 @@ def test_ids_are_the_tokenizers(monkeypatch):
 
 
 def test_remembered(monkeypatch):
-    monkeypatch.setattr("neudrift.llm.tokens.REMEMBERED", 3)
+    """Strings are found by hash and bytes; one that shares a hash with another is not taken for it."""
+    monkeypatch.setattr("neudrift.llm.tokens.REMEMBERED", 4)
     table = Remembered()
-    for keys in (["a", "b"], ["b", "c"], ["c", "d"], ["a", "x", "y", "z"]):
-        new = table.missing(keys)
-        table.update((k, k) for k in new)
-        assert all(table[k] == k for k in keys)
+
+    def find(*pairs):
+        names = np.frombuffer(b"".join(n for _, n in pairs), np.uint8)
+        sizes = np.array([len(n) for _, n in pairs], np.int64)
+        at = table.find(np.array([h for h, _ in pairs], np.uint64), names, np.cumsum(sizes) - sizes, sizes)
+        return [None if k < 0 else table.ids[table.places[2][k]:table.places[2][k] + table.places[3][k]].tolist() for k in at]
+
+    def ids(*numbers):
+        return np.array(numbers, "<u4").tobytes()
+
+    assert find((1, b"a")) == [None]
+    table.add(np.array([5, 9], np.uint64), [b"five", b"nine"], [ids(1, 2), ids()])
+    table.add(np.array([3, 5], np.uint64), [b"three", b"other"], [ids(7), ids(8)])
+    assert find((3, b"three"), (4, b"four"), (5, b"fivx"), (9, b"nine")) == [[7], None, None, []]
+    assert find((5, b"five"), (9, b"nin")) == [[1, 2], None]
+    table.add(np.array([1, 2], np.uint64), [b"one", b"two"], [ids(4), ids(5, 6)])
+    assert find((1, b"one"), (2, b"two"), (5, b"five")) == [[4], [5, 6], None]
 
 
 def packed_well(runs, counts):
