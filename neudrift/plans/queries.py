@@ -178,15 +178,17 @@ def sliced_figures(spark, sf_dir):
     observed = observations_for_slice(ev.observations(spark, sf_dir), first, AS_OF, "60s")
     buckets = resample_medians(clean(observed), "60s", COMPONENTS, superset=observed)
     figures = dash.expand_figures(station_groups(spark, sf_dir), ranges)
-    return dash.slice_figures(buckets, figures)
+    bound = figures.count()
+    return dash.slice_figures(buckets, figures, at_most=bound), bound
 
 
 def preset_slices(spark, sf_dir):
-    return rounded(sliced_figures(spark, sf_dir), COMPONENTS)
+    return rounded(sliced_figures(spark, sf_dir)[0], COMPONENTS)
 
 
 def demeaned_cm(spark, sf_dir):
-    return rounded(displacement_cm(sliced_figures(spark, sf_dir), ("figure", *PAIR)), COMPONENTS, 8)
+    points, bound = sliced_figures(spark, sf_dir)
+    return rounded(displacement_cm(points, ("figure", *PAIR), at_most=bound), COMPONENTS, 8)
 
 
 def series_levels(spark, sf_dir):
