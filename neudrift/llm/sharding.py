@@ -7,11 +7,12 @@ that were added. Only the map, `slots` rows, ever reaches the driver.
 """
 
 import json
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from neudrift.llm.common import settle, workspace
-import uuid
+from neudrift.llm.common import settle
+from neudrift.session import workspace
 
 SLOTS = 4096
 MAP_SCHEMA = "array<struct<virtual_slot:int, shard:int>>"

@@ -77,8 +77,10 @@ def test_shards(odd_docs, odd_rows, no_docs, spark, tmp_path):
     load = Counter()
     for r in got:
         load[r.shard] += r.size
-    largest_slot = max(Counter({r.virtual_slot: 0 for r in got}).keys() and [
-        sum(x.size for x in got if x.virtual_slot == s) for s in {r.virtual_slot for r in got}])
+    of_slot = Counter()
+    for r in got:
+        of_slot[r.virtual_slot] += r.size
+    largest_slot = max(of_slot.values())
     assert max(load.values()) - min(load.values()) <= largest_slot
     assert shard_documents(no_docs, shards=3, slots=64).count() == 0
 
