@@ -2,7 +2,6 @@
 
 import pathlib
 import tempfile
-import uuid
 import zipfile
 
 import pyarrow as pa

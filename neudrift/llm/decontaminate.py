@@ -181,7 +181,8 @@ def hit_words(matches: Column) -> Column:
         new = F.greatest(end - F.greatest(match["doc_start"], state["to"]), F.lit(0))
         return F.struct((state["n"] + new).alias("n"), F.greatest(state["to"], end).alias("to"))
 
-    by_start = F.array_sort(F.transform(matches, lambda m: F.struct(m["doc_start"].alias("doc_start"), m["length"].alias("length"))))
+    by_start = F.array_sort(F.transform(
+        matches, lambda m: F.struct(m["doc_start"].alias("doc_start"), m["length"].alias("length"))))
     return F.aggregate(by_start, start, add, lambda state: state["n"])
 
 

@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
 from neudrift.llm.common import keyed, map_arrow, matching, settle
-from neudrift.llm.words import NOT_WHITE, blocks, hashes, mixed, pack, spans, text_bytes, unpack
+from neudrift.llm.words import NOT_WHITE, blocks, hashes, pack, spans, text_bytes, unpack
 
 WORD_BITS = 14
 CLASSES = 1 << WORD_BITS
@@ -162,7 +162,8 @@ class Model:
             column[at] = stats.column(name).to_numpy()
         self.total, before = columns["total"], columns["before"]
         self.discounts = discounts(*(int(columns[f"n{k}"][0]) for k in (1, 2, 3, 4)))
-        left = columns["once"] * self.discounts[1] + columns["twice"] * self.discounts[2] + columns["more"] * self.discounts[3]
+        kinds = zip(("once", "twice", "more"), self.discounts[1:])
+        left = sum(columns[name] * discount for name, discount in kinds)
         seen = self.total > 0
         # A word that never was a context leaves everything to the lower order.
         self.log_share = np.log(np.divide(left, self.total, out=np.ones(CLASSES), where=seen))

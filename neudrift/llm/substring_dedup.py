@@ -140,7 +140,7 @@ def _settled_here(h: np.ndarray, block: np.ndarray) -> tuple[np.ndarray, np.ndar
     return settled, sent
 
 
-def _answers(table: pa.Table, heads: list[dict], rows: list[dict], gone: np.ndarray, at: list[np.ndarray]) -> pa.Table:
+def _answers(heads: list[dict], rows: list[dict], gone: np.ndarray, at: list[np.ndarray]) -> pa.Table:
     """The rows of documents as they came, and for each chunk the places that are found."""
     out = [tuple(row[n] for n in _FIELDS.names) for row in heads]
     start = 0
@@ -170,7 +170,7 @@ def _anchors(table: pa.Table) -> pa.Table:
         anchored = np.logical_or.reduceat(flags[:, 0], first)
         hit = np.zeros(len(rest), bool)
         hit[order] = (many & anchored)[np.cumsum(fresh) - 1] & ~flags[:, 1]
-    return _answers(table, [r for r in all_ if r["shard"] < 0], rows, hit, at)
+    return _answers([r for r in all_ if r["shard"] < 0], rows, hit, at)
 
 
 def _by_document(table: pa.Table) -> pa.Table:
@@ -250,7 +250,7 @@ def _repeats(table: pa.Table) -> pa.Table:
         order = np.lexsort(columns[::-1])
         gone = np.zeros(len(order), bool)
         gone[order] = _later(*(c[order] for c in columns))
-    return _answers(table, [r for r in all_ if r["shard"] < 0], rows, gone, at)
+    return _answers([r for r in all_ if r["shard"] < 0], rows, gone, at)
 
 
 def _remove(size: int):

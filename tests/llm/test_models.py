@@ -4,7 +4,6 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import functions as F
 
 from neudrift.llm import quality, toxicity
 from neudrift.llm.quality import CLASSES, discounts, keep_good, log_perplexity, rated, thresholds
