@@ -42,8 +42,8 @@ def replace_sources(rows: DataFrame, sources: DataFrame, store: str,
     """Take in new readings of some sources and bring what is derived from them up to date.
 
     `rows` holds all rows of the `sources`, with `slot` and `source_file`. `derive(stored, slots)` gets the
-    slots that have or had rows of these sources, and all rows that count in them. Only the
-    slots' names and the versions that go out of use pass through the driver.
+    slots that have or had rows of these sources, and all rows that count in them. Only names of
+    slots and of partitions that go out of use pass through the driver.
     """
     spark, folder = rows.sparkSession, f"{store}/rows"
     before, sources = manifest(spark, store), settle(sources.dropDuplicates(["source_file"]))
@@ -54,23 +54,23 @@ def replace_sources(rows: DataFrame, sources: DataFrame, store: str,
         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy("slot", "version").parquet(folder)
     )
-    old = before.join(sources.select("source_file"), "source_file", "left_semi").join(
-        sources.select("version"), "version", "left_anti")
-    old = [row.version for row in old.select("version").toLocalIterator()]
+    old = settle(before.join(sources.select("source_file"), "source_file", "left_semi").join(
+        sources.select("version"), "version", "left_anti").select("version"))
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema if f.name != "slot")
     stored = read_or_empty(
         spark, lambda path: spark.read.schema(f"{schema}, slot string, version string").parquet(path), folder,
         f"{schema}, slot string, version string")
-    versions = sources.select("version").union(spark.createDataFrame([(v,) for v in old], "version string"))
-    touched = join_small(stored.select("slot", "version"), versions, "version", "left_semi")
+    places = stored.select("slot", "version").distinct()
+    touched = join_small(places, sources.select("version").union(old), "version", "left_semi")
+    gone = [tuple(row) for row in join_small(places, old, "version", "left_semi")
+            .select("slot", "version").toLocalIterator()]
     slots = sorted(row.slot for row in touched.select("slot").distinct().toLocalIterator())
     if slots:
         current = join_small(stored.where(F.col("slot").isin(slots)), after.select("version"), "version", "left_semi")
         derive(current.drop("version"), slots)
     _commit(spark, after, store)
-    for slot in slots:
-        for version in old:
-            delete(spark, f"{folder}/slot={slot}/version={version}")
+    for slot, version in gone:
+        delete(spark, f"{folder}/slot={slot}/version={version}")
     return slots
 
 
