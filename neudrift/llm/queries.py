@@ -160,5 +160,17 @@ WITH n AS (
 SELECT doc_id, min(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
        doc_id = min(doc_id) OVER g AS kept, text_sha256
 FROM n WINDOW g AS (PARTITION BY text_sha256)
+""",
+    "op10_substring_dedup": r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+p AS (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS p FROM d WHERE len(w) >= 20),
+g AS (SELECT doc_id, p, row_number() OVER (PARTITION BY array_to_string(w[p:p + 19], ' ') ORDER BY doc_id, p) AS k FROM p),
+gone AS (SELECT DISTINCT doc_id, unnest(range(p, p + 20)) AS q FROM g WHERE k > 1),
+words AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS q FROM d),
+kept AS (SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY q) AS text
+         FROM words ANTI JOIN gone USING (doc_id, q) GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, len(w) - coalesce(n, 0) AS n_removed,
+       sha256(coalesce(text, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
 """,
 }
