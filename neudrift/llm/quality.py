@@ -1,8 +1,9 @@
 """Document quality as perplexity under an n-gram model of trusted text.
 
 The model is an interpolated modified Kneser-Ney model of order 2 over a hashed vocabulary: a word (a run
-of non-white bytes, case kept) is one of `2**WORD_BITS - 1` classes, and a boundary class stands before the
-first and after the last word. The probability of a pair is
+of non-white bytes, case kept) is one of `2**bits - 1` classes, and a boundary class stands before the
+first and after the last word. There are more than 16 classes for each byte of text, so that hardly a word
+shares one, up to the 2**31 that a pair's 64-bit key has room for. The probability of a pair is
 
     p(b | a) = max(c(a b) - D(c), 0) / c(a) + g(a) * p(b),
 
@@ -11,7 +12,8 @@ p(b) the same construction one order lower, on the number of different words bef
 
     log p(text) = sum over pairs of [log g(a) + log p(b)]  +  sum over pairs seen in training of the rest,
 
-where the first sum needs two tables with a row per class, which are broadcast, and the second is a join
+where the first sum needs a table with a row per class seen in training, 16 bytes each, which is broadcast
+(classes never seen share one row), and the second is a join
 of two tables of counts on the pair, sharded by a hash of the pair: counts in trusted text, and counts in
 each document. Both travel packed, one row per chunk of text and shard. The pairs that are most frequent
 in training, a bounded number, are taken out of that join: they are broadcast and settled where the text is,
@@ -30,10 +32,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
 from neudrift.llm.common import keyed, map_arrow, matching, settle
-from neudrift.llm.words import NOT_WHITE, blocks, hashes, pack, spans, text_bytes, unpack
+from neudrift.llm.words import NOT_WHITE, blocks, hashes, mixed, pack, spans, text_bytes, unpack
 
-WORD_BITS = 14
+# The least vocabulary; the most is what two classes in one signed long allow.
+WORD_BITS = 21
 CLASSES = 1 << WORD_BITS
+MOST_BITS = 31
 CHUNK_BYTES = 4 << 20
 # The most frequent pairs, which are broadcast.
 FREQUENT = 1 << 16
@@ -46,56 +50,64 @@ _PART = "shard int, chunk long, docs binary, sizes binary, found binary"
 _PART_NAMES = ["shard", "chunk", "docs", "sizes", "found"]
 _PART_TYPES = [pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary()]
 _COUNTS = "shard int, pairs binary, counts binary"
-_STATS = "a int, total long, once long, twice long, more long, before long, n1 long, n2 long, n3 long, n4 long"
+_STATS = "shard int, classes binary, numbers binary"
 
 
-def _pairs(batch: pa.RecordBatch):
-    """Pairs of a batch as numbers a * CLASSES + b, with their document, and the words per document."""
+def word_bits(total: int) -> int:
+    """Bits of a word's class for texts of `total` bytes: one more for each doubling."""
+    return min(max(total.bit_length() + 4, WORD_BITS), MOST_BITS)
+
+
+def _pairs(batch: pa.RecordBatch, bits: int):
+    """Pairs of a batch as numbers a << bits | b, with their document, and the words per document."""
     data, offsets = text_bytes(batch.column("text"))
     starts, ends, bounds = spans(data, offsets, NOT_WHITE)
-    words = (hashes(data, starts, ends) % np.uint64(CLASSES - 1)).astype(np.int64) + 1
+    words = (hashes(data, starts, ends) % np.uint64((1 << bits) - 1)).astype(np.int64) + 1
     counts = np.diff(bounds)
     # One boundary before each document's words and one after the last document.
     row = np.zeros(len(words) + len(counts) + 1, np.int64)
     row[np.arange(len(words)) + np.repeat(np.arange(1, len(counts) + 1), counts)] = words
     doc = np.repeat(np.arange(len(counts)), counts + 1)
-    return row[:-1] * CLASSES + row[1:], doc, counts
+    return row[:-1] << bits | row[1:], doc, counts
 
 
-def _spread(pairs: np.ndarray) -> np.ndarray:
-    """A one-to-one map of pairs onto numbers of as many bits that deals them evenly."""
-    bits, out = 2 * WORD_BITS, pairs.astype(np.uint64)
-    mask = np.uint64((1 << bits) - 1)
-    for factor in (0x9E3779B1, 0x85EBCA6B):
-        out = (out * np.uint64(factor)) & mask
-        out ^= out >> np.uint64(WORD_BITS)
-    return out
+def _dealt(pairs: np.ndarray, shards_log2: int, key_bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """The shard of each pair and its key there, from the first bits of a one-to-one hash."""
+    spread = mixed(pairs.astype(np.uint64))
+    shard = spread >> np.uint64(64 - shards_log2) if shards_log2 else np.zeros_like(spread)
+    key = (spread << np.uint64(shards_log2)) >> np.uint64(64 - key_bits)
+    return shard.astype(np.int64), key.astype(np.uint32 if key_bits <= 32 else np.uint64)
 
 
-def _by_shard(spread: np.ndarray, shards_log2: int):
-    """Sorted numbers cut by their first bits: (shard, start, end)."""
-    shard = (spread >> np.uint64(2 * WORD_BITS - shards_log2)).astype(np.int64)
+def _cuts(shard: np.ndarray):
+    """Sorted shards as (shard, start, end)."""
     edges = np.concatenate(([0], np.flatnonzero(np.diff(shard)) + 1, [len(shard)]))
     return [(int(shard[s]), s, e) for s, e in zip(edges[:-1].tolist(), edges[1:].tolist()) if e > s]
 
 
-def _training_counts(shards_log2: int):
+def _pack_rising(values: np.ndarray) -> bytes:
+    return pack(np.diff(values, prepend=0))
+
+
+def _unpack_rising(packed: bytes) -> np.ndarray:
+    return np.cumsum(unpack(packed, np.int64))
+
+
+def _training_counts(shards_log2: int, bits: int):
     """Counts of the pairs of each chunk, by shard."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in blocks(batch, "text", CHUNK_BYTES):
-                pairs, doc, counts = _pairs(part)
+                pairs, doc, counts = _pairs(part, bits)
                 pairs = pairs[(counts > 0)[doc]]
                 if not len(pairs):
                     continue
                 keys, n = np.unique(pairs, return_counts=True)
-                spread = _spread(keys)
-                order = np.argsort(spread)
-                keys, n, spread = keys[order], n[order], spread[order]
-                rows = [(shard, pack(np.sort(keys[s:e])), pack(n[s:e][np.argsort(keys[s:e])].astype(np.uint32)))
-                        for shard, s, e in _by_shard(spread, shards_log2)]
-                yield _count_rows(rows)
+                shard, _ = _dealt(keys, shards_log2, 32)
+                order = np.argsort(shard, kind="stable")
+                keys, n = keys[order], n[order].astype(np.uint32)
+                yield _count_rows([(k, _pack_rising(keys[s:e]), pack(n[s:e])) for k, s, e in _cuts(shard[order])])
 
     return run
 
@@ -108,27 +120,72 @@ def _count_rows(rows) -> pa.RecordBatch:
 
 def _summed(table: pa.Table) -> pa.Table:
     """The counts of all chunks of a shard, added."""
-    pairs = np.concatenate([unpack(x, np.int64) for x in table.column("pairs").to_pylist()])
+    pairs = np.concatenate([_unpack_rising(x) for x in table.column("pairs").to_pylist()])
     counts = np.concatenate([unpack(x, np.uint32) for x in table.column("counts").to_pylist()])
     keys, place = np.unique(pairs, return_inverse=True)
     counts = np.bincount(place, counts).astype(np.uint64)
-    return pa.Table.from_batches([_count_rows([(table.column("shard")[0].as_py(), pack(keys), pack(counts))])])
+    return pa.Table.from_batches([_count_rows([(table.column("shard")[0].as_py(), _pack_rising(keys), pack(counts))])])
+
+
+def _tally(counts: np.ndarray) -> np.ndarray:
+    """How many are 1, 2, 3, 4 and 3 or more, and their sum."""
+    return np.array([*((counts == k).sum() for k in (1, 2, 3, 4)), (counts > 2).sum(), counts.sum()], np.int64)
+
+
+def _tallies(column: str, numbers):
+    """One tally over all rows of a task."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for packed in batch.column(column).to_pylist():
+                yield pa.record_batch([pa.array([n]) for n in _tally(numbers(packed))], names=list("abcdef"))
+
+    return run
+
+
+def _tallied(df: DataFrame, column: str, numbers) -> list[int]:
+    found = map_arrow(df, _tallies(column, numbers), ", ".join(f"{c} long" for c in "abcdef"))
+    return [n or 0 for n in found.agg(*[F.sum(c) for c in "abcdef"]).first()]
+
+
+def _stats_row(shard: int, classes: np.ndarray, numbers: np.ndarray):
+    return shard, _pack_rising(classes), pack(numbers.astype(np.uint64).reshape(-1))
+
 
+def _stats_rows(rows) -> pa.RecordBatch:
+    return pa.record_batch([pa.array(x, t) for x, t in zip(zip(*rows), (pa.int32(), pa.binary(), pa.binary()))],
+                           names=["shard", "classes", "numbers"])
 
-def _class_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """What the shards know about each class; rows of `_STATS`. Counts of counts go to class 0's row."""
-    for batch in batches:
-        for pairs, counts in zip(batch.column("pairs").to_pylist(), batch.column("counts").to_pylist()):
-            pairs, counts = unpack(pairs, np.int64), unpack(counts, np.uint64).astype(np.int64)
-            a, b = pairs // CLASSES, pairs % CLASSES
-            columns = [np.arange(CLASSES, dtype=np.int32), np.bincount(a, counts, CLASSES).astype(np.int64)]
-            columns += [np.bincount(a[which], minlength=CLASSES) for which in (counts == 1, counts == 2, counts > 2)]
-            columns.append(np.bincount(b, minlength=CLASSES))
-            for n in (1, 2, 3, 4):
-                columns.append(np.zeros(CLASSES, np.int64))
-                columns[-1][0] = (counts == n).sum()
-            some = np.logical_or.reduce([c != 0 for c in columns[1:]])
-            yield pa.record_batch([pa.array(c[some]) for c in columns], names=[x.split()[0] for x in _STATS.split(", ")])
+
+def _numbers(packed: bytes) -> np.ndarray:
+    """For each class: its total, its pairs seen once, twice and more often, and the classes before it."""
+    return unpack(packed, np.uint64).astype(np.int64).reshape(5, -1)
+
+
+def _class_counts(shards_log2: int, bits: int):
+    """What the shards of pairs know about their classes, by shard of classes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for pairs, counts in zip(batch.column("pairs").to_pylist(), batch.column("counts").to_pylist()):
+                pairs, counts = _unpack_rising(pairs), unpack(counts, np.uint64).astype(np.int64)
+                classes, place = np.unique(np.concatenate((pairs >> bits, pairs & (1 << bits) - 1)), return_inverse=True)
+                a, b, m = place[:len(pairs)], place[len(pairs):], len(classes)
+                numbers = np.stack([np.bincount(a, counts, m).astype(np.int64)] + [
+                    np.bincount(a[which], minlength=m) for which in (counts == 1, counts == 2, counts > 2)] + [
+                    np.bincount(b, minlength=m)])
+                yield _stats_rows([_stats_row(k, classes[s:e], numbers[:, s:e])
+                                   for k, s, e in _cuts(classes >> (bits - shards_log2))])
+
+    return run
+
+
+def _classes_summed(table: pa.Table) -> pa.Table:
+    classes = np.concatenate([_unpack_rising(x) for x in table.column("classes").to_pylist()])
+    numbers = np.concatenate([_numbers(x) for x in table.column("numbers").to_pylist()], axis=1)
+    found, place = np.unique(classes, return_inverse=True)
+    sums = np.stack([np.bincount(place, row, len(found)) for row in numbers])
+    return pa.Table.from_batches([_stats_rows([_stats_row(table.column("shard")[0].as_py(), found, sums)])])
 
 
 def _most_frequent(each: int):
@@ -137,7 +194,7 @@ def _most_frequent(each: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for pairs, counts in zip(batch.column("pairs").to_pylist(), batch.column("counts").to_pylist()):
-                pairs, counts = unpack(pairs, np.int64), unpack(counts, np.uint64).astype(np.int64)
+                pairs, counts = _unpack_rising(pairs), unpack(counts, np.uint64).astype(np.int64)
                 top = np.lexsort((pairs, -counts))[:each]
                 yield pa.record_batch([pa.array(pairs[top]), pa.array(counts[top])], names=["pair", "n"])
 
@@ -152,49 +209,83 @@ def discounts(n1: int, n2: int, n3: int, n4: int) -> np.ndarray:
     return np.array([0.0, *found])
 
 
+def _class_table(steps: np.ndarray, lower: np.ndarray, even: float, all_: float):
+    """Rows of a class seen in training: its total, the log of its discounted share, and of its probability as a word."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for classes, packed in zip(batch.column("classes").to_pylist(), batch.column("numbers").to_pylist()):
+                total, *kinds, before = _numbers(packed)
+                left = sum(n * step for n, step in zip(kinds, steps[1:]))
+                # A word that never was a context leaves everything to the lower order.
+                share = np.log(np.divide(left, total, out=np.ones(len(total)), where=total > 0))
+                word = np.log((before - lower[np.minimum(before, 3)] + even) / all_)
+                yield pa.record_batch([pa.array(_unpack_rising(classes).astype(np.int32))] + [
+                    pa.array(x.astype(np.float32)) for x in (total, share, word)], names=["class", "total", "share", "word"])
+
+    return run
+
+
 class Model:
-    """The tables with a row per class, and the most frequent pairs."""
-
-    def __init__(self, stats: pa.Table, pairs: np.ndarray, counts: np.ndarray):
-        columns = {name: np.zeros(CLASSES) for name in stats.column_names if name != "a"}
-        at = stats.column("a").to_numpy()
-        for name, column in columns.items():
-            column[at] = stats.column(name).to_numpy()
-        self.total, before = columns["total"], columns["before"]
-        self.discounts = discounts(*(int(columns[f"n{k}"][0]) for k in (1, 2, 3, 4)))
-        kinds = zip(("once", "twice", "more"), self.discounts[1:])
-        left = sum(columns[name] * discount for name, discount in kinds)
-        seen = self.total > 0
-        # A word that never was a context leaves everything to the lower order.
-        self.log_share = np.log(np.divide(left, self.total, out=np.ones(CLASSES), where=seen))
-        lower = discounts(*(int((before == k).sum()) for k in (1, 2, 3, 4)))
-        off = np.minimum(lower[np.minimum(before, 3).astype(int)], before)
-        all_ = before.sum()
-        spare = off.sum() if all_ else 1.0
-        self.log_word = np.log((before - off + spare / CLASSES) / max(all_, 1.0))
+    """The table with a row per class seen in training, and the most frequent pairs."""
+
+    def __init__(self, counted: DataFrame, stats: DataFrame, top: DataFrame, bits: int):
+        self.bits = bits
+        self.discounts = discounts(*_tallied(counted, "counts", lambda x: unpack(x, np.uint64))[:4])
+        n1, n2, n3, n4, more, all_ = _tallied(stats, "numbers", lambda x: _numbers(x)[4])
+        lower = discounts(n1, n2, n3, n4)
+        spare = n1 * lower[1] + n2 * lower[2] + more * lower[3] if all_ else 1.0
+        even, all_ = spare / (1 << bits), max(all_, 1)
+        table = map_arrow(stats, _class_table(self.discounts, lower, even, all_),
+                          "class int, total float, share float, word float").toArrow()
+        classes = table.column("class").to_numpy()
+        order = np.argsort(classes)
+        self.classes = classes[order]
+        # The last row is that of all classes that were not seen.
+        self.total, self.log_share, self.log_word = (
+            np.append(table.column(name).to_numpy()[order], np.float32(other))
+            for name, other in (("total", 1.0), ("share", 0.0), ("word", np.log(even / all_))))
+        top = top.toArrow()  # FREQUENT rows
+        pairs, counts = top.column("pair").to_numpy(), top.column("n").to_numpy()
         order = np.argsort(pairs)
         self.frequent, self.frequent_gain = pairs[order], self.gain(pairs[order], counts[order])
 
+    def places(self, classes: np.ndarray) -> np.ndarray:
+        """Rows of the table."""
+        classes = classes.astype(np.int32)
+        at = np.searchsorted(self.classes, classes)
+        if len(self.classes):
+            at[self.classes[np.minimum(at, len(self.classes) - 1)] != classes] = len(self.classes)
+        return at
+
     def base(self, pairs: np.ndarray) -> np.ndarray:
-        return self.log_share[pairs // CLASSES] + self.log_word[pairs % CLASSES]
+        return self.base_and_known(pairs)[0]
+
+    def base_and_known(self, pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The base, and whether both classes were seen in training; no other pair can have been."""
+        a, b = self.places(pairs >> self.bits), self.places(pairs & (1 << self.bits) - 1)
+        last = len(self.classes)
+        return self.log_share[a].astype(np.float64) + self.log_word[b], (a < last) & (b < last)
 
     def gain(self, pairs: np.ndarray, counts: np.ndarray) -> np.ndarray:
         """What having been seen adds to the base."""
         base = self.base(pairs)
         counts = counts.astype(np.float64)
-        own = (counts - self.discounts[np.minimum(counts, 3).astype(int)]) / self.total[pairs // CLASSES]
+        own = (counts - self.discounts[np.minimum(counts, 3).astype(int)]) / self.total[self.places(pairs >> self.bits)]
         return np.log(own + np.exp(base)) - base
 
 
-def _document_counts(shared, shards_log2: int):
+def _document_counts(shared, shards_log2: int, key_bits: int):
     """Per chunk the documents' bases with the frequent pairs (negative shard), and other pairs by shard."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, task, nth = shared.value, TaskContext.get().partitionId(), 0
         for batch in batches:
             for part in blocks(batch, "text", CHUNK_BYTES):
-                pairs, doc, counts = _pairs(part)
-                score = np.bincount(doc, model.base(pairs), len(counts))
+                pairs, doc, counts = _pairs(part, model.bits)
+                base, known = model.base_and_known(pairs)
+                score = np.bincount(doc, base, len(counts))
+                pairs, doc = pairs[known], doc[known]
                 if len(model.frequent):
                     place = np.minimum(np.searchsorted(model.frequent, pairs), len(model.frequent) - 1)
                     hit = model.frequent[place] == pairs
@@ -204,16 +295,13 @@ def _document_counts(shared, shards_log2: int):
                 nth += 1
                 keys = part.column("key").to_numpy(zero_copy_only=False)
                 rows = [(-1 - chunk % (1 << shards_log2), pack(keys), pack(counts), pack(score))]
-                spread = _spread(pairs)
-                shard = (spread >> np.uint64(2 * WORD_BITS - shards_log2)).astype(np.uint32)
+                shard, found = _dealt(pairs, shards_log2, key_bits)
                 order = np.argsort(shard, kind="stable")
-                shard, doc, spread = shard[order], doc[order], spread[order].astype(np.uint32)
-                edges = np.concatenate(([0], np.flatnonzero(np.diff(shard)) + 1, [len(shard)]))
-                for s, e in zip(edges[:-1].tolist(), edges[1:].tolist()):
-                    if e > s:
-                        docs, n = np.unique(doc[s:e], return_counts=True)
-                        docs = np.diff(docs, prepend=0).astype(np.uint32)
-                        rows.append((int(shard[s]), pack(docs), pack(n.astype(np.uint32)), pack(spread[s:e])))
+                doc, found = doc[order], found[order]
+                for k, s, e in _cuts(shard[order]):
+                    docs, n = np.unique(doc[s:e], return_counts=True)
+                    docs = np.diff(docs, prepend=0).astype(np.uint32)
+                    rows.append((k, pack(docs), pack(n.astype(np.uint32)), pack(found[s:e])))
                 shard, *binary = zip(*rows)
                 yield pa.record_batch(
                     [pa.array(shard, pa.int32()), pa.array(np.full(len(rows), chunk)),
@@ -222,26 +310,26 @@ def _document_counts(shared, shards_log2: int):
     return run
 
 
-def _join_shards(shared):
+def _join_shards(shared, shards_log2: int, key_bits: int):
     """Over rows in the order of shards, the model's row of a shard first: gains of documents by chunk."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, of, spread, gain = shared.value, None, None, None
+        model, of, known, gain = shared.value, None, None, None
         for batch in batches:
             out = []
             for row in batch.to_pylist():
                 if row["shard"] < 0:
                     out.append((row["shard"], row["chunk"], row["docs"], row["sizes"], row["found"]))
                 elif row["chunk"] < 0:
-                    of, pairs = row["shard"], unpack(row["docs"], np.int64)
+                    of, pairs = row["shard"], _unpack_rising(row["docs"])
                     gain = model.gain(pairs, unpack(row["sizes"], np.uint64))
-                    spread = _spread(pairs)
-                    order = np.argsort(spread)
-                    spread, gain = spread[order].astype(np.uint32), gain[order]
+                    known = _dealt(pairs, shards_log2, key_bits)[1]
+                    order = np.argsort(known)
+                    known, gain = known[order], gain[order]
                 elif row["shard"] == of:
-                    values, sizes = unpack(row["found"], np.uint32), unpack(row["sizes"], np.uint32)
-                    place = np.minimum(np.searchsorted(spread, values), len(spread) - 1)
-                    added = np.where(spread[place] == values, gain[place], 0.0)
+                    values, sizes = unpack(row["found"], known.dtype), unpack(row["sizes"], np.uint32)
+                    place = np.minimum(np.searchsorted(known, values), len(known) - 1)
+                    added = np.where(known[place] == values, gain[place], 0.0)
                     sums = np.bincount(np.repeat(np.arange(len(sizes)), sizes), added, len(sizes))
                     out.append((row["shard"], row["chunk"], row["docs"], None, pack(sums.astype(np.float32))))
             if out:
@@ -271,19 +359,23 @@ def log_perplexity(rows: DataFrame, trusted: DataFrame) -> DataFrame:
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards_log2 = max(0, (total // 6).bit_length() // 2 - 8)
 
-    parts = map_arrow(trusted.select("text"), _training_counts(shards_log2), _COUNTS)
+    bits = word_bits(total)
+    # Of a pair not seen in training, fewer than one in a thousand has the key of one that was.
+    key_bits = max(32, (total // 6).bit_length() - shards_log2 + 10)
+
+    parts = map_arrow(trusted.select("text"), _training_counts(shards_log2, bits), _COUNTS)
     counted = settle(parts.groupBy("shard").applyInArrow(_summed, _COUNTS))
-    stats = map_arrow(counted, _class_counts, _STATS).groupBy("a").agg(
-        *[F.sum(c).alias(c) for c in (x.split()[0] for x in _STATS.split(", ")) if c != "a"])
-    top = map_arrow(counted, _most_frequent(FREQUENT >> shards_log2), "pair long, n long").toArrow()  # FREQUENT rows
-    model = Model(stats.toArrow(), top.column("pair").to_numpy(), top.column("n").to_numpy())  # a row per class
+    stats = settle(map_arrow(counted, _class_counts(shards_log2, bits), _STATS).groupBy("shard").applyInArrow(
+        _classes_summed, _STATS))
+    top = map_arrow(counted, _most_frequent(FREQUENT >> shards_log2), "pair long, n long")
+    model = Model(counted, stats, top, bits)
     shared = spark.sparkContext.broadcast(model)
 
-    documents = map_arrow(rows.select("key", "text"), _document_counts(shared, shards_log2), _PART)
+    documents = map_arrow(rows.select("key", "text"), _document_counts(shared, shards_log2, key_bits), _PART)
     counts = counted.select("shard", F.lit(-1).cast("long").alias("chunk"), F.col("pairs").alias("docs"),
                             F.col("counts").alias("sizes"), F.lit(None).cast("binary").alias("found"))
     dealt = documents.unionByName(counts).repartition("shard").sortWithinPartitions("shard", "chunk")
-    sums = map_arrow(dealt, _join_shards(shared), _PART).groupBy("chunk").applyInArrow(
+    sums = map_arrow(dealt, _join_shards(shared, shards_log2, key_bits), _PART).groupBy("chunk").applyInArrow(
         _add_up, "key long, n_words long, score double")
     return sums.groupBy("key").agg(F.max("n_words").alias("n_words"), F.max("score").alias("score")).select(
         "key", F.when(F.col("n_words") > 0, -F.col("score") / (F.col("n_words") + 1)).alias("log_ppl"))

@@ -61,6 +61,18 @@ def test_perplexity(spark, odd_docs, odd_rows, monkeypatch):
                 assert abs(r.log_ppl - want) < 1e-5
 
 
+def test_vocabulary_grows(spark):
+    """Words that were never seen look like it, however many were."""
+    trusted = [" ".join(f"word{k}" for k in range(at, at + 500)) for at in range(0, 60_000, 500)]
+    junk = [" ".join(f"j{d}x{k}" for k in range(40)) for d in range(200)]
+    rows = spark.createDataFrame([(k, t) for k, t in enumerate(trusted + junk)], "key long, text string")
+    got = {r.key: r.log_ppl for r in log_perplexity(rows, rows.where("key < 120").select("text")).collect()}
+    unseen = Counter(round(got[k], 6) for k in range(120, 320))
+    # All have the probability of 40 unseen words, but for a few whose words share a class with a seen one.
+    assert unseen.most_common(1)[0][1] >= 100 and min(got[k] for k in range(120, 320)) > max(got[k] for k in range(120))
+    assert quality.word_bits(0) < quality.word_bits(1 << 20) < quality.word_bits(1 << 25)
+
+
 def test_probabilities_add_up():
     rng = random.Random(2)
     p = model_by_hand([" ".join(rng.choice(WORDS) for _ in range(200)) for _ in range(5)])
