@@ -3,7 +3,7 @@
 The tokenizer file lower-cases, treats runs of white space as separators and then splits a text into runs of
 letters, single digits and runs of other marks, before any merge. Where a piece between ASCII white space has
 only ASCII and Latin-1 letters, digits and marks without apostrophe or <, these units can be told from its bytes;
-any other piece is one unit. A text's ids are those of its units, one after another. The units of a block of
+any other piece is one unit, taken as it is written. A text's ids are those of its units, one after another. The units of a block of
 texts are found on arrays, and only its distinct ones are looked up. Each worker process remembers the ids
 of units that it has met, in a table of bounded size, and encodes new ones, many at once, since a
 token that ends a word can be told from others. Units are found by a 64-bit hash and compared by their bytes.
@@ -12,7 +12,7 @@ token that ends a word can be told from others. Units are found by a 64-bit hash
 import numpy as np
 import pyarrow as pa
 
-from neudrift.llm.words import NOT_WHITE, hashes, text_bytes
+from neudrift.llm.words import NOT_WHITE, hashes, mixed, text_bytes
 
 # Units whose ids a worker process remembers, some 50 bytes each; a full table is begun anew.
 REMEMBERED = 800_000
@@ -24,7 +24,8 @@ _CLASS[~NOT_WHITE] = _WHITE_SPACE
 _CLASS[128:] = _LETTER
 _CLASS[[b for b in range(128) if chr(b).isalpha()]] = _LETTER
 _CLASS[48:58] = _DIGIT
-_LOWER = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], np.uint8)
+# Sets the hashes of units that are not words apart from those of words.
+_OTHER = np.uint64(0x5851F42D4C957F2D)
 # Bytes that make the rule unsure: apostrophes, the < of special tokens, controls, and all of UTF-8 but the
 # two of a Latin-1 letter.
 _UNSURE = np.zeros(256, bool)
@@ -164,9 +165,15 @@ class WordEncoder:
         if not len(data):
             return np.zeros(0, "<u4"), np.zeros(len(offsets), np.int64)
         starts, ends, word, bounds = units(data, offsets)
-        # Units that differ only in the case of ASCII letters have the same ids.
-        distinct, where, which = np.unique(hashes(data, starts, ends, lower=True), return_index=True, return_inverse=True)
-        lower = _LOWER[data]
+        # Words that differ only in the case of ASCII letters have the same ids. Other units may not: special
+        # tokens are found as they are written, and letters are composed before they are lower-cased.
+        found = hashes(data, starts, ends, lower=True)
+        found[~word] = mixed(hashes(data, starts[~word], ends[~word]) ^ _OTHER)
+        distinct, where, which = np.unique(found, return_index=True, return_inverse=True)
+        lower, upper = data.copy(), (data >= 65) & (data <= 90)
+        kept = ranges(starts[~word], (ends - starts)[~word])
+        upper[kept] = False
+        lower[upper] += 32
         starts, sizes, word = starts[where], (ends - starts)[where], word[where]
         at = self.known.find(distinct, lower, starts, sizes)
 

@@ -18,7 +18,8 @@ ALPHABET = "aAbBzZ09 \t\n.,!'|<>-_ñÑßÀ÷×…“é́日Σς½²\x1c\x85 İ'"
 def odd_texts(n=3000):
     rng = random.Random(1)
     fixed = ["Hello, WORLD!! it's don't I'LL", "<|endoftext|> <|startoftext|>x", "", "   ", "a--b 's 't 're's",
-             "İstanbul ΟΔΟΣ", "日本語 テスト", "a\x85b c", "123 4x5 x67", "word " * 500, "x" * 300]
+             "İstanbul ΟΔΟΣ", "日本語 テスト", "a\x85b c", "123 4x5 x67", "word " * 500, "x" * 300,
+             "<|ENDOFTEXT|> <|endoftext|> <|EndOfText|>", "H\u0331a h\u0331a J\u030cA j\u030ca J\u030ca H\u0331A"]
     return fixed + ["".join(rng.choice(ALPHABET) for _ in range(rng.randint(0, 40))) for _ in range(n)]
 
 
