@@ -10,6 +10,9 @@ where the vocabulary has byte pieces.
 Where no piece of the vocabulary continues after a space mark that follows another character, which is
 checked, texts fall apart at spaces, and a worker process remembers the counts of the parts it has met.
 Scores are summed in double precision.
+
+Counts are those of a unigram model over the pieces and scores of a file, whatever model the file is made for. Of a
+BPE model, whose scores are ranks of merges, they are not the file's own counts.
 """
 
 import re
