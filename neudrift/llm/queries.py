@@ -2,6 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from neudrift.llm.byte_bpe import decode, encode
 from neudrift.llm.common import table
 from neudrift.llm.decontaminate import find_matches, hit_words
 from neudrift.llm.exact_dedup import exact_duplicates
@@ -17,6 +18,7 @@ from neudrift.llm.toxicity import score, train
 WORD_TOKENIZER = "word_bpe_49k.json"
 QUALITY = {"quantile": 0.995}
 PIECES = "piece_bpe_32k.model"
+BYTE_RANKS = "byte_bpe_50k.tiktoken"
 
 
 def tokenizer_file(name: str) -> str:
@@ -104,6 +106,15 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every text under public ranks of byte strings, and the bytes that they stand for."""
+    path = tokenizer_file(BYTE_RANKS)
+    return decode(encode(table(spark, sf_dir, "documents"), path), path).select(
+        F.col("id").alias("doc_id"), "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_line_dedup": op2_line_dedup,
@@ -115,6 +126,7 @@ QUERIES = {
     "op8_packing": op8_packing,
     "op9_token_counts": op9_token_counts,
     "op10_substring_dedup": op10_substring_dedup,
+    "op12_byte_bpe": op12_byte_bpe,
 }
 
 # Fixed values of the texts' rules, as DuckDB writes them.
