@@ -7,6 +7,7 @@ from neudrift.llm.common import table
 from neudrift.llm.decontaminate import find_matches, hit_words
 from neudrift.llm.exact_dedup import exact_duplicates
 from neudrift.llm.line_dedup import dedup_lines
+from neudrift.llm.merkle import hexed, manifest, proof_hash
 from neudrift.llm.packing import pack_documents
 from neudrift.llm.quality import rated
 from neudrift.llm.sharding import shard_documents
@@ -115,6 +116,15 @@ def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, proof and roots of every document, and the root that its tampered version leads to."""
+    return manifest(table(spark, sf_dir, "documents")).select(
+        F.col("id").alias("doc_id"), hexed("leaf").alias("leaf"), hexed("subroot").alias("subroot"),
+        hexed("root").alias("root"), proof_hash().alias("proof_sha256"), hexed("folded_root").alias("folded_root"),
+        (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_line_dedup": op2_line_dedup,
@@ -127,6 +137,7 @@ QUERIES = {
     "op9_token_counts": op9_token_counts,
     "op10_substring_dedup": op10_substring_dedup,
     "op12_byte_bpe": op12_byte_bpe,
+    "op13_merkle": op13_merkle,
 }
 
 # Fixed values of the texts' rules, as DuckDB writes them.
@@ -134,6 +145,39 @@ _WHITE = "chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || ' '"
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
+
+
+def _tree_sql(name: str, leaves: str, ids: str, levels: int) -> str:
+    """Tables of a hash tree, up to 16**levels leaves a group: {name}_root (g, d) and {name}_path (ids, g, proof, node).
+
+    `leaves` has (ids, g, pos, d, changed); nodes are folded from `changed`.
+    """
+    out = [f"{name}_0 AS (SELECT g, pos, d, count(*) OVER (PARTITION BY g) AS n FROM {leaves})",
+           f"{name}_p0 AS (SELECT {ids}, g, pos, changed AS node, '' AS proof FROM {leaves})"]
+    for k in range(levels):
+        out.append(f"""{name}_{k + 1} AS (
+  SELECT g, pos // 16 AS pos, CASE WHEN max(n) = 1 THEN any_value(d) ELSE sha256(string_agg(d, '' ORDER BY pos)) END AS d,
+         (max(n) + 15) // 16 AS n FROM {name}_{k} GROUP BY g, pos // 16)""")
+        out.append(f"""{name}_p{k + 1} AS (
+  SELECT {ids}, g, pos // 16 AS pos, CASE WHEN n = 1 THEN node ELSE sha256(b || node || a) END AS node, proof || b || a AS proof
+  FROM (SELECT {", ".join("p." + i.strip() for i in ids.split(","))}, p.g, p.pos, p.node, p.proof, max(t.n) AS n,
+               coalesce(string_agg(t.d, '' ORDER BY t.pos) FILTER (t.pos < p.pos), '') AS b,
+               coalesce(string_agg(t.d, '' ORDER BY t.pos) FILTER (t.pos > p.pos), '') AS a
+        FROM {name}_p{k} p JOIN {name}_{k} t ON p.g = t.g AND p.pos // 16 = t.pos // 16 GROUP BY ALL))""")
+    out.append(f"{name}_root AS (SELECT g, d FROM {name}_{levels})")
+    out.append(f"{name}_path AS (SELECT {ids}, g, proof, node FROM {name}_p{levels})")
+    return ",\n".join(out)
+
+
+def _leaf_sql(*fields: str) -> str:
+    return "sha256(" + " || ".join(
+        f"CASE WHEN {f} IS NULL THEN '-' ELSE strlen({f}::VARCHAR) || ':' || {f} END" for f in fields) + ")"
+
+
+# CRC-32 of the ASCII digits of an id.
+_CRC = """xor(list_reduce([4294967295] || list_transform(range(1, length(doc_id::VARCHAR) + 1), lambda i: ascii((doc_id::VARCHAR)[i])::BIGINT),
+    lambda c, x: list_reduce([xor(c, x)] || range(8), lambda v, i: xor(v >> 1, CASE WHEN v & 1 = 1 THEN 3988292384 ELSE 0 END))), 4294967295)"""
+
 ORACLES = {
     "op2_line_dedup": f"""
 WITH l AS (
@@ -184,5 +228,32 @@ kept AS (SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY q) AS text
 SELECT doc_id, len(w)::BIGINT AS n_words, len(w) - coalesce(n, 0) AS n_removed,
        sha256(coalesce(text, '')) AS kept_sha256
 FROM d LEFT JOIN kept USING (doc_id)
+""",
+    "op13_merkle": f"""
+WITH d AS (
+  SELECT doc_id, row_number() OVER () AS rid, coalesce('=' || source, '') AS g,
+         {_leaf_sql("doc_id", "source", "lang", "n_chars", "text")} AS d,
+         CASE WHEN {_CRC} % 5 = 0 THEN {_leaf_sql("doc_id", "source", "lang", "n_chars", _LOWER.format("text"))} END AS other
+  FROM documents),
+leaves AS (SELECT doc_id, rid, g, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, d) - 1 AS pos, d,
+                  coalesce(other, d) AS changed FROM d),
+{_tree_sql("low", "leaves", "doc_id, rid", 5)},
+tops AS (SELECT g AS source, 0 AS g, row_number() OVER (ORDER BY g) - 1 AS pos, d, d AS changed FROM low_root),
+{_tree_sql("top", "tops", "source", 3)},
+-- The way from a subroot upwards, folded from what the leaf's version has made of it.
+up AS (SELECT p.doc_id, p.rid, t.pos, p.g AS source, p.node
+       FROM low_path p JOIN tops t ON t.source = p.g),
+fold_p0 AS (SELECT doc_id, rid, source, pos, node FROM up),
+{", ".join(f"""
+fold_p{k + 1} AS (
+  SELECT doc_id, rid, source, pos // 16 AS pos, CASE WHEN n = 1 THEN node ELSE sha256(b || node || a) END AS node
+  FROM (SELECT p.doc_id, p.rid, p.source, p.pos, p.node, max(t.n) AS n,
+               coalesce(string_agg(t.d, '' ORDER BY t.pos) FILTER (t.pos < p.pos), '') AS b,
+               coalesce(string_agg(t.d, '' ORDER BY t.pos) FILTER (t.pos > p.pos), '') AS a
+        FROM fold_p{k} p JOIN top_{k} t ON p.pos // 16 = t.pos // 16 GROUP BY ALL))""" for k in range(3))}
+SELECT l.doc_id, l.d AS leaf, r.d AS subroot, top_root.d AS root, sha256(p.proof || q.proof) AS proof_sha256,
+       f.node AS folded_root, f.node = top_root.d AS verified
+FROM leaves l JOIN low_root r USING (g) JOIN low_path p USING (rid) JOIN top_path q ON q.source = l.g
+JOIN fold_p3 f ON f.rid = l.rid CROSS JOIN top_root
 """,
 }
