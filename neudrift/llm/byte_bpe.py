@@ -32,9 +32,7 @@ KNOWN_BYTES = 64
 FOLDED = 256
 _PLACE = 1 << 10
 _NO_RANK = 1 << 20
-_SLOTS = 1 << 16
-# Bytes of text in which pieces are counted together, and texts of one row of the encoder.
-_COUNTED, _ENCODED = 8 << 20, 2 << 20
+_SLOTS = 1 << 15
 
 _LETTER, _NUMBER, _MARK, _SPACE = range(4)
 # What may follow an apostrophe in a piece of its own.
@@ -73,46 +71,51 @@ def piece_starts(data: np.ndarray, offsets: np.ndarray, classes: np.ndarray) ->
     """
     if not len(data):
         return np.zeros(0, np.int64)
-    if data.max() < 128:
-        points, byte_of = data.astype(np.uint32), None
-    else:
-        points = np.frombuffer(data.tobytes().decode().encode("utf-32-le"), "<u4")
-        sizes = 1 + (points >= 0x80) + (points >= 0x800) + (points >= 0x10000).astype(np.int64)
-        byte_of = np.cumsum(sizes) - sizes
-    n = len(points)
+    n = len(data)
+    kind = classes[:256].take(data)
+    # Every byte of a character has the character's class, so that places of bytes will do.
+    lead = np.flatnonzero(data >= 0xC0)
+    if len(lead):
+        more = 1 + (data[lead] >= 0xE0) + (data[lead] >= 0xF0).astype(np.int64)
+        point = data[lead].astype(np.int64) & (0x3F >> more)
+        for k in (1, 2, 3):
+            point = np.where(more >= k, point << 6 | data[np.minimum(lead + k, n - 1)] & 0x3F, point)
+        found = classes[np.minimum(point, len(classes) - 1)]
+        kind[lead] = found
+        for k in (1, 2, 3):
+            kind[lead[more >= k] + k] = found[more >= k]
     begins = offsets[:-1]
-    begins = begins[begins < len(data)]
-    if byte_of is not None:
-        begins = np.searchsorted(byte_of, begins)
-    kind = classes[points]
-    first = np.zeros(n + 3, bool)  # with room for what follows the last character
+    begins = begins[begins < n]
+    first = np.zeros(n + 4, bool)  # with room for what follows the last character
     first[begins] = True
     first[n:] = True
     starts = first.copy()
     starts[1:n] |= kind[1:] != kind[:-1]
 
     # White space before text of the same document: its last character stands alone or, a blank, joins the text.
-    text = np.flatnonzero((kind[1:] != _SPACE) & (kind[:-1] == _SPACE) & ~first[1:n]) + 1
-    starts[text - 1] = True
-    starts[text] = points[text - 1] != 32
-
-    quote = np.flatnonzero(starts[:n] & (points == 39))
-    after = np.zeros((2, len(quote)), np.uint32)  # the next two characters of the same document, else 0
+    space = kind == _SPACE
+    text = np.flatnonzero(space[:-1] & ~space[1:] & ~first[1:n]) + 1
+    last = text - 1
+    for _ in range(3):
+        last = np.where(data[last] & 0xC0 == 0x80, last - 1, last)
+    starts[last] = True
+    starts[text] = data[text - 1] != 32
+
+    quote = np.flatnonzero(data == 39)
+    quote = quote[starts[quote]]
+    after = np.zeros((2, len(quote)), np.uint8)  # the next two characters of the same document, else 0
+    inside = np.ones(len(quote), bool)
     for k in (1, 2):
-        at = np.minimum(quote + k, n - 1)
-        inside = (quote + k < n) & ~first[quote + 1]
-        if k == 2:
-            inside &= ~first[quote + 2]
-        after[k - 1] = np.where(inside, points[at], 0)
+        inside &= ~first[quote + k]
+        after[k - 1] = np.where(inside, data[np.minimum(quote + k, n - 1)], 0)
     one = np.isin(after[0], [ord(c) for c in _ONE])
     two = np.zeros(len(quote), bool)
-    for a, b in _TWO:
-        two |= (after[0] == ord(a)) & (after[1] == ord(b))
+    for x, y in _TWO:
+        two |= (after[0] == ord(x)) & (after[1] == ord(y))
     starts[quote[one | two] + 1] = False
     starts[quote[one] + 2] = True
     starts[quote[two] + 3] = True
-    found = np.flatnonzero(starts[:n])
-    return found if byte_of is None else byte_of[found]
+    return np.flatnonzero(starts[:n])
 
 
 def _pieces(texts: pa.Array, classes: np.ndarray) -> tuple[np.ndarray, pa.Array, np.ndarray]:
@@ -143,6 +146,18 @@ def _binary(data: np.ndarray, bounds: np.ndarray) -> pa.Array:
     return out.cast(pa.binary())
 
 
+def _one_list(values: pa.Array) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
+
+
+def _latin(pieces: pa.Array) -> pa.Array:
+    """Binary values as strings of one character per byte."""
+    data, offsets = _raw(pieces)
+    wide = np.concatenate(([0], np.cumsum(data >= 128)))[offsets]
+    return pa.LargeStringArray.from_buffers(
+        len(pieces), pa.py_buffer(offsets + wide), pa.py_buffer(data.tobytes().decode("latin-1").encode())).cast(pa.string())
+
+
 # Merging by higher-order functions
 
 def rank_of(ranks: dict[bytes, int]):
@@ -151,7 +166,7 @@ def rank_of(ranks: dict[bytes, int]):
     for token, rank in ranks.items():
         name = token.decode("latin-1")
         slots[zlib.crc32(name.encode()) % _SLOTS][name] = rank
-    literal = F.from_json(F.lit(json.dumps(slots)), "array<map<string,int>>")
+    literal = F.from_json(F.lit(json.dumps(slots, separators=(",", ":"))), "array<map<string,int>>")
     return lambda name: F.try_element_at(F.get(literal, F.crc32(name).bitwiseAND(_SLOTS - 1).cast("int")), name)
 
 
@@ -163,9 +178,12 @@ def _bound(value: Column, use) -> Column:
 def merged(piece: Column, look) -> Column:
     """Ids of a piece of 2 to FOLDED bytes, written with one character per byte.
 
-    The state of the fold is a number per pair of neighbours: rank, start, middle and end, in order of start.
+    The state of the fold is a number per pair of neighbours, in order: rank, start, middle and end. A step looks
+    up the ranks of new pairs, which begin with rank 0 and a mark, and joins the best pair. The look-up is written
+    once for all steps and once for the ids, since each holds the whole literal.
     """
     size = F.length(piece)
+    marked, none = F.lit(-1).cast("long"), _NO_RANK * _PLACE ** 3
 
     def part(start, end):
         return F.substring(piece, start.cast("int") + 1, (end - start).cast("int"))
@@ -182,28 +200,32 @@ def merged(piece: Column, look) -> Column:
     def end(pair):
         return pair.bitwiseAND(_PLACE - 1)
 
-    def pair(a, b, c):
-        rank = F.coalesce(look(part(a, c)), F.lit(_NO_RANK)).cast("long")
-        return ((rank * _PLACE + a) * _PLACE + b) * _PLACE + c
+    def new(a, b, c):
+        return marked * _PLACE ** 3 + (a * _PLACE + b) * _PLACE + c
+
+    def ranked(pair):
+        rank = F.coalesce(look(part(start(pair), end(pair))), F.lit(_NO_RANK)).cast("long")
+        return F.when(pair < 0, pair + (rank + 1) * _PLACE ** 3).otherwise(pair)
 
-    def join(pairs, best):
+    def joined(pairs, best):
         left, right = start(best), end(best)
         return F.transform(
             F.filter(pairs, lambda p: p != best),
-            lambda p: F.when(middle(p) == left, pair(start(p), left, right))
-            .when(middle(p) == right, pair(left, right, end(p))).otherwise(p))
+            lambda p: F.when(middle(p) == left, new(start(p), left, right))
+            .when(middle(p) == right, new(left, right, end(p))).otherwise(p))
 
     def step(pairs, _):
-        return _bound(F.array_min(pairs), lambda best: F.when(
-            best < _NO_RANK * _PLACE ** 3, join(pairs, best)).otherwise(pairs))
+        return _bound(F.transform(pairs, ranked), lambda now: _bound(
+            F.array_min(now), lambda best: F.when(best < none, joined(now, best)).otherwise(now)))
 
     def ids(pairs):
-        last = F.when(F.size(pairs) == 0, F.lit(0).cast("long")).otherwise(middle(F.get(pairs, F.size(pairs) - 1)))
-        return F.concat(F.transform(pairs, lambda p: look(part(start(p), middle(p)))),
-                        F.array(look(part(last, size))))
+        starts = F.concat(F.transform(pairs, start), F.array(F.when(
+            F.size(pairs) == 0, F.lit(0).cast("long")).otherwise(middle(F.get(pairs, F.size(pairs) - 1)))))
+        ends = F.concat(F.transform(pairs, middle), F.array(size.cast("long")))
+        return F.zip_with(starts, ends, lambda a, b: look(part(a, b)))
 
-    bytes_in = F.sequence(F.lit(1).cast("long"), size.cast("long") - 1)
-    pairs = F.transform(bytes_in, lambda k: pair(k - 1, k, k + 1))
+    places = F.sequence(F.lit(1).cast("long"), size.cast("long") - 1)
+    pairs = F.transform(places, lambda k: new(k - 1, k, k + 1))
     return _bound(F.aggregate(F.sequence(F.lit(2), size), pairs, step), ids)
 
 
@@ -243,13 +265,12 @@ def _counts(texts: DataFrame, classes) -> DataFrame:
     than KNOWN_BYTES left out."""
     def run(batches):
         for batch in batches:
-            for part in blocks(batch, "text", _COUNTED):
+            for part in blocks(batch, "text"):
                 which, forms, _ = _pieces(part.column("text"), classes.value)
-                data, offsets = _raw(forms)
-                sizes, n = np.diff(offsets), np.bincount(which, minlength=len(forms))
-                keep = np.flatnonzero((sizes > 1) & (sizes <= KNOWN_BYTES))
-                names = [bytes(data[s:e]).decode("latin-1") for s, e in zip(offsets[keep].tolist(), offsets[keep + 1].tolist())]
-                yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(n[keep], pa.int64())], ["piece", "n"])
+                sizes = np.diff(_raw(forms)[1])
+                keep = pa.array((sizes > 1) & (sizes <= KNOWN_BYTES))
+                n = pa.array(np.bincount(which, minlength=len(forms)))
+                yield pa.RecordBatch.from_arrays([_latin(forms.filter(keep)), n.filter(keep)], ["piece", "n"])
 
     return map_arrow(texts, run, "piece string, n long").groupBy("piece").agg(F.sum("n").alias("n"))
 
@@ -342,25 +363,22 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = _known(shared)
         for batch in batches:
-            for part in blocks(batch, "text", _ENCODED):
+            for part in blocks(batch, "text"):
                 which, forms, bounds = _pieces(part.column("text"), classes.value)
                 place = table.find(forms)
                 new = np.flatnonzero(place < 0)
-                data, offsets = _raw(forms)
-                sizes = np.diff(offsets)[new]
+                sizes = np.diff(_raw(forms)[1])[new]
                 # Those for the fold first, then those that are too long for it.
                 new = np.concatenate((new[sizes <= FOLDED], new[sizes > FOLDED]))
                 place[new] = -1 - np.arange(len(new))
-                raw = data.tobytes()
-                names = [raw[s:e] for s, e in zip(offsets[new].tolist(), offsets[new + 1].tolist())]
                 short = int((sizes <= FOLDED).sum())
                 texts = pa.StructArray.from_arrays(
                     [part.column("id"), _binary(which.astype("<i4"), 4 * bounds)], ["id", "pieces"])
                 yield pa.RecordBatch.from_arrays([
-                    pa.array([[n.decode("latin-1") for n in names[:short]]], pa.list_(pa.string())),
-                    pa.array([names[short:]], pa.list_(pa.binary())),
+                    _one_list(_latin(forms.take(pa.array(new[:short])))),
+                    _one_list(forms.take(pa.array(new[short:])).cast(pa.binary())),
                     pa.array([place.astype("<i4").tobytes()], pa.binary()),
-                    pa.ListArray.from_arrays(pa.array([0, len(part)], pa.int32()), texts),
+                    _one_list(texts),
                 ], ["others", "long", "forms", "texts"])
 
     def assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
