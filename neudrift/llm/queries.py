@@ -15,6 +15,7 @@ from neudrift.llm.simhash import near_duplicates
 from neudrift.llm.substring_dedup import dedup_passages
 from neudrift.llm.token_counts import token_counts
 from neudrift.llm.toxicity import score, train
+from neudrift.llm.whitening import whiten
 
 WORD_TOKENIZER = "word_bpe_49k.json"
 QUALITY = {"quantile": 0.995}
@@ -107,6 +108,11 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every embedding on the eight leading eigenvectors of all, scaled to variance 1."""
+    return whiten(table(spark, sf_dir, "embeddings"), components=8).withColumnRenamed("id", "vec_id")
+
+
 def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every text under public ranks of byte strings, and the bytes that they stand for."""
     path = tokenizer_file(BYTE_RANKS)
@@ -136,6 +142,7 @@ QUERIES = {
     "op8_packing": op8_packing,
     "op9_token_counts": op9_token_counts,
     "op10_substring_dedup": op10_substring_dedup,
+    "op11_whitening": op11_whitening,
     "op12_byte_bpe": op12_byte_bpe,
     "op13_merkle": op13_merkle,
 }
