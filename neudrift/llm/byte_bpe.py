@@ -26,7 +26,7 @@ from neudrift.llm.tokens import Remembered, ranges
 from neudrift.llm.words import blocks, hashes, text_bytes
 
 # Distinct pieces that every task holds, of KNOWN_BYTES each at most; some 45 bytes of memory each.
-KNOWN = 1_500_000
+KNOWN = 1 << 20
 KNOWN_BYTES = 64
 # Longest piece that the fold merges, in bytes; its pairs are coded with 10 bits for a place.
 FOLDED = 256
@@ -345,8 +345,23 @@ def _prepare(texts: DataFrame, ranks: dict[bytes, int], look, classes, known: in
 
 # Encoding and decoding
 
-def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", known: int = KNOWN) -> DataFrame:
-    """`id`, `n_tokens` and `ids` (binary: little-endian unsigned 32-bit numbers) of every text.
+def _by_id(ranks: dict[bytes, int]) -> list[bytes]:
+    pieces = [b""] * (max(ranks.values()) + 1)
+    for token, rank in ranks.items():
+        pieces[rank] = token
+    return pieces
+
+
+def _decoded(by_id: pa.Array, ids: np.ndarray, bounds: np.ndarray) -> pa.Array:
+    """The binary pieces of each run of ids, one after another; `bounds` are the n + 1 places of the runs."""
+    data, offsets = _raw(by_id.take(pa.array(ids)))
+    return _binary(data, offsets[bounds])
+
+
+def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", known: int = KNOWN,
+           decoded: bool = False) -> DataFrame:
+    """`id`, `n_tokens` and `ids` (binary: little-endian unsigned 32-bit numbers) of every text, and with `decoded`
+    what `decode` makes of the ids, in the same task.
 
     A null or empty text has no ids. Rows are taken one by one, so repeated rows, equal ids and rows without
     an id stay as they are; other columns are not read. An empty table gives an empty table. Texts are taken as
@@ -358,7 +373,7 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
     texts = docs.select(docs[f"`{id_col}`"].alias("id"), F.coalesce(docs[f"`{text_col}`"].cast("string"), F.lit("")).alias("text"))
     id_type = texts.schema["id"].dataType.simpleString()
     shared = _prepare(texts.select("text"), ranks, look, classes, known)
-    all_ranks = spark.sparkContext.broadcast(ranks)
+    all_ranks = spark.sparkContext.broadcast((ranks, _by_id(ranks)))
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = _known(shared)
@@ -366,53 +381,60 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
             for part in blocks(batch, "text"):
                 which, forms, bounds = _pieces(part.column("text"), classes.value)
                 place = table.find(forms)
-                new = np.flatnonzero(place < 0)
+                new, old = np.flatnonzero(place < 0), place[place >= 0]
                 sizes = np.diff(_raw(forms)[1])[new]
                 # Those for the fold first, then those that are too long for it.
                 new = np.concatenate((new[sizes <= FOLDED], new[sizes > FOLDED]))
-                place[new] = -1 - np.arange(len(new))
                 short = int((sizes <= FOLDED).sum())
+                # Numbers of ids of known forms, and -1 - k for the k-th new one.
+                counts = np.empty(len(place), "<i4")
+                counts[place >= 0] = table.table.places[3][old]
+                counts[new] = -1 - np.arange(len(new))
+                ids = table.table.ids[ranges(table.table.places[2][old], table.table.places[3][old].astype(np.int64))]
                 texts = pa.StructArray.from_arrays(
                     [part.column("id"), _binary(which.astype("<i4"), 4 * bounds)], ["id", "pieces"])
                 yield pa.RecordBatch.from_arrays([
                     _one_list(_latin(forms.take(pa.array(new[:short])))),
                     _one_list(forms.take(pa.array(new[short:])).cast(pa.binary())),
-                    pa.array([place.astype("<i4").tobytes()], pa.binary()),
+                    pa.array([counts.tobytes()], pa.binary()), pa.array([ids.tobytes()], pa.binary()),
                     _one_list(texts),
-                ], ["others", "long", "forms", "texts"])
+                ], ["others", "long", "counts", "ids", "texts"])
 
     def assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = _known(shared).table
+        ranks, pieces = all_ranks.value
+        by_id = pa.array(pieces, pa.large_binary())
         for batch in batches:
             for k in range(len(batch)):
                 folded = batch.column("others")[k].values
-                long = [merged_with_heap(p, all_ranks.value) for p in batch.column("long")[k].as_py()]
+                long = [merged_with_heap(p, ranks) for p in batch.column("long")[k].as_py()]
                 new_counts = np.concatenate((np.diff(folded.offsets.to_numpy()), [len(ids) for ids in long])).astype(np.int64)
                 new_ids = np.concatenate((folded.flatten().to_numpy(), *[np.array(ids) for ids in long]))
-
-                place = np.frombuffer(batch.column("forms")[k].as_py(), "<i4")
-                old, new = np.flatnonzero(place >= 0), np.flatnonzero(place < 0)
-                counts, firsts = np.empty((2, len(place)), np.int64)
-                counts[old], counts[new] = table.places[3][place[old]], new_counts[-1 - place[new]]
-                old_ids = table.ids[ranges(table.places[2][place[old]], counts[old])]
-                firsts[old] = np.cumsum(counts[old]) - counts[old]
-                firsts[new] = len(old_ids) + (np.cumsum(new_counts) - new_counts)[-1 - place[new]]
+                old_ids = np.frombuffer(batch.column("ids")[k].as_py(), "<u2")
                 pool = np.concatenate((old_ids, new_ids)).astype("<u4")
 
+                given = np.frombuffer(batch.column("counts")[k].as_py(), "<i4")
+                counts, new = given.astype(np.int64), given < 0
+                firsts = np.cumsum(np.where(new, 0, counts)) - counts
+                firsts[new] = len(old_ids) + (np.cumsum(new_counts) - new_counts)[-1 - given[new]]
+                counts[new] = new_counts[-1 - given[new]]
+
                 rows = batch.column("texts")[k].values
                 codes, cuts = _raw(rows.field("pieces"))
                 codes = codes.view("<i4")
                 sizes = counts[codes]
                 bounds = np.concatenate(([0], np.cumsum(sizes)))[cuts // 4]
-                ids = _binary(pool[ranges(firsts[codes], sizes)], 4 * bounds)
-                yield pa.RecordBatch.from_arrays(
-                    [rows.field("id"), pa.array(np.diff(bounds), pa.int64()), ids], ["id", "n_tokens", "ids"])
+                ids = pool[ranges(firsts[codes], sizes)]
+                out = [rows.field("id"), pa.array(np.diff(bounds), pa.int64()), _binary(ids, 4 * bounds)]
+                if decoded:
+                    out.append(_decoded(by_id, ids, bounds))
+                yield pa.RecordBatch.from_arrays(out, ["id", "n_tokens", "ids", "decoded"][:len(out)])
 
     # A row is a block of texts: its pieces that are not known, and its texts as numbers of distinct pieces.
-    rows = map_arrow(texts, split, "others array<string>, long array<binary>, forms binary, "
+    rows = map_arrow(texts, split, "others array<string>, long array<binary>, counts binary, ids binary, "
                                    f"texts array<struct<id:{id_type},pieces:binary>>")
     folded = rows.withColumn("others", F.transform("others", lambda p: merged(p, look)))
-    return map_arrow(folded, assemble, f"id {id_type}, n_tokens long, ids binary")
+    schema = f"id {id_type}, n_tokens long, ids binary"
+    return map_arrow(folded, assemble, f"{schema}, decoded binary" if decoded else schema)
 
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:
@@ -420,18 +442,13 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
 
     A null is taken as no ids.
     """
-    ranks = read_ranks(path)
-    pieces = [b""] * (max(ranks.values()) + 1)
-    for token, rank in ranks.items():
-        pieces[rank] = token
-    shared = encoded.sparkSession.sparkContext.broadcast(pieces)
+    shared = encoded.sparkSession.sparkContext.broadcast(_by_id(read_ranks(path)))
 
     def run(batches):
         by_id = pa.array(shared.value, pa.large_binary())
         for batch in batches:
             packed, cuts = _raw(batch.column("ids").fill_null(b""))
-            data, offsets = _raw(by_id.take(pa.array(packed.view("<u4"))))
-            out = _binary(data, offsets[cuts // 4])
+            out = _decoded(by_id, packed.view("<u4"), cuts // 4)
             yield pa.RecordBatch.from_arrays([*batch.columns, out], [*batch.schema.names, "decoded"])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.schema)

@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from neudrift.llm.byte_bpe import decode, encode
+from neudrift.llm.byte_bpe import encode
 from neudrift.llm.common import table
 from neudrift.llm.decontaminate import find_matches, hit_words
 from neudrift.llm.exact_dedup import exact_duplicates
@@ -115,8 +115,7 @@ def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every text under public ranks of byte strings, and the bytes that they stand for."""
-    path = tokenizer_file(BYTE_RANKS)
-    return decode(encode(table(spark, sf_dir, "documents"), path), path).select(
+    return encode(table(spark, sf_dir, "documents"), tokenizer_file(BYTE_RANKS), decoded=True).select(
         F.col("id").alias("doc_id"), "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
