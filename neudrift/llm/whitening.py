@@ -6,7 +6,7 @@ the tasks and again per entry. Only that matrix, of the vectors' dimension, is l
 Its leading eigenvalues are enclosed in intervals by inertia counts: the negative pivots of a symmetric
 factorisation of V - s I say how many eigenvalues lie below s. In each interval a block of vectors is projected on
 the eigenvectors by quadrature over a circle around the interval: a node z asks for the solution of the complex
-system (z I - V) Y = B. The systems of all nodes are solved in tasks of their own, the sums are orthonormalised, and
+system (z I - V) Y = B. The intervals' systems are solved in tasks of their own, the sums are orthonormalised, and
 the Rayleigh-Ritz values and vectors of V in their span are the next block. An interval is done when it holds as
 many converged values as its inertia count says, so that none is missed.
 """
@@ -19,6 +19,8 @@ from neudrift.llm.common import map_arrow, settle
 
 # Nodes of the quadrature on the upper half of a circle, and rounds of projection at most.
 NODES, ROUNDS = 12, 24
+# Eigenvalues nearer than this part of the largest possible one are projected on together.
+CLUSTER = 1e-5
 # An eigenvalue below this part of the trace counts as zero and has no component.
 RELATIVE_ZERO = 1e-12
 SHIFT, SCALE = 100_000, 1024
@@ -120,11 +122,11 @@ def count_below(matrix: np.ndarray, shift: float) -> int:
         else:
             order, size = list(np.unravel_index(int(off.argmax()), off.shape)), 2
         order = [k + int(i) for i in order]
-        for j, i in enumerate(order):
-            if i != k + j:
-                a[[k + j, i]] = a[[i, k + j]]
-                a[:, [k + j, i]] = a[:, [i, k + j]]
-                order = [i if o == k + j else o for o in order]
+        for j in range(size):
+            i = order[j]
+            a[[k + j, i]] = a[[i, k + j]]
+            a[:, [k + j, i]] = a[:, [i, k + j]]
+            order = [i if o == k + j else o for o in order]
         pivot, below = a[k:k + size, k:k + size], a[k + size:, k:k + size]
         if size == 1:
             negative += int(pivot[0, 0] < 0)
@@ -138,49 +140,57 @@ def count_below(matrix: np.ndarray, shift: float) -> int:
 
 
 def intervals(matrix: np.ndarray, components: int) -> list[tuple[float, float, int]]:
-    """(low, high, eigenvalues inside) for intervals that together hold the `components` largest eigenvalues.
+    """(low, high, eigenvalues inside), falling, for intervals that hold the `components` largest eigenvalues.
 
-    Ends are placed by bisection with inertia counts. An end that would fall into a cluster is moved below it, as far
-    as the next eigenvalue; if there is none, the interval takes in all that are left.
+    Eigenvalues are bracketed by bisection with inertia counts. Those closer to each other than CLUSTER of the
+    spectrum's reach share an interval, and so do the ones below the last, as far as the next gap. An interval
+    reaches out by half the smaller gap to its neighbours, so that the quadrature tells them apart.
     """
     n = len(matrix)
     reach = np.abs(matrix).sum(axis=1).max()
-    top, floor = reach * 1.01, -reach * 1.01
-    wanted, out, high, above = min(components, n), [], top, 0
-    while above < wanted:
-        # Up to four eigenvalues an interval, then on to where the spectrum has a gap.
-        goal = min(above + 4, wanted)
-        low = _gap_below(matrix, goal, high, floor, reach)
-        inside = n - count_below(matrix, low) - above
+    near, top, floor = CLUSTER * reach, reach * 1.01, -reach * 1.01
+    counted = {top: 0, floor: n}
+
+    def above(shift):
+        if shift not in counted:
+            counted[shift] = n - count_below(matrix, shift)
+        return counted[shift]
+
+    def bracket(k):
+        """Bounds of the k-th largest eigenvalue, an eighth of `near` apart, from the counts made so far."""
+        low = max(s for s, c in counted.items() if c >= k)
+        high = min(s for s, c in counted.items() if c < k)
+        while high - low > near / 8:
+            middle = (low + high) / 2
+            if above(middle) >= k:
+                low = middle
+            else:
+                high = middle
+        return low, high
+
+    clusters, k = [], 1  # (bottom, top, eigenvalues)
+    while k <= n:
+        low, high = bracket(k)
+        if clusters and clusters[-1][0] - high <= near:
+            clusters[-1] = low, clusters[-1][1], clusters[-1][2] + 1
+        elif k > components:
+            break
+        else:
+            clusters.append((low, high, 1))
+        k += 1
+    ends = [top + near] + [c[0] for c in clusters], [c[1] for c in clusters[1:]] + [high if k <= n else floor - near]
+    out = []
+    for at, (low, high, inside) in enumerate(clusters):
+        over = ends[0][at] - high if at else float("inf")
+        under = low - ends[1][at] if at + 1 < len(clusters) or k <= n else float("inf")
+        reach_out = min(over, under) / 2
+        reach_out = reach_out if np.isfinite(reach_out) else reach
+        low, high = low - reach_out, high + reach_out
+        assert above(low) - above(high) == inside
         out.append((low, high, inside))
-        above, high = above + inside, low
     return out
 
 
-def _gap_below(matrix, goal, high, floor, reach):
-    n = len(matrix)
-
-    def bracket(k, hi, lo):
-        """Bounds of the k-th largest eigenvalue, a hundredth of its size apart or closer."""
-        for _ in range(80):
-            if hi - lo <= 1e-2 * max(abs(lo), 1e-10 * reach):
-                break
-            mid = (hi + lo) / 2
-            if n - count_below(matrix, mid) >= k:
-                lo = mid
-            else:
-                hi = mid
-        return lo, hi
-
-    hi = high
-    for k in range(goal, n):
-        lo, hi = bracket(k, hi, floor)
-        next_lo, next_hi = bracket(k + 1, hi, floor)
-        if lo - next_hi > 1e-2 * max(abs(lo), 1e-10 * reach):
-            return (lo + next_hi) / 2
-    return floor
-
-
 def feast(spark: SparkSession, matrix: np.ndarray, components: int) -> tuple[np.ndarray, np.ndarray]:
     """The largest eigenvalues, falling, and their unit eigenvectors in columns."""
     n, size = len(matrix), np.abs(matrix).max(initial=0)
@@ -190,7 +200,9 @@ def feast(spark: SparkSession, matrix: np.ndarray, components: int) -> tuple[np.
     random = np.random.default_rng(7)
     blocks = [random.standard_normal((n, min(n, 2 * inside + 4))) for _, _, inside in found]
     results: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-    for _ in range(ROUNDS):
+    for at in range(ROUNDS):
+        # Rounding alone, and a little more for clusters that take many rounds.
+        enough = (4e-15 if at < ROUNDS // 3 else 1e-13) * n ** 0.5 * size
         todo = [k for k in range(len(found)) if k not in results]
         if not todo:
             break
@@ -199,9 +211,10 @@ def feast(spark: SparkSession, matrix: np.ndarray, components: int) -> tuple[np.
             values, turn = np.linalg.eigh(basis.T @ matrix @ basis)
             vectors = basis @ turn
             low, high, inside = found[k]
-            here = (values > low) & (values < high)
+            # Directions that the projection left empty may give values inside, too, but never converged ones.
             residual = np.linalg.norm(matrix @ vectors - vectors * values, axis=0)
-            if here.sum() == inside and (residual[here] <= 1e-13 * n ** 0.5 * size).all():
+            here = (values > low) & (values < high) & (residual <= enough)
+            if here.sum() == inside:
                 results[k] = values[here], vectors[:, here]
             blocks[k] = vectors
     else:
@@ -214,33 +227,30 @@ def feast(spark: SparkSession, matrix: np.ndarray, components: int) -> tuple[np.
 
 
 def _projected(spark, matrix, work) -> dict[int, np.ndarray]:
-    """The blocks projected on the eigenvectors of their intervals, a task per interval and node.
+    """The blocks projected on the eigenvectors of their intervals, a task per interval.
 
     By symmetry the upper half of the circle is enough: the integral is the real part of its sum.
     """
     points, weights = np.polynomial.legendre.leggauss(NODES)
     shared = spark.sparkContext.broadcast((matrix, work))
-    jobs = spark.createDataFrame([(k, node) for k in work for node in range(NODES)], "k int, node int")
+    jobs = spark.createDataFrame([(k,) for k in work], "k int").repartition(len(work), "k")
 
     def run(batches):
         matrix, work = shared.value
         for batch in batches:
-            for k, node in zip(batch.column("k").to_pylist(), batch.column("node").to_pylist()):
+            for k in batch.column("k").to_pylist():
                 (low, high, _), block = work[k]
-                centre, radius = (low + high) / 2, (high - low) / 2
-                angle = np.exp(0.5j * np.pi * (points[node] + 1))
-                solved = np.linalg.solve((centre + radius * angle) * np.eye(len(matrix)) - matrix, block.astype(complex))
-                part = (0.5 * weights[node] * radius * angle * solved).real
+                centre, radius, out = (low + high) / 2, (high - low) / 2, np.zeros(block.shape)
+                for point, weight in zip(points, weights):
+                    angle = np.exp(0.5j * np.pi * (point + 1))
+                    system = (centre + radius * angle) * np.eye(len(matrix)) - matrix
+                    out += (0.5 * weight * radius * angle * np.linalg.solve(system, block.astype(complex))).real
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([k], pa.int32()), pa.array([part.tobytes()], pa.binary())], ["k", "part"])
+                    [pa.array([k], pa.int32()), pa.array([out.tobytes()], pa.binary())], ["k", "block"])
 
-    rows = map_arrow(jobs.repartition(len(work) * NODES, "k", "node"), run, "k int, part binary").collect()
+    rows = map_arrow(jobs, run, "k int, block binary").collect()
     shared.unpersist()
-    out = {}
-    for k, (_, block) in work.items():
-        parts = [np.frombuffer(r.part).reshape(block.shape) for r in rows if r.k == k]
-        out[k] = np.sum(parts, axis=0)
-    return out
+    return {r.k: np.frombuffer(r.block).reshape(work[r.k][1].shape) for r in rows}
 
 
 # The operator
