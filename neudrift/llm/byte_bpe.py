@@ -14,6 +14,7 @@ with a heap in the task, to the same ids.
 import base64
 import heapq
 import json
+import uuid
 import zlib
 from collections.abc import Iterator
 
@@ -146,6 +147,11 @@ def _binary(data: np.ndarray, bounds: np.ndarray) -> pa.Array:
     return out.cast(pa.binary())
 
 
+def _code(forms: int) -> np.dtype:
+    """The type of a number of one of so many distinct forms."""
+    return np.dtype("<u2" if forms <= 1 << 16 else "<i4")
+
+
 def _one_list(values: pa.Array) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
 
@@ -290,25 +296,38 @@ def frequent(counts: DataFrame, most: int) -> DataFrame:
     return counts.where(F.lit(False) if lowest is None else level >= lowest).select("piece")
 
 
+def known_table(names: pa.Array, ids: pa.Array) -> dict:
+    """Binary names and their lists of ids as plain arrays, in order of the names' hashes."""
+    found = _hashed(names)
+    order = pa.array(np.argsort(found, kind="stable"))
+    names, ids = names.take(order), ids.take(order)
+    data, offsets = _raw(names)
+    return {"hashes": found[order.to_numpy()], "bytes": data, "sizes": np.diff(offsets).astype(np.uint8),
+            "counts": np.diff(ids.offsets.to_numpy()).astype(np.uint8), "ids": ids.flatten().to_numpy().astype(np.uint16)}
+
+
+def _hashed(names: pa.Array) -> np.ndarray:
+    data, offsets = _raw(names)
+    return hashes(data, offsets[:-1], offsets[1:])
+
+
 class Known:
     """Pieces with their ids, found by hash and compared by bytes."""
 
-    def __init__(self, names: pa.Array, ids: pa.Array):
-        """`names` as bytes, `ids` as lists."""
+    def __init__(self, table: dict):
         self.table = Remembered()
-        data, offsets = _raw(names)
-        found = hashes(data, offsets[:-1], offsets[1:])
-        order = np.argsort(found, kind="stable")
-        firsts = ids.offsets.to_numpy()
-        values = ids.values.to_numpy().astype(np.uint16)
-        self.table.hashes = found[order]
-        self.table.places = np.stack((offsets[:-1], np.diff(offsets), firsts[:-1], np.diff(firsts))).astype(np.int32)[:, order]
-        self.table.bytes, self.table.ids = data, values
+        self.table.hashes, self.table.bytes, self.table.ids = table["hashes"], table["bytes"], table["ids"]
+        places = np.empty((4, len(table["hashes"])), np.int32)
+        for at, lengths in ((0, table["sizes"]), (2, table["counts"])):
+            np.cumsum(lengths, out=places[at], dtype=np.int32)
+            places[at] -= lengths
+            places[at + 1] = lengths
+        self.table.places = places
 
     def find(self, forms: pa.Array) -> np.ndarray:
         """The place of each form, or -1."""
         data, offsets = _raw(forms)
-        found = hashes(data, offsets[:-1], offsets[1:])
+        found = _hashed(forms)
         order = np.argsort(found, kind="stable")
         out = np.empty(len(found), np.int64)
         out[order] = self.table.find(found[order], data, offsets[:-1][order], np.diff(offsets)[order])
@@ -321,26 +340,20 @@ _PROCESS: dict = {}
 def _known(shared) -> Known:
     """The process's table of pieces, made from what was sent."""
     if _PROCESS.get("id") != shared.value["id"]:
-        with pa.ipc.open_stream(shared.value["pieces"]) as stream:
-            sent = stream.read_all().combine_chunks()
-        _PROCESS.update(id=shared.value["id"], known=Known(sent["bytes"].chunk(0), sent["ids"].chunk(0)))
+        _PROCESS.clear()
+        _PROCESS.update(id=shared.value["id"], known=Known(shared.value))
     return _PROCESS["known"]
 
 
 def _prepare(texts: DataFrame, ranks: dict[bytes, int], look, classes, known: int):
     """The most frequent pieces with their ids, as a broadcast variable."""
-    spark = texts.sparkSession
     chosen = frequent(settle(_counts(texts, classes)), known)
     folded = chosen.select(F.encode("piece", "ISO-8859-1").alias("bytes"), merged(F.col("piece"), look).alias("ids"))
-    found = folded.toArrow()
     single = pa.table({"bytes": [bytes([b]) for b in range(256)], "ids": [[ranks[bytes([b])]] for b in range(256)]},
                       schema=pa.schema({"bytes": pa.binary(), "ids": pa.list_(pa.int32())}))
-    sent = pa.concat_tables([found.cast(single.schema), single]).combine_chunks()
-    sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, sent.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as stream:
-        stream.write_table(sent)
-    raw = sink.getvalue().to_pybytes()
-    return spark.sparkContext.broadcast({"id": f"{len(raw)}-{zlib.crc32(raw)}", "pieces": raw})
+    sent = pa.concat_tables([folded.toArrow().cast(single.schema), single]).combine_chunks()
+    table = known_table(sent["bytes"].chunk(0), sent["ids"].chunk(0))
+    return texts.sparkSession.sparkContext.broadcast(table | {"id": uuid.uuid4().hex})
 
 
 # Encoding and decoding
@@ -390,9 +403,10 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
                 counts = np.empty(len(place), "<i4")
                 counts[place >= 0] = table.table.places[3][old]
                 counts[new] = -1 - np.arange(len(new))
-                ids = table.table.ids[ranges(table.table.places[2][old], table.table.places[3][old].astype(np.int64))]
+                ids = table.table.ids[ranges(table.table.places[2][old].astype(np.int64), table.table.places[3][old].astype(np.int64))]
+                code = _code(len(forms))
                 texts = pa.StructArray.from_arrays(
-                    [part.column("id"), _binary(which.astype("<i4"), 4 * bounds)], ["id", "pieces"])
+                    [part.column("id"), _binary(which.astype(code), code.itemsize * bounds)], ["id", "pieces"])
                 yield pa.RecordBatch.from_arrays([
                     _one_list(_latin(forms.take(pa.array(new[:short])))),
                     _one_list(forms.take(pa.array(new[short:])).cast(pa.binary())),
@@ -420,9 +434,10 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
 
                 rows = batch.column("texts")[k].values
                 codes, cuts = _raw(rows.field("pieces"))
-                codes = codes.view("<i4")
+                code = _code(len(given))
+                codes = codes.view(code)
                 sizes = counts[codes]
-                bounds = np.concatenate(([0], np.cumsum(sizes)))[cuts // 4]
+                bounds = np.concatenate(([0], np.cumsum(sizes)))[cuts // code.itemsize]
                 ids = pool[ranges(firsts[codes], sizes)]
                 out = [rows.field("id"), pa.array(np.diff(bounds), pa.int64()), _binary(ids, 4 * bounds)]
                 if decoded:
