@@ -66,18 +66,27 @@ def _plain(rows, keys, columns):
         for c in columns])
 
 
-def _ranked(rows, keys, columns):
-    """Medians by rank: equal values are counted first, the counted values are range-partitioned
-    by (key, column, value), and only the ranges that hold the middle ranks are looked into."""
-    order = ["value", F.desc("minus_zero")]
-    counted = (
+def value_counts(rows: DataFrame, keys, columns) -> DataFrame:
+    """(keys, name, value, minus_zero, n): how often each value of each column occurs, missing ones included."""
+    return (
         rows.select(*keys, *[F.col(c).cast("double").alias(c) for c in columns])
         .select(*keys, F.explode(F.array(*[
             F.struct(F.lit(c).alias("name"), F.col(c).alias("value")) for c in columns])).alias("_v"))
         .select(*keys, "_v.name", "_v.value",
-                ((F.col("_v.value") == 0) & (F.col("_v.value").cast("string") == "-0.0")).alias("minus_zero"))
+                F.coalesce((F.col("_v.value") == 0) & (F.col("_v.value").cast("string") == "-0.0"), F.lit(False))
+                .alias("minus_zero"))
         .groupBy(*keys, "name", "value", "minus_zero").agg(F.count(F.lit(1)).alias("n"))
     )
+
+
+def _ranked(rows, keys, columns):
+    return medians_of_counts(value_counts(rows, keys, columns), keys, columns)
+
+
+def medians_of_counts(counted: DataFrame, keys, columns) -> DataFrame:
+    """Medians by rank, from `value_counts`: the counted values are range-partitioned by (key, column, value), and
+    only the ranges that hold the middle ranks are looked into."""
+    order = ["value", F.desc("minus_zero")]
     # Kept as a table: the range number of a value must not change between the two uses below.
     ranged = settle(
         counted.repartitionByRange(*keys, "name", *order)

@@ -1,14 +1,12 @@
 """The de-duplicated one-minute table."""
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from neudrift.operators.versions import replace_slots, replace_sources
+from neudrift.operators.daily import replace_dates, replace_files
 from neudrift.schema import (
     ONE_MINUTE_COMMENT, ONE_MINUTE_KEY, ONE_MINUTE_SCHEMA, ONE_MINUTE_SOURCES,
 )
-from neudrift.session import read_or_empty
+from neudrift.session import read_or_empty, settle
 
 
 def unique_by_key(dense: DataFrame, order=("source_file",), keys=ONE_MINUTE_KEY) -> DataFrame:
@@ -38,29 +36,38 @@ def read_one_minute(spark: SparkSession, path: str) -> DataFrame:
     return read_or_empty(spark, lambda p: spark.read.schema(schema).parquet(p), path, schema)
 
 
-def load_dense(spark: SparkSession, dense: DataFrame, sources: DataFrame, path: str) -> None:
+def load_dense(spark: SparkSession, dense: DataFrame, files: DataFrame, path: str) -> None:
     """Bring the table up to date with new readings of some source files, densified.
 
     A newer reading of a file takes the place of its older one; between files the first name wins, in
     whatever order they are loaded. The files' rows are kept below `path`/_files, by date, and the
     table's dates that they touch are made again.
     """
-    def derive(stored, dates):
-        table = as_one_minute(unique_by_key(stored.drop("slot"))).withColumn("date", F.to_date("time"))
-        replace_slots(table, dates, path, "date")
+    def derive(rows, dates):
+        replace_dates(as_one_minute(unique_by_key(rows.drop("date"))).withColumn("date", F.to_date("time")), dates, path)
 
-    rows = dense.withColumn("slot", F.to_date("time").cast("string"))
-    replace_sources(rows, sources, f"{path}/_files", derive)
+    replace_files(dense.withColumn("date", F.to_date("time")), files, f"{path}/_files", derive)
 
 
 def append_one_minute(spark: SparkSession, dense: DataFrame, path: str) -> None:
     """As `load_dense`, for rows that come without a listing: they are all rows of their files, in a
     reading that counts from now on."""
-    version = F.lit(uuid.uuid4().hex)
-    sources = dense.select("source_file").distinct().select(
-        "source_file", F.hex(F.xxhash64("source_file", version)).alias("version"),
-        F.lit(None).cast("long").alias("length"), F.lit(None).cast("timestamp").alias("modified"))
-    load_dense(spark, dense, sources, path)
+    files = dense.select("source_file").distinct().withColumns(
+        {"length": F.lit(None).cast("long"), "modified": F.current_timestamp()})
+    load_dense(spark, dense, files, path)
+
+
+def append_new_keys(rows: DataFrame, path: str) -> None:
+    """Add the rows whose key the table does not have yet; rows that are there stay.
+
+    `rows` is in the table's form and has each key once. Only the dates of the rows are read.
+    """
+    spark = rows.sparkSession
+    rows = settle(rows.withColumn("date", F.to_date("time")))
+    dates = F.broadcast(rows.select("date").distinct())
+    known = read_one_minute(spark, path).join(dates, "date", "left_semi").select(*ONE_MINUTE_KEY)
+    rows.join(known, list(ONE_MINUTE_KEY), "left_anti").hint("rebalance", "date").write.mode("append").partitionBy(
+        "date").parquet(path)
 
 
 def register_one_minute(spark: SparkSession, name: str, path: str) -> None:

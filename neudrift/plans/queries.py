@@ -313,7 +313,7 @@ def event_stream(spark, sf_dir) -> DataFrame:
 def stream_resample(spark, sf_dir):
     target = scratch_path(spark, "stream-medians")
     query = stream_medians(clean(event_stream(spark, sf_dir)), target, f"{target}/checkpoint", "1h",
-                           slot="1d", trigger={"availableNow": True})
+                           trigger={"availableNow": True})
     query.awaitTermination()
     return rounded(read_medians(spark, target), VALUE_COLUMNS)
 
@@ -321,9 +321,8 @@ def stream_resample(spark, sf_dir):
 def stream_load_table(spark, sf_dir):
     target = scratch_path(spark, "stream-table")
     prepared = for_table(ev.daily_source(event_stream(spark, sf_dir)))
-    query = stream_one_minute(prepared, f"{target}/table", f"{target}/checkpoint",
-                              trigger={"availableNow": True})
-    query.awaitTermination()
+    for query in stream_one_minute(prepared, f"{target}/table", f"{target}/checkpoint", trigger={"availableNow": True}):
+        query.awaitTermination()
     return comparable_table(read_one_minute(spark, f"{target}/table").drop("date"))
 
 

@@ -6,14 +6,14 @@ from neudrift.operators.clean import for_table
 from neudrift.operators.medians import HOT_VALUES
 from neudrift.operators.resample import resample_dense
 from neudrift.operators.table import load_dense
-from neudrift.operators.versions import changed_sources, file_versions
+from neudrift.operators.daily import changed_files
 from neudrift.schema import DEFAULT_WIDTH, NEWEST_FILES, ONE_MINUTE_METRICS
 from neudrift.session import kept, settle, settling
 from neudrift.sources.files import (
     SHORTEST_DATED, STRICT_BASELINE, list_all, newest_files, skipped_files,
 )
 from neudrift.sources.lines import parse_lines, usable
-from neudrift.streaming.refresh import read_changed, relative_names
+from neudrift.streaming.refresh import as_sources, read_changed, relative_names
 
 
 def densified(lines: DataFrame, width=DEFAULT_WIDTH, at_most: int | None = None) -> DataFrame:
@@ -43,8 +43,8 @@ def load_one_minute(spark: SparkSession, root: str, path: str, keep=NEWEST_FILES
     out, per baseline; `keep=None` takes all."""
     with settling(spark):
         files = settle(listed(spark, root))
-        sources = file_versions(relative_names(newest_files(files, keep)))
-        sources, lines = read_changed(spark, root, changed_sources(sources, f"{path}/_files"))
+        sources = as_sources(relative_names(newest_files(files, keep)))
+        sources, lines = read_changed(spark, root, changed_files(sources, f"{path}/_files"))
         if lines is not None:
             longest = sources.agg(F.max("length")).first()[0] // SHORTEST_DATED
             load_dense(spark, densified(lines, at_most=longest), sources, path)

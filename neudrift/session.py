@@ -91,22 +91,6 @@ def delete(spark: SparkSession, path: str) -> None:
     files.delete(where, True)
 
 
-def rename(spark: SparkSession, path: str, target: str) -> None:
-    files, where = _file_system(spark, path)
-    goal = spark._jvm.org.apache.hadoop.fs.Path(target)
-    files.mkdirs(goal.getParent())
-    if not files.rename(where, goal):
-        raise OSError(f"{path} could not be renamed to {target}")
-
-
-def children(spark: SparkSession, path: str) -> list[str]:
-    """Names in a folder, sorted; none if it does not exist."""
-    files, where = _file_system(spark, path)
-    if not files.exists(where):
-        return []
-    return sorted(status.getPath().getName() for status in files.listStatus(where))
-
-
 def join_small(left: DataFrame, small: DataFrame, on, how="inner", at_most=None) -> DataFrame:
     """Join a side that is expected to be small.
 

@@ -7,6 +7,19 @@ from neudrift.session import settle
 from neudrift.sources.files import scan_files
 
 
+EPOCH = "TIMESTAMP_NTZ '1970-01-01 00:00:00'"
+
+
+def event_time(time: Column) -> Column:
+    """A time without zone as the moment it is in UTC, since watermarks need moments."""
+    return F.timestamp_micros(F.timestamp_diff("MICROSECOND", F.expr(EPOCH), time))
+
+
+def without_zone(moment: Column) -> Column:
+    """The inverse of `event_time`."""
+    return F.timestamp_add("MICROSECOND", F.unix_micros(moment), F.expr(EPOCH))
+
+
 def relative_name(path: Column) -> Column:
     """<directory>/<name> of a path, the same however the path is spelled."""
     return F.concat_ws("/", F.slice(F.split(path, "/"), -2, 2))
@@ -17,6 +30,11 @@ def relative_names(listing: DataFrame) -> DataFrame:
     return listing.withColumn("full", F.col("path")).withColumn("path", relative_name(F.col("path")))
 
 
+def as_sources(listing: DataFrame) -> DataFrame:
+    """What tells a reading of a listed file from others."""
+    return listing.select(F.col("path").alias("source_file"), "length", "modified")
+
+
 def read_changed(spark: SparkSession, root: str, sources: DataFrame) -> tuple[DataFrame, DataFrame | None]:
     """The sources, settled, and the lines of their files; None when nothing has changed."""
     sources = settle(sources)

@@ -1,37 +1,46 @@
 """Medians kept up to date while observations arrive and files grow."""
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from neudrift.functions.buckets import bucket_start, divides_day, hour_text
+from neudrift.functions.buckets import divides_day, width_seconds
 from neudrift.operators.clean import clean
-from neudrift.operators.medians import HOT_VALUES
+from neudrift.operators.daily import changed_files, replace_dates, replace_files, stored, upsert
+from neudrift.operators.medians import HOT_VALUES, drop_empty, medians_of_counts, value_counts
 from neudrift.operators.resample import PAIR, resample_medians
-from neudrift.operators.versions import changed_sources, file_versions, replace_slots, replace_sources
 from neudrift.schema import DEFAULT_WIDTH, VALUE_COLUMNS
-from neudrift.session import settling
+from neudrift.session import settle, settling
 from neudrift.sources.files import list_files
 from neudrift.sources.lines import parse_lines, usable
-from neudrift.streaming.refresh import read_changed, relative_names, ticking
+from neudrift.streaming.refresh import as_sources, event_time, read_changed, relative_names, ticking, without_zone
 
-EVERY_SLOT = "all"
+# How late a row may come, after the longest range of a dashboard.
+DELAY = "2 days"
+BUCKET = ("base", "rover", "time")
 
 
 def refresh_medians(spark: SparkSession, root: str, target: str, width=DEFAULT_WIDTH,
-                    columns=VALUE_COLUMNS, slot="1h", hot_values=HOT_VALUES) -> list:
-    """Bring `target`/medians up to date with the daily files below `root`; the slots it touched.
+                    columns=VALUE_COLUMNS, hot_values=HOT_VALUES) -> list:
+    """Bring `target`/medians up to date with the daily files below `root`; the days it touched.
 
     Files are compared with those of the last call by name, length and time of change. A changed file
-    is read again whole and takes the place of its older reading; rows of a file that is gone stay.
+    is read again whole and takes the place of its older reading; rows of a file that is gone stay. A width that
+    does not divide a day is counted from the first day of a series, so all days are made again.
     """
     with settling(spark):
-        sources = changed_sources(file_versions(relative_names(list_files(spark, root))), target)
+        sources = changed_files(as_sources(relative_names(list_files(spark, root))), target)
         sources, lines = read_changed(spark, root, sources)
         if lines is None:
             return []
-        return _take_in(clean(usable(parse_lines(lines))), sources, target, width, columns, slot, hot_values)
+
+        def derive(rows, dates):
+            medians = resample_medians(rows, width, columns, hot_values=hot_values)
+            replace_dates(medians.withColumn("date", F.to_date("time")), dates, f"{target}/medians")
+
+        rows = clean(usable(parse_lines(lines))).withColumn("date", F.to_date("time"))
+        dates = replace_files(rows.select(*PAIR, "time", *columns, "source_file", "date"), sources, target, derive,
+                              whole=not divides_day(width))
+        return sorted(row.date for row in dates.toLocalIterator())
 
 
 def follow_medians(spark: SparkSession, root: str, target: str, checkpoint: str, trigger=None,
@@ -40,61 +49,74 @@ def follow_medians(spark: SparkSession, root: str, target: str, checkpoint: str,
     return ticking(spark, lambda: refresh_medians(spark, root, target, **options), checkpoint, trigger)
 
 
+def counts_by_bucket(cleaned: DataFrame, width=DEFAULT_WIDTH, columns=VALUE_COLUMNS, delay=DELAY) -> DataFrame:
+    """A stream of how often each value occurs in each bucket: (base, rover, time, name, value, minus_zero, n).
+
+    The state is a number per bucket, column and value, so no key of it grows with the rows of a bucket. It is
+    kept until the watermark, `delay` behind the latest row, has passed the end of the bucket.
+    """
+    if not divides_day(width):
+        raise ValueError("a stream of medians needs a width that divides a day")
+    rows = cleaned.withColumn("_moment", event_time(F.col("time"))).withWatermark("_moment", delay)
+    rows = rows.withColumn("_window", F.window("_moment", f"{width_seconds(width)} seconds"))
+    counted = value_counts(rows, [*PAIR, "_window"], columns)
+    start = without_zone(F.col("_window.start")).alias("time")
+    return counted.select(*PAIR, start, "name", "value", "minus_zero", "n")
+
+
 def stream_medians(cleaned: DataFrame, target: str, checkpoint: str, width=DEFAULT_WIDTH,
-                   columns=VALUE_COLUMNS, slot="1h", hot_values=HOT_VALUES,
-                   trigger=None) -> StreamingQuery:
-    """Start a query that keeps `target`/medians equal to a batch resampling of all rows so far.
-
-    An exact median needs every value of its bucket. Instead of holding them as state of one key,
-    each micro-batch adds its rows to `target`/rows, partitioned by the hour (`slot`) in which their
-    bucket starts, and the buckets of the hours it touched are computed again by the batch operator.
-    Choose a longer slot where one batch spans months. So hot buckets are split as in batch, any late
-    row is taken in, however late, and nothing expires. A width that does not divide a day is
-    counted from the first day of a series, which a late row can move; then all buckets are
-    computed again each time.
-
-    Rows with a `source_file` are taken as a new reading of that file, all of it; a file that grows after
-    it was read is for `follow_medians`, since a stream reads a path once. Rows of other streams are
-    told apart by checkpoint and micro-batch. A repeated batch leaves the same result.
+                   columns=VALUE_COLUMNS, delay=DELAY, trigger=None) -> StreamingQuery:
+    """Start a query that keeps `target`/medians equal to a batch resampling of the rows so far, those apart that
+    came later than `delay` (see `stream_late_rows`).
+
+    Each micro-batch hands on the counts that it changed (update mode). They take the place of the stored
+    ones, so that a repeated micro-batch changes nothing, and the medians of the changed buckets follow by rank from
+    all counts of these buckets. A target belongs to one checkpoint.
     """
     spark = cleaned.sparkSession
 
     def update(batch: DataFrame, batch_id: int) -> None:
         with settling(spark):
-            rows = batch
-            if "source_file" not in rows.columns:
-                rows = rows.withColumn("source_file", F.lit(f"{checkpoint}/{batch_id}"))
-            rows = rows.select(*PAIR, "time", *columns, "source_file").persist()
-            sources = rows.select("source_file").distinct().select(
-                "source_file", F.hex(F.xxhash64("source_file", F.lit(uuid.uuid4().hex))).alias("version"),
-                F.lit(None).cast("long").alias("length"), F.lit(None).cast("timestamp").alias("modified"))
-            if not rows.isEmpty():
-                _take_in(rows, sources, target, width, columns, slot, hot_values)
-            rows.unpersist()
-
-    writer = cleaned.writeStream.option("checkpointLocation", checkpoint).foreachBatch(update)
+            changed = settle(batch.withColumn("date", F.to_date("time")))
+            if changed.isEmpty():
+                return
+            upsert(changed, [*BUCKET, "name", "value", "minus_zero"], f"{target}/counts")
+            schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in changed.schema)
+            buckets = settle(changed.select("date", *BUCKET).distinct())
+            dates = F.broadcast(buckets.select("date").distinct())
+            counts = stored(spark, f"{target}/counts", schema).join(dates, "date", "left_semi").join(
+                buckets, ["date", *BUCKET], "left_semi")
+            medians = drop_empty(medians_of_counts(counts, list(BUCKET), columns), columns)
+            upsert(medians.withColumn("date", F.to_date("time")), list(BUCKET), f"{target}/medians")
+
+    writer = counts_by_bucket(cleaned, width, columns, delay).writeStream.outputMode("update").option(
+        "checkpointLocation", checkpoint).foreachBatch(update)
     return writer.trigger(**(trigger or {"processingTime": "5 minutes"})).start()
 
 
-def read_medians(spark: SparkSession, target: str) -> DataFrame:
-    return spark.read.parquet(f"{target}/medians").drop("slot")
-
-
-def _slot(bucket, slot):
-    return hour_text(bucket_start(bucket, slot))
+def stream_late_rows(rows: DataFrame, target: str, checkpoint: str, delay=DELAY, trigger=None) -> StreamingQuery:
+    """Start a query that sets aside in `target`/late what `stream_medians` on the same stream leaves out: rows more than
+    `delay` older than the latest row of the micro-batches before theirs.
 
+    Each micro-batch notes its latest time and writes its late rows under its own number, so that a repeated
+    one changes nothing. Both queries have to see the same micro-batches.
+    """
+    spark = rows.sparkSession
 
-def _take_in(rows, sources, target, width, columns, slot, hot_values):
-    if divides_day(width):
-        stored = rows.withColumn("slot", _slot(bucket_start(F.col("time"), width), slot))
-        derived = lambda medians: medians.withColumn("slot", _slot(F.col("time"), slot))
-    else:
-        stored = rows.withColumn("slot", F.lit(EVERY_SLOT))
-        derived = lambda medians: medians.withColumn("slot", F.lit(EVERY_SLOT))
+    def update(batch: DataFrame, batch_id: int) -> None:
+        latest = stored(spark, f"{target}/latest", "time timestamp_ntz, batch long")
+        before = latest.where(F.col("batch") < batch_id).agg(F.max("time")).first()[0]
+        batch.persist()
+        limit = F.lit(before).cast("timestamp_ntz") - F.expr(f"INTERVAL {delay}")
+        late = batch.where(F.col("time") < limit)  # none while there is no earlier time
+        for frame, name in ((late, "late"), (batch.agg(F.max("time").cast("timestamp_ntz").alias("time")), "latest")):
+            frame.withColumn("batch", F.lit(batch_id)).write.mode("overwrite").option(
+                "partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(f"{target}/{name}")
+        batch.unpersist()
+
+    writer = rows.writeStream.option("checkpointLocation", checkpoint).foreachBatch(update)
+    return writer.trigger(**(trigger or {"processingTime": "5 minutes"})).start()
 
-    def derive(current, slots):
-        medians = resample_medians(current, width, columns, hot_values=hot_values)
-        replace_slots(derived(medians), slots, f"{target}/medians")
 
-    return replace_sources(
-        stored.select(*PAIR, "time", *columns, "source_file", "slot"), sources, target, derive)
+def read_medians(spark: SparkSession, target: str) -> DataFrame:
+    return spark.read.parquet(f"{target}/medians").drop("date")

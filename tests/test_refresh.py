@@ -9,7 +9,7 @@ import pytest
 from neudrift.operators.clean import clean, for_table
 from neudrift.operators.resample import resample_dense, resample_medians
 from neudrift.operators.table import as_one_minute, read_one_minute, unique_by_key
-from neudrift.operators.versions import manifest
+from neudrift.operators.daily import readings
 from neudrift.plans.archive import run_archive, run_median_files
 from neudrift.plans.dashboard import plot_series, run_dashboard
 from neudrift.plans.table_load import load_one_minute
@@ -43,6 +43,7 @@ def test_lines_that_are_appended(spark, tmp_path, width):
     write_pos(raw, "SENG-ELDC", "20240301", first)
     write_pos(raw, "SKSH-ELDC", "20240301", first[:1])
     assert len(refresh_medians(spark, str(raw), target, width)) == 1
+    assert len(list(Path(target).glob("readings/date=*"))) == 1
     assert medians(spark, target) == batch(spark, raw, width)
     assert refresh_medians(spark, str(raw), target, width) == []
     write_pos(raw, "SENG-ELDC", "20240301", first + [line("00:00:20.0", n=9.0), line("01:10:00.0", n=5.0)])
@@ -52,8 +53,23 @@ def test_lines_that_are_appended(spark, tmp_path, width):
     write_pos(raw, "SENG-ELDC", "20240301", first[:1])  # a file that became shorter
     refresh_medians(spark, str(raw), target, width)
     assert medians(spark, target) == batch(spark, raw, width)
-    assert manifest(spark, target).count() == 3
-    assert len({p.name for p in Path(target).glob("rows/slot=*/version=*")}) == 3
+    # One reading of each file and date, rows and medians on the dates that have any.
+    assert sorted((r.source_file[-17:-8], str(r.date)) for r in readings(spark, target).collect()) == [
+        ("202402290", "2024-02-29"), ("202403010", "2024-03-01"), ("202403010", "2024-03-01")]
+    for table in ("rows", "medians"):
+        assert {p.name for p in Path(target, table).glob("date=*")} == {"date=2024-02-29", "date=2024-03-01"}
+
+
+def test_a_date_that_a_file_leaves(spark, tmp_path):
+    raw, target = tmp_path / "raw", str(tmp_path / "out")
+    write_pos(raw, "SENG-ELDC", "20240301", [line("00:00:10.0", n=1.0), line("00:00:10.0", n=2.0, day="2024/03/02")])
+    write_pos(raw, "SKSH-ELDC", "20240301", ["% nothing yet"])
+    assert [str(d) for d in refresh_medians(spark, str(raw), target)] == ["2024-03-01", "2024-03-02"]
+    write_pos(raw, "SENG-ELDC", "20240301", [line("00:00:10.0", n=1.0)])
+    assert [str(d) for d in refresh_medians(spark, str(raw), target)] == ["2024-03-01", "2024-03-02"]
+    assert medians(spark, target) == batch(spark, raw)
+    assert [p.name for p in Path(target, "medians").glob("date=*")] == ["date=2024-03-01"]
+    assert refresh_medians(spark, str(raw), target) == []  # the file without rows is known, too
 
 
 def test_new_checkpoint_on_the_same_target(spark, tmp_path):
@@ -73,14 +89,25 @@ def test_new_checkpoint_on_the_same_target(spark, tmp_path):
 
 
 @pytest.mark.parametrize("names", [("0000b", "0000c"), ("0000c", "0000b")])
-def test_table_stream_in_any_order(spark, tmp_path, names):
-    raw, table = tmp_path / "raw", str(tmp_path / "one_min")
+def test_first_minute_to_arrive_stays(spark, tmp_path, names):
+    """In one micro-batch the first name; over micro-batches and checkpoints what came first."""
+    raw, together = tmp_path / "raw", tmp_path / "together"
+    values = {"0000b": 1.0, "0000c": 2.0}
+
+    def run(root, table, checkpoint):
+        prepared = for_table(usable(parse_lines(stream_files(spark, str(root)))))
+        for query in stream_one_minute(prepared, str(tmp_path / table), str(tmp_path / checkpoint), trigger=NOW):
+            query.awaitTermination()
+        return [r.n for r in read_one_minute(spark, str(tmp_path / table)).collect()]
+
     for name in names:
-        value = 1.0 if name == "0000b" else 2.0
-        write_pos(raw, "SENG-ELDC", "20240301", [line("00:00:10.0", n=value)], f"{name}.pos")
-        lines = stream_files(spark, str(raw))
-        stream_one_minute(for_table(usable(parse_lines(lines))), table, str(tmp_path / "checkpoint"), trigger=NOW).awaitTermination()
-    assert [r.n for r in read_one_minute(spark, table).collect()] == [1.0]
+        for root in (raw, together):
+            write_pos(root, "SENG-ELDC", "20240301", [line("00:00:10.0", n=values[name])], f"{name}.pos")
+        assert run(raw, "one_min", "checkpoint") == [values[names[0]]]
+    assert run(raw, "one_min", "another") == [values[names[0]]]
+    assert run(together, "both", "third") == [1.0]
+    # What lay between the two queries of a checkpoint is gone, the last micro-batch's apart.
+    assert len(list(tmp_path.glob("checkpoint/minutes/batch=*/*.parquet"))) <= 2
 
 
 def until(condition, seconds=60):
@@ -98,10 +125,10 @@ def test_queries_that_follow(spark, tmp_path):
     queries = [follow_medians(spark, str(raw), target, str(tmp_path / "c1"), often, width="1min"),
                follow_one_minute(spark, str(raw), table, str(tmp_path / "c2"), often)]
     try:
-        until(lambda: manifest(spark, target).count() and manifest(spark, f"{table}/_files").count())
+        until(lambda: readings(spark, target).count() and readings(spark, f"{table}/_files").count())
         write_pos(raw, "SENG-ELDC", "20240301", lines + [line("00:00:20.0", n=5.0), line("00:02:20.0", n=7.0)])
         size = (raw / "SENG-ELDC" / "SENG-ELDC202403010000b.pos").stat().st_size
-        until(lambda: all(r.length == size for store in (target, f"{table}/_files") for r in manifest(spark, store).collect()))
+        until(lambda: all(r.length == size for store in (target, f"{table}/_files") for r in readings(spark, store).collect()))
         assert all(q.exception() is None for q in queries)
     finally:
         for query in queries:

@@ -1,5 +1,7 @@
 from datetime import datetime, timedelta
 
+import pytest
+
 from neudrift.operators.clean import clean, for_table
 from neudrift.operators.resample import resample_dense, resample_medians
 from neudrift.operators.table import as_one_minute, read_one_minute, unique_by_key
@@ -7,7 +9,7 @@ from neudrift.schema import VALUE_COLUMNS
 from neudrift.sources.files import scan_daily
 from neudrift.sources.lines import parse_lines, usable
 from neudrift.streaming.load import stream_one_minute
-from neudrift.streaming.resample import read_medians, stream_medians
+from neudrift.streaming.resample import read_medians, stream_late_rows, stream_medians
 from neudrift.streaming.sources import stream_files
 from posfiles import line, write_pos
 
@@ -33,7 +35,7 @@ def test_stream_equals_batch_with_late_files(spark, tmp_path):
     def run():
         lines = stream_files(spark, str(raw), files_per_trigger=1)
         stream_medians(clean(usable(parse_lines(lines))), target, str(tmp_path / "checkpoint"), "10min",
-                       trigger=NOW).awaitTermination()
+                       delay="20 days", trigger=NOW).awaitTermination()
 
     write_day(raw, "SENG-ELDC", 9, 0, 300)
     write_day(raw, "SKSH-ELDC", 9, 0, 200)
@@ -65,7 +67,8 @@ def test_repeated_micro_batch_changes_nothing(spark, tmp_path):
     def run():
         parsed = usable(parse_lines(stream_files(spark, str(raw), files_per_trigger=1)))
         stream_medians(clean(parsed), target, str(tmp_path / "c1"), "10min", trigger=NOW).awaitTermination()
-        stream_one_minute(for_table(parsed), table, str(tmp_path / "c2"), trigger=NOW).awaitTermination()
+        for query in stream_one_minute(for_table(parsed), table, str(tmp_path / "c2"), trigger=NOW):
+            query.awaitTermination()
         return (rows(read_medians(spark, target), "rover", "time", *VALUE_COLUMNS),
                 rows(read_one_minute(spark, table), "rover", "time", "n", "q"))
 
@@ -73,7 +76,8 @@ def test_repeated_micro_batch_changes_nothing(spark, tmp_path):
     write_day(raw, "SENG-ELDC", 2, 0, 100)
     first = run()
     forget_last_batch(tmp_path / "c1")
-    forget_last_batch(tmp_path / "c2")
+    forget_last_batch(tmp_path / "c2" / "dense")
+    forget_last_batch(tmp_path / "c2" / "load")
     assert run() == first and first[0] and first[1]
 
 
@@ -85,14 +89,44 @@ def stream_like(spark, raw):
     return lines.select("value", F.substring(folder, 1, 4).alias("rover"), F.substring(folder, 6, 4).alias("base"))
 
 
-def test_hot_bucket_in_a_stream(spark, tmp_path):
+def test_rows_later_than_the_delay(spark, tmp_path):
+    """Late rows are left out of medians and set aside; those within the delay count."""
+    raw, target = tmp_path / "raw", str(tmp_path / "out")
+
+    def run():
+        parsed = clean(usable(parse_lines(stream_files(spark, str(raw), files_per_trigger=1))))
+        stream_medians(parsed, target, str(tmp_path / "c1"), "10min", trigger=NOW).awaitTermination()
+        stream_late_rows(parsed, target, str(tmp_path / "c2"), trigger=NOW).awaitTermination()
+
+    write_day(raw, "SENG-ELDC", 9, 0, 300)
+    run()
+    write_day(raw, "SKSH-ELDC", 8, 0, 100)  # a day late
+    run()
+    write_day(raw, "SENG-ELDC", 5, 0, 40)  # four days late
+    run()
+    run()
+    tagged = clean(usable(parse_lines(stream_like(spark, raw))))
+    late = tagged.where("time < '2024-03-06'")
+    columns = ["base", "rover", "time", *VALUE_COLUMNS]
+    assert rows(read_medians(spark, target), *columns) == rows(resample_medians(tagged.exceptAll(late), "10min"), *columns)
+    assert rows(spark.read.parquet(f"{target}/late"), *columns) == rows(late, *columns) and late.count() == 32
+
+
+def test_state_is_a_number_per_value(spark, tmp_path):
     raw, target = tmp_path / "raw", str(tmp_path / "out")
     write_day(raw, "SENG-ELDC", 1, 0, 400)
     lines = stream_files(spark, str(raw))
-    stream_medians(clean(usable(parse_lines(lines))), target, str(tmp_path / "checkpoint"), "1h",
-                   columns=("n", "e"), hot_values=20, trigger=NOW).awaitTermination()
-    batch = resample_medians(clean(usable(parse_lines(stream_like(spark, raw)))), "1h", ["n", "e"])
-    assert rows(read_medians(spark, target), "time", "n", "e") == rows(batch, "time", "n", "e")
+    query = stream_medians(clean(usable(parse_lines(lines))), target, str(tmp_path / "checkpoint"), "1h",
+                           columns=("n", "e", "q"), trigger=NOW)
+    query.awaitTermination()
+    tagged = clean(usable(parse_lines(stream_like(spark, raw))))
+    batch = resample_medians(tagged, "1h", ["n", "e", "q"])
+    assert rows(read_medians(spark, target), "time", "n", "e", "q") == rows(batch, "time", "n", "e", "q")
+    # 13 values of n, one of e and 4 of q in each of two hours, however many rows.
+    state = [p.stateOperators[0] for p in query.recentProgress if p.stateOperators]
+    assert max(s.numRowsTotal for s in state) == 2 * (13 + 1 + 4)
+    with pytest.raises(ValueError):
+        stream_medians(clean(usable(parse_lines(lines))), target, str(tmp_path / "other"), "7min")
 
 
 def test_table_stream(spark, tmp_path):
@@ -100,8 +134,8 @@ def test_table_stream(spark, tmp_path):
 
     def run():
         lines = stream_files(spark, str(raw), files_per_trigger=2)
-        stream_one_minute(for_table(usable(parse_lines(lines))), table, str(tmp_path / "checkpoint"),
-                          trigger=NOW).awaitTermination()
+        for query in stream_one_minute(for_table(usable(parse_lines(lines))), table, str(tmp_path / "checkpoint"), trigger=NOW):
+            query.awaitTermination()
 
     for day in (1, 2, 3):
         write_day(raw, "SENG-ELDC", day, 0, 60)

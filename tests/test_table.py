@@ -53,7 +53,7 @@ def test_newer_reading_of_a_file_replaces_the_older(spark, tmp_path):
     for _ in range(2):
         append_one_minute(spark, dense(spark, ("a", 0, 1.0), ("a", 1, 5.0), ("a", 2, 5.0)), path)
     assert minutes_of(spark, path) == [(0, 1.0), (1, 5.0), (2, 5.0)]
-    assert len(list((tmp_path / "one_min" / "_files" / "rows").glob("slot=*/version=*"))) == 1
+    assert len(list((tmp_path / "one_min" / "_files" / "rows").glob("date=*"))) == 1
     append_one_minute(spark, dense(spark, ("a", 2, 7.0)), path)
     assert minutes_of(spark, path) == [(2, 7.0)]
 
