@@ -11,6 +11,10 @@ from neudrift.session import join_small, settle
 # takes some 25 bytes. A minute at 100 observations per second, or a day at one per second, stays
 # below it for the columns of a plot.
 HOT_VALUES = 1_000_000
+# Items of a hot column's quantile sketch, whose ranks are then off by less than half a percent of the
+# column's values nearly always, and how far below and above the middle the values are looked at.
+SKETCH_SIZE = 1024
+REACH = 0.01
 
 
 def hot_keys(rows: DataFrame, keys, columns, hot_values=HOT_VALUES,
@@ -40,7 +44,7 @@ def medians(rows: DataFrame, keys, columns, hot: DataFrame | None = None) -> Dat
     size = hot.count()
     cold = join_small(rows, hot, keys, "left_anti", at_most=size)
     crowded = join_small(rows, hot, keys, "left_semi", at_most=size)
-    return _plain(cold, keys, columns).unionByName(_ranked(crowded, keys, columns))
+    return _plain(cold, keys, columns).unionByName(_bracketed(crowded, keys, columns))
 
 
 def _plain(rows, keys, columns):
@@ -83,9 +87,61 @@ def _ranked(rows, keys, columns):
     return medians_of_counts(value_counts(rows, keys, columns), keys, columns)
 
 
-def medians_of_counts(counted: DataFrame, keys, columns) -> DataFrame:
+def _bracketed(rows, keys, columns):
+    """Medians of hot keys in two passes. Mergeable sketches (KLL) of every column give two values that enclose the
+    middle ranks; then the values below and above are counted in each task, and only those between are shuffled
+    and ranked. Sketches may err: a key of which a middle rank lies outside is ranked among all its values."""
+    def quantiles(c):
+        ends = F.kll_sketch_get_quantile_double(c, F.array(F.lit(0.5 - REACH), F.lit(0.5 + REACH)))
+        return F.when(F.kll_sketch_get_n_double(c) > 0, ends).alias(f"_{c}")
+
+    rows = rows.select(*keys, *[F.col(c).cast("double").alias(c) for c in columns])
+    sketches = rows.groupBy(*keys).agg(*[F.kll_sketch_agg_double(c, F.lit(SKETCH_SIZE)).alias(c) for c in columns])
+    bounds = settle(sketches.select(*keys, *[quantiles(c) for c in columns]))
+    counted = settle(_counts_around(join_small(rows, bounds, keys), keys, columns))
+
+    series = [*keys, "name"]
+    places = counted.groupBy(*series).agg(
+        F.sum("n").alias("total"), F.sum(F.when(F.col("part") < 0, F.col("n")).otherwise(0)).alias("below"),
+        F.sum(F.when(F.col("part") == 0, F.col("n")).otherwise(0)).alias("inside"))
+    low, high = F.expr("(total - 1) div 2"), F.expr("total div 2")
+    fits = (low >= F.col("below")) & (high < F.col("below") + F.col("inside"))
+    places = settle(places.select("*", low.alias("low"), high.alias("high"), fits.alias("fits")))
+    missed = settle(places.where("NOT fits").select(*keys).distinct())
+
+    between = counted.where("part = 0").drop("part")
+    found = medians_of_counts(between, keys, columns, places.drop("inside", "fits"))
+    found = bounds.select(*keys).join(found, keys, "left")
+    if missed.isEmpty():
+        return found
+    size = missed.count()
+    return join_small(found, missed, keys, "left_anti", at_most=size).unionByName(
+        _ranked(join_small(rows, missed, keys, "left_semi", at_most=size), keys, columns))
+
+
+def _counts_around(marked, keys, columns):
+    """(keys, name, part, value, minus_zero, n): how often each value between a column's bounds occurs (part 0), and how
+    many values lie below (-1) and above (1) them."""
+    def entry(c):
+        value, (low, high) = F.col(c), (F.get(f"_{c}", F.lit(k)) for k in (0, 1))
+        part = F.when(value < low, -1).when(value > high, 1).otherwise(0)
+        return F.struct(F.lit(c).alias("name"), value.alias("value"), part.alias("part"))
+
+    values = marked.select(*keys, F.inline(F.array(*[entry(c) for c in columns]))).where("value IS NOT NULL")
+    inside = F.col("part") == 0
+    return values.select(
+        *keys, "name", "part", F.when(inside, F.col("value")).alias("value"),
+        (inside & (F.col("value") == 0) & (F.col("value").cast("string") == "-0.0")).alias("minus_zero"),
+    ).groupBy(*keys, "name", "part", "value", "minus_zero").agg(F.count(F.lit(1)).alias("n"))
+
+
+def medians_of_counts(counted: DataFrame, keys, columns, places: DataFrame | None = None) -> DataFrame:
     """Medians by rank, from `value_counts`: the counted values are range-partitioned by (key, column, value), and
-    only the ranges that hold the middle ranks are looked into."""
+    only the ranges that hold the middle ranks are looked into.
+
+    `places` (keys, name, total, below, low, high) gives the number of values of each column, of those below all
+    that are in `counted`, and the two middle ranks; without it `counted` holds all values.
+    """
     order = ["value", F.desc("minus_zero")]
     # Kept as a table: the range number of a value must not change between the two uses below.
     ranged = settle(
@@ -95,13 +151,16 @@ def medians_of_counts(counted: DataFrame, keys, columns) -> DataFrame:
     series = [*keys, "name"]
     totals = known.groupBy(*series, "range").agg(F.sum("n").alias("n"))
     along = Window.partitionBy(*series).orderBy("range")
-    whole = Window.partitionBy(*series)
+    before = F.sum("n").over(along) - F.col("n")
+    if places is None:
+        whole = Window.partitionBy(*series)
+        placed = totals.withColumn("before", before).withColumn("total", F.sum("n").over(whole)).withColumns(
+            {"low": F.expr("(total - 1) div 2"), "high": F.expr("total div 2")})
+    else:
+        placed = totals.withColumn("before", before).join(places, series).withColumn(
+            "before", F.col("before") + F.col("below"))
     middle = (
-        totals.withColumn("before", F.sum("n").over(along) - F.col("n"))
-        .withColumn("total", F.sum("n").over(whole))
-        .withColumn("low", F.expr("(total - 1) div 2"))
-        .withColumn("high", F.expr("total div 2"))
-        .where((F.col("before") <= F.col("high")) & (F.col("before") + F.col("n") > F.col("low")))
+        placed.where((F.col("before") <= F.col("high")) & (F.col("before") + F.col("n") > F.col("low")))
         .select(*series, "range", "before", "low", "high")
     )
     # At most two of a series' ranges hold its two middle ranks.

@@ -168,3 +168,42 @@ def test_widths():
     for bad in ("", "5", "3 weeks", "0s", "min5"):
         with pytest.raises(ValueError):
             width_seconds(bad)
+
+
+def hot_rows(spark, n=120_000):
+    """One key with many values: spread, with ties, nearly all equal, mostly missing, signed zeros, extreme tails."""
+    k = F.col("id")
+    noise = F.rand(3)
+    return spark.range(n, numPartitions=6).select(
+        F.lit("K").alias("k"), noise.alias("a"), F.round(noise * 50).alias("b"),
+        F.when(k % 1000 == 0, noise).otherwise(7.0).alias("c"), F.when(k % 500 == 0, noise).alias("d"),
+        F.when(k % 2 == 0, F.lit(-0.0)).otherwise(F.lit(0.0)).alias("e"), F.exp(noise * 300 - 150).alias("f"),
+        F.lit(None).cast("double").alias("g"))
+
+
+@pytest.mark.parametrize("size, reach", [(1024, 0.01), (8, 0.001)])
+def test_bracketed_medians_are_exact(spark, monkeypatch, size, reach):
+    """With a sketch far too small and a narrow bracket, middle ranks are missed and all values are ranked."""
+    monkeypatch.setattr("neudrift.operators.medians.SKETCH_SIZE", size)
+    monkeypatch.setattr("neudrift.operators.medians.REACH", reach)
+    rows, columns = hot_rows(spark), list("abcdefg")
+    found = medians(rows, ["k"], columns, rows.select("k").distinct()).collect()
+    data = rows.drop("k").toPandas()
+    assert len(found) == 1
+    for c in columns[:-1]:
+        assert found[0][c] == pytest.approx(data[c].median(), abs=0), c
+    assert found[0]["g"] is None
+
+
+def test_bracket_shuffles_few_values(spark):
+    """Between the bounds lie some 2 % of a column's values, and they alone are kept one by one."""
+    from neudrift.operators import medians as module
+
+    rows = hot_rows(spark).select("k", "a", "f")
+    sketches = rows.groupBy("k").agg(*[F.kll_sketch_agg_double(c, F.lit(1024)).alias(c) for c in "af"])
+    ends = F.array(F.lit(0.5 - module.REACH), F.lit(0.5 + module.REACH))
+    bounds = sketches.select("k", *[F.kll_sketch_get_quantile_double(c, ends).alias(f"_{c}") for c in "af"])
+    counted = module._counts_around(rows.join(bounds, "k"), ["k"], ["a", "f"])
+    kept = counted.where("part = 0").count()
+    assert 0 < kept < 0.04 * 2 * 120_000
+    assert counted.agg(F.sum("n")).first()[0] == 2 * 120_000
