@@ -31,6 +31,11 @@ def divides_day(width) -> bool:
     return DAY % width_seconds(width) == 0
 
 
+def time_bin(time: Column, seconds: int) -> Column:
+    """The number of the `seconds` wide bin, counted from a fixed time, that a time falls into."""
+    return F.floor(seconds_between(F.lit("1970-01-01").cast("timestamp_ntz"), time) / seconds).cast("long")
+
+
 def midnight(day: Column) -> Column:
     return day.cast("date").cast("timestamp_ntz")
 

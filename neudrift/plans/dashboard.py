@@ -6,7 +6,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from neudrift.functions.buckets import (
-    clock_text, divides_day, minute_text, ntz, preset_span, resolve_range,
+    clock_text, divides_day, minute_text, ntz, preset_span, resolve_range, seconds_between, time_bin,
 )
 from neudrift.operators.clean import clean
 from neudrift.operators.medians import HOT_VALUES
@@ -23,6 +23,9 @@ from neudrift.sources.lines import parse_lines, usable
 # Fixed value: how figure names begin.
 FIGURE_PREFIX = "rtk_"
 
+# Seconds of the narrowest bin of a range join.
+LEAST_BIN = 600
+
 
 def group_frame(spark: SparkSession, groups=DASHBOARD_GROUPS) -> DataFrame:
     """Groups given as lists: group_key (first baseline), position, baseline, rover, base."""
@@ -53,11 +56,25 @@ def expand_figures(groups: DataFrame, ranges) -> DataFrame:
 
 
 def slice_figures(resampled: DataFrame, figures: DataFrame, columns=COMPONENTS,
-                  at_most: int | None = None) -> DataFrame:
-    """Give each figure the buckets of its baselines within its range."""
-    spec = figures.select("figure", *PAIR, "start", "end")
+                  at_most: int | None = None, span: float | None = None) -> DataFrame:
+    """Give each figure the buckets of its baselines within its range.
+
+    A join on baseline and time bin. A range is listed under every bin that it meets, and a bucket looks only at
+    the ranges of its own bin, so that many ranges of one baseline are neither compared with all its buckets nor
+    one key of the join. Bins are as wide as a range is on average, so ranges are listed some twice.
+    `at_most` and `span` are the number of `figures` and their mean length in seconds, if both are known.
+    """
+    spec = figures.select("figure", *PAIR, "start", "end").where(F.col("start") <= F.col("end"))
+    if at_most is None or span is None:
+        length = seconds_between(F.col("start"), F.col("end"))
+        at_most, span = spec.agg(F.count(F.lit(1)), F.avg(length)).first()
+    width = max(int(span or 0), LEAST_BIN)
+    bins = F.sequence(time_bin(F.col("start"), width), time_bin(F.col("end"), width))
+    listed = spec.withColumn("_bin", F.explode(bins))
+    rows = resampled.select(*PAIR, "time", *columns).withColumn("_bin", time_bin(F.col("time"), width))
+    # A range meets span / width + 2 bins at most, so all do three times their number.
     return (
-        join_small(resampled.select(*PAIR, "time", *columns), spec, list(PAIR), at_most=at_most)
+        join_small(rows, listed, [*PAIR, "_bin"], at_most=3 * at_most)
         .where(F.col("time").between(F.col("start"), F.col("end")))
         .select("figure", *PAIR, "time", *columns)
     )
@@ -87,7 +104,8 @@ def dashboard_series(rows: DataFrame, groups: DataFrame, ranges, width=DEFAULT_W
             superset=needed(rows if superset is None else superset), at_most=bucket_rows)
 
     def sliced(buckets, some):
-        return slice_figures(buckets, expand_figures(groups, some), at_most=at_most * len(some))
+        span = sum((end - start).total_seconds() for _, start, end in some) / len(some)
+        return slice_figures(buckets, expand_figures(groups, some), at_most=at_most * len(some), span=span)
 
     if divides_day(width):
         buckets = resampled(min(start for _, start, _ in ranges), max(end for _, _, end in ranges))

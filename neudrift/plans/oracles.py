@@ -226,6 +226,11 @@ ORACLES = {
     "one_min_table": _one_minute(),
     "preset_slices": _dashboard(PRESET_HOURS) + f"""
         SELECT figure, base, rover, time, {_rounded(COMPONENTS)} FROM sliced""",
+    "event_windows": _with(_resampled("r", "1 hour", COMPONENTS)) + f"""
+        SELECT o.event_id AS figure, r.base, r.rover, bucket AS time, {_rounded([f"r.{c}" for c in COMPONENTS]).replace("AS r.", "AS ")}
+        FROM r JOIN obs o ON r.base = o.base AND r.rover = o.rover
+            AND bucket BETWEEN o.time AND o.time + INTERVAL 6 HOUR
+        WHERE o.q = 3""",
     "demeaned_cm": _dashboard(PRESET_HOURS, _MOVED) + f"""
         SELECT figure, base, rover, time, {_rounded(COMPONENTS, 8)} FROM moved""",
     "series_levels": _with(
@@ -312,5 +317,16 @@ ORACLES = {
         SELECT baseline, {_line(_ONLY_DAYS_ALL)} FROM new_rows
         UNION ALL SELECT DISTINCT baseline, {_HEADER} FROM new_rows""",
 }
+# Files arrive by quality; the watermark of a file's rows follows the files before it.
+_ARRIVED = """arrived AS (
+    SELECT *, max(time) OVER (ORDER BY batch RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - INTERVAL 2 DAY AS mark,
+           time_bucket(INTERVAL '1 hour', time) + INTERVAL 1 HOUR AS hour_end
+    FROM (SELECT *, least(q, 3) - 1 AS batch FROM cleaned) b)"""
+ORACLES["late_rows"] = _with(_ARRIVED) + """
+    SELECT event_id, base, rover, time, batch FROM arrived WHERE hour_end <= mark"""
+ORACLES["stream_within_delay"] = _with(
+    _ARRIVED, "timely AS (SELECT * FROM arrived WHERE mark IS NULL OR hour_end > mark)",
+    _resampled("r", "1 hour", COMPONENTS, "timely"),
+) + f"SELECT base, rover, bucket AS time, {_rounded(COMPONENTS)} FROM r"
 ORACLES["stream_resample"] = ORACLES["resample_1h"]
 ORACLES["stream_load_table"] = ORACLES["one_min_table"]

@@ -26,9 +26,10 @@ from neudrift.sources.files import (
 )
 from neudrift.sources.lines import field_names, parse_lines, usable
 from neudrift.streaming.load import stream_one_minute
-from neudrift.streaming.resample import read_medians, stream_medians
+from neudrift.streaming.resample import read_medians, stream_late_rows, stream_medians
 
 AS_OF = datetime(2024, 1, 30, 12, 0, 0)
+NOW = {"availableNow": True}
 ARCHIVED_UNTIL = "2024-01-25 00:00:00"
 PERIOD_START, PERIOD_END = "2023-12-28", "2024-02-02"
 
@@ -186,6 +187,16 @@ def preset_slices(spark, sf_dir):
     return rounded(sliced_figures(spark, sf_dir)[0], COMPONENTS)
 
 
+def event_windows(spark, sf_dir):
+    """The hourly buckets in the six hours after every `sbas` observation of a baseline: as many ranges as
+    there are such observations, on six baselines."""
+    observed = ev.observations(spark, sf_dir)
+    windows = observed.where("q = 3").select(
+        F.col("event_id").alias("figure"), *PAIR, F.col("time").alias("start"),
+        (F.col("time") + F.expr("INTERVAL 6 HOURS")).alias("end"))
+    return rounded(dash.slice_figures(resampled(spark, sf_dir, "1h", COMPONENTS), windows), COMPONENTS)
+
+
 def demeaned_cm(spark, sf_dir):
     points, bound = sliced_figures(spark, sf_dir)
     return rounded(displacement_cm(points, ("figure", *PAIR), at_most=bound), COMPONENTS, 8)
@@ -313,15 +324,39 @@ def event_stream(spark, sf_dir) -> DataFrame:
 def stream_resample(spark, sf_dir):
     target = scratch_path(spark, "stream-medians")
     query = stream_medians(clean(event_stream(spark, sf_dir)), target, f"{target}/checkpoint", "1h",
-                           trigger={"availableNow": True})
+                           trigger=NOW)
     query.awaitTermination()
     return rounded(read_medians(spark, target), VALUE_COLUMNS)
 
 
+def files_in_turn(spark, sf_dir, start) -> None:
+    """Run a stream over the clean observations, which arrive as three files with a pause between: those of
+    quality 1, of 2, and the others. `start(stream)` gives the running query."""
+    folder, observed = scratch_path(spark, "arriving"), settle(clean(ev.observations(spark, sf_dir)))
+    for number, some in enumerate((F.col("q") == 1, F.col("q") == 2, F.col("q") > 2)):
+        observed.where(some).coalesce(1).write.parquet(f"{folder}/{number}")
+        start(spark.readStream.schema(observed.schema).parquet(f"{folder}/*")).awaitTermination()
+
+
+def late_rows(spark, sf_dir):
+    """Rows whose hour ended more than two days before the latest row of an earlier file."""
+    target = scratch_path(spark, "late")
+    files_in_turn(spark, sf_dir, lambda rows: stream_late_rows(rows, target, f"{target}/checkpoint", "1h", trigger=NOW))
+    return spark.read.parquet(f"{target}/late").select("event_id", *PAIR, "time", "batch")
+
+
+def stream_within_delay(spark, sf_dir):
+    """Medians of a stream of several micro-batches, of which the watermark leaves late rows out."""
+    target = scratch_path(spark, "stream-delay")
+    files_in_turn(spark, sf_dir, lambda rows: stream_medians(
+        rows, target, f"{target}/checkpoint", "1h", COMPONENTS, trigger=NOW))
+    return rounded(read_medians(spark, target), COMPONENTS)
+
+
 def stream_load_table(spark, sf_dir):
     target = scratch_path(spark, "stream-table")
     prepared = for_table(ev.daily_source(event_stream(spark, sf_dir)))
-    for query in stream_one_minute(prepared, f"{target}/table", f"{target}/checkpoint", trigger={"availableNow": True}):
+    for query in stream_one_minute(prepared, f"{target}/table", f"{target}/checkpoint", trigger=NOW):
         query.awaitTermination()
     return comparable_table(read_one_minute(spark, f"{target}/table").drop("date"))
 
@@ -343,6 +378,7 @@ QUERIES = {
     "resample_dense": resample_dense_60s,
     "one_min_table": one_min_table,
     "preset_slices": preset_slices,
+    "event_windows": event_windows,
     "demeaned_cm": demeaned_cm,
     "series_levels": series_levels,
     "component_series": component_series,
@@ -359,5 +395,7 @@ QUERIES = {
     "archive_roundtrip": archive_roundtrip,
     "median_file_roundtrip": median_file_roundtrip,
     "stream_resample": stream_resample,
+    "late_rows": late_rows,
+    "stream_within_delay": stream_within_delay,
     "stream_load_table": stream_load_table,
 }

@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from neudrift.functions.buckets import divides_day, width_seconds
+from neudrift.functions.buckets import bucket_start, divides_day, plus_seconds, width_seconds
 from neudrift.operators.clean import clean
 from neudrift.operators.daily import changed_files, replace_dates, replace_files, stored, upsert
 from neudrift.operators.medians import HOT_VALUES, drop_empty, medians_of_counts, value_counts
@@ -66,8 +66,8 @@ def counts_by_bucket(cleaned: DataFrame, width=DEFAULT_WIDTH, columns=VALUE_COLU
 
 def stream_medians(cleaned: DataFrame, target: str, checkpoint: str, width=DEFAULT_WIDTH,
                    columns=VALUE_COLUMNS, delay=DELAY, trigger=None) -> StreamingQuery:
-    """Start a query that keeps `target`/medians equal to a batch resampling of the rows so far, those apart that
-    came later than `delay` (see `stream_late_rows`).
+    """Start a query that keeps `target`/medians equal to a batch resampling of the rows so far; rows that come
+    later than `delay` are left out (see `stream_late_rows`).
 
     Each micro-batch hands on the counts that it changed (update mode). They take the place of the stored
     ones, so that a repeated micro-batch changes nothing, and the medians of the changed buckets follow by rank from
@@ -94,21 +94,25 @@ def stream_medians(cleaned: DataFrame, target: str, checkpoint: str, width=DEFAU
     return writer.trigger(**(trigger or {"processingTime": "5 minutes"})).start()
 
 
-def stream_late_rows(rows: DataFrame, target: str, checkpoint: str, delay=DELAY, trigger=None) -> StreamingQuery:
-    """Start a query that sets aside in `target`/late what `stream_medians` on the same stream leaves out: rows more than
-    `delay` older than the latest row of the micro-batches before theirs.
+def stream_late_rows(rows: DataFrame, target: str, checkpoint: str, width=DEFAULT_WIDTH, delay=DELAY,
+                     trigger=None) -> StreamingQuery:
+    """Start a query that sets aside in `target`/late the rows that come later than `delay`: those whose bucket ended
+    that long before the latest row of the earlier micro-batches.
 
-    Each micro-batch notes its latest time and writes its late rows under its own number, so that a repeated
-    one changes nothing. Both queries have to see the same micro-batches.
+    `stream_medians` on the same stream leaves them out, as soon as it has noted the earlier micro-batches' times,
+    which it does when it has to wait for new files; of files that follow without a pause it may still
+    take late rows in. Each micro-batch writes its latest time and its late rows under its own number, so that a
+    repeated one changes nothing.
     """
     spark = rows.sparkSession
 
     def update(batch: DataFrame, batch_id: int) -> None:
         latest = stored(spark, f"{target}/latest", "time timestamp_ntz, batch long")
         before = latest.where(F.col("batch") < batch_id).agg(F.max("time")).first()[0]
-        batch.persist()
         limit = F.lit(before).cast("timestamp_ntz") - F.expr(f"INTERVAL {delay}")
-        late = batch.where(F.col("time") < limit)  # none while there is no earlier time
+        end = plus_seconds(bucket_start(F.col("time"), width), F.lit(width_seconds(width)))
+        batch.persist()
+        late = batch.where(end <= limit)  # none while there is no earlier time
         for frame, name in ((late, "late"), (batch.agg(F.max("time").cast("timestamp_ntz").alias("time")), "latest")):
             frame.withColumn("batch", F.lit(batch_id)).write.mode("overwrite").option(
                 "partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(f"{target}/{name}")
