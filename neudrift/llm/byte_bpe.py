@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from neudrift.llm.common import map_arrow, settle
 from neudrift.llm.tokens import Remembered, ranges
-from neudrift.llm.words import blocks, hashes, text_bytes
+from neudrift.llm.words import blocks, hashes, pack, text_bytes, unpack
 
 # Distinct pieces that every task holds, of KNOWN_BYTES each at most; some 45 bytes of memory each.
 KNOWN = 1 << 20
@@ -404,15 +404,14 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
                 counts[place >= 0] = table.table.places[3][old]
                 counts[new] = -1 - np.arange(len(new))
                 ids = table.table.ids[ranges(table.table.places[2][old].astype(np.int64), table.table.places[3][old].astype(np.int64))]
-                code = _code(len(forms))
-                texts = pa.StructArray.from_arrays(
-                    [part.column("id"), _binary(which.astype(code), code.itemsize * bounds)], ["id", "pieces"])
+                pieces = pack(which.astype(_code(len(forms))))
                 yield pa.RecordBatch.from_arrays([
                     _one_list(_latin(forms.take(pa.array(new[:short])))),
                     _one_list(forms.take(pa.array(new[short:])).cast(pa.binary())),
                     pa.array([counts.tobytes()], pa.binary()), pa.array([ids.tobytes()], pa.binary()),
-                    _one_list(texts),
-                ], ["others", "long", "counts", "ids", "texts"])
+                    _one_list(part.column("id")), pa.array([bounds.astype("<i8").tobytes()], pa.binary()),
+                    pa.array([pieces], pa.binary()),
+                ], ["others", "long", "counts", "ids", "docs", "bounds", "pieces"])
 
     def assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ranks, pieces = all_ranks.value
@@ -432,22 +431,21 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
                 firsts[new] = len(old_ids) + (np.cumsum(new_counts) - new_counts)[-1 - given[new]]
                 counts[new] = new_counts[-1 - given[new]]
 
-                rows = batch.column("texts")[k].values
-                codes, cuts = _raw(rows.field("pieces"))
-                code = _code(len(given))
-                codes = codes.view(code)
+                codes = unpack(batch.column("pieces")[k].as_py(), _code(len(given)))
+                cuts = np.frombuffer(batch.column("bounds")[k].as_py(), "<i8")
                 sizes = counts[codes]
-                bounds = np.concatenate(([0], np.cumsum(sizes)))[cuts // code.itemsize]
+                bounds = np.concatenate(([0], np.cumsum(sizes)))[cuts]
                 ids = pool[ranges(firsts[codes], sizes)]
-                out = [rows.field("id"), pa.array(np.diff(bounds), pa.int64()), _binary(ids, 4 * bounds)]
+                out = [batch.column("docs")[k].values, pa.array(np.diff(bounds), pa.int64()), _binary(ids, 4 * bounds)]
                 if decoded:
                     out.append(_decoded(by_id, ids, bounds))
                 yield pa.RecordBatch.from_arrays(out, ["id", "n_tokens", "ids", "decoded"][:len(out)])
 
-    # A row is a block of texts: its pieces that are not known, and its texts as numbers of distinct pieces.
+    # A row is a block of texts: its pieces that are not known, and its texts as packed numbers of distinct
+    # pieces. As a table between the two it costs half the input, and a task has one Python process, not two.
     rows = map_arrow(texts, split, "others array<string>, long array<binary>, counts binary, ids binary, "
-                                   f"texts array<struct<id:{id_type},pieces:binary>>")
-    folded = rows.withColumn("others", F.transform("others", lambda p: merged(p, look)))
+                                   f"docs array<{id_type}>, bounds binary, pieces binary")
+    folded = settle(rows.withColumn("others", F.transform("others", lambda p: merged(p, look))))
     schema = f"id {id_type}, n_tokens long, ids binary"
     return map_arrow(folded, assemble, f"{schema}, decoded binary" if decoded else schema)
 
