@@ -1,9 +1,9 @@
 """Row filters and column shaping between parser and resampling."""
 
 from functools import reduce
-from operator import and_
+from operator import and_, or_
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Observation, functions as F
 
 from neudrift.functions.quality import has_quality, quality_label
 from neudrift.schema import EXCLUDED_QUALITY, ONE_MINUTE_METRICS, VALUE_COLUMNS
@@ -47,3 +47,15 @@ def for_table(df: DataFrame, codes=EXCLUDED_QUALITY) -> DataFrame:
 
 def decode_quality(df: DataFrame, column="q") -> DataFrame:
     return df.withColumn("quality", quality_label(F.col(column)))
+
+
+def clean_counted(df: DataFrame, codes=EXCLUDED_QUALITY, columns=VALUE_COLUMNS) -> tuple[DataFrame, Observation]:
+    """`clean`, and how many rows are incomplete, of excluded quality, and left: counts that Spark gathers in
+    whatever job reads the result first."""
+    seen = Observation("rows")
+    missing = reduce(or_, [F.col(c).isNull() for c in columns] + [F.isnan(c) for c in _floating(df, columns)])
+    missing, excluded = F.coalesce(missing, F.lit(True)), has_quality(F.col("q"), codes) if codes else F.lit(False)
+    marked = df.observe(
+        seen, F.count_if(missing).alias("incomplete"), F.count_if(~missing & excluded).alias("excluded quality"),
+        F.count_if(~missing & ~excluded).alias("written"))
+    return clean(marked, codes, columns), seen

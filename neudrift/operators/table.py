@@ -81,6 +81,13 @@ def register_one_minute(spark: SparkSession, name: str, path: str) -> None:
     spark.catalog.recoverPartitions(name)
 
 
+def table_columns(spark: SparkSession, name: str) -> DataFrame:
+    """A registered table as the catalog describes it: position, column, type, comment and whether it is a
+    partition column."""
+    rows = [(at, c.name, c.dataType, c.description, c.isPartition) for at, c in enumerate(spark.catalog.listColumns(name))]
+    return spark.createDataFrame(rows, "position int, column string, type string, comment string, partition boolean")
+
+
 def append_jdbc(rows: DataFrame, url: str, table: str, **options) -> None:
     """Append table rows to a database that enforces the key itself."""
     rows.write.format("jdbc").options(url=url, dbtable=table, **options).mode("append").save()

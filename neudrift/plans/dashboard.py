@@ -18,7 +18,7 @@ from neudrift.operators.series import (
 from neudrift.schema import COMPONENTS, DASHBOARD_GROUPS, DASHBOARD_PRESETS, DEFAULT_WIDTH
 from neudrift.session import join_small, kept, settle, settling
 from neudrift.sources.files import base_of, most_rows, rover_of, scan_daily
-from neudrift.sources.lines import parse_lines, usable
+from neudrift.sources.lines import Reading, usable
 
 # Fixed value: how figure names begin.
 FIGURE_PREFIX = "rtk_"
@@ -141,17 +141,17 @@ def explicit_range_catalog(groups: DataFrame, start: datetime, end: datetime, ki
     )
 
 
-def plot_rows(spark: SparkSession, root: str, start, end, baselines, width):
+def plot_rows(spark: SparkSession, root: str, start, end, baselines, width, reading: Reading = Reading()):
     """Clean observations of some baselines, and a bound on the rows of a bucket if that is within the limit
     of hot buckets. Else the text is parsed once, and the rows are set aside to be read twice."""
     bound = most_rows(spark, root, start, end, baselines)
-    parsed = usable(parse_lines(scan_daily(spark, root, start, end, list(baselines))))
-    rows = clean(observations_for_slice(parsed, start, end, width)).select(*PAIR, "time", *COMPONENTS)
+    lines = scan_daily(spark, root, start, end, list(baselines), reading.skip_unreadable)
+    rows = clean(observations_for_slice(usable(reading.parse(lines)), start, end, width), reading.codes).select(*PAIR, "time", *COMPONENTS)
     return (rows, bound) if bound <= HOT_VALUES // len(COMPONENTS) else (settle(rows), None)
 
 
 def run_dashboard(spark: SparkSession, root: str, groups=DASHBOARD_GROUPS, presets=DASHBOARD_PRESETS,
-                  as_of=None, width=DEFAULT_WIDTH, end=None):
+                  as_of=None, width=DEFAULT_WIDTH, end=None, reading: Reading = Reading()):
     """(series, axis ranges, figure catalog) of the dashboard over a folder of daily files.
 
     An explicit `end` is part of the figures' names; without one they are live, up to `as_of`.
@@ -161,7 +161,7 @@ def run_dashboard(spark: SparkSession, root: str, groups=DASHBOARD_GROUPS, prese
     baselines = sorted({name for group in groups for name in group})
     frame = group_frame(spark, groups)
     with settling(spark):
-        rows, bound = plot_rows(spark, root, min(r[1] for r in ranges), last, baselines, width)
+        rows, bound = plot_rows(spark, root, min(r[1] for r in ranges), last, baselines, width, reading)
         series = kept(dashboard_series(
             rows, frame, ranges, width, at_most=sum(len(group) for group in groups), bucket_rows=bound))
     figures = expand_figures(frame, ranges)
@@ -169,11 +169,11 @@ def run_dashboard(spark: SparkSession, root: str, groups=DASHBOARD_GROUPS, prese
 
 
 def plot_series(spark: SparkSession, root: str, baselines, preset="twodays", start=None, end=None,
-                as_of=None, width=DEFAULT_WIDTH) -> DataFrame:
+                as_of=None, width=DEFAULT_WIDTH, reading: Reading = Reading()) -> DataFrame:
     """Points of one figure: the given baselines over a preset or an explicit range."""
     start, end, preset = resolve_range(preset, start, end, as_of)
     with settling(spark):
-        rows, bound = plot_rows(spark, root, start, end, baselines, width)
+        rows, bound = plot_rows(spark, root, start, end, baselines, width, reading)
         resampled = resample_medians(rows, width, COMPONENTS, at_most=bound)
         moved = displacement_cm(slice_time(resampled, start, end), PAIR, at_most=len(set(baselines)))
         return kept(component_series(moved, PAIR).withColumn("label", component_label(F.col("component"))))

@@ -186,6 +186,14 @@ ORACLES = {
                             WHEN 4 THEN 'not a number' ELSE 'usable' END AS reason
               FROM obs WHERE q IS DISTINCT FROM 5)
         GROUP BY ALL""",
+    "load_report": _with() + f"""
+        SELECT * FROM (SELECT
+            count(*) FILTER (q IS DISTINCT FROM 5) AS read,
+            count(*) FILTER (q IS NULL OR q = 1) AS usable, count(*) FILTER (q = 3) AS "too many fields",
+            count(*) FILTER (q = 2) AS "bad time", count(*) FILTER (q = 4) AS "not a number",
+            0 AS "not a whole number", count(*) FILTER ((q IS NULL OR q = 1) AND NOT ({_COMPLETE})) AS incomplete,
+            0 AS "excluded quality", count(*) FILTER (q = 1 AND {_COMPLETE}) AS written FROM obs) c
+        """,
     "clean_observations": _with() + f"""
         SELECT event_id, base, rover, time, {", ".join(VALUE_COLUMNS)} FROM cleaned""",
     "quality_filter_keep_null": _with() + """
@@ -199,6 +207,16 @@ ORACLES = {
                {", ".join(f"{c} AS {g}" if c in ("q", "ns") else f"round({c}, 4) + 0.0 AS {g}"
                           for c, g in zip(VALUE_COLUMNS, GEODETIC_LAYOUT))}
         FROM cleaned""",
+    "scan_daily_files": _with() + """
+        SELECT baseline, rover, base, baseline || strftime(time, '%Y%m%d') || '0000b.pos' AS name, count(*) AS rows,
+               date_trunc('millisecond', min(time)) AS first, date_trunc('millisecond', max(time)) AS last,
+               round(sum(e), 3) AS e, count(u) AS with_u
+        FROM obs GROUP BY 1, 2, 3, 4""",
+    "listed_files": _with() + f"""
+        SELECT directory, name, row_number() OVER (PARTITION BY directory ORDER BY name DESC) <= {NEWEST_FILES} AS newest
+        FROM (SELECT DISTINCT baseline AS directory, baseline || strftime(time, '%Y%m%d') || '0000b.pos' AS name FROM obs)""",
+    "written_order": _with(*_NEW) + """
+        SELECT baseline, date, count(*) + 1 AS lines, 0 AS out_of_order FROM new_rows GROUP BY ALL""",
     "baseline_tags": _with(_FILES) + """
         SELECT DISTINCT directory AS baseline, substr(directory, 1, 4) AS rover,
                substr(directory, 6, 4) AS base
@@ -328,5 +346,25 @@ ORACLES["stream_within_delay"] = _with(
     _ARRIVED, "timely AS (SELECT * FROM arrived WHERE mark IS NULL OR hour_end > mark)",
     _resampled("r", "1 hour", COMPONENTS, "timely"),
 ) + f"SELECT base, rover, bucket AS time, {_rounded(COMPONENTS)} FROM r"
+_REPORT = ["read", "usable", "too many fields", "bad time", "not a number", "not a whole number", "incomplete",
+           "excluded quality", "written"]
+ORACLES["load_report"] = ORACLES["load_report"].replace("SELECT * FROM (SELECT", "SELECT cast(CASE measure " + " ".join(
+    f"WHEN '{m}' THEN {i}" for i, m in enumerate(_REPORT)) + " END AS INT) AS position, measure, rows FROM (UNPIVOT (SELECT", 1).replace(
+    "FROM obs) c", "FROM obs) ON COLUMNS(*) INTO NAME measure VALUE rows)")
+
+
+def _table_metadata():
+    """Types as the catalog writes them, comments as the schema has them, counts from the rows themselves."""
+    fields = [(f.name, f.dataType.simpleString(), f.metadata["comment"].replace("'", "''")) for f in ONE_MINUTE_SCHEMA]
+    values = ", ".join(f"({at}, '{name}', '{kind}', '{comment}', false)" for at, (name, kind, comment) in enumerate(fields))
+    counts = ", ".join(f"count({name}) AS {name}" for name, _, _ in fields)
+    return f"""
+        WITH t AS ({_one_minute()}), c AS (SELECT {counts}, count(*) AS date FROM t)
+        SELECT v.*, filled FROM (VALUES {values}, ({len(fields)}, 'date', 'date', NULL, true))
+            v(position, "column", type, comment, partition)
+        JOIN (UNPIVOT c ON COLUMNS(*) INTO NAME "column" VALUE filled) USING ("column")"""
+
+
+ORACLES["table_metadata"] = _table_metadata()
 ORACLES["stream_resample"] = ORACLES["resample_1h"]
 ORACLES["stream_load_table"] = ORACLES["one_min_table"]

@@ -1,5 +1,6 @@
 """The registered queries: each runs operators over the observations of an `events` table."""
 
+import uuid
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
@@ -13,16 +14,20 @@ from neudrift.operators.series import (
     axis_range, component_label, displacement_cm, observations_for_slice, reference_levels,
     slice_time,
 )
-from neudrift.operators.table import as_one_minute, read_one_minute, unique_by_key
+from neudrift.operators.table import (
+    append_one_minute, as_one_minute, read_one_minute, register_one_minute, table_columns, unique_by_key,
+)
 from neudrift.plans import dashboard as dash
+from neudrift.plans.observations import store_lines
 from neudrift.schema import (
     ARCHIVE_COLUMNS, COMPONENTS, DASHBOARD_PRESETS, FREEZE_BYTES, ONE_MINUTE_METRICS, PRESET_HOURS,
     VALUE_COLUMNS,
 )
-from neudrift.session import scratch_path, settle
+from neudrift.session import move, scratch_path, settle
 from neudrift.sources import events as ev
 from neudrift.sources.files import (
-    archive_sizes, discover_baselines, newest_files, scan_archive, select_file_dates,
+    archive_sizes, archive_text, discover_baselines, list_below, list_files, newest_files, scan_archive, scan_daily,
+    select_file_dates,
 )
 from neudrift.sources.lines import field_names, parse_lines, usable
 from neudrift.streaming.load import stream_one_minute
@@ -46,24 +51,33 @@ def parse_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return usable(parsed).select("event_id", "time", *VALUE_COLUMNS)
 
 
-def quarantine_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lines spoiled in a way that depends on the quality; count what the parser says about them."""
+def spoiled_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines spoiled in a way that depends on the quality."""
     labelled = decode_quality(ev.observations(spark, sf_dir)).withColumn(
         "kind", F.coalesce("quality", F.lit("none")))
     value, kind = F.col("value"), F.col("kind")
-    spoiled = ev.render_lines(labelled, ["kind"]).withColumn(
+    return ev.render_lines(labelled, ["kind"]).withColumn(
         "value",
         F.when(kind == "float", F.regexp_replace(value, r"^([^.]*)[.][0-9]+", "$1"))
         .when(kind == "sbas", F.concat(value, F.lit("  1")))
         .when(kind == "dgps", F.concat(F.substring_index(value, "  ", 1), F.lit("  abc")))
         .when(kind == "single", F.concat(F.lit("% "), value))
         .otherwise(F.concat(value, F.lit(" % note"))))
+
+
+def quarantine_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the parser says about spoiled lines."""
     return (
-        parse_lines(spoiled).groupBy("kind", F.coalesce("reason", F.lit("usable")).alias("reason"))
+        parse_lines(spoiled_lines(spark, sf_dir)).groupBy("kind", F.coalesce("reason", F.lit("usable")).alias("reason"))
         .agg(F.count(F.lit(1)).alias("lines"), F.count("time").alias("times"))
     )
 
 
+def load_report(spark, sf_dir):
+    """What a job read, set aside and wrote, counted while it wrote."""
+    return store_lines(spoiled_lines(spark, sf_dir), scratch_path(spark, "observations"))
+
+
 def clean_observations(spark, sf_dir):
     return clean(ev.observations(spark, sf_dir)).select(
         "event_id", *PAIR, "time", *VALUE_COLUMNS)
@@ -100,6 +114,38 @@ def file_listing(spark, sf_dir) -> DataFrame:
     )
 
 
+def daily_files(spark, sf_dir) -> str:
+    """The observations written as daily files; the folder. Spark names the parts, so each file is moved."""
+    folder = scratch_path(spark, "daily")
+    named = ev.daily_source(ev.observations(spark, sf_dir))
+    lines = ev.render_lines(named, ["source_file", "time", "event_id"])
+    parts = F.split("source_file", "/")
+    (lines.select("value", "time", "event_id", parts[0].alias("directory"), parts[1].alias("name"))
+     .repartition("directory", "name").sortWithinPartitions("directory", "name", "time", "event_id")
+     .select("value", "directory", "name").write.partitionBy("directory", "name").text(f"{folder}/parts"))
+    found = list_below(spark, f"{folder}/parts", "*.txt").select("path").toLocalIterator()
+    for row in found:
+        directory, name = (part.split("=", 1)[1] for part in row.path.split("/")[-3:-1])
+        move(spark, row.path, f"{folder}/root/{directory}/{name}")
+    return f"{folder}/root"
+
+
+def scan_daily_files(spark, sf_dir):
+    """All daily files read back at once: rows of each, their time span and sums, parsed from the text."""
+    rows = usable(parse_lines(scan_daily(spark, daily_files(spark, sf_dir))))
+    return rows.groupBy("baseline", "rover", "base", F.element_at(F.split("source_file", "/"), -1).alias("name")).agg(
+        F.count(F.lit(1)).alias("rows"), F.min("time").alias("first"), F.max("time").alias("last"),
+        F.round(F.sum("e"), 3).alias("e"), F.count("u").alias("with_u"))
+
+
+def listed_files(spark, sf_dir):
+    """The daily files as the listing has them: names and which of them the newest four of each baseline are."""
+    listing = list_files(spark, daily_files(spark, sf_dir))
+    newest = newest_files(listing).select("directory", "name", F.lit(True).alias("newest"))
+    return listing.join(newest, ["directory", "name"], "left").select(
+        "directory", "name", F.coalesce("newest", F.lit(False)).alias("newest"))
+
+
 def baseline_tags(spark, sf_dir):
     return discover_baselines(file_listing(spark, sf_dir))
 
@@ -313,6 +359,34 @@ def median_file_roundtrip(spark, sf_dir):
     return spark.read.schema("line string, baseline string").text(target).select("baseline", "line")
 
 
+def written_order(spark, sf_dir):
+    """Lines of each archive file and how many of them are older than the line before, by their place in the file."""
+    target = scratch_path(spark, "ordered")
+    rows = settle(new_archive_rows(spark, sf_dir))
+    arch.write_daily(arch.with_headers(arch.daily_lines(rows), rows.select(*arch.PARTITION).distinct()), target)
+    lines = archive_text(spark, target).withColumn("place", F.monotonically_increasing_id())
+    before = Window.partitionBy(*arch.PARTITION).orderBy("place")
+    # The header sorts before any time.
+    disorder = F.count_if(F.col("line") < F.col("previous"))
+    return lines.withColumn("previous", F.lag("line").over(before)).groupBy(*arch.PARTITION).agg(
+        F.count(F.lit(1)).alias("lines"), disorder.alias("out_of_order"))
+
+
+def table_metadata(spark, sf_dir):
+    """The one-minute table as the catalog describes it, and how many rows have a value in each column."""
+    path, name = scratch_path(spark, "described"), f"one_min_{uuid.uuid4().hex}"
+    dense = resample_dense(for_table(ev.daily_source(ev.observations(spark, sf_dir))))
+    append_one_minute(spark, dense, path)
+    register_one_minute(spark, name, path)
+    try:
+        columns, table = table_columns(spark, name), spark.table(name)
+        filled = table.agg(*[F.count(c).alias(c) for c in table.columns])
+        filled = settle(filled.unpivot([], filled.columns, "column", "filled"))
+    finally:
+        spark.sql(f"DROP TABLE {name}")
+    return columns.join(F.broadcast(filled), "column")
+
+
 # Streaming
 
 def event_stream(spark, sf_dir) -> DataFrame:
@@ -395,6 +469,11 @@ QUERIES = {
     "archive_roundtrip": archive_roundtrip,
     "median_file_roundtrip": median_file_roundtrip,
     "stream_resample": stream_resample,
+    "load_report": load_report,
+    "scan_daily_files": scan_daily_files,
+    "listed_files": listed_files,
+    "written_order": written_order,
+    "table_metadata": table_metadata,
     "late_rows": late_rows,
     "stream_within_delay": stream_within_delay,
     "stream_load_table": stream_load_table,

@@ -12,17 +12,18 @@ from neudrift.session import kept, settle, settling
 from neudrift.sources.files import (
     SHORTEST_DATED, STRICT_BASELINE, list_all, newest_files, skipped_files,
 )
-from neudrift.sources.lines import parse_lines, usable
+from neudrift.sources.lines import Reading, usable
 from neudrift.streaming.refresh import as_sources, read_changed, relative_names
 
 
-def densified(lines: DataFrame, width=DEFAULT_WIDTH, at_most: int | None = None) -> DataFrame:
+def densified(lines: DataFrame, width=DEFAULT_WIDTH, at_most: int | None = None,
+              reading: Reading = Reading()) -> DataFrame:
     """Gap-filled medians per file; `at_most` is a proven bound on the lines of a file.
 
     Within the limit of hot buckets nothing is counted or set aside. Else the text is parsed once, and the
     parsed rows are read three times.
     """
-    rows = for_table(usable(parse_lines(lines)))
+    rows = for_table(usable(reading.parse(lines)), reading.codes)
     if at_most is None or at_most > HOT_VALUES // len(ONE_MINUTE_METRICS):
         rows, at_most = settle(rows), None
     return resample_dense(rows, width, at_most=at_most)
@@ -38,14 +39,16 @@ def selected_files(spark: SparkSession, root: str, keep=NEWEST_FILES) -> DataFra
     return newest_files(listed(spark, root), keep)
 
 
-def load_one_minute(spark: SparkSession, root: str, path: str, keep=NEWEST_FILES) -> DataFrame:
+def load_one_minute(spark: SparkSession, root: str, path: str, keep=NEWEST_FILES,
+                    reading: Reading = Reading()) -> DataFrame:
     """Load the newest files, as far as they have changed since the last load, and return what was left
     out, per baseline; `keep=None` takes all."""
     with settling(spark):
         files = settle(listed(spark, root))
         sources = as_sources(relative_names(newest_files(files, keep)))
-        sources, lines = read_changed(spark, root, changed_files(sources, f"{path}/_files"))
+        sources, lines = read_changed(
+            spark, root, changed_files(sources, f"{path}/_files"), reading.skip_unreadable)
         if lines is not None:
             longest = sources.agg(F.max("length")).first()[0] // SHORTEST_DATED
-            load_dense(spark, densified(lines, at_most=longest), sources, path)
+            load_dense(spark, densified(lines, at_most=longest, reading=reading), sources, path)
         return kept(skipped_files(files, keep))

@@ -91,6 +91,15 @@ def delete(spark: SparkSession, path: str) -> None:
     files.delete(where, True)
 
 
+def move(spark: SparkSession, path: str, target: str) -> None:
+    """Give a file another name, in a folder that is made if there is none."""
+    files, where = _file_system(spark, path)
+    goal = spark._jvm.org.apache.hadoop.fs.Path(target)
+    files.mkdirs(goal.getParent())
+    if not files.rename(where, goal):
+        raise OSError(f"{path} could not be moved to {target}")
+
+
 def join_small(left: DataFrame, small: DataFrame, on, how="inner", at_most=None) -> DataFrame:
     """Join a side that is expected to be small.
 

@@ -196,7 +196,7 @@ def scan_daily(spark: SparkSession, root: str, start=None, end=None, baselines=N
         base_of(name).alias("base"), path.alias("source_file"))
 
 
-def scan_files(spark: SparkSession, files: DataFrame) -> DataFrame:
+def scan_files(spark: SparkSession, files: DataFrame, skip_unreadable=False) -> DataFrame:
     """Lines of the files of a selection such as `newest_files`.
 
     Only path names pass through the driver, as they do in any Spark file scan, and the selection
@@ -208,7 +208,7 @@ def scan_files(spark: SparkSession, files: DataFrame) -> DataFrame:
             [], "value string, rover string, base string, source_file string")
     # A selected file's name starts with its directory's name, so both hold the same baseline.
     rover, base = baseline_parts(F.col("_metadata.file_name"))
-    return _text(spark, paths).select(
+    return _text(spark, paths, ignoreCorruptFiles=skip_unreadable).select(
         "value", rover.alias("rover"), base.alias("base"),
         F.col("_metadata.file_path").alias("source_file"))
 

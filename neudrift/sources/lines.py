@@ -1,8 +1,10 @@
 """Observation lines to typed rows, with a reason for every line that cannot be one."""
 
-from pyspark.sql import DataFrame, functions as F
+from dataclasses import dataclass
 
-from neudrift.schema import FIELD_COUNT, INTEGER_COLUMNS, LAYOUTS, NULL_TOKENS
+from pyspark.sql import DataFrame, Observation, functions as F
+
+from neudrift.schema import EXCLUDED_QUALITY, FIELD_COUNT, INTEGER_COLUMNS, LAYOUTS, NULL_TOKENS
 
 # Two-digit date and clock parts and one to six fraction digits: microseconds are what Spark keeps.
 _CLOCK = r"^\d{4}/\d\d/\d\d \d\d:\d\d:\d\d\.\d{1,6}$"
@@ -11,6 +13,23 @@ _JAVA_LETTER = r"[dDfFxX]"
 _JAVA_NUMBER = r"[0-9.][dDfF](\s|$)|0[xX]"
 
 
+@dataclass(frozen=True)
+class Reading:
+    """How a job reads observation files: the lines' layout, the order of the horizontal deviations in them, the
+    quality codes that are left out, and whether unreadable files are passed over."""
+
+    layout: str = "baseline"
+    sd_order: str = "names"
+    codes: tuple[int, ...] = tuple(EXCLUDED_QUALITY)
+    skip_unreadable: bool = False
+
+    def columns(self) -> list[str]:
+        return field_names(self.layout, self.sd_order)
+
+    def parse(self, lines: DataFrame) -> DataFrame:
+        return parse_lines(lines, self.layout, self.sd_order)
+
+
 def field_names(layout="baseline", sd_order="names"):
     """Value columns by position. `sd_order="header"` takes the order of the files' own comment,
     in which the deviation of east comes before the one of north."""
@@ -77,6 +96,19 @@ def parse_lines(lines: DataFrame, layout="baseline", sd_order="names") -> DataFr
     )
 
 
+# Why a line is left out, in the order in which the parser asks.
+REASONS = ("too many fields", "bad time", "not a number", "not a whole number")
+
+
+def counted(parsed: DataFrame, name: str = "lines") -> tuple[DataFrame, Observation]:
+    """`parsed` as it is, and how many lines are read, usable and set aside for each reason: counts that Spark
+    gathers in whatever job reads `parsed` first, without another pass."""
+    seen = Observation(name)
+    parts = {"read": F.count(F.lit(1)), "usable": F.count_if(F.col("reason").isNull())}
+    parts |= {reason: F.count_if(F.col("reason") == reason) for reason in REASONS}
+    return parsed.observe(seen, *[c.alias(k) for k, c in parts.items()]), seen
+
+
 def usable(parsed: DataFrame) -> DataFrame:
     return parsed.where(F.col("reason").isNull()).drop("reason", "value")
 

@@ -35,13 +35,13 @@ def as_sources(listing: DataFrame) -> DataFrame:
     return listing.select(F.col("path").alias("source_file"), "length", "modified")
 
 
-def read_changed(spark: SparkSession, root: str, sources: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+def read_changed(spark: SparkSession, root: str, sources: DataFrame, skip_unreadable=False) -> tuple[DataFrame, DataFrame | None]:
     """The sources, settled, and the lines of their files; None when nothing has changed."""
     sources = settle(sources)
     if sources.isEmpty():
         return sources, None
     paths = sources.select(F.concat(F.lit(root.rstrip("/") + "/"), "source_file").alias("path"))
-    lines = scan_files(spark, paths)
+    lines = scan_files(spark, paths, skip_unreadable)
     return sources, lines.withColumn("source_file", relative_name(F.col("source_file")))
 
 

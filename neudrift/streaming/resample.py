@@ -11,7 +11,7 @@ from neudrift.operators.resample import PAIR, resample_medians
 from neudrift.schema import DEFAULT_WIDTH, VALUE_COLUMNS
 from neudrift.session import settle, settling
 from neudrift.sources.files import list_files
-from neudrift.sources.lines import parse_lines, usable
+from neudrift.sources.lines import Reading, usable
 from neudrift.streaming.refresh import as_sources, event_time, read_changed, relative_names, ticking, without_zone
 
 # How late a row may come, after the longest range of a dashboard.
@@ -20,7 +20,7 @@ BUCKET = ("base", "rover", "time")
 
 
 def refresh_medians(spark: SparkSession, root: str, target: str, width=DEFAULT_WIDTH,
-                    columns=VALUE_COLUMNS, hot_values=HOT_VALUES) -> list:
+                    columns=VALUE_COLUMNS, hot_values=HOT_VALUES, reading: Reading = Reading()) -> list:
     """Bring `target`/medians up to date with the daily files below `root`; the days it touched.
 
     Files are compared with those of the last call by name, length and time of change. A changed file
@@ -29,7 +29,7 @@ def refresh_medians(spark: SparkSession, root: str, target: str, width=DEFAULT_W
     """
     with settling(spark):
         sources = changed_files(as_sources(relative_names(list_files(spark, root))), target)
-        sources, lines = read_changed(spark, root, sources)
+        sources, lines = read_changed(spark, root, sources, reading.skip_unreadable)
         if lines is None:
             return []
 
@@ -37,7 +37,7 @@ def refresh_medians(spark: SparkSession, root: str, target: str, width=DEFAULT_W
             medians = resample_medians(rows, width, columns, hot_values=hot_values)
             replace_dates(medians.withColumn("date", F.to_date("time")), dates, f"{target}/medians")
 
-        rows = clean(usable(parse_lines(lines))).withColumn("date", F.to_date("time"))
+        rows = clean(usable(reading.parse(lines)), reading.codes, reading.columns()).withColumn("date", F.to_date("time"))
         dates = replace_files(rows.select(*PAIR, "time", *columns, "source_file", "date"), sources, target, derive,
                               whole=not divides_day(width))
         return sorted(row.date for row in dates.toLocalIterator())
