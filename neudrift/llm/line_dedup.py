@@ -57,13 +57,14 @@ def dedup_lines(docs: DataFrame, min_chars: int = 10, min_docs: int = 2,
     )
     split = F.split("text", "\n", -1)
     kept_at = F.array_except(F.sequence(F.lit(0), F.size(split) - 1), "drop")
+    # As a lambda's argument the lines are split off once, not again for each of them.
+    joined = F.get(F.transform(F.array(split), lambda lines: F.array_join(
+        F.transform(kept_at, lambda i: F.get(lines, i)), "\n")), 0)
     return rows.join(dropped, ["id", "text_hash"], "left").select(
         "row",
         F.size(split).cast("long").alias("n_lines"),
         F.coalesce(F.size("drop"), F.lit(0)).cast("long").alias("n_dropped"),
-        F.when(F.col("drop").isNull(), F.col("text")).otherwise(
-            F.array_join(F.transform(kept_at, lambda i: F.get(split, i)), "\n")
-        ).alias("kept"),
+        F.when(F.col("drop").isNull(), F.col("text")).otherwise(joined).alias("kept"),
     )
 
 

@@ -12,10 +12,11 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from neudrift.llm.common import settle
-from neudrift.session import workspace
+from neudrift.session import read_or_empty, workspace
 
 SLOTS = 4096
 MAP_SCHEMA = "array<struct<virtual_slot:int, shard:int>>"
+MAP_ROW = "virtual_slot int, shard int"
 
 
 def even_map(slots: int, shards: int) -> list[int]:
@@ -56,21 +57,24 @@ def rebalanced(shard_of: list[int], weights: list[int], shards: int) -> list[int
 
 
 def grown(shard_of: list[int], weights: list[int], shards: int) -> list[int]:
-    """One more shard, number `shards`: it takes slots from the fullest shards, and no others move."""
+    """One more shard, number `shards`: it takes slots from the fullest shards that have any that fit, and no
+    others move."""
     shard_of = list(shard_of)
     members = [[s for s, shard in enumerate(shard_of) if shard == own] for own in range(shards)]
     load = [sum(weights[s] for s in own) for own in members]
-    taken, share = 0, sum(load) / (shards + 1)
-    while True:
-        high = load.index(max(load))
+    taken, share, givers = 0, sum(load) / (shards + 1), set(range(shards))
+    while givers:
+        high = max(givers, key=lambda shard: (load[shard], -shard))
         fitting = [s for s in members[high] if 0 < weights[s] and taken + weights[s] <= share]
         if not fitting:
-            return shard_of
+            givers.remove(high)  # what fits is less from here on, so it will never give again
+            continue
         slot = max(fitting, key=lambda s: (weights[s], -s))
         members[high].remove(slot)
         shard_of[slot] = shards
         load[high] -= weights[slot]
         taken += weights[slot]
+    return shard_of
 
 
 def map_rows(spark: SparkSession, shard_of: list[int]) -> DataFrame:
@@ -87,6 +91,33 @@ def load_map(spark: SparkSession, path: str, version: int) -> DataFrame:
     return spark.read.parquet(f"{path}/version={version}")
 
 
+def map_versions(spark: SparkSession, path: str) -> DataFrame:
+    """All versions of a map: virtual_slot, shard, version; no rows before the first is saved."""
+    schema = f"{MAP_ROW}, version int"
+    return read_or_empty(spark, lambda p: spark.read.schema(schema).parquet(p), path, schema)
+
+
+def latest_map(spark: SparkSession, path: str) -> tuple[int, list[int]]:
+    """Number and shards of the newest version; 0 and nothing before the first is saved."""
+    versions = map_versions(spark, path)
+    newest = versions.agg(F.max("version")).first()[0]
+    if newest is None:
+        return 0, []
+    rows = versions.where(F.col("version") == newest).collect()  # one row a slot
+    return newest, [r.shard for r in sorted(rows, key=lambda r: r.virtual_slot)]
+
+
+def edited(shard_of: list[int], weights: list[int], shards: int) -> list[int]:
+    """The next version: shards that are missing are grown one by one, then slots are moved until bytes are near
+    equal. A map with more shards than asked for is not cut down."""
+    have = max(shard_of) + 1
+    if have > shards:
+        raise ValueError(f"the map has {have} shards")
+    for more in range(have, shards):
+        shard_of = grown(shard_of, weights, more)
+    return rebalanced(shard_of, weights, shards)
+
+
 def records(docs: DataFrame, slots: int = SLOTS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, `size`, `text_crc32` and `virtual_slot` of every row."""
     text = F.coalesce(docs[f"`{text_col}`"], F.lit(""))
@@ -102,9 +133,10 @@ def shard_documents(docs: DataFrame, shards: int = 24, slots: int = SLOTS, map_p
                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, `size`, `text_crc32`, `virtual_slot`, `shard`, `slot` and `map_version` of every row.
 
-    Version 1 of the map deals slots evenly, version 2 is that map rebalanced by bytes. `slot` is the
-    row's place in its shard, without gaps from 0: shards hold their virtual slots one after another,
-    and a slot its rows by id.
+    Version 1 of the map deals slots evenly. Every call edits the newest version at `map_path`: it grows shards
+    that are missing and rebalances by the bytes of `docs`, and saves the next version if anything
+    has moved. `slot` is the row's place in its shard, without gaps from 0: shards hold their virtual slots one
+    after another, and a slot its rows by id.
 
     A null text has no bytes and counts 8. Rows without an id are hashed by their text. Rows that repeat
     id and text share a virtual slot and get places of their own. Other columns are not looked at. An
@@ -118,11 +150,18 @@ def shard_documents(docs: DataFrame, shards: int = 24, slots: int = SLOTS, map_p
     for one in per_slot.collect():  # at most `slots` rows
         bytes_of[one.virtual_slot], rows_of[one.virtual_slot] = one.bytes, one.rows
 
-    first = even_map(slots, shards)
-    save_map(spark, map_path, 1, first)
-    save_map(spark, map_path, 2, rebalanced(first, bytes_of, shards))
-
-    current = load_map(spark, map_path, 2)
+    version, shard_of = latest_map(spark, map_path)
+    if not version:
+        version, shard_of = 1, even_map(slots, shards)
+        save_map(spark, map_path, 1, shard_of)
+    if len(shard_of) != slots:
+        raise ValueError(f"the map has {len(shard_of)} slots")
+    now = edited(shard_of, bytes_of, shards)
+    if now != shard_of:
+        version += 1
+        save_map(spark, map_path, version, now)
+
+    current = load_map(spark, map_path, version)
     counts = map_rows(spark, rows_of).withColumnRenamed("shard", "rows")
     in_shard = Window.partitionBy("shard").orderBy("virtual_slot")
     places = current.join(counts, "virtual_slot").select(
@@ -133,5 +172,5 @@ def shard_documents(docs: DataFrame, shards: int = 24, slots: int = SLOTS, map_p
         rows.withColumn("nth", F.row_number().over(in_slot).cast("long") - 1)
         .join(F.broadcast(places), "virtual_slot")
         .select(id_col, "size", "text_crc32", "virtual_slot", "shard",
-                (F.col("before") + F.col("nth")).alias("slot"), F.lit(2).alias("map_version"))
+                (F.col("before") + F.col("nth")).alias("slot"), F.lit(version).alias("map_version"))
     )

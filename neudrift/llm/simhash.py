@@ -199,7 +199,8 @@ def links(distinct: DataFrame, bits: int = 4, largest: int = 20_000) -> DataFram
 
 def near_duplicates(docs: DataFrame, shingle: int = 4, bits: int = 4, largest: int = 20_000,
                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """`id`, `key` (a hash of id and text), `fp` and `component_id` of every row.
+    """`id`, `key` (a hash of id and text), `fp`, `component_id` and `root`, a fingerprint that names the component,
+    of every row.
 
     A document's component is the smallest id that can be reached over links of at most `bits` differing
     bits, its own included. A null, empty or blank text has the fingerprint zero, which links like any
@@ -213,14 +214,21 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, bits: int = 4, largest: i
     rooted = distinct.join(roots, distinct.fp == roots.node, "left").select(
         "fp", "first_id", F.coalesce("root", "fp").alias("root"))
     smallest = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    answers = rooted.join(smallest, "root").select("fp", "component_id")
-    return rows.join(answers, "fp").select("id", "key", "fp", "component_id")
+    answers = rooted.join(smallest, "root").select("fp", "component_id", "root")
+    return rows.join(answers, "fp").select("id", "key", "fp", "component_id", "root")
 
 
 def keep_firsts(docs: DataFrame, shingle: int = 4, bits: int = 4, **options) -> DataFrame:
-    """The rows of `docs` with the smallest id of their component, columns unchanged.
-
-    Rows that share that id stay together; rows without an id stay where no row of the component has one.
+    """One row of `docs` for each component, columns unchanged: that with the smallest id, then with the smallest
+    hash of id and text; rows without an id come last. Of rows that repeat both one stays.
     """
-    found = near_duplicates(docs, shingle, bits, **options).where("NOT (id <=> component_id)")
-    return matching(keyed(docs), settle(found.select("key").distinct()), "left_anti").select("row.*")
+    found = settle(near_duplicates(docs, shingle, bits, **options).select("id", "key", "root"))
+    chosen = found.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("late"), "id", "key")).alias("first"))
+    firsts = chosen.select("first.key")
+    per_key = settle(found.groupBy("key").count().join(firsts.withColumn("stays", F.lit(True)), "key", "left"))
+    kept = matching(keyed(docs), per_key.where("stays IS NULL").select("key"), "left_anti")
+    repeated = per_key.where("stays AND count > 1").select("key")
+    if repeated.isEmpty():
+        return kept.select("row.*")
+    again = matching(kept, repeated, "left_semi").groupBy("key").agg(F.any_value("row").alias("row"))
+    return matching(kept, repeated, "left_anti").select("row.*").unionByName(again.select("row.*"))

@@ -5,9 +5,10 @@ buckets. The machine adds to the weights of a text's buckets the products of the
 that it can learn that two terms mean something together that neither means alone.
 
 It is fitted on a bounded sample of labelled rows: the `per_class` rows of either label with the smallest
-hash of their id, weighted back to the share that the label has. Buckets that say nothing about the label
-in the sample (by a chi-square test) are left out, which keeps the model at `most_buckets` rows however
-long texts are; every whole text is scored.
+hash of their id, weighted back to the share that the label has. A bucket takes part if it says something about the
+label in the sample, alone or together with another one, by chi-square tests: so terms that mean something only
+in pairs are there for the machine to learn. Pairs are counted among the PAIRED most frequent buckets. This keeps
+the model at `most_buckets` + PAIRED buckets however long texts are; every whole text is scored.
 """
 
 import pickle
@@ -24,6 +25,9 @@ BITS = 22
 PREFIXES = (4, 6)
 # Rows of each label that the model is fitted on at most.
 PER_CLASS = 8_000
+# The buckets, by rows that hold them, whose pairs are tested, and the chi-square that a pair needs: a twentieth of
+# a pair among all two million passes it by chance.
+PAIRED, PAIR_CHI = 2_048, 31.0
 
 
 def _terms(texts: pa.Array, chosen: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
@@ -61,9 +65,10 @@ class FactorizationMachine:
 
     def _forward(self, row, feature, rows):
         v = self.factor[feature]
-        sums = np.stack([np.bincount(row, v[:, f], rows) for f in range(v.shape[1])], 1)
-        squares = np.bincount(row, (v * v).sum(1), rows)
-        linear = np.bincount(row, self.weight[feature], rows)
+        # Without any feature a count has whole numbers.
+        sums = np.stack([np.bincount(row, v[:, f], rows) for f in range(v.shape[1])], 1).astype(float)
+        squares = np.bincount(row, (v * v).sum(1), rows).astype(float)
+        linear = np.bincount(row, self.weight[feature], rows).astype(float)
         return self.bias + linear + 0.5 * ((sums * sums).sum(1) - squares), sums, v
 
     def fit(self, bounds, feature, label, importance, epochs=12, batch=256, step=0.1, shrink=1e-3, seed=7):
@@ -84,9 +89,9 @@ class FactorizationMachine:
                 error = importance[rows] * (1 / (1 + np.exp(-logit)) - label[rows]) / importance[rows].mean()
                 some, index = np.unique(own, return_inverse=True)
                 g = error[row]
-                weight = np.bincount(index, g, len(some)) + shrink * self.weight[some]
+                weight = np.bincount(index, g, len(some)).astype(float) + shrink * self.weight[some]
                 pull = g[:, None] * (sums[row] - v)
-                factor = np.stack([np.bincount(index, pull[:, f], len(some)) for f in range(v.shape[1])], 1)
+                factor = np.stack([np.bincount(index, pull[:, f], len(some)) for f in range(v.shape[1])], 1).astype(float)
                 factor += shrink * self.factor[some]
                 past[0] += error.sum() ** 2
                 past[1][some] += weight ** 2
@@ -111,6 +116,36 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(self.machine.logits(row, feature, len(texts)), -50, 50)))
 
 
+def chi_square(with1: np.ndarray, with0: np.ndarray, n1: int, n0: int) -> np.ndarray:
+    """How far the shares of `n1` and `n0` rows that have something lie apart."""
+    share1, share0, pooled = with1 / n1, with0 / n0, (with1 + with0) / (n1 + n0)
+    spread = pooled * (1 - pooled) * (1 / n1 + 1 / n0)
+    return np.divide((share1 - share0) ** 2, spread, out=np.zeros(with1.shape), where=spread > 0)
+
+
+def telling_pairs(bounds: np.ndarray, bucket: np.ndarray, label: np.ndarray, n1: int, n0: int) -> np.ndarray:
+    """Buckets of pairs that say more about the label than either of their buckets does."""
+    times = np.bincount(bucket, minlength=1 << BITS)
+    common = np.argsort(-times, kind="stable")[:PAIRED]
+    common = np.sort(common[times[common] > 1])
+    place = np.full(1 << BITS, -1, np.int64)
+    place[common] = np.arange(len(common))
+    together = np.zeros((2, len(common), len(common)), np.float32)
+    for at in range(0, len(label), 1_000):  # a thousand rows of the sample at a time
+        last = min(at + 1_000, len(label))
+        own = place[bucket[bounds[at]:bounds[last]]]
+        row = np.repeat(np.arange(last - at), np.diff(bounds[at:last + 1]))
+        held = np.zeros((last - at, len(common)), np.float32)
+        held[row[own >= 0], own[own >= 0]] = 1
+        for y in (0, 1):
+            some = held[label[at:last] == y]
+            together[y] += some.T @ some
+    chi = chi_square(together[1].astype(float), together[0].astype(float), n1, n0)
+    alone = np.diag(chi).copy()
+    more = (chi > PAIR_CHI) & (chi > 2 * np.maximum(alone[:, None], alone[None, :]))
+    return common[more.any(0)]
+
+
 def fitted(bounds: np.ndarray, bucket: np.ndarray, label: np.ndarray, importance: np.ndarray,
            most_buckets: int, factors: int) -> Model:
     """A model from rows of buckets and their labels."""
@@ -119,12 +154,10 @@ def fitted(bounds: np.ndarray, bucket: np.ndarray, label: np.ndarray, importance
     n1, n0 = max(int((label == 1).sum()), 1), max(int((label == 0).sum()), 1)
     with1 = np.bincount(bucket[positive], minlength=1 << BITS).astype(float)
     with0 = np.bincount(bucket[~positive], minlength=1 << BITS).astype(float)
-    share1, share0, pooled = with1 / n1, with0 / n0, (with1 + with0) / (n1 + n0)
-    spread = pooled * (1 - pooled) * (1 / n1 + 1 / n0)
-    chi = np.divide((share1 - share0) ** 2, spread, out=np.zeros(1 << BITS), where=spread > 0)
+    chi = chi_square(with1, with0, n1, n0)
     # 10.83: a thousandth of the buckets that say nothing pass by chance.
     best = np.argsort(-chi, kind="stable")[:most_buckets]
-    buckets = np.sort(best[chi[best] > 10.83])
+    buckets = np.union1d(best[chi[best] > 10.83], telling_pairs(bounds, bucket, label, n1, n0))
     chosen = np.full(1 << BITS, -1, np.int64)
     chosen[buckets] = np.arange(len(buckets))
     feature = chosen[bucket]

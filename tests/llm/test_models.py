@@ -132,6 +132,45 @@ def test_machine_learns_a_product():
     assert logit[0] > 1 and logit[1] > 1 and logit[2] < -1 and logit[3] < -1
 
 
+def test_logits_are_the_sums_over_pairs():
+    rng = np.random.default_rng(2)
+    machine = toxicity.FactorizationMachine(12, 3)
+    machine.bias, machine.weight, machine.factor = 0.3, rng.standard_normal(12), rng.standard_normal((12, 3))
+    held = [sorted(rng.choice(12, rng.integers(0, 7), replace=False).tolist()) for _ in range(40)]
+    row, feature = np.array([(k, f) for k, own in enumerate(held) for f in own], int).reshape(-1, 2).T
+    for k, logit in enumerate(machine.logits(row, feature, len(held))):
+        want = machine.bias + sum(machine.weight[f] for f in held[k])
+        want += sum(machine.factor[f] @ machine.factor[g] for f in held[k] for g in held[k] if f < g)
+        assert abs(logit - want) < 1e-9
+
+
+def test_pairs_are_learnt_by_training(spark):
+    """Two terms, each as frequent in clean texts as in toxic ones, whose meeting decides the label."""
+    rng = random.Random(12)
+    texts, toxic = [], []
+    for _ in range(3000):
+        kind = rng.randrange(4)  # neither, one, the other, both
+        words = [f"word{rng.randrange(400)}" for _ in range(30)]
+        words += ["zorgs"] * (kind in (1, 3)) + ["vile"] * (kind in (2, 3))
+        # Toxic are texts with both or with neither: alone the terms say nothing.
+        texts.append(" ".join(rng.sample(words, len(words))))
+        toxic.append(kind in (0, 3))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    labels = spark.createDataFrame([(k, int(y)) for k, y in enumerate(toxic) if k % 3], "doc_id long, toxic int")
+    model = toxicity.train(docs, labels)
+    got = {r.id: r.score for r in toxicity.score(docs, model).collect()}
+    right = [(got[k] >= 0.5) == toxic[k] for k in range(0, 3000, 3)]
+    assert sum(right) / len(right) > 0.95
+
+
+def test_labels_that_no_term_tells(spark):
+    """No bucket passes: every text has the share of toxic labels as its score."""
+    docs = spark.createDataFrame([(k, f"text {k}") for k in range(200)], "doc_id long, text string")
+    labels = spark.createDataFrame([(k, int(k % 4 == 0)) for k in range(200)], "doc_id long, toxic int")
+    scores = [r.score for r in toxicity.score(docs, toxicity.train(docs, labels)).collect()]
+    assert max(scores) - min(scores) < 0.2 and abs(sum(scores) / 200 - 0.25) < 0.1
+
+
 def test_toxic_documents_are_found(spark, odd_docs, odd_rows, no_docs):
     rng = random.Random(8)
     insults = ["rotter", "scoundrel", "knavish"]

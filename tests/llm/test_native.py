@@ -3,6 +3,8 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import pytest
+
 from neudrift.llm import sharding
 from neudrift.llm.exact_dedup import exact_duplicates
 from neudrift.llm.line_dedup import dedup_lines, with_kept_lines
@@ -95,3 +97,48 @@ def test_map_edits():
     assert all(a == b or b == 24 for a, b in zip(second, third))
     assert 0.8 * sum(weights) / 25 <= load(third, 25)[24] <= sum(weights) / 25
     assert rebalanced([0, 0], [0, 0], 2) == [0, 0]
+
+
+def test_a_document_of_many_lines(spark):
+    """Lines are put together in time that grows with their number."""
+    import time
+
+    lines = [f"line number {k} of a very long document" for k in range(200_000)]
+    rows = [(1, "\n".join(lines[k] for k in range(0, 200_000, 50))), (2, "\n".join(lines))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    start = time.time()
+    found = {r.row.doc_id: r for r in dedup_lines(docs).collect()}
+    assert time.time() - start < 60
+    assert (found[1].n_dropped, found[2].n_dropped) == (0, 4_000)
+    assert found[2].kept == "\n".join(line for k, line in enumerate(lines) if k % 50)
+
+
+def test_a_map_lives_on(spark, odd_docs, tmp_path):
+    """Every call edits the newest version, and only if slots have to move; earlier versions stay."""
+    path = str(tmp_path / "map")
+
+    def run(docs, shards):
+        rows = shard_documents(docs, shards=shards, slots=64, map_path=path).collect()
+        return rows, {r.map_version for r in rows}.pop()
+
+    def version(v):
+        return {r.virtual_slot: r.shard for r in load_map(spark, path, v).collect()}
+
+    rows, at = run(odd_docs, 3)
+    assert at == 2
+    kept = {v: version(v) for v in (1, 2)}
+    again, at = run(odd_docs, 3)
+    assert at == 2 and sorted(again, key=str) == sorted(rows, key=str)
+    more, at = run(odd_docs, 4)
+    assert at == 3 and {r.shard for r in more} == {0, 1, 2, 3}
+    _, at = run(odd_docs.where("doc_id < 40"), 4)
+    assert at == 4
+    assert {v: version(v) for v in (1, 2)} == kept
+    # Grown first: the new shard takes slots, and only what levels the bytes moves besides.
+    sizes = {}
+    for r in more:
+        sizes[r.virtual_slot] = sizes.get(r.virtual_slot, 0) + r.size
+    weights = [sizes.get(s, 0) for s in range(64)]
+    assert version(3) == dict(enumerate(sharding.edited([kept[2][s] for s in range(64)], weights, 4)))
+    with pytest.raises(ValueError):
+        run(odd_docs, 2)

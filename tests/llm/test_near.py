@@ -51,6 +51,17 @@ def test_near_duplicates(odd_docs, odd_rows, no_docs):
     assert Counter(r.doc_id for r in kept.collect()) == Counter(i for i, _, c in want.elements() if i == c)
 
 
+def test_one_row_of_each_group_stays(spark):
+    """Copies without an id, repeated rows and ids of several texts."""
+    base, other = "some words that make a text of their own " * 5, "quite another text with its own words here " * 5
+    rows = [(None, base)] * 5 + [(7, other)] * 3 + [(7, other + "end"), (None, other), (8, None), (None, ""), (9, " ")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    kept = sorted(((r.doc_id, r.text) for r in keep_firsts(docs).collect()), key=str)
+    groups = {r.root for r in near_duplicates(docs).collect()}
+    assert len(kept) == len(groups) and (None, base) in kept and (8, None) in kept
+    assert sum(i == 7 for i, _ in kept) == len(kept) - 2
+
+
 @pytest.mark.parametrize("largest", [20_000, 40])
 def test_links_of_clusters(spark, largest):
     """Clusters, a chain, and an entry that is solved by explosion when `largest` is small."""
