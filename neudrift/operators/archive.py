@@ -2,7 +2,6 @@
 
 import os
 import uuid
-from datetime import date, timedelta
 from itertools import groupby
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
@@ -31,12 +30,6 @@ def period_days(start, end) -> Column:
     return F.when(after <= last, F.sequence(after, last)).otherwise(F.array().cast("array<date>"))
 
 
-def day_names(start, end) -> list[str]:
-    """The same days as yyyymmdd."""
-    first, last = (date.fromisoformat(str(x)[:10]) for x in (start, end))
-    return [f"{first + timedelta(days=i + 1):%Y%m%d}" for i in range((last - first).days)]
-
-
 def period_calendar(rows: DataFrame, start, end, baselines: DataFrame | None = None) -> DataFrame:
     """Every baseline with every day of the run, the day's row count and whether the day lies
     within the baseline's data.
@@ -147,23 +140,22 @@ def write_archive(spark: SparkSession, rows: DataFrame, root: str, start, end,
     read back, and those rows are set aside first because their files are about to be replaced.
     """
     rows = settle(rows)
-    days = day_names(start, end)
     calendar = period_calendar(rows, start, end, baselines)
-    states = settle(archive_states(calendar, archive_sizes(spark, root, days), freeze_bytes))
+    states = settle(archive_states(calendar, archive_sizes(spark, root), freeze_bytes))
     growing = states.where("state = 'grown'").select(*PARTITION)
-    existing = settle(scan_archive(spark, root, days).join(growing, list(PARTITION), "left_semi"))
+    existing = settle(scan_archive(spark, root, growing))
     update = archive_update(rows, existing, states)
     changed = states.where("state IN ('created', 'grown')").select(*PARTITION)
     write_daily(with_headers(daily_lines(update), changed), root)
-    return load_status(states, existing, archive_sizes(spark, root, days))
+    return load_status(states, existing, archive_sizes(spark, root))
 
 
-def export_daily(spark: SparkSession, root: str, folder: str, days=None) -> None:
-    """Copy the archive below `root` to files named <baseline>-distance-<yyyymmdd>.neu.
+def export_daily(spark: SparkSession, root: str, folder: str, partitions: DataFrame | None = None) -> None:
+    """Copy the archive below `root`, or some partitions of it, to files named <baseline>-distance-<yyyymmdd>.neu.
 
     `folder` must be mounted on every executor.
     """
-    named = archive_text(spark, root, days).select(
+    named = archive_text(spark, root, partitions).select(
         F.concat("baseline", F.lit("-distance-"), "date", F.lit(".neu")).alias("name"), "line")
     _export(named, folder)
 

@@ -11,7 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from neudrift.session import BROADCAST_ROWS, delete, join_small, read_or_empty, settle
+from neudrift.session import BROADCAST_ROWS, delete, join_small, pruned_by, read_or_empty, settle
 
 READINGS = "source_file string, length long, modified timestamp, date date"
 # The date of a file without rows.
@@ -24,9 +24,8 @@ def stored(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 
 def on_dates(table: DataFrame, dates: DataFrame) -> DataFrame:
-    """The rows of some dates. `dates` has few rows, one a day at most, so its values prune the partitions that are
-    read."""
-    return table.join(F.broadcast(dates), "date", "left_semi")
+    """The rows of some dates; only their partitions are read."""
+    return pruned_by(table, dates, "date")
 
 
 def replace_dates(table: DataFrame, dates: DataFrame, path: str) -> None:

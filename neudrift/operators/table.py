@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from neudrift.operators.daily import replace_dates, replace_files
+from neudrift.operators.daily import on_dates, replace_dates, replace_files
 from neudrift.schema import (
     ONE_MINUTE_COMMENT, ONE_MINUTE_KEY, ONE_MINUTE_SCHEMA, ONE_MINUTE_SOURCES,
 )
@@ -64,8 +64,7 @@ def append_new_keys(rows: DataFrame, path: str) -> None:
     """
     spark = rows.sparkSession
     rows = settle(rows.withColumn("date", F.to_date("time")))
-    dates = F.broadcast(rows.select("date").distinct())
-    known = read_one_minute(spark, path).join(dates, "date", "left_semi").select(*ONE_MINUTE_KEY)
+    known = on_dates(read_one_minute(spark, path), rows).select(*ONE_MINUTE_KEY)
     rows.join(known, list(ONE_MINUTE_KEY), "left_anti").hint("rebalance", "date").write.mode("append").partitionBy(
         "date").parquet(path)
 
@@ -81,6 +80,30 @@ def register_one_minute(spark: SparkSession, name: str, path: str) -> None:
     spark.catalog.recoverPartitions(name)
 
 
+def create_bucketed(spark: SparkSession, name: str, path: str, buckets: int) -> None:
+    """A one-minute table in the catalog whose files are dealt by the hash of the key, so that it is compared with
+    new rows where it lies; all three columns, since few baselines would make few buckets."""
+    columns = ", ".join(
+        f"{field.name} {field.dataType.simpleString()} COMMENT '{field.metadata['comment']}'"
+        for field in ONE_MINUTE_SCHEMA)
+    key = ", ".join(ONE_MINUTE_KEY)
+    spark.sql(f"""
+        CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet CLUSTERED BY ({key}) SORTED BY ({key})
+        INTO {buckets} BUCKETS LOCATION '{path}' COMMENT '{ONE_MINUTE_COMMENT}'""")
+
+
+def new_to_bucketed(rows: DataFrame, name: str) -> DataFrame:
+    """The rows, each key once, whose key a table of `create_bucketed` does not have. Only `rows` is shuffled."""
+    known = rows.sparkSession.table(name).select(*ONE_MINUTE_KEY)
+    return rows.join(known.hint("merge"), list(ONE_MINUTE_KEY), "left_anti")
+
+
+def append_bucketed(rows: DataFrame, name: str, buckets: int) -> None:
+    """Add rows with new keys to a table of `create_bucketed`; rows that are there stay."""
+    fresh = new_to_bucketed(rows, name).select(*[field.name for field in ONE_MINUTE_SCHEMA])
+    fresh.repartition(buckets, *ONE_MINUTE_KEY).write.insertInto(name)
+
+
 def table_columns(spark: SparkSession, name: str) -> DataFrame:
     """A registered table as the catalog describes it: position, column, type, comment and whether it is a
     partition column."""

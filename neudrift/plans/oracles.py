@@ -215,6 +215,10 @@ ORACLES = {
     "listed_files": _with() + f"""
         SELECT directory, name, row_number() OVER (PARTITION BY directory ORDER BY name DESC) <= {NEWEST_FILES} AS newest
         FROM (SELECT DISTINCT baseline AS directory, baseline || strftime(time, '%Y%m%d') || '0000b.pos' AS name FROM obs)""",
+    "archive_days": _with(*_NEW) + """
+        SELECT baseline, date, count(*) AS rows FROM new_rows
+        WHERE date IN (SELECT strftime(time, '%Y%m%d') FROM obs WHERE day(time) % 3 = 0) GROUP BY ALL""",
+    "bucketed_table": _one_minute(),
     "written_order": _with(*_NEW) + """
         SELECT baseline, date, count(*) + 1 AS lines, 0 AS out_of_order FROM new_rows GROUP BY ALL""",
     "baseline_tags": _with(_FILES) + """

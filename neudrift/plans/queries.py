@@ -15,7 +15,8 @@ from neudrift.operators.series import (
     slice_time,
 )
 from neudrift.operators.table import (
-    append_one_minute, as_one_minute, read_one_minute, register_one_minute, table_columns, unique_by_key,
+    append_bucketed, append_one_minute, as_one_minute, create_bucketed, read_one_minute, register_one_minute,
+    table_columns, unique_by_key,
 )
 from neudrift.plans import dashboard as dash
 from neudrift.plans.observations import store_lines
@@ -359,6 +360,29 @@ def median_file_roundtrip(spark, sf_dir):
     return spark.read.schema("line string, baseline string").text(target).select("baseline", "line")
 
 
+def archive_days(spark, sf_dir):
+    """Archive files of the days of a calendar: every third day of a month on which there are observations."""
+    target = scratch_path(spark, "calendar")
+    rows = settle(new_archive_rows(spark, sf_dir))
+    arch.write_daily(arch.with_headers(arch.daily_lines(rows), rows.select(*arch.PARTITION).distinct()), target)
+    third = F.dayofmonth(F.to_date("time")) % 3 == 0
+    calendar = ev.observations(spark, sf_dir).where(third).select(day_text(F.col("time")).alias("date"))
+    return scan_archive(spark, target, calendar).groupBy(*arch.PARTITION).agg(F.count(F.lit(1)).alias("rows"))
+
+
+def bucketed_table(spark, sf_dir, buckets=16):
+    """The one-minute table in buckets, loaded in two steps that overlap."""
+    path, name = scratch_path(spark, "bucketed"), f"one_min_{uuid.uuid4().hex}"
+    minutes = settle(as_one_minute(unique_by_key(resample_dense(for_table(ev.daily_source(ev.observations(spark, sf_dir)))))))
+    create_bucketed(spark, name, path, buckets)
+    try:
+        append_bucketed(minutes.where("base = 'BS00'"), name, buckets)
+        append_bucketed(minutes, name, buckets)
+        return comparable_table(settle(spark.table(name)))
+    finally:
+        spark.sql(f"DROP TABLE {name}")
+
+
 def written_order(spark, sf_dir):
     """Lines of each archive file and how many of them are older than the line before, by their place in the file."""
     target = scratch_path(spark, "ordered")
@@ -472,6 +496,8 @@ QUERIES = {
     "load_report": load_report,
     "scan_daily_files": scan_daily_files,
     "listed_files": listed_files,
+    "archive_days": archive_days,
+    "bucketed_table": bucketed_table,
     "written_order": written_order,
     "table_metadata": table_metadata,
     "late_rows": late_rows,

@@ -91,6 +91,18 @@ def delete(spark: SparkSession, path: str) -> None:
     files.delete(where, True)
 
 
+def pruned_by(table: DataFrame, keys: DataFrame, on: list[str] | str) -> DataFrame:
+    """The rows of a partitioned table whose partition columns `on` occur in `keys`, which has few rows. Only
+    their partitions are read: the values are known when the scan starts (dynamic partition pruning), however
+    many there are.
+
+    Spark prunes by a side of a join only if that side is filtered, hence the condition that every row meets.
+    """
+    on = [on] if isinstance(on, str) else on
+    some = settle(keys.select(*on).distinct()).where(F.coalesce(F.hash(*on), F.lit(0)) >= -(1 << 31))
+    return table.join(F.broadcast(some), on, "left_semi")
+
+
 def move(spark: SparkSession, path: str, target: str) -> None:
     """Give a file another name, in a folder that is made if there is none."""
     files, where = _file_system(spark, path)

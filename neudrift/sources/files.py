@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from neudrift.functions.buckets import day_text
 from neudrift.schema import ARCHIVE_COLUMNS, BASELINE_LAYOUT, NEWEST_FILES
-from neudrift.session import read_or_empty
+from neudrift.session import pruned_by, read_or_empty
 
 # Directory names that count as baselines: the strict form is searched anywhere in the name.
 STRICT_BASELINE = r"([A-Z0-9]{4})-([A-Z0-9]{4})"
@@ -217,30 +217,33 @@ ARCHIVE_SCHEMA = ", ".join(
     ["date_time string", *[f"{c} double" for c in ARCHIVE_COLUMNS], "baseline string", "date string"])
 
 
-def _of_days(rows: DataFrame, days) -> DataFrame:
-    """Rows of some days (yyyymmdd), of all when `days` is None; a condition on the partition column."""
-    return rows if days is None else rows.where(F.col("date").isin(list(days)))
+def _of_partitions(rows: DataFrame, partitions: DataFrame | None) -> DataFrame:
+    """Rows of some archive partitions, given by any of baseline and date (yyyymmdd); of all without."""
+    if partitions is None:
+        return rows
+    return pruned_by(rows, partitions, [c for c in ("baseline", "date") if c in partitions.columns])
 
 
-def scan_archive(spark: SparkSession, root: str, days=None) -> DataFrame:
-    """Rows of the text archive: baseline, date (yyyymmdd), time and the six archive columns."""
+def scan_archive(spark: SparkSession, root: str, partitions: DataFrame | None = None) -> DataFrame:
+    """Rows of the text archive: baseline, date (yyyymmdd), time and the six archive columns. With a calendar,
+    `partitions`, only its files are read."""
     def read(path):
         return spark.read.schema(ARCHIVE_SCHEMA).option("sep", "\t").option("comment", "#").csv(path)
 
     rows = read_or_empty(spark, read, root, ARCHIVE_SCHEMA)
-    return _of_days(rows, days).select(
+    return _of_partitions(rows, partitions).select(
         "baseline", "date", F.col("date_time").try_cast("timestamp_ntz").alias("time"),
         *ARCHIVE_COLUMNS)
 
 
-def archive_text(spark: SparkSession, root: str, days=None) -> DataFrame:
+def archive_text(spark: SparkSession, root: str, partitions: DataFrame | None = None) -> DataFrame:
     """Lines of the text archive as they are, headers included: baseline, date, line."""
     schema = "line string, baseline string, date string"
-    return _of_days(
-        read_or_empty(spark, lambda path: spark.read.schema(schema).text(path), root, schema), days)
+    return _of_partitions(
+        read_or_empty(spark, lambda path: spark.read.schema(schema).text(path), root, schema), partitions)
 
 
-def archive_sizes(spark: SparkSession, root: str, days=None) -> DataFrame:
+def archive_sizes(spark: SparkSession, root: str) -> DataFrame:
     """Bytes per archive partition, from the listing alone."""
     listing = read_or_empty(
         spark, lambda path: list_below(spark, path, "*.txt"), root, _LISTING)
@@ -248,6 +251,5 @@ def archive_sizes(spark: SparkSession, root: str, days=None) -> DataFrame:
         F.regexp_extract("path", r"/baseline=([^/]+)/", 1).alias("baseline"),
         F.regexp_extract("path", r"/date=([^/]+)/", 1).alias("date"), "length")
     return (
-        _of_days(sizes, days)
-        .groupBy("baseline", "date").agg(F.sum("length").alias("bytes"))
+        sizes.groupBy("baseline", "date").agg(F.sum("length").alias("bytes"))
     )

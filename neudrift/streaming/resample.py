@@ -5,7 +5,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from neudrift.functions.buckets import bucket_start, divides_day, plus_seconds, width_seconds
 from neudrift.operators.clean import clean
-from neudrift.operators.daily import changed_files, replace_dates, replace_files, stored, upsert
+from neudrift.operators.daily import changed_files, on_dates, replace_dates, replace_files, stored, upsert
 from neudrift.operators.medians import HOT_VALUES, drop_empty, medians_of_counts, value_counts
 from neudrift.operators.resample import PAIR, resample_medians
 from neudrift.schema import DEFAULT_WIDTH, VALUE_COLUMNS
@@ -83,8 +83,7 @@ def stream_medians(cleaned: DataFrame, target: str, checkpoint: str, width=DEFAU
             upsert(changed, [*BUCKET, "name", "value", "minus_zero"], f"{target}/counts")
             schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in changed.schema)
             buckets = settle(changed.select("date", *BUCKET).distinct())
-            dates = F.broadcast(buckets.select("date").distinct())
-            counts = stored(spark, f"{target}/counts", schema).join(dates, "date", "left_semi").join(
+            counts = on_dates(stored(spark, f"{target}/counts", schema), buckets).join(
                 buckets, ["date", *BUCKET], "left_semi")
             medians = drop_empty(medians_of_counts(counts, list(BUCKET), columns), columns)
             upsert(medians.withColumn("date", F.to_date("time")), list(BUCKET), f"{target}/medians")

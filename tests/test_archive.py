@@ -5,7 +5,7 @@ import pandas as pd
 import pytest
 
 from neudrift.operators.archive import (
-    archive_rows, daily_lines, day_names, export_daily, export_median_files, median_lines, merge_keep_first, period_calendar,
+    archive_rows, daily_lines, export_daily, export_median_files, median_lines, merge_keep_first, period_calendar,
     period_days, write_archive, write_median_files,
 )
 from neudrift.plans.archive import run_archive, run_median_files, unusable_lines
@@ -52,10 +52,9 @@ def states(status):
 
 def test_days_of_a_run(spark):
     start, end = datetime(2024, 2, 27, 12), datetime(2024, 3, 1, 6)
-    assert day_names(start, end) == ["20240228", "20240229", "20240301"]
     days = spark.range(1).select(period_days(start, end)).first()[0]
-    assert [f"{d:%Y%m%d}" for d in days] == day_names(start, end)
-    assert day_names(end, end) == [] and spark.range(1).select(period_days(end, end)).first()[0] == []
+    assert [f"{d:%Y%m%d}" for d in days] == ["20240228", "20240229", "20240301"]
+    assert spark.range(1).select(period_days(end, end)).first()[0] == []
 
 
 def test_header_size():
@@ -133,7 +132,7 @@ def test_export_by_name(spark, tmp_path):
         export_daily(spark, target, str(folder))
     found = {path.name: path.read_text() for path in folder.iterdir()}
     assert found == {f"{b}-distance-{d}.neu": text for (b, d), text in contents(target).items()}
-    export_daily(spark, target, str(tmp_path / "one"), ["20240302"])
+    export_daily(spark, target, str(tmp_path / "one"), spark.createDataFrame([("20240302",)], "date string"))
     assert [path.name for path in (tmp_path / "one").iterdir()] == ["SENG-ELDC-distance-20240302.neu"]
 
 
@@ -195,10 +194,11 @@ def test_any_number_of_days(spark, tmp_path, n):
     target, folder = str(tmp_path / "neu"), tmp_path / "named"
     write_archive(spark, rows_of(spark, minutes(D1, 3) + minutes(D2, 2)), target, date(2024, 2, 29), D2)
     others = [f"{date(2010, 1, 1) + timedelta(days=k):%Y%m%d}" for k in range(n)]
-    for days, found in ((others, set()), (others[1:] + ["20240302"], {"20240302"})):
+    for names, found in ((others, set()), (others[1:] + ["20240302"], {"20240302"})):
+        days = spark.createDataFrame([(d,) for d in names], "date string")
         assert {r.date for r in scan_archive(spark, target, days).collect()} == found
         assert {r.date for r in archive_text(spark, target, days).collect()} == found
-        assert {r.date for r in archive_sizes(spark, target, days).collect()} == found
+        assert "dynamicpruning" in scan_archive(spark, target, days)._jdf.queryExecution().executedPlan().toString()
         export_daily(spark, target, str(folder), days)
         assert {p.name for p in folder.iterdir()} == {f"SENG-ELDC-distance-{d}.neu" for d in found}
 

@@ -137,3 +137,24 @@ def test_range_reaches_the_scan(spark, tmp_path):
     pushed = plan[plan.index("PushedFilters"):].split("\n")[0]
     assert "GreaterThanOrEqual(time,2024-03-01" in pushed and "LessThan(time,2024-03-02T00:01" in pushed
     assert "IsNotNull(ratio)" in pushed
+
+
+def test_many_ranges_of_one_baseline(spark):
+    """Ranges are joined by bins: none is compared with all buckets, and no bin holds a large part of the rows."""
+    from datetime import datetime, timedelta
+
+    from neudrift.plans.dashboard import slice_figures
+
+    start = datetime(2024, 1, 1)
+    points = [("B", "R", start + timedelta(minutes=7 * k), float(k), 0.0, 0.0) for k in range(5_000)]
+    rows = spark.createDataFrame(points, "base string, rover string, time timestamp_ntz, e double, n double, u double")
+    spans = [(k, "B", "R", start + timedelta(minutes=3 * k), start + timedelta(minutes=3 * k + (k % 50) * 5))
+             for k in range(10_000)] + [(-1, "B", "R", start, start + timedelta(days=30)), (-2, "B", "R", start + timedelta(days=2), start)]
+    figures = spark.createDataFrame(spans, "figure long, base string, rover string, start timestamp_ntz, end timestamp_ntz")
+    found = slice_figures(rows, figures)
+    assert "_bin" in found._jdf.queryExecution().executedPlan().toString()
+    got = sorted((r.figure, r.time) for r in found.select("figure", "time").collect())
+    want = sorted((k, t) for k, _, _, a, b in spans
+                  for i in range(max(0, int((a - start).total_seconds() // 420) - 1), min(5_000, int((b - start).total_seconds() // 420) + 2))
+                  if a <= (t := start + timedelta(minutes=7 * i)) <= b)
+    assert got == want

@@ -4,8 +4,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from neudrift.operators.clean import drop_incomplete, nan_to_null
+from neudrift.operators.daily import on_dates
 from neudrift.operators.table import (
-    append_one_minute, as_one_minute, read_one_minute, register_one_minute, unique_by_key,
+    append_bucketed, append_one_minute, as_one_minute, create_bucketed, new_to_bucketed, read_one_minute,
+    register_one_minute, table_columns, unique_by_key,
 )
 from neudrift.plans.table_load import load_one_minute
 from neudrift.schema import ONE_MINUTE_COMMENT, ONE_MINUTE_METRICS, ONE_MINUTE_SCHEMA
@@ -88,6 +90,41 @@ def test_what_a_load_leaves_out(spark, tmp_path):
     assert read_one_minute(spark, str(tmp_path / "all")).count() == 6
 
 
+def test_bucketed_table_is_not_shuffled(spark, tmp_path):
+    """New rows go to the buckets of the table; its own rows are read where they lie."""
+    create_bucketed(spark, "bucketed", str(tmp_path / "bucketed"), 4)
+    try:
+        append_bucketed(as_one_minute(dense(spark, ("a", 0, 1.0), ("a", 1, 1.0))), "bucketed", 4)
+        rows = as_one_minute(dense(spark, ("b", 1, 2.0), ("b", 2, 2.0)))
+        plan = new_to_bucketed(rows, "bucketed")._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange") == 1 and "Bucketed: true" in plan
+        for _ in range(2):
+            append_bucketed(rows, "bucketed", 4)
+        assert sorted((r.time.minute, r.n) for r in spark.table("bucketed").collect()) == [(0, 1.0), (1, 1.0), (2, 2.0)]
+    finally:
+        spark.sql("DROP TABLE bucketed")
+
+
+def test_dates_prune_the_table(spark, tmp_path):
+    path = str(tmp_path / "one_min")
+    append_one_minute(spark, dense(spark, ("a", 0, 1.0)), path)
+    days = spark.createDataFrame([("2024-03-01",), ("2024-03-01",), ("2025-01-01",)], "date string").select(F.col("date").cast("date"))
+    found = on_dates(read_one_minute(spark, path), days)
+    assert found.count() == 1 and "dynamicpruning" in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_description(spark, tmp_path):
+    path = str(tmp_path / "one_min")
+    append_one_minute(spark, dense(spark, ("a", 0, 1.0)), path)
+    register_one_minute(spark, "described", path)
+    try:
+        rows = {r.column: r for r in table_columns(spark, "described").collect()}
+        assert [r.position for r in rows.values()] == list(range(len(ONE_MINUTE_SCHEMA) + 1))
+        assert rows["q"].type == "smallint" and rows["date"].partition and not rows["n"].partition
+    finally:
+        spark.sql("DROP TABLE described")
+
+
 def test_catalog_table(spark, tmp_path):
     path = str(tmp_path / "one_min")
     append_one_minute(spark, dense(spark, ("a", 0, 1.0)), path)
