@@ -9,6 +9,11 @@ follow each other on one diagonal are joined to the longest verbatim matches wit
 Only suffixes that start like some test suffix (first two words) are put into the arrays; the others
 cannot be in any range. Training text is read once and never shuffled. Test items are the stated query set:
 they go to the tasks in blocks of at most `block_bytes`, one pass over the arrays for each.
+
+A passage that an item repeats more than REPEATS times, such as one word over and over, would meet every place of
+a text that repeats it once for each of its own places. Of such equal suffixes of an item the first is
+looked up, and its places are joined along the text alone: the words hit and the items are the same, a match then
+says where in the item its first words occur.
 """
 
 from collections.abc import Iterator
@@ -23,6 +28,8 @@ from neudrift.llm.words import ALPHANUMERIC, blocks, hashes, mixed, spans, text_
 MATCH = "struct<item:long, doc_start:long, item_start:long, length:long>"
 _MATCH = pa.struct([(n, pa.int64()) for n in ("item", "doc_start", "item_start", "length")])
 _FILTER_BITS = 22
+# Equal suffixes of an item that are looked up one by one, and places that are joined at a time, if no item has more.
+REPEATS, TOGETHER = 16, 2_000_000
 
 
 class Suffixes:
@@ -40,12 +47,31 @@ class Suffixes:
         self.words = np.concatenate((words, np.zeros(min_words, np.uint64)))
         self.at = np.flatnonzero(keep)
         self.item, self.place, self.need = ids[item[keep]], place[keep], need[keep]
+        self._repeats(item[keep])
         self.prefix = 1 if len(self.need) and self.need.min() == 1 else 2
         self.starts_like = np.zeros(1 << _FILTER_BITS, bool)
         if len(self.at):
             self.starts_like[_prefix_keys(self.words, self.prefix)[self.at]] = True
 
 
+    def _repeats(self, row: np.ndarray) -> None:
+        """Leave the first of equal suffixes of an item if there are more than REPEATS, marked as `crowded`."""
+        self.crowded = np.zeros(len(self.at), bool)
+        if not len(self.at):
+            return
+        key = mixed(row.astype(np.uint64) * np.uint64(64) + self.need.astype(np.uint64))
+        for d in range(int(self.need.max())):
+            key = np.where(self.need > d, mixed(key ^ self.words[self.at + d]) + np.uint64(d), key)
+        _, first, which, times = np.unique(key, return_index=True, return_inverse=True, return_counts=True)
+        self.crowded = times[which] > REPEATS
+        kept = ~self.crowded
+        kept[first] = True
+        order = np.flatnonzero(kept)
+        order = order[np.argsort(self.item[order], kind="stable")]
+        for name in ("at", "item", "place", "need", "crowded"):
+            setattr(self, name, getattr(self, name)[order])
+
+
 def _prefix_keys(words: np.ndarray, prefix: int) -> np.ndarray:
     keys = words >> np.uint64(64 - _FILTER_BITS)
     if prefix == 2:
@@ -99,23 +125,39 @@ def matches_in(texts: pa.Array, tests: Suffixes, min_words: int):
     if not len(alive):
         return counts, none
 
+    # Tests are in order of item; what is joined at a time are the places of whole items.
+    ends = np.flatnonzero(np.append(np.diff(tests.item[alive]) != 0, True)) + 1
+    total = np.concatenate(([0], np.cumsum(high - low)))
+    found, at = [], 0
+    while at < len(alive):
+        to = ends[max(int(np.searchsorted(total[ends], total[at] + TOGETHER, "right")) - 1, np.searchsorted(ends, at, "right"))]
+        found.append(_joined(tests, alive[at:to], low[at:to], high[at:to], suffixes, text_of, bounds))
+        at = to
+    found = np.concatenate(found, axis=1)
+    return counts, found[:, np.argsort(found[0], kind="stable")]
+
+
+def _joined(tests: Suffixes, alive, low, high, suffixes, text_of, bounds) -> np.ndarray:
+    """The places of some tests joined along their diagonals, those of crowded tests along the text."""
     sizes = high - low
     test = np.repeat(alive, sizes)
     nth = np.arange(len(test)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
     place = suffixes[np.repeat(low, sizes) + nth]
     text = text_of[place]
     doc_start = place - bounds[:-1][text]
-    item, item_start, need = tests.item[test], tests.place[test], tests.need[test]
+    item, item_start, need, crowded = tests.item[test], tests.place[test], tests.need[test], tests.crowded[test]
+    diagonal = np.where(crowded, 0, doc_start - item_start)
 
-    order = np.lexsort((doc_start, doc_start - item_start, item, text))
-    text, item, doc_start, item_start, need = (x[order] for x in (text, item, doc_start, item_start, need))
+    order = np.lexsort((doc_start, diagonal, crowded, item, text))
+    text, item, doc_start, item_start, need, crowded, diagonal = (
+        x[order] for x in (text, item, doc_start, item_start, need, crowded, diagonal))
     fresh = np.ones(len(text), bool)
     fresh[1:] = ((np.diff(text) != 0) | (np.diff(item) != 0) | (np.diff(doc_start) != 1)
-                 | (np.diff(doc_start - item_start) != 0))
+                 | (np.diff(diagonal) != 0) | (crowded[1:] != crowded[:-1]))
     first = np.flatnonzero(fresh)
     last = np.concatenate((first[1:], [len(text)])) - 1
     length = doc_start[last] + need[last] - doc_start[first]
-    return counts, np.stack((text[first], item[first], doc_start[first], item_start[first], length))
+    return np.stack((text[first], item[first], doc_start[first], item_start[first], length))
 
 
 def _pass(shared, min_words: int):

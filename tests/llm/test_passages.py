@@ -2,6 +2,8 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -56,6 +58,47 @@ def test_matches(odd_docs, odd_rows, no_docs, spark, items, block_bytes):
     assert nothing.where(F.size("matches") > 0).count() == 0 and nothing.count() == len(odd_rows)
 
 
+def test_one_word_over_and_over(spark):
+    """A long text and a long item that repeat a word: work grows with their lengths, not with the product."""
+    import time
+
+    docs = spark.createDataFrame([(1, "word " * 200_000 + "end of it"), (2, "other words here")], "doc_id long, text string")
+    bench = spark.createDataFrame([(k, "word " * (10_000 + k)) for k in range(3)] + [(9, "end of it")], "item_id long, text string")
+    start = time.time()
+    found = {r.doc_id: (r.hit, sorted(set(r.items))) for r in find_matches(docs, bench).select(
+        "row.doc_id", hit_words(F.col("matches")).alias("hit"), F.col("matches.item").alias("items")).collect()}
+    assert time.time() - start < 60
+    assert found == {1: (200_003, [0, 1, 2, 9]), 2: (0, [])}
+
+
+@pytest.mark.parametrize("repeats, together", [(16, 2_000_000), (0, 1), (3, 7)])
+def test_hits_do_not_depend_on_repeats(spark, monkeypatch, repeats, together):
+    """Words hit and items against a plain search, with passages that repeat inside items and texts."""
+    from neudrift.llm import decontaminate as module
+
+    monkeypatch.setattr(module, "REPEATS", repeats)
+    monkeypatch.setattr(module, "TOGETHER", together)
+    rng = random.Random(repeats)
+    texts = [[rng.choice("ab" if k % 2 else "abcd") for _ in range(rng.randint(0, 80))] for k in range(30)]
+    items = [[rng.choice("ab") for _ in range(rng.randint(1, 60))] for _ in range(12)] + [["a"] * 50, ["b"] * 3]
+    want = {}
+    for k, words in enumerate(texts):
+        hit, names = set(), set()
+        for j, item in enumerate(items):
+            n = min(10, len(item))
+            wanted = {tuple(item[i:i + n]) for i in range(len(item) - n + 1)}
+            for i in range(len(words) - n + 1):
+                if tuple(words[i:i + n]) in wanted:
+                    hit |= set(range(i, i + n))
+                    names.add(j)
+        want[k] = (len(hit), sorted(names))
+    shared = module.Suffixes(np.arange(len(items)), pa.array([" ".join(i) for i in items]), 10)
+    counts, (text, item, start, _, length) = module.matches_in(pa.array([" ".join(t) for t in texts]), shared, 10)
+    got = {k: (len({w for t, s, n in zip(text, start, length) if t == k for w in range(s, s + n)}),
+               sorted({int(i) for t, i in zip(text, item) if t == k})) for k in range(len(texts))}
+    assert got == want and counts.tolist() == [len(t) for t in texts]
+
+
 def test_longest_matches(spark):
     rng = random.Random(2)
     words = [f"w{rng.randint(0, 10**6)}" for _ in range(100)]
