@@ -24,7 +24,7 @@ from neudrift.schema import (
     ARCHIVE_COLUMNS, COMPONENTS, DASHBOARD_PRESETS, FREEZE_BYTES, ONE_MINUTE_METRICS, PRESET_HOURS,
     VALUE_COLUMNS,
 )
-from neudrift.session import move, scratch_path, settle
+from neudrift.session import delete, last_use, move, scratch_path, settle
 from neudrift.sources import events as ev
 from neudrift.sources.files import (
     archive_sizes, archive_text, discover_baselines, list_below, list_files, newest_files, scan_archive, scan_daily,
@@ -76,7 +76,8 @@ def quarantine_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def load_report(spark, sf_dir):
     """What a job read, set aside and wrote, counted while it wrote."""
-    return store_lines(spoiled_lines(spark, sf_dir), scratch_path(spark, "observations"))
+    target = scratch_path(spark, "observations")
+    return last_use(store_lines(spoiled_lines(spark, sf_dir), target), target)
 
 
 def clean_observations(spark, sf_dir):
@@ -116,7 +117,8 @@ def file_listing(spark, sf_dir) -> DataFrame:
 
 
 def daily_files(spark, sf_dir) -> str:
-    """The observations written as daily files; the folder. Spark names the parts, so each file is moved."""
+    """The observations written as daily files below <folder>/root; the folder. Spark names the parts, so each file
+    is moved."""
     folder = scratch_path(spark, "daily")
     named = ev.daily_source(ev.observations(spark, sf_dir))
     lines = ev.render_lines(named, ["source_file", "time", "event_id"])
@@ -128,23 +130,25 @@ def daily_files(spark, sf_dir) -> str:
     for row in found:
         directory, name = (part.split("=", 1)[1] for part in row.path.split("/")[-3:-1])
         move(spark, row.path, f"{folder}/root/{directory}/{name}")
-    return f"{folder}/root"
+    return folder
 
 
 def scan_daily_files(spark, sf_dir):
     """All daily files read back at once: rows of each, their time span and sums, parsed from the text."""
-    rows = usable(parse_lines(scan_daily(spark, daily_files(spark, sf_dir))))
-    return rows.groupBy("baseline", "rover", "base", F.element_at(F.split("source_file", "/"), -1).alias("name")).agg(
+    folder = daily_files(spark, sf_dir)
+    rows = usable(parse_lines(scan_daily(spark, f"{folder}/root")))
+    return last_use(rows.groupBy("baseline", "rover", "base", F.element_at(F.split("source_file", "/"), -1).alias("name")).agg(
         F.count(F.lit(1)).alias("rows"), F.min("time").alias("first"), F.max("time").alias("last"),
-        F.round(F.sum("e"), 3).alias("e"), F.count("u").alias("with_u"))
+        F.round(F.sum("e"), 3).alias("e"), F.count("u").alias("with_u")), folder)
 
 
 def listed_files(spark, sf_dir):
     """The daily files as the listing has them: names and which of them the newest four of each baseline are."""
-    listing = list_files(spark, daily_files(spark, sf_dir))
+    folder = daily_files(spark, sf_dir)
+    listing = list_files(spark, f"{folder}/root")
     newest = newest_files(listing).select("directory", "name", F.lit(True).alias("newest"))
-    return listing.join(newest, ["directory", "name"], "left").select(
-        "directory", "name", F.coalesce("newest", F.lit(False)).alias("newest"))
+    return last_use(listing.join(newest, ["directory", "name"], "left").select(
+        "directory", "name", F.coalesce("newest", F.lit(False)).alias("newest")), folder)
 
 
 def baseline_tags(spark, sf_dir):
@@ -347,7 +351,7 @@ def archive_roundtrip(spark, sf_dir):
     rows = scan_archive(spark, target).groupBy(*arch.PARTITION).agg(
         F.count(F.lit(1)).alias("rows"), F.min("time").alias("first"), F.max("time").alias("last"),
         *[F.round(F.sum(c), 3).alias(c) for c in ARCHIVE_COLUMNS])
-    return archive_sizes(spark, target).join(rows, list(arch.PARTITION), "left")
+    return last_use(archive_sizes(spark, target).join(rows, list(arch.PARTITION), "left"), target)
 
 
 def median_file_roundtrip(spark, sf_dir):
@@ -357,7 +361,7 @@ def median_file_roundtrip(spark, sf_dir):
     first = F.col("baseline") < "RV03"
     for some in (first, ~first):
         arch.write_median_files(rows.where(some), target)
-    return spark.read.schema("line string, baseline string").text(target).select("baseline", "line")
+    return last_use(spark.read.schema("line string, baseline string").text(target).select("baseline", "line"), target)
 
 
 def archive_days(spark, sf_dir):
@@ -367,7 +371,8 @@ def archive_days(spark, sf_dir):
     arch.write_daily(arch.with_headers(arch.daily_lines(rows), rows.select(*arch.PARTITION).distinct()), target)
     third = F.dayofmonth(F.to_date("time")) % 3 == 0
     calendar = ev.observations(spark, sf_dir).where(third).select(day_text(F.col("time")).alias("date"))
-    return scan_archive(spark, target, calendar).groupBy(*arch.PARTITION).agg(F.count(F.lit(1)).alias("rows"))
+    found = scan_archive(spark, target, calendar).groupBy(*arch.PARTITION).agg(F.count(F.lit(1)).alias("rows"))
+    return last_use(found, target)
 
 
 def bucketed_table(spark, sf_dir, buckets=16):
@@ -378,7 +383,7 @@ def bucketed_table(spark, sf_dir, buckets=16):
     try:
         append_bucketed(minutes.where("base = 'BS00'"), name, buckets)
         append_bucketed(minutes, name, buckets)
-        return comparable_table(settle(spark.table(name)))
+        return last_use(comparable_table(spark.table(name)), path)
     finally:
         spark.sql(f"DROP TABLE {name}")
 
@@ -392,8 +397,8 @@ def written_order(spark, sf_dir):
     before = Window.partitionBy(*arch.PARTITION).orderBy("place")
     # The header sorts before any time.
     disorder = F.count_if(F.col("line") < F.col("previous"))
-    return lines.withColumn("previous", F.lag("line").over(before)).groupBy(*arch.PARTITION).agg(
-        F.count(F.lit(1)).alias("lines"), disorder.alias("out_of_order"))
+    return last_use(lines.withColumn("previous", F.lag("line").over(before)).groupBy(*arch.PARTITION).agg(
+        F.count(F.lit(1)).alias("lines"), disorder.alias("out_of_order")), target)
 
 
 def table_metadata(spark, sf_dir):
@@ -408,7 +413,7 @@ def table_metadata(spark, sf_dir):
         filled = settle(filled.unpivot([], filled.columns, "column", "filled"))
     finally:
         spark.sql(f"DROP TABLE {name}")
-    return columns.join(F.broadcast(filled), "column")
+    return last_use(columns.join(F.broadcast(filled), "column"), path)
 
 
 # Streaming
@@ -424,7 +429,7 @@ def stream_resample(spark, sf_dir):
     query = stream_medians(clean(event_stream(spark, sf_dir)), target, f"{target}/checkpoint", "1h",
                            trigger=NOW)
     query.awaitTermination()
-    return rounded(read_medians(spark, target), VALUE_COLUMNS)
+    return last_use(rounded(read_medians(spark, target), VALUE_COLUMNS), target)
 
 
 def files_in_turn(spark, sf_dir, start) -> None:
@@ -434,13 +439,14 @@ def files_in_turn(spark, sf_dir, start) -> None:
     for number, some in enumerate((F.col("q") == 1, F.col("q") == 2, F.col("q") > 2)):
         observed.where(some).coalesce(1).write.parquet(f"{folder}/{number}")
         start(spark.readStream.schema(observed.schema).parquet(f"{folder}/*")).awaitTermination()
+    delete(spark, folder)
 
 
 def late_rows(spark, sf_dir):
     """Rows whose hour ended more than two days before the latest row of an earlier file."""
     target = scratch_path(spark, "late")
     files_in_turn(spark, sf_dir, lambda rows: stream_late_rows(rows, target, f"{target}/checkpoint", "1h", trigger=NOW))
-    return spark.read.parquet(f"{target}/late").select("event_id", *PAIR, "time", "batch")
+    return last_use(spark.read.parquet(f"{target}/late").select("event_id", *PAIR, "time", "batch"), target)
 
 
 def stream_within_delay(spark, sf_dir):
@@ -448,7 +454,7 @@ def stream_within_delay(spark, sf_dir):
     target = scratch_path(spark, "stream-delay")
     files_in_turn(spark, sf_dir, lambda rows: stream_medians(
         rows, target, f"{target}/checkpoint", "1h", COMPONENTS, trigger=NOW))
-    return rounded(read_medians(spark, target), COMPONENTS)
+    return last_use(rounded(read_medians(spark, target), COMPONENTS), target)
 
 
 def stream_load_table(spark, sf_dir):
@@ -456,7 +462,7 @@ def stream_load_table(spark, sf_dir):
     prepared = for_table(ev.daily_source(event_stream(spark, sf_dir)))
     for query in stream_one_minute(prepared, f"{target}/table", f"{target}/checkpoint", trigger=NOW):
         query.awaitTermination()
-    return comparable_table(read_one_minute(spark, f"{target}/table").drop("date"))
+    return last_use(comparable_table(read_one_minute(spark, f"{target}/table").drop("date")), target)
 
 
 QUERIES = {

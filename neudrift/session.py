@@ -81,6 +81,14 @@ def kept(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def last_use(df: DataFrame, *paths: str) -> DataFrame:
+    """Compute once, and delete the folders that the rows were read from."""
+    result = kept(df)
+    for path in paths:
+        delete(df.sparkSession, path)
+    return result
+
+
 def _file_system(spark: SparkSession, path: str):
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
     return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
@@ -99,8 +107,10 @@ def pruned_by(table: DataFrame, keys: DataFrame, on: list[str] | str) -> DataFra
     Spark prunes by a side of a join only if that side is filtered, hence the condition that every row meets.
     """
     on = [on] if isinstance(on, str) else on
-    some = settle(keys.select(*on).distinct()).where(F.coalesce(F.hash(*on), F.lit(0)) >= -(1 << 31))
-    return table.join(F.broadcast(some), on, "left_semi")
+    some = settle(keys.select(*on).distinct())
+    few = some.count() <= BROADCAST_ROWS
+    some = some.where(F.coalesce(F.hash(*on), F.lit(0)) >= -(1 << 31))
+    return table.join(F.broadcast(some) if few else some, on, "left_semi")
 
 
 def move(spark: SparkSession, path: str, target: str) -> None:

@@ -1,9 +1,12 @@
 """Properties of the physical plans that matter at scale."""
 
+from pathlib import Path
+
 import pytest
 
 from neudrift.operators.resample import PAIR, with_bucket
 from neudrift.plans.queries import QUERIES
+from neudrift.session import workspace
 from neudrift.sources.events import observations
 
 SF = "/root/testdata/sf0.001"
@@ -57,3 +60,17 @@ def test_filters_reach_the_scan(spark, name):
     assert "IsNotNull(props)" in plan or "IsNotNull(value)" in plan
     if name == "preset_slices":
         assert "GreaterThanOrEqual(ts" in plan
+
+
+WRITING = ["load_report", "scan_daily_files", "listed_files", "archive_roundtrip", "median_file_roundtrip", "archive_days",
+           "bucketed_table", "written_order", "table_metadata", "late_rows", "stream_load_table"]
+
+
+@pytest.mark.parametrize("name", WRITING)
+def test_queries_leave_no_folders(spark, name):
+    """What a query writes to read it back is gone when it returns; checkpoints are Spark's to delete."""
+    place = Path(workspace(spark).removeprefix("file:"))
+    before = {p.name for p in place.iterdir()}
+    found = QUERIES[name](spark, SF)
+    assert found.count() >= 0
+    assert {p.name for p in place.iterdir()} - before <= {p.name for p in place.glob("rdd-*")}
