@@ -110,7 +110,7 @@ def test_first_minute_to_arrive_stays(spark, tmp_path, names):
     assert len(list(tmp_path.glob("checkpoint/minutes/batch=*/*.parquet"))) <= 2
 
 
-def until(condition, seconds=60):
+def until(condition, seconds=240):
     end = time.time() + seconds
     while not condition():
         assert time.time() < end
