@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from neudrift.llm.common import map_arrow, settle
+from neudrift.llm.common import map_arrow, settle, settle_last
 from neudrift.llm.tokens import Remembered, ranges
 from neudrift.llm.words import blocks, hashes, pack, text_bytes, unpack
 
@@ -34,6 +34,8 @@ FOLDED = 256
 _PLACE = 1 << 10
 _NO_RANK = 1 << 20
 _SLOTS = 1 << 15
+# What is taken from an id for two signed bytes to hold it.
+_HALF = 1 << 15
 
 _LETTER, _NUMBER, _MARK, _SPACE = range(4)
 # What may follow an apostrophe in a piece of its own.
@@ -235,6 +237,14 @@ def merged(piece: Column, look) -> Column:
     return _bound(F.aggregate(F.sequence(F.lit(2), size), pairs, step), ids)
 
 
+def folded(pieces: Column, look) -> Column:
+    """`sizes` and `ids`: the numbers of ids of an array of pieces, and the ids less _HALF one after another. An array
+    for each piece would take some 40 bytes, these take some seven."""
+    return _bound(F.transform(pieces, lambda p: merged(p, look)), lambda lists: F.struct(
+        F.transform(lists, lambda ids: F.size(ids).cast("short")).alias("sizes"),
+        F.transform(F.flatten(lists), lambda i: (i - _HALF).cast("short")).alias("ids")))
+
+
 def merged_with_heap(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     """The same ids for a piece of any length, in time that grows little faster than it."""
     n = len(piece)
@@ -346,12 +356,13 @@ def _known(shared) -> Known:
 
 
 def _prepare(texts: DataFrame, ranks: dict[bytes, int], look, classes, known: int):
-    """The most frequent pieces with their ids, as a broadcast variable."""
-    chosen = frequent(settle(_counts(texts, classes)), known)
-    folded = chosen.select(F.encode("piece", "ISO-8859-1").alias("bytes"), merged(F.col("piece"), look).alias("ids"))
+    """The most frequent pieces with their ids, as a broadcast variable. One that occurs once is merged once anyhow,
+    with the others of its block."""
+    chosen = frequent(settle_last(lambda: _counts(texts, classes).where("n > 1")), known)
+    found = chosen.select(F.encode("piece", "ISO-8859-1").alias("bytes"), merged(F.col("piece"), look).alias("ids"))
     single = pa.table({"bytes": [bytes([b]) for b in range(256)], "ids": [[ranks[bytes([b])]] for b in range(256)]},
                       schema=pa.schema({"bytes": pa.binary(), "ids": pa.list_(pa.int32())}))
-    sent = pa.concat_tables([folded.toArrow().cast(single.schema), single]).combine_chunks()
+    sent = pa.concat_tables([found.toArrow().cast(single.schema), single]).combine_chunks()
     table = known_table(sent["bytes"].chunk(0), sent["ids"].chunk(0))
     return texts.sparkSession.sparkContext.broadcast(table | {"id": uuid.uuid4().hex})
 
@@ -389,50 +400,45 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
     all_ranks = spark.sparkContext.broadcast((ranks, _by_id(ranks)))
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = _known(shared)
+        table, ranks = _known(shared), all_ranks.value[0]
         for batch in batches:
             for part in blocks(batch, "text"):
                 which, forms, bounds = _pieces(part.column("text"), classes.value)
                 place = table.find(forms)
                 new, old = np.flatnonzero(place < 0), place[place >= 0]
                 sizes = np.diff(_raw(forms)[1])[new]
-                # Those for the fold first, then those that are too long for it.
-                new = np.concatenate((new[sizes <= FOLDED], new[sizes > FOLDED]))
-                short = int((sizes <= FOLDED).sum())
-                # Numbers of ids of known forms, and -1 - k for the k-th new one.
-                counts = np.empty(len(place), "<i4")
+                # Those for the fold, and those that are too long for it.
+                short, long = new[sizes <= FOLDED], new[sizes > FOLDED]
+                heaped = [np.array(merged_with_heap(p, ranks), "<u2") for p in forms.take(pa.array(long)).to_pylist()]
+                # Numbers of ids of known forms, less than 0 for long ones, and 0 for those that the fold merges.
+                counts = np.zeros(len(place), "<i4")
                 counts[place >= 0] = table.table.places[3][old]
-                counts[new] = -1 - np.arange(len(new))
+                counts[long] = [-len(ids) for ids in heaped]
                 ids = table.table.ids[ranges(table.table.places[2][old].astype(np.int64), table.table.places[3][old].astype(np.int64))]
-                pieces = pack(which.astype(_code(len(forms))))
-                yield pa.RecordBatch.from_arrays([
-                    _one_list(_latin(forms.take(pa.array(new[:short])))),
-                    _one_list(forms.take(pa.array(new[short:])).cast(pa.binary())),
-                    pa.array([counts.tobytes()], pa.binary()), pa.array([ids.tobytes()], pa.binary()),
-                    _one_list(part.column("id")), pa.array([bounds.astype("<i8").tobytes()], pa.binary()),
-                    pa.array([pieces], pa.binary()),
-                ], ["others", "long", "counts", "ids", "docs", "bounds", "pieces"])
+                packed = [counts, np.concatenate((ids.astype("<u2"), *heaped)), bounds.astype("<i8"), which.astype(_code(len(forms)))]
+                yield pa.RecordBatch.from_arrays(
+                    [_one_list(_latin(forms.take(pa.array(short)))), _one_list(part.column("id")),
+                     *[pa.array([pack(values)], pa.binary()) for values in packed]],
+                    ["others", "docs", "counts", "ids", "bounds", "pieces"])
 
     def assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ranks, pieces = all_ranks.value
-        by_id = pa.array(pieces, pa.large_binary())
+        by_id = pa.array(all_ranks.value[1], pa.large_binary())
         for batch in batches:
             for k in range(len(batch)):
-                folded = batch.column("others")[k].values
-                long = [merged_with_heap(p, ranks) for p in batch.column("long")[k].as_py()]
-                new_counts = np.concatenate((np.diff(folded.offsets.to_numpy()), [len(ids) for ids in long])).astype(np.int64)
-                new_ids = np.concatenate((folded.flatten().to_numpy(), *[np.array(ids) for ids in long]))
-                old_ids = np.frombuffer(batch.column("ids")[k].as_py(), "<u2")
-                pool = np.concatenate((old_ids, new_ids)).astype("<u4")
-
-                given = np.frombuffer(batch.column("counts")[k].as_py(), "<i4")
-                counts, new = given.astype(np.int64), given < 0
-                firsts = np.cumsum(np.where(new, 0, counts)) - counts
-                firsts[new] = len(old_ids) + (np.cumsum(new_counts) - new_counts)[-1 - given[new]]
-                counts[new] = new_counts[-1 - given[new]]
-
-                codes = unpack(batch.column("pieces")[k].as_py(), _code(len(given)))
-                cuts = np.frombuffer(batch.column("bounds")[k].as_py(), "<i8")
+                def packed(name, dtype):
+                    return unpack(batch.column(name)[k].as_py(), dtype)
+
+                given = packed("counts", "<i4")
+                counts = np.abs(given).astype(np.int64)
+                counts[given == 0] = batch.column("new_sizes")[k].values.to_numpy()
+                new_ids = batch.column("new_ids")[k].values.to_numpy().astype("<i4") + _HALF
+                pool = np.concatenate((packed("ids", "<u2"), new_ids)).astype("<u4")
+                # The pool has the ids of known forms, of long ones, and of those from the fold.
+                order = np.concatenate([np.flatnonzero(some) for some in (given > 0, given < 0, given == 0)])
+                firsts = np.empty_like(counts)
+                firsts[order] = np.cumsum(counts[order]) - counts[order]
+
+                codes, cuts = packed("pieces", _code(len(given))), packed("bounds", "<i8")
                 sizes = counts[codes]
                 bounds = np.concatenate(([0], np.cumsum(sizes)))[cuts]
                 ids = pool[ranges(firsts[codes], sizes)]
@@ -442,12 +448,13 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
                 yield pa.RecordBatch.from_arrays(out, ["id", "n_tokens", "ids", "decoded"][:len(out)])
 
     # A row is a block of texts: its pieces that are not known, and its texts as packed numbers of distinct
-    # pieces. As a table between the two it costs half the input, and a task has one Python process, not two.
-    rows = map_arrow(texts, split, "others array<string>, long array<binary>, counts binary, ids binary, "
-                                   f"docs array<{id_type}>, bounds binary, pieces binary")
-    folded = settle(rows.withColumn("others", F.transform("others", lambda p: merged(p, look))))
+    # pieces. As a table between the two it costs nearly the Parquet input, and a task has one Python process, not two.
+    rows = map_arrow(texts, split, f"others array<string>, docs array<{id_type}>, counts binary, ids binary, "
+                                   "bounds binary, pieces binary")
+    blocked = settle(rows.withColumn("others", folded(F.col("others"), look)))
+    blocked = blocked.select(F.col("others.sizes").alias("new_sizes"), F.col("others.ids").alias("new_ids"), *rows.columns[1:])
     schema = f"id {id_type}, n_tokens long, ids binary"
-    return map_arrow(folded, assemble, f"{schema}, decoded binary" if decoded else schema)
+    return map_arrow(blocked, assemble, f"{schema}, decoded binary" if decoded else schema)
 
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:

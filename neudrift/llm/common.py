@@ -16,6 +16,8 @@ LOWER = "abcdefghijklmnopqrstuvwxyz"
 WHITE_RUN = r"[\x20\x09-\x0D]"
 
 LAST_ID = 2**63 - 1
+# Whether the files of an action's shuffles go at its end.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,6 +35,18 @@ def settle(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def settle_last(make) -> DataFrame:
+    """`settle(make())` for a frame that is not computed again: Spark deletes its shuffle files when the table is
+    written, and not whenever the driver next collects garbage."""
+    conf = SparkSession.active().conf
+    before = conf.get(SHUFFLE_CLEANUP)
+    conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        return settle(make())
+    finally:
+        conf.set(SHUFFLE_CLEANUP, before)
+
+
 def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """`row`, the row as a struct whatever its columns are called, `id`, `text` without nulls, and a `key` that
     rows share only if they are equal in both."""

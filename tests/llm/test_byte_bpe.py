@@ -1,5 +1,7 @@
 import hashlib
+import pathlib
 import random
+import time
 
 import numpy as np
 import pyarrow as pa
@@ -12,8 +14,10 @@ from neudrift.llm import byte_bpe
 from neudrift.llm.byte_bpe import (
     character_classes, decode, encode, frequent, merged, merged_with_heap, piece_starts, rank_of, read_ranks,
 )
+from neudrift.llm.common import settle_last
 from neudrift.llm.queries import op12_byte_bpe
 from neudrift.llm.words import text_bytes
+from neudrift.session import workspace
 
 PATH = public_tokenizers.path("byte_bpe_50k.tiktoken")
 MARKS = "aAzst re ve ll m d'' \t\n\r\x0b\x1c\x85  　 09½²٣.,!<|>-_ñÑß日本éİ\U0001f600\U00020000͸ʰ"
@@ -110,6 +114,40 @@ def test_frequent(spark):
         assert len(kept) >= min(most, 3000) * 0.9 - 200
 
 
+def test_table_between_is_small(spark):
+    """Words that occur once: neither their counts nor a list of ids for each are kept."""
+    rng = random.Random(6)
+    words = list({"".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(6)) for _ in range(40_000)})
+    texts = [" ".join(words[k:k + 500]) for k in range(0, len(words), 500)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(2)
+    workspace(spark)
+
+    def stored():
+        folder = spark.sparkContext.getCheckpointDir().removeprefix("file:")
+        return {file: file.stat().st_size for file in pathlib.Path(folder).rglob("part-*")}
+
+    before = stored()
+    found = encode(docs, PATH)
+    added = sum(size for file, size in stored().items() if file not in before)
+    assert found.agg(F.sum("n_tokens")).first()[0] > len(words)
+    assert added < 2 * sum(map(len, texts))
+
+
+def test_shuffle_files_go(spark):
+    def shuffles():
+        blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllBlocks()
+        return {name for name in (str(blocks.apply(k)) for k in range(blocks.size())) if name.startswith("shuffle")}
+
+    before = shuffles()
+    counted = settle_last(lambda: spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count())
+    for _ in range(50):  # Spark deletes in the background
+        if not shuffles() - before:
+            break
+        time.sleep(0.2)
+    assert not shuffles() - before
+    assert sorted(r["count"] for r in counted.collect()) == [142] + [143] * 6
+
+
 def test_query(spark, library):
     sf_dir = "/root/testdata/sf0.001"
     found = {r.doc_id: r for r in op12_byte_bpe(spark, sf_dir).collect()}
