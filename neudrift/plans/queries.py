@@ -433,11 +433,11 @@ def stream_resample(spark, sf_dir):
 
 
 def files_in_turn(spark, sf_dir, start) -> None:
-    """Run a stream over the clean observations, which arrive as three files with a pause between: those of
-    quality 1, of 2, and the others. `start(stream)` gives the running query."""
+    """Run a stream over the clean observations, which arrive as three folders with a pause between: those of
+    quality 1, of 2, and the others. `start(stream)` gives the running query, which takes a folder as one micro-batch."""
     folder, observed = scratch_path(spark, "arriving"), settle(clean(ev.observations(spark, sf_dir)))
     for number, some in enumerate((F.col("q") == 1, F.col("q") == 2, F.col("q") > 2)):
-        observed.where(some).coalesce(1).write.parquet(f"{folder}/{number}")
+        observed.where(some).write.parquet(f"{folder}/{number}")
         start(spark.readStream.schema(observed.schema).parquet(f"{folder}/*")).awaitTermination()
     delete(spark, folder)
 

@@ -54,10 +54,14 @@ def counts_by_bucket(cleaned: DataFrame, width=DEFAULT_WIDTH, columns=VALUE_COLU
 
     The state is a number per bucket, column and value, so no key of it grows with the rows of a bucket. It is
     kept until the watermark, `delay` behind the latest row, has passed the end of the bucket.
+
+    Rows are spread before they are counted, since a task holds all values that it counts: of a file that is read as
+    one split these would be the values of the file.
     """
     if not divides_day(width):
         raise ValueError("a stream of medians needs a width that divides a day")
     rows = cleaned.withColumn("_moment", event_time(F.col("time"))).withWatermark("_moment", delay)
+    rows = rows.select(*PAIR, "_moment", *columns).repartition(*PAIR, "_moment")
     rows = rows.withColumn("_window", F.window("_moment", f"{width_seconds(width)} seconds"))
     counted = value_counts(rows, [*PAIR, "_window"], columns)
     start = without_zone(F.col("_window.start")).alias("time")

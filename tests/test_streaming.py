@@ -1,10 +1,12 @@
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.sql import functions as F
 
 from neudrift.operators.clean import clean, for_table
 from neudrift.operators.resample import resample_dense, resample_medians
 from neudrift.operators.table import as_one_minute, read_one_minute, unique_by_key
+from neudrift.plans.queries import files_in_turn
 from neudrift.schema import VALUE_COLUMNS
 from neudrift.sources.files import scan_daily
 from neudrift.sources.lines import parse_lines, usable
@@ -129,6 +131,39 @@ def test_state_is_a_number_per_value(spark, tmp_path):
         stream_medians(clean(usable(parse_lines(lines))), target, str(tmp_path / "other"), "7min")
 
 
+def test_rows_are_spread_before_they_are_counted(spark, tmp_path, capsys):
+    """A file that is one split is not counted by one task: between its scan and the first counts rows are dealt out."""
+    raw = tmp_path / "raw"
+    write_day(raw, "SENG-ELDC", 1, 0, 400)
+    query = stream_medians(clean(usable(parse_lines(stream_files(spark, str(raw))))), str(tmp_path / "out"),
+                           str(tmp_path / "checkpoint"), "1h", columns=("n", "e"), trigger=NOW)
+    query.awaitTermination()
+    capsys.readouterr()
+    query.explain()
+    plan = capsys.readouterr().out.splitlines()
+    counts, spread = ([k for k, text in enumerate(plan) if name in text] for name in ("HashAggregate", "Exchange hashpartitioning"))
+    assert len(spread) == 2 and spread[-1] > counts[-1]  # children stand below
+
+
+def test_files_in_turn_are_written_by_all_tasks(spark, tmp_path):
+    start, kinds = datetime(2024, 1, 1), ("click", "view", "purchase")
+    spark.createDataFrame(
+        [(k, start + timedelta(seconds=k), k % 7, kinds[k % 3], k / 8, f"k{k % 5}") for k in range(1, 91)],
+        "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string",
+    ).repartition(3).write.parquet(str(tmp_path / "events.parquet"))
+    files, batches = [], []
+
+    def begin(rows):
+        def note(batch, batch_id):
+            files.append(batch.select(F.input_file_name()).distinct().count())
+            batches.append(batch.count())
+
+        return rows.writeStream.option("checkpointLocation", str(tmp_path / "checkpoint")).foreachBatch(note).trigger(**NOW).start()
+
+    files_in_turn(spark, str(tmp_path), begin)
+    assert len(batches) == 3 and min(files) > 1 and min(batches) > 0
+
+
 def test_table_stream(spark, tmp_path):
     raw, table = tmp_path / "raw", str(tmp_path / "one_min")
 
